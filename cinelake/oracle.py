@@ -141,6 +141,40 @@ CTES: list[tuple[str, str]] = [
     ("o_bridge_movie_genre", "SELECT movie_id, genre_id FROM o_silver_bridge_movie_genre"),
     ("o_bridge_movie_cast", "SELECT movie_id, person_id, character, cast_order FROM o_silver_movie_cast"),
     ("o_bridge_movie_crew", "SELECT movie_id, person_id, job, department FROM o_silver_movie_crew"),
+    ("page_rows", f"""
+    SELECT *, CAST((rn - 1) // {tb.PAGE_SIZE} + 1 AS INTEGER) AS page FROM (
+      SELECT m.*, CAST(date_trunc('month', l_shipdate) AS DATE) AS mth,
+             row_number() OVER (PARTITION BY date_trunc('month', l_shipdate)
+                                ORDER BY movie_id, l_orderkey, l_linenumber, l_suppkey) AS rn,
+             count(*) OVER (PARTITION BY date_trunc('month', l_shipdate)) AS month_results
+      FROM movie_rows m)"""),
+    ("page_facts", f"""
+    SELECT mth, page, CAST(max(month_results) AS INTEGER) AS total_results,
+           CAST(ceil(max(month_results) / {tb.PAGE_SIZE}.0) AS INTEGER) AS total_pages,
+           CASE WHEN month(mth) = {tb.EMPTY_PAGE_MONTH} AND page = 2 THEN 0 ELSE count(*) END AS n_results
+    FROM page_rows GROUP BY mth, page"""),
+    ("accepted_pages", """
+    SELECT f.* FROM page_facts f JOIN (
+      SELECT mth, min(CASE WHEN n_results = 0 THEN page END) AS first_empty,
+             min(CASE WHEN page >= total_pages THEN page END) AS first_last
+      FROM page_facts GROUP BY mth) s ON f.mth = s.mth
+    WHERE f.page >= 1 AND f.page <= least(coalesce(s.first_empty - 1, 500), coalesce(s.first_last, 500), 500)"""),
+    ("landed_movie_rows", f"""
+    SELECT r.*, CAST(r.mth + INTERVAL 1 MONTH AS TIMESTAMP) AS page_fetched_at FROM page_rows r
+    WHERE NOT (month(r.mth) = {tb.EMPTY_PAGE_MONTH} AND r.page = 2)"""),
+    ("change_rows", f"""
+    SELECT d AS change_date, user_id AS movie_id, user_id % 7 = 0 AS adult,
+           CAST((row_number() OVER (PARTITION BY d ORDER BY user_id) - 1) // {tb.CHANGES_PAGE_SIZE} + 1 AS INTEGER)
+             AS page
+    FROM (SELECT DISTINCT CAST(ts AS DATE) AS d, user_id FROM events)"""),
+    ("o_fact_movie_popularity", f"""
+    SELECT f.movie_id, f.snapshot_date, f.popularity, f.vote_average, f.vote_count, d.revenue FROM (
+      SELECT movie_id, CAST(ingested_at AS DATE) AS snapshot_date, popularity, vote_average, vote_count,
+             row_number() OVER (PARTITION BY movie_id, CAST(ingested_at AS DATE)
+                                ORDER BY ingested_at DESC, {_desc(["popularity", "vote_average", "vote_count"])}) AS rn
+      FROM movie_rows) f
+    LEFT JOIN o_silver_movie_details d ON f.movie_id = d.movie_id
+    WHERE f.rn = 1"""),
     ("o_fct_movies_by_genre", """
     SELECT g.genre_id, g.genre_name, g.genre_name_clean, count(b.movie_id) AS total_movies
     FROM o_dim_genre g LEFT JOIN o_bridge_movie_genre b ON g.genre_id = b.genre_id

@@ -1 +1,497 @@
-"""Registered queries beyond the model graph (filled in step by step)."""
+"""Registered queries beyond the model graph: landing, worklists, tests,
+discovery, jobs and streams (SURVEY sections 2.1-2.7).
+
+Every query reads the driver tables at ``sf_dir`` through the test bed.
+Queries that exercise writers (append, materialise, exports, streams) write
+into a fresh folder under the session's ``spark.checkpoint.dir``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cinelake import oracle as O
+from cinelake.functions.jsonops import json_array, json_bigint, json_double, json_string
+from cinelake.operators import dedupe, quality, worklist
+from cinelake.plans import catalog, discover, gold, jobs, silver
+from cinelake.registry import register
+from cinelake.session import scratch_dir
+from cinelake.sources import bronze, landing, testbed
+from cinelake.sources import testbed as tb
+from cinelake.streaming import bronze_stream
+
+W = O.with_ctes
+
+# ---- fixed parameters of the registered discovery queries ---------------------------
+TOP_N = 10
+MIN_VOTES = 40
+BROWSE = dict(genre_id=5, min_popularity=2.0, min_rating=5.0, year_from=1995, year_to=1998)
+GENRE_SET = [1, 2]
+TITLE_QUERY = "ring"
+MULTI_QUERY = "pl"
+EXPORT_DATES = ("01_14_2026", "01_15_2026")   # older export: parts with p_size <= 45; newest: all parts
+OLDER_EXPORT_MAX_SIZE = 45
+APPEND_SPLIT = "1998-01-01"                    # A7: first append = rows ingested before this day
+# -------------------------------------------------------------------------------------
+
+
+def _b(spark, sf):
+    return catalog.testbed_bronze(spark, sf)
+
+
+def _m(spark, sf):
+    return catalog.all_models(_b(spark, sf))
+
+
+# ---- 2.1 sources, landing, sinks ----------------------------------------------------
+@register("land_genre_rows", W("""
+    SELECT genre_id, endpoint, ingested_at, (SELECT count(*) FROM nation) AS genres_in_document
+    FROM genre_rows"""))
+def q_land_genre_rows(spark: SparkSession, sf: str) -> DataFrame:
+    rows = bronze.land_genre_rows(testbed.genre_landing(spark, sf))
+    return rows.select("genre_id", "endpoint", "ingested_at",
+                       F.size(json_array("raw_json", "genres")).cast("bigint").alias("genres_in_document"))
+
+
+@register("land_movie_rows", W("""
+    SELECT movie_id, endpoint, page_fetched_at AS ingested_at, title, popularity, l_orderkey, l_linenumber
+    FROM landed_movie_rows"""))
+def q_land_movie_rows(spark: SparkSession, sf: str) -> DataFrame:
+    rows = bronze.land_movie_rows(testbed.discover_landing(spark, sf))
+    return rows.select("movie_id", "endpoint", "ingested_at", json_string("raw_json", "title").alias("title"),
+                       json_double("raw_json", "popularity").alias("popularity"),
+                       json_bigint("raw_json", "l_orderkey").alias("l_orderkey"),
+                       json_bigint("raw_json", "l_linenumber").alias("l_linenumber"))
+
+
+@register("land_detail_rows", W("SELECT movie_id, endpoint, ingested_at, title FROM details_rows"))
+def q_land_detail_rows(spark: SparkSession, sf: str) -> DataFrame:
+    rows = bronze.land_detail_rows(testbed.details_landing(spark, sf))
+    return rows.select("movie_id", "endpoint", "ingested_at", json_string("raw_json", "title").alias("title"))
+
+
+@register("land_credit_rows", W("""
+    SELECT movie_id, '/movie/' || CAST(movie_id AS VARCHAR) || '/credits' AS endpoint, ingested_at,
+           count(*) AS cast_size, count(*) AS crew_size
+    FROM credit_rows GROUP BY movie_id, ingested_at"""))
+def q_land_credit_rows(spark: SparkSession, sf: str) -> DataFrame:
+    rows = bronze.land_credit_rows(testbed.credits_landing(spark, sf))
+    return rows.select("movie_id", "endpoint", "ingested_at",
+                       F.size(json_array("raw_json", "cast")).cast("bigint").alias("cast_size"),
+                       F.size(json_array("raw_json", "crew")).cast("bigint").alias("crew_size"))
+
+
+@register("parse_json_ingest", """
+    SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
+           CAST(json_extract(props, '$.k') AS DOUBLE) AS k_double FROM events""")
+def q_parse_json_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    ev = bronze.parse_json_ingest(tb.table(spark, sf, "events").select("event_id", "props"), "props")
+    return ev.select("event_id", json_bigint("raw_json", "k").alias("k"),
+                     json_double("raw_json", "k").alias("k_double"))
+
+
+@register("bronze_contract", W("SELECT movie_id, endpoint, ingested_at, movie_id AS json_id FROM movie_rows"))
+def q_bronze_contract(spark: SparkSession, sf: str) -> DataFrame:
+    rows = bronze.bronze_contract(testbed.movie_raw(spark, sf), "movie_id")
+    return rows.select("movie_id", "endpoint", "ingested_at", json_bigint("raw_json", "id").alias("json_id"))
+
+
+@register("bronze_append", W("SELECT movie_id, endpoint, ingested_at, l_orderkey FROM movie_rows"))
+def q_bronze_append(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_dir(spark, "bronze-append")
+    raw = testbed.movie_raw(spark, sf)
+    split = F.lit(APPEND_SPLIT).cast("timestamp_ntz")
+    bronze.bronze_append(raw.where(F.col("ingested_at") < split), path)
+    bronze.bronze_append(raw.where(F.col("ingested_at") >= split), path)
+    back = spark.read.parquet(path)
+    return back.select("movie_id", "endpoint", "ingested_at",
+                       json_bigint("raw_json", "l_orderkey").alias("l_orderkey"))
+
+
+@register("drop_column_if_exists", W("SELECT genre_id, endpoint, ingested_at FROM genre_rows"))
+def q_drop_column_if_exists(spark: SparkSession, sf: str) -> DataFrame:
+    rows = bronze.land_genre_rows(testbed.genre_landing(spark, sf))
+    legacy = rows.withColumn("genre_name", F.lit(None).cast("string"))
+    once = bronze.drop_column_if_exists(legacy, "genre_name")
+    twice = bronze.drop_column_if_exists(once, "genre_name")     # missing now: still no error
+    return twice.select("genre_id", "endpoint", "ingested_at")
+
+
+@register("bronze_scan", W(f"""
+    SELECT 'tmdb_genre_raw' AS table_name, count(*) AS row_count FROM genre_rows
+    UNION ALL SELECT 'tmdb_movie_raw', count(*) FROM movie_rows
+    UNION ALL SELECT 'tmdb_movie_details_raw', count(*) FROM details_rows
+    UNION ALL SELECT 'tmdb_movie_credits_raw', count(*) FROM
+      (SELECT DISTINCT movie_id, ingested_at FROM credit_rows)"""))
+def q_bronze_scan(spark: SparkSession, sf: str) -> DataFrame:
+    root = scratch_dir(spark, "bronze-scan")
+    b = _b(spark, sf)
+    for name, df in zip(bronze.BRONZE_TABLES, (b.genre, b.movie, b.details, b.credits)):
+        bronze.bronze_append(df, f"{root}/{name}")
+    views = bronze.bronze_scan(spark, root)
+    parts = [spark.table(f"base_bronze_{name}").agg(F.count(F.lit(1)).alias("row_count"))
+             .select(F.lit(name).alias("table_name"), "row_count") for name in views]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("materialize_table", O.model_sql("silver_movie"))
+def q_materialize_table(spark: SparkSession, sf: str) -> DataFrame:
+    root = scratch_dir(spark, "catalog")
+    df = silver.silver_movie(testbed.movie_raw(spark, sf))
+    jobs.materialize_table(df, root, "silver", "silver_movie", version=1)
+    jobs.materialize_table(df, root, "silver", "silver_movie", version=2)   # a rebuild: new version
+    return jobs.read_table(spark, root, "silver", "silver_movie")
+
+
+@register("layer_routing", W("SELECT genre_id, genre_name, 'gold' AS layer FROM o_dim_genre"))
+def q_layer_routing(spark: SparkSession, sf: str) -> DataFrame:
+    root = scratch_dir(spark, "catalog")
+    m = _m(spark, sf)
+    jobs.materialize_table(m["dim_genre"], root, "gold", "dim_genre")
+    back = jobs.read_table(spark, root, "gold", "dim_genre")
+    return back.select("genre_id", "genre_name",
+                       F.regexp_extract(F.col("_metadata.file_path"), r"/(bronze|silver|gold)/dim_genre/", 1)
+                       .alias("layer"))
+
+
+@register("ordered_scan", W("SELECT * FROM o_silver_genre ORDER BY genre_id"))
+def q_ordered_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return jobs.ordered_scan(silver.silver_genre(_b(spark, sf).genre), "genre_id")
+
+
+@register("count_rows", W("SELECT count(1) AS row_count FROM o_silver_movie"))
+def q_count_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return jobs.count_rows(silver.silver_movie(testbed.movie_raw(spark, sf)))
+
+
+def _write_exports(spark: SparkSession, sf: str) -> str:
+    root = scratch_dir(spark, "exports")
+    lines = testbed.id_export_lines(spark, sf)
+    older = tb.table(spark, sf, "part").where(F.col("p_size") <= OLDER_EXPORT_MAX_SIZE).select("p_partkey")
+    older_lines = testbed.id_export_lines(spark, sf).join(
+        older, F.variant_get(F.parse_json("value"), "$.id", "bigint") == F.col("p_partkey"), "left_semi")
+    older_lines.write.option("compression", "gzip").text(f"{root}/movie_ids_{EXPORT_DATES[0]}.json.gz")
+    lines.write.option("compression", "gzip").text(f"{root}/movie_ids_{EXPORT_DATES[1]}.json.gz")
+    return root
+
+
+def _export_sql(date_mmddyyyy: str, where: str) -> str:
+    m, d, y = date_mmddyyyy.split("_")
+    return (f"SELECT DATE '{y}-{m}-{d}' AS ingestion_date, p_partkey AS movie_id, p_size % 2 = 0 AS adult, "
+            f"false AS video, p_retailprice / 100 AS popularity FROM part WHERE {where}")
+
+
+@register("read_id_export", _export_sql(EXPORT_DATES[0], f"p_size <= {OLDER_EXPORT_MAX_SIZE}")
+          + " UNION ALL " + _export_sql(EXPORT_DATES[1], "true"))
+def q_read_id_export(spark: SparkSession, sf: str) -> DataFrame:
+    root = _write_exports(spark, sf)
+    return bronze.read_id_export(spark, f"{root}/movie_ids_*").drop("raw_line")
+
+
+@register("change_list_rows", W("SELECT change_date, movie_id, adult, page FROM change_rows"))
+def q_change_list_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return bronze.change_list_rows(testbed.changes_landing(spark, sf)).drop("raw_json")
+
+
+@register("drop_missing_responses", W("SELECT movie_id, 200 AS http_status, ingested_at AS fetched_at "
+                                       "FROM details_rows"))
+def q_drop_missing_responses(spark: SparkSession, sf: str) -> DataFrame:
+    ok = bronze.drop_missing_responses(testbed.details_landing(spark, sf))
+    return ok.select(F.col("request_key").alias("movie_id"), "http_status", "fetched_at")
+
+
+# ---- 2.2 worklists and incremental reads ----------------------------------------------
+@register("details_worklist", W("""
+    SELECT DISTINCT movie_id FROM movie_rows
+    WHERE popularity >= 1 AND movie_id NOT IN (SELECT DISTINCT movie_id FROM details_rows)
+    ORDER BY movie_id"""))
+def q_details_worklist(spark: SparkSession, sf: str) -> DataFrame:
+    b = _b(spark, sf)
+    return worklist.details_worklist(b.movie, b.details)
+
+
+@register("credits_worklist", W("""
+    SELECT DISTINCT movie_id FROM details_rows
+    WHERE movie_id NOT IN (SELECT DISTINCT movie_id FROM credit_rows) ORDER BY movie_id"""))
+def q_credits_worklist(spark: SparkSession, sf: str) -> DataFrame:
+    b = _b(spark, sf)
+    return worklist.credits_worklist(b.details, b.credits)
+
+
+@register("high_water_date", "SELECT COALESCE(strftime(max(ts), '%Y-%m-%d'), '2023-06-25') AS high_water "
+                             "FROM events")
+def q_high_water_date(spark: SparkSession, sf: str) -> DataFrame:
+    return worklist.high_water_date(tb.table(spark, sf, "events"), "ts")
+
+
+@register("high_water_timestamp", "SELECT COALESCE(strftime(max(ts) - INTERVAL 5 MINUTE, '%Y-%m-%dT%H:%M:%SZ'), "
+                                  "'2023-01-01T00:00:00Z') AS high_water FROM events")
+def q_high_water_timestamp(spark: SparkSession, sf: str) -> DataFrame:
+    return worklist.high_water_timestamp(tb.table(spark, sf, "events"), "ts")
+
+
+@register("latest_key_list", "SELECT DISTINCT user_id FROM events")
+def q_latest_key_list(spark: SparkSession, sf: str) -> DataFrame:
+    return dedupe.latest_key_list(tb.table(spark, sf, "events"), "user_id")
+
+
+@register("parse_utc_timestamp", """
+    SELECT event_id,
+           CASE event_id % 4 WHEN 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ')
+                             WHEN 1 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ')
+                             WHEN 2 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%f+00:00')
+                             ELSE '' END AS iso_text,
+           CASE event_id % 4 WHEN 0 THEN date_trunc('second', ts) WHEN 3 THEN NULL ELSE ts END AS parsed
+    FROM events""")
+def q_parse_utc_timestamp(spark: SparkSession, sf: str) -> DataFrame:
+    ev = tb.table(spark, sf, "events").select("event_id", "ts")
+    k = F.col("event_id") % 4
+    text = (F.when(k == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+             .when(k == 1, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+             .when(k == 2, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"))
+             .otherwise(F.lit("")))
+    return ev.select("event_id", text.alias("iso_text")).select(
+        "event_id", "iso_text", worklist.parse_utc_timestamp("iso_text").alias("parsed"))
+
+
+@register("month_windows", """
+    SELECT CAST(m AS DATE) AS month_start, last_day(CAST(m AS DATE)) AS month_end,
+           strftime(m, '%Y-%m') AS year_month
+    FROM (SELECT unnest(generate_series(TIMESTAMP '1874-01-01',
+                 (SELECT date_trunc('month', max(l_shipdate)) FROM lineitem), INTERVAL 1 MONTH)) AS m)""")
+def q_month_windows(spark: SparkSession, sf: str) -> DataFrame:
+    return worklist.month_windows(tb.table(spark, sf, "lineitem"), "l_shipdate")
+
+
+@register("accept_pages", W("SELECT mth AS month, page, n_results, total_pages FROM accepted_pages"))
+def q_accept_pages(spark: SparkSession, sf: str) -> DataFrame:
+    return worklist.accept_pages(testbed.discover_landing(spark, sf)).select(
+        "month", "page", "n_results", "total_pages")
+
+
+@register("truncated_months", W("""
+    SELECT mth AS month, max(total_pages) AS total_pages, max(total_results) AS total_results,
+           count(*) AS pages_landed, max(total_pages) > 500 AS truncated
+    FROM page_facts GROUP BY mth"""))
+def q_truncated_months(spark: SparkSession, sf: str) -> DataFrame:
+    return worklist.truncated_months(testbed.discover_landing(spark, sf))
+
+
+@register("changed_ids_resync", W("""
+    SELECT movie_id FROM o_silver_movie WHERE movie_id IN (SELECT movie_id FROM change_rows)"""))
+def q_changed_ids_resync(spark: SparkSession, sf: str) -> DataFrame:
+    catalog_ids = silver.silver_movie(testbed.movie_raw(spark, sf))
+    return worklist.changed_ids_resync(catalog_ids, bronze.change_list_rows(testbed.changes_landing(spark, sf)))
+
+
+@register("backfill_windows", """
+    SELECT CAST(s AS DATE) AS window_start, least(CAST(s AS DATE) + 13, b.e) AS window_end
+    FROM (SELECT min(CAST(ts AS DATE)) AS st, max(CAST(ts AS DATE)) AS e FROM events) b,
+         LATERAL (SELECT unnest(generate_series(CAST(b.st AS TIMESTAMP), CAST(b.e AS TIMESTAMP), INTERVAL 14 DAY))
+                  AS s)""")
+def q_backfill_windows(spark: SparkSession, sf: str) -> DataFrame:
+    bounds = tb.table(spark, sf, "events").agg(F.min(F.to_date("ts")).alias("s"), F.max(F.to_date("ts")).alias("e"))
+    return worklist.backfill_windows(bounds, "s", "e")
+
+
+@register("export_worklist", W(f"""
+    SELECT p_partkey AS movie_id FROM part
+    WHERE p_partkey NOT IN (SELECT movie_id FROM details_rows) ORDER BY movie_id"""))
+def q_export_worklist(spark: SparkSession, sf: str) -> DataFrame:
+    root = _write_exports(spark, sf)
+    exports = bronze.read_id_export(spark, f"{root}/movie_ids_*")
+    return worklist.export_worklist(exports, _b(spark, sf).details)
+
+
+# ---- 2.3 / 2.4 extra models ---------------------------------------------------------------
+@register("stg_movie_credits", W("""
+    SELECT movie_id, person_id, name, 'cast' AS credit_type, character, cast_order,
+           CAST(NULL AS VARCHAR) AS job, CAST(NULL AS VARCHAR) AS department FROM o_silver_movie_cast
+    UNION ALL
+    SELECT movie_id, person_id, name, 'crew', NULL, NULL, job, department FROM o_silver_movie_crew"""))
+def q_stg_movie_credits(spark: SparkSession, sf: str) -> DataFrame:
+    b = _b(spark, sf)
+    return silver.stg_movie_credits(silver.silver_movie_cast(b.credits), silver.silver_movie_crew(b.credits))
+
+
+@register("fact_movie_popularity", W("SELECT * FROM o_fact_movie_popularity"))
+def q_fact_movie_popularity(spark: SparkSession, sf: str) -> DataFrame:
+    b = _b(spark, sf)
+    return gold.fact_movie_popularity(b.movie, silver.silver_movie_details(b.details))
+
+
+# ---- 2.5 data tests --------------------------------------------------------------------------
+for _key, _kinds in (("test_not_null", ("not_null",)), ("test_unique", ("unique",)),
+                     ("test_unique_combination", ("combination",)),
+                     ("quality_report", ("not_null", "unique", "combination"))):
+    def _q(spark: SparkSession, sf: str, _kinds=_kinds) -> DataFrame:
+        return quality.run_tests(_m(spark, sf), kinds=_kinds)
+    _q.__name__ = f"q_{_key}"
+    register(_key, W(quality.oracle_tests_sql(_kinds)))(_q)
+
+
+# ---- 2.6 discovery -------------------------------------------------------------------------------
+@register("top_popular_movies", W(f"""
+    SELECT movie_id, title, popularity FROM o_dim_movie
+    ORDER BY popularity DESC NULLS LAST, movie_id LIMIT {TOP_N}"""))
+def q_top_popular_movies(spark: SparkSession, sf: str) -> DataFrame:
+    return discover.top_popular_movies(_m(spark, sf)["dim_movie"], TOP_N)
+
+
+@register("rating_by_genre", W("""
+    SELECT g.genre_id, g.genre_name, count(*) AS movies, round(avg(m.vote_average), 4) AS avg_vote_average,
+           min(m.vote_average) AS min_vote_average, max(m.vote_average) AS max_vote_average
+    FROM o_bridge_movie_genre b JOIN o_dim_movie m ON b.movie_id = m.movie_id
+    JOIN o_dim_genre g ON g.genre_id = b.genre_id
+    WHERE m.vote_count > 0 GROUP BY g.genre_id, g.genre_name"""))
+def q_rating_by_genre(spark: SparkSession, sf: str) -> DataFrame:
+    m = _m(spark, sf)
+    return discover.rating_by_genre(m["dim_movie"], m["bridge_movie_genre"], m["dim_genre"])
+
+
+@register("dominant_genre_by_year", W("""
+    SELECT release_year, genre_id, genre_name, movies FROM (
+      SELECT *, rank() OVER (PARTITION BY release_year ORDER BY movies DESC) AS rk FROM (
+        SELECT year(m.release_date) AS release_year, g.genre_id, g.genre_name, count(*) AS movies
+        FROM o_bridge_movie_genre b JOIN o_dim_movie m ON b.movie_id = m.movie_id
+        JOIN o_dim_genre g ON g.genre_id = b.genre_id
+        WHERE m.release_date IS NOT NULL GROUP BY 1, 2, 3)) WHERE rk = 1"""))
+def q_dominant_genre_by_year(spark: SparkSession, sf: str) -> DataFrame:
+    m = _m(spark, sf)
+    return discover.dominant_genre_by_year(m["dim_movie"], m["bridge_movie_genre"], m["dim_genre"])
+
+
+@register("top_rated_movies", W(f"""
+    SELECT movie_id, title, vote_average, vote_count FROM o_dim_movie WHERE vote_count >= {MIN_VOTES}
+    ORDER BY vote_average DESC NULLS LAST, vote_count DESC, movie_id LIMIT {TOP_N}"""))
+def q_top_rated_movies(spark: SparkSession, sf: str) -> DataFrame:
+    return discover.top_rated_movies(_m(spark, sf)["dim_movie"], MIN_VOTES, TOP_N)
+
+
+@register("popularity_over_time", W("""
+    SELECT movie_id, snapshot_date, popularity,
+           popularity - lag(popularity) OVER (PARTITION BY movie_id ORDER BY snapshot_date) AS popularity_change
+    FROM o_fact_movie_popularity"""))
+def q_popularity_over_time(spark: SparkSession, sf: str) -> DataFrame:
+    b = _b(spark, sf)
+    return discover.popularity_over_time(gold.fact_movie_popularity(b.movie, silver.silver_movie_details(b.details)))
+
+
+@register("browse_catalog", W(f"""
+    SELECT movie_id, title, release_date, popularity, vote_average FROM o_dim_movie
+    WHERE popularity >= {BROWSE['min_popularity']} AND vote_average >= {BROWSE['min_rating']}
+      AND year(release_date) BETWEEN {BROWSE['year_from']} AND {BROWSE['year_to']}
+      AND movie_id IN (SELECT movie_id FROM o_bridge_movie_genre WHERE genre_id = {BROWSE['genre_id']})"""))
+def q_browse_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    m = _m(spark, sf)
+    return discover.browse_catalog(m["dim_movie"], m["bridge_movie_genre"], **BROWSE)
+
+
+@register("genres_all", W(f"""
+    SELECT movie_id, title FROM o_dim_movie WHERE movie_id IN (
+      SELECT movie_id FROM o_bridge_movie_genre WHERE genre_id IN ({", ".join(map(str, GENRE_SET))})
+      GROUP BY movie_id HAVING count(DISTINCT genre_id) = {len(GENRE_SET)})"""))
+def q_genres_all(spark: SparkSession, sf: str) -> DataFrame:
+    m = _m(spark, sf)
+    return discover.genres_all(m["dim_movie"], m["bridge_movie_genre"], GENRE_SET)
+
+
+@register("genres_any", W(f"""
+    SELECT movie_id, title FROM o_dim_movie WHERE movie_id IN (
+      SELECT movie_id FROM o_bridge_movie_genre WHERE genre_id IN ({", ".join(map(str, GENRE_SET))}))"""))
+def q_genres_any(spark: SparkSession, sf: str) -> DataFrame:
+    m = _m(spark, sf)
+    return discover.genres_any(m["dim_movie"], m["bridge_movie_genre"], GENRE_SET)
+
+
+@register("title_search", W(f"""
+    SELECT movie_id, title, release_date, adult FROM o_dim_movie
+    WHERE contains(lower(title), '{TITLE_QUERY}') AND NOT COALESCE(adult, false)"""))
+def q_title_search(spark: SparkSession, sf: str) -> DataFrame:
+    return discover.title_search(_m(spark, sf)["dim_movie"], TITLE_QUERY)
+
+
+@register("multi_search", W(f"""
+    SELECT 'movie' AS media_type, movie_id AS id, title AS name FROM o_dim_movie
+    WHERE contains(lower(title), '{MULTI_QUERY}')
+    UNION ALL
+    SELECT 'person', person_id, name FROM o_dim_person WHERE contains(lower(name), '{MULTI_QUERY}')"""))
+def q_multi_search(spark: SparkSession, sf: str) -> DataFrame:
+    m = _m(spark, sf)
+    return discover.multi_search(m["dim_movie"], m["dim_person"], MULTI_QUERY)
+
+
+# ---- 2.7 jobs and streams ----------------------------------------------------------------------
+@register("build_catalog", W(quality.oracle_tests_sql()))
+def q_build_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    return jobs.build_catalog(spark, _b(spark, sf), scratch_dir(spark, "catalog"))
+
+
+def write_test_landing(spark: SparkSession, sf: str, root: str) -> str:
+    """Land the test bed's responses as JSON-line files (genre, discover, details, credits)."""
+    landing.write_landing(testbed.genre_landing(spark, sf), f"{root}/genre")
+    landing.write_landing(testbed.discover_landing(spark, sf), f"{root}/discover")
+    landing.write_landing(testbed.details_landing(spark, sf), f"{root}/details")
+    landing.write_landing(testbed.credits_landing(spark, sf), f"{root}/credits")
+    return root
+
+
+@register("daily_increment")
+def q_daily_increment(spark: SparkSession, sf: str) -> DataFrame:
+    base = scratch_dir(spark, "daily")
+    land = write_test_landing(spark, sf, f"{base}/landing")
+    jobs.daily_increment(spark, land, f"{base}/catalog")
+    return jobs.read_table(spark, f"{base}/catalog", "gold", "dim_movie")
+
+
+@register("full_backfill", W("""
+    SELECT movie_id, title, original_title, original_language, overview, release_date, popularity, vote_average,
+           vote_count, adult, endpoint, ingested_at FROM (
+      SELECT r.* EXCLUDE (ingested_at), r.page_fetched_at AS ingested_at,
+             row_number() OVER (PARTITION BY r.movie_id ORDER BY r.page_fetched_at DESC,
+               title DESC NULLS LAST, original_title DESC NULLS LAST, original_language DESC NULLS LAST,
+               overview DESC NULLS LAST, release_date DESC NULLS LAST, popularity DESC NULLS LAST,
+               vote_average DESC NULLS LAST, vote_count DESC NULLS LAST, adult DESC NULLS LAST) AS rn2
+      FROM landed_movie_rows r JOIN accepted_pages a ON r.mth = a.mth AND r.page = a.page) WHERE rn2 = 1"""))
+def q_full_backfill(spark: SparkSession, sf: str) -> DataFrame:
+    base = scratch_dir(spark, "backfill")
+    landing.write_landing(testbed.discover_landing(spark, sf), f"{base}/discover")
+    return jobs.full_backfill(spark, landing.read_landing(spark, f"{base}/discover"))
+
+
+def write_event_landing(spark: SparkSession, sf: str, path: str, files: int = 4) -> str:
+    ev = tb.table(spark, sf, "events")
+    line = F.to_json(F.struct("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"),
+                              "user_id", "event_type", "value", "props"))
+    ev.select(line.alias("value")).repartitionByRange(files, "event_id").write.text(path)
+    return path
+
+
+@register("stream_bronze_append", "SELECT event_id, user_id, event_type, value, ts AS ingested_at FROM events")
+def q_stream_bronze_append(spark: SparkSession, sf: str) -> DataFrame:
+    base = scratch_dir(spark, "stream-append")
+    src = write_event_landing(spark, sf, f"{base}/landing")
+    for _ in range(2):       # the second drain finds nothing new: exactly once
+        bronze_stream.stream_bronze_append(spark, src, f"{base}/bronze", f"{base}/_checkpoint",
+                                           max_files_per_trigger=1)
+    b = spark.read.parquet(f"{base}/bronze")
+    return b.select("event_id", F.variant_get("raw_json", "$.user_id", "bigint").alias("user_id"),
+                    F.variant_get("raw_json", "$.event_type", "string").alias("event_type"),
+                    F.variant_get("raw_json", "$.value", "double").alias("value"), "ingested_at")
+
+
+@register("stream_latest_upsert", """
+    SELECT user_id, event_id, event_type, value, ingested_at FROM (
+      SELECT user_id, event_id, event_type, value, ts AS ingested_at,
+             row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC NULLS LAST,
+                                event_type DESC NULLS LAST, value DESC NULLS LAST) AS rn
+      FROM events) WHERE rn = 1""")
+def q_stream_latest_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    base = scratch_dir(spark, "stream-upsert")
+    src = write_event_landing(spark, sf, f"{base}/landing")
+    bronze_stream.stream_latest_upsert(spark, src, f"{base}/table", f"{base}/_checkpoint", max_files_per_trigger=1)
+    return bronze_stream.read_latest(spark, f"{base}/table")
