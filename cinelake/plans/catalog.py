@@ -6,7 +6,7 @@ materialises them in dependency order.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,49 +22,93 @@ MODEL_LAYERS = {
 }
 
 
-@dataclass
 class Bronze:
-    genre: DataFrame
-    movie: DataFrame
-    details: DataFrame
-    credits: DataFrame
+    """The four bronze tables; each is built on first access only, so a query
+    that needs one table does not plan the other three."""
+
+    def __init__(self, genre=None, movie=None, details=None, credits=None, factory=None):
+        self._given = {"genre": genre, "movie": movie, "details": details, "credits": credits}
+        self._factory = factory or {}
+
+    def _get(self, name: str) -> DataFrame:
+        if self._given[name] is None:
+            self._given[name] = self._factory[name]()
+        return self._given[name]
+
+    genre = property(lambda self: self._get("genre"))
+    movie = property(lambda self: self._get("movie"))
+    details = property(lambda self: self._get("details"))
+    credits = property(lambda self: self._get("credits"))
 
 
 def testbed_bronze(spark: SparkSession, sf_dir: str) -> Bronze:
     """Bronze tables derived from the driver tables (FIXTURES.md section 3)."""
-    return Bronze(
-        genre=bronze.land_genre_rows(testbed.genre_landing(spark, sf_dir)),
-        movie=testbed.movie_raw(spark, sf_dir),
-        details=bronze.land_detail_rows(testbed.details_landing(spark, sf_dir)),
-        credits=bronze.land_credit_rows(testbed.credits_landing(spark, sf_dir)),
-    )
-
-
-def silver_models(b: Bronze) -> dict[str, DataFrame]:
-    return {
-        "silver_genre": silver.silver_genre(b.genre),
-        "silver_movie": silver.silver_movie(b.movie),
-        "silver_movie_details": silver.silver_movie_details(b.details),
-        "silver_bridge_movie_genre": silver.silver_bridge_movie_genre(b.movie),
-        "silver_movie_cast": silver.silver_movie_cast(b.credits),
-        "silver_movie_crew": silver.silver_movie_crew(b.credits),
-    }
-
-
-def gold_models(s: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    dg = gold.dim_genre(s["silver_genre"])
-    bmg = gold.bridge_movie_genre(s["silver_bridge_movie_genre"])
-    return {
-        "dim_genre": dg,
-        "dim_movie": gold.dim_movie(s["silver_movie"], s["silver_movie_details"]),
-        "dim_person": gold.dim_person(s["silver_movie_cast"], s["silver_movie_crew"]),
-        "bridge_movie_genre": bmg,
-        "bridge_movie_cast": gold.bridge_movie_cast(s["silver_movie_cast"]),
-        "bridge_movie_crew": gold.bridge_movie_crew(s["silver_movie_crew"]),
-        "fct_movies_by_genre": gold.fct_movies_by_genre(dg, bmg),
-    }
-
-
-def all_models(b: Bronze) -> dict[str, DataFrame]:
-    s = silver_models(b)
-    return {**s, **gold_models(s)}
+    return Bronze(factory={
+        "genre": lambda: bronze.land_genre_rows(testbed.genre_landing(spark, sf_dir)),
+        "movie": lambda: testbed.movie_raw(spark, sf_dir),
+        "details": lambda: bronze.land_detail_rows(testbed.details_landing(spark, sf_dir)),
+        "credits": lambda: bronze.land_credit_rows(testbed.credits_landing(spark, sf_dir)),
+    })
+
+
+SILVER_BUILDERS = {
+    "silver_genre": lambda b: silver.silver_genre(b.genre),
+    "silver_movie": lambda b: silver.silver_movie(b.movie),
+    "silver_movie_details": lambda b: silver.silver_movie_details(b.details),
+    "silver_bridge_movie_genre": lambda b: silver.silver_bridge_movie_genre(b.movie),
+    "silver_movie_cast": lambda b: silver.silver_movie_cast(b.credits),
+    "silver_movie_crew": lambda b: silver.silver_movie_crew(b.credits),
+}
+GOLD_BUILDERS = {
+    "dim_genre": lambda m: gold.dim_genre(m["silver_genre"]),
+    "dim_movie": lambda m: gold.dim_movie(m["silver_movie"], m["silver_movie_details"]),
+    "dim_person": lambda m: gold.dim_person(m["silver_movie_cast"], m["silver_movie_crew"]),
+    "bridge_movie_genre": lambda m: gold.bridge_movie_genre(m["silver_bridge_movie_genre"]),
+    "bridge_movie_cast": lambda m: gold.bridge_movie_cast(m["silver_movie_cast"]),
+    "bridge_movie_crew": lambda m: gold.bridge_movie_crew(m["silver_movie_crew"]),
+    "fct_movies_by_genre": lambda m: gold.fct_movies_by_genre(m["dim_genre"], m["bridge_movie_genre"]),
+}
+
+
+class Models(Mapping):
+    """Lazy name -> DataFrame mapping over the model graph.
+
+    ``silver`` may hold already-built (e.g. written and re-read) silver
+    tables; otherwise they are planned from ``bronze`` on first use."""
+
+    def __init__(self, bronze_tables: Bronze | None = None, silver_tables: Mapping[str, DataFrame] | None = None,
+                 names=None):
+        self._b = bronze_tables
+        self._cache: dict[str, DataFrame] = dict(silver_tables or {})
+        self._names = list(names or MODEL_LAYERS)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._cache:
+            if name in SILVER_BUILDERS:
+                self._cache[name] = SILVER_BUILDERS[name](self._b)
+            elif name in GOLD_BUILDERS:
+                self._cache[name] = GOLD_BUILDERS[name](self)
+            else:
+                raise KeyError(name)
+        return self._cache[name]
+
+    def __contains__(self, name) -> bool:
+        return name in self._names
+
+    def __iter__(self):
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
+
+
+def silver_models(b: Bronze) -> Models:
+    return Models(b, names=list(SILVER_BUILDERS))
+
+
+def gold_models(s: Mapping[str, DataFrame]) -> Models:
+    return Models(silver_tables=s, names=list(GOLD_BUILDERS))
+
+
+def all_models(b: Bronze) -> Models:
+    return Models(b)

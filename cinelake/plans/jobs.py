@@ -84,17 +84,17 @@ def build_catalog(spark: SparkSession, b: catalog.Bronze, root: str, version: in
     v = version if version is not None else int(time.time() * 1000)
     s_plans = catalog.silver_models(b)
     errors = []
-    for name, df in s_plans.items():
+    for name in s_plans:
         try:
-            materialize_table(df, root, "silver", name, v)
+            materialize_table(s_plans[name], root, "silver", name, v)
         except Exception as e:  # noqa: BLE001 -- tests still run after a failed build
             errors.append((name, str(e)[:500]))
     s = {n: read_table(spark, root, "silver", n) for n in s_plans if current_version(
         spark, table_path(root, "silver", n))}
     g_plans = catalog.gold_models(s) if len(s) == len(s_plans) else {}
-    for name, df in g_plans.items():
+    for name in g_plans:
         try:
-            materialize_table(df, root, "gold", name, v)
+            materialize_table(g_plans[name], root, "gold", name, v)
         except Exception as e:  # noqa: BLE001
             errors.append((name, str(e)[:500]))
     tables = dict(s)

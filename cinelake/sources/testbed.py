@@ -40,6 +40,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give per-row work (JSON building, parsing) every core of the cluster.
+
+    A source with fewer input splits than the default parallelism (one
+    Parquet row group is one split) is hash-partitioned on ``keys`` over
+    that many partitions (a hash of a well-spread key is even and deterministic
+    under task retries without the sort a round-robin split needs); a source
+    that already splits well is left alone, so on a large cluster this adds
+    no shuffle.
+    """
+    n = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= n:
+        return df
+    return df.repartition(n, *keys) if keys else df.repartition(n)
+
+
 def _ts(s: str) -> Column:
     return F.lit(s).cast("timestamp_ntz")
 
@@ -69,9 +85,9 @@ def movie_document(li: str = "l", p: str = "p") -> Column:
 
 
 def _lineitem_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select(
+    li = spread(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_returnflag", "l_shipdate")
+        "l_returnflag", "l_shipdate"), "l_orderkey", "l_linenumber")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand")
     return li.join(p, li.l_partkey == p.p_partkey)
 
@@ -128,7 +144,8 @@ def _details_document(title: Column) -> Column:
 
 def details_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed /movie/{id} responses: 200 for p_size <= 40 (twice for <= 20), 404 otherwise."""
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
+    p = spread(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size",
+                                                   "p_retailprice"), "p_partkey")
     found = F.col("p_size") <= DETAILS_MAX_SIZE
     new_title = F.when(F.col("p_size") == EMPTY_TITLE_SIZE, F.lit("")).otherwise(F.upper("p_name"))
     not_found = F.parse_json(F.lit(_json(NOT_FOUND_BODY)))
@@ -150,8 +167,9 @@ def credits_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     cast = suppliers, crew = customers of the part's line items, ordered by
     (l_linenumber, l_orderkey, l_suppkey, l_shipdate); fetched on 1 January.
     """
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                                                 "l_returnflag", "l_linestatus", "l_shipdate")
+    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+                                                        "l_returnflag", "l_linestatus", "l_shipdate"),
+                "l_orderkey", "l_linenumber")
     p = table(spark, sf_dir, "part").where(F.col("p_size") <= CREDITS_MAX_SIZE).select("p_partkey")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
