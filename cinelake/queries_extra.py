@@ -495,3 +495,100 @@ def q_stream_latest_upsert(spark: SparkSession, sf: str) -> DataFrame:
     src = write_event_landing(spark, sf, f"{base}/landing")
     bronze_stream.stream_latest_upsert(spark, src, f"{base}/table", f"{base}/_checkpoint", max_files_per_trigger=1)
     return bronze_stream.read_latest(spark, f"{base}/table")
+
+
+# ---- 2.3 silver building blocks (C1-C9) -------------------------------------------------------
+@register("json_path_cast", W("""
+    SELECT movie_id, l_orderkey, l_linenumber, title, popularity, vote_count, adult,
+           CASE WHEN l_linenumber = 1 THEN '' ELSE strftime(l_shipdate, '%Y-%m-%d') END AS release_text
+    FROM movie_rows"""))
+def q_json_path_cast(spark: SparkSession, sf: str) -> DataFrame:
+    r = "raw_json"
+    return testbed.movie_raw(spark, sf).select(
+        json_bigint(r, "id").alias("movie_id"), json_bigint(r, "l_orderkey").alias("l_orderkey"),
+        json_bigint(r, "l_linenumber").alias("l_linenumber"), json_string(r, "title").alias("title"),
+        json_double(r, "popularity").alias("popularity"), json_bigint(r, "vote_count").alias("vote_count"),
+        F.variant_get(r, "$.adult", "boolean").alias("adult"),
+        json_string(r, "release_date").alias("release_text"))
+
+
+@register("blank_to_null", W("SELECT movie_id, ingested_at, imdb_id, tagline FROM details_rows"))
+def q_blank_to_null(spark: SparkSession, sf: str) -> DataFrame:
+    from cinelake.functions.jsonops import blank_to_null
+    d = _b(spark, sf).details
+    return d.select("movie_id", "ingested_at", blank_to_null(json_string("raw_json", "imdb_id")).alias("imdb_id"),
+                    blank_to_null(json_string("raw_json", "tagline")).alias("tagline"))
+
+
+@register("blank_date_to_null", W("SELECT movie_id, l_orderkey, l_linenumber, release_date FROM movie_rows"))
+def q_blank_date_to_null(spark: SparkSession, sf: str) -> DataFrame:
+    from cinelake.functions.jsonops import json_date
+    r = "raw_json"
+    return testbed.movie_raw(spark, sf).select(
+        json_bigint(r, "id").alias("movie_id"), json_bigint(r, "l_orderkey").alias("l_orderkey"),
+        json_bigint(r, "l_linenumber").alias("l_linenumber"), json_date(r, "release_date").alias("release_date"))
+
+
+@register("flatten_scalar_array", W("""
+    SELECT movie_id, l_orderkey, l_linenumber, genre_a AS genre_id FROM movie_rows
+    UNION ALL SELECT movie_id, l_orderkey, l_linenumber, genre_b FROM movie_rows"""))
+def q_flatten_scalar_array(spark: SparkSession, sf: str) -> DataFrame:
+    r = "raw_json"
+    flat = testbed.movie_raw(spark, sf).select(
+        json_bigint(r, "id").alias("movie_id"), json_bigint(r, "l_orderkey").alias("l_orderkey"),
+        json_bigint(r, "l_linenumber").alias("l_linenumber"), F.explode(json_array(r, "genre_ids")).alias("g"))
+    return flat.select("movie_id", "l_orderkey", "l_linenumber",
+                       F.round(F.col("g").cast("decimal(38,9)"), 0).cast("bigint").alias("genre_id"))
+
+
+@register("flatten_struct_array", W("""
+    SELECT movie_id, ingested_at,
+           CAST(row_number() OVER (PARTITION BY movie_id, ingested_at
+                                   ORDER BY l_linenumber, l_orderkey, l_suppkey, l_shipdate) - 1 AS INTEGER) AS pos,
+           l_suppkey AS person_id, s_name AS name, character, CAST(l_linenumber AS BIGINT) AS cast_order
+    FROM credit_rows"""))
+def q_flatten_struct_array(spark: SparkSession, sf: str) -> DataFrame:
+    c = _b(spark, sf).credits
+    flat = c.select(json_bigint("raw_json", "id").alias("movie_id"), "ingested_at",
+                    F.posexplode(json_array("raw_json", "cast")).alias("pos", "c"))
+    return flat.select("movie_id", "ingested_at", "pos", json_bigint("c", "id").alias("person_id"),
+                       json_string("c", "name").alias("name"), json_string("c", "character").alias("character"),
+                       json_bigint("c", "order").alias("cast_order"))
+
+
+@register("flatten_match_row", W("SELECT genre_id, genre_name, ingested_at FROM genre_rows"))
+def q_flatten_match_row(spark: SparkSession, sf: str) -> DataFrame:
+    g = _b(spark, sf).genre
+    flat = g.select("genre_id", "ingested_at", F.explode(json_array("raw_json", "genres")).alias("e"))
+    return flat.where(json_bigint("e", "id") == F.col("genre_id")).select(
+        "genre_id", json_string("e", "name").alias("genre_name"), "ingested_at")
+
+
+def _events(spark, sf):
+    return tb.table(spark, sf, "events").select("user_id", "event_type", F.to_date("ts").alias("event_date"),
+                                                "ts", "event_id", "value", "props")
+
+
+def _latest_sql(keys: list[str]) -> str:
+    payload = [c for c in ["user_id", "event_type", "event_date", "event_id", "value", "props"] if c not in keys]
+    return f"""
+    SELECT user_id, event_type, event_date, ts, event_id, value, props FROM (
+      SELECT *, row_number() OVER (PARTITION BY {", ".join(keys)}
+                                   ORDER BY ts DESC, {O._desc(payload)}) AS rn
+      FROM (SELECT user_id, event_type, CAST(ts AS DATE) AS event_date, ts, event_id, value, props FROM events))
+    WHERE rn = 1"""
+
+
+@register("latest_per_key", _latest_sql(["user_id"]))
+def q_latest_per_key(spark: SparkSession, sf: str) -> DataFrame:
+    return dedupe.latest_per_key(_events(spark, sf), ["user_id"], newest="ts")
+
+
+@register("latest_per_pair", _latest_sql(["user_id", "event_type"]))
+def q_latest_per_pair(spark: SparkSession, sf: str) -> DataFrame:
+    return dedupe.latest_per_key(_events(spark, sf), ["user_id", "event_type"], newest="ts")
+
+
+@register("latest_per_triple", _latest_sql(["user_id", "event_type", "event_date"]))
+def q_latest_per_triple(spark: SparkSession, sf: str) -> DataFrame:
+    return dedupe.latest_per_key(_events(spark, sf), ["user_id", "event_type", "event_date"], newest="ts")
