@@ -444,7 +444,36 @@ def write_test_landing(spark: SparkSession, sf: str, root: str) -> str:
     return root
 
 
-@register("daily_increment")
+_DAILY_SQL = W(f"""
+    SELECT m.movie_id,
+           COALESCE(d.title, m.title) AS title, m.original_title,
+           COALESCE(d.original_language, m.original_language) AS original_language,
+           COALESCE(d.overview, m.overview) AS overview,
+           COALESCE(d.release_date, m.release_date) AS release_date,
+           COALESCE(d.popularity, m.popularity) AS popularity,
+           COALESCE(d.vote_average, m.vote_average) AS vote_average,
+           COALESCE(d.vote_count, m.vote_count) AS vote_count,
+           COALESCE(d.adult, m.adult) AS adult,
+           d.imdb_id, d.tagline, d.status, d.runtime, d.budget, d.revenue
+    FROM (
+      SELECT * FROM (
+        SELECT *, row_number() OVER (PARTITION BY movie_id
+                                     ORDER BY ingested_at DESC, {O._desc(O.MOVIE_COLS + ["endpoint"])}) AS rn_m
+        FROM (SELECT r.* EXCLUDE (ingested_at), r.page_fetched_at AS ingested_at
+              FROM landed_movie_rows r JOIN accepted_pages a ON r.mth = a.mth AND r.page = a.page
+              WHERE r.mth = (SELECT max(mth) FROM page_facts))) WHERE rn_m = 1) m
+    LEFT JOIN (
+      SELECT * FROM (
+        SELECT *, row_number() OVER (PARTITION BY movie_id
+                                     ORDER BY ingested_at DESC, {O._desc(O.DETAILS_COLS + ["endpoint"])}) AS rn_d
+        FROM details_rows
+        WHERE movie_id IN (SELECT r.movie_id FROM landed_movie_rows r JOIN accepted_pages a
+                           ON r.mth = a.mth AND r.page = a.page
+                           WHERE r.mth = (SELECT max(mth) FROM page_facts) AND r.popularity >= 1))
+      WHERE rn_d = 1) d ON m.movie_id = d.movie_id""")
+
+
+@register("daily_increment", _DAILY_SQL)
 def q_daily_increment(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_dir(spark, "daily")
     land = write_test_landing(spark, sf, f"{base}/landing")
