@@ -9,9 +9,10 @@ base tables without JSON.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cinelake.operators.ranking import row_number_within
 from cinelake.sources.landing import envelope
 
 # ---- fixed values of the test bed -------------------------------------------------
@@ -200,16 +201,15 @@ def credits_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def discover_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed discover pages, one month window per ship month, 20 results a page.
 
-    Page numbers need the rank inside a month; the month window is the API's
-    own unit and bounded by its cap of 500 pages (10,000 results).  In June
-    the second page comes back empty, so only page 1 of June counts (B8).
+    Page numbers need the rank inside a month; ``row_number_within`` numbers
+    a month on many tasks (a month can hold a large share of all rows), and
+    a page itself is bounded (20 results).  In June the second page comes
+    back empty, so only page 1 of June counts (B8).
     """
     j = _lineitem_parts(spark, sf_dir).withColumn("month", F.trunc("l_shipdate", "month").cast("date"))
-    w = Window.partitionBy("month").orderBy("l_partkey", "l_orderkey", "l_linenumber", "l_suppkey")
-    ranked = (j.select("month", "l_partkey", "l_orderkey", "l_linenumber", "l_suppkey",
-                       movie_document().alias("doc"))
-               .withColumn("rn", F.row_number().over(w))
-               .withColumn("total_results", F.count(F.lit(1)).over(Window.partitionBy("month"))))
+    ranked = row_number_within(
+        j.select("month", "l_partkey", "l_orderkey", "l_linenumber", "l_suppkey", movie_document().alias("doc")),
+        ["month"], ["l_partkey", "l_orderkey", "l_linenumber", "l_suppkey"], total="total_results")
     ranked = ranked.withColumn("page", ((F.col("rn") - 1) / PAGE_SIZE).cast("int") + 1)
     pages = (ranked.groupBy("month", "page", "total_results")
                    .agg(F.sort_array(F.collect_list(F.struct("rn", "doc"))).alias("r")))
@@ -229,10 +229,8 @@ def changes_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed change-list pages: per day of ``events.ts`` the distinct user ids as
     changed movie ids, 100 per page, ``adult`` when the id is a multiple of 7."""
     e = table(spark, sf_dir, "events").select(F.to_date("ts").alias("d"), F.col("user_id").alias("id")).distinct()
-    w = Window.partitionBy("d").orderBy("id")
-    ranked = (e.withColumn("rn", F.row_number().over(w))
-               .withColumn("total", F.count(F.lit(1)).over(Window.partitionBy("d")))
-               .withColumn("page", ((F.col("rn") - 1) / CHANGES_PAGE_SIZE).cast("int") + 1))
+    ranked = row_number_within(e, ["d"], ["id"], total="total").withColumn(
+        "page", ((F.col("rn") - 1) / CHANGES_PAGE_SIZE).cast("int") + 1)
     pages = ranked.groupBy("d", "page", "total").agg(
         F.sort_array(F.collect_list(F.struct("id", (F.col("id") % 7 == 0).alias("adult")))).alias("results"))
     body = F.struct("results", "page",
