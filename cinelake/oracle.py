@@ -151,7 +151,8 @@ CTES: list[tuple[str, str]] = [
     ("page_facts", f"""
     SELECT mth, page, CAST(max(month_results) AS INTEGER) AS total_results,
            CAST(ceil(max(month_results) / {tb.PAGE_SIZE}.0) AS INTEGER) AS total_pages,
-           CASE WHEN month(mth) = {tb.EMPTY_PAGE_MONTH} AND page = 2 THEN 0 ELSE count(*) END AS n_results
+           CAST(CASE WHEN month(mth) = {tb.EMPTY_PAGE_MONTH} AND page = 2 THEN 0 ELSE count(*) END AS INTEGER)
+             AS n_results
     FROM page_rows GROUP BY mth, page"""),
     ("accepted_pages", """
     SELECT f.* FROM page_facts f JOIN (

@@ -55,7 +55,8 @@ def q_land_genre_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("land_movie_rows", W("""
-    SELECT movie_id, endpoint, page_fetched_at AS ingested_at, title, popularity, l_orderkey, l_linenumber
+    SELECT movie_id, endpoint, page_fetched_at AS ingested_at, title, popularity, l_orderkey,
+           CAST(l_linenumber AS BIGINT) AS l_linenumber
     FROM landed_movie_rows"""))
 def q_land_movie_rows(spark: SparkSession, sf: str) -> DataFrame:
     rows = bronze.land_movie_rows(testbed.discover_landing(spark, sf))
@@ -360,7 +361,7 @@ def q_rating_by_genre(spark: SparkSession, sf: str) -> DataFrame:
 @register("dominant_genre_by_year", W("""
     SELECT release_year, genre_id, genre_name, movies FROM (
       SELECT *, rank() OVER (PARTITION BY release_year ORDER BY movies DESC) AS rk FROM (
-        SELECT year(m.release_date) AS release_year, g.genre_id, g.genre_name, count(*) AS movies
+        SELECT CAST(year(m.release_date) AS INTEGER) AS release_year, g.genre_id, g.genre_name, count(*) AS movies
         FROM o_bridge_movie_genre b JOIN o_dim_movie m ON b.movie_id = m.movie_id
         JOIN o_dim_genre g ON g.genre_id = b.genre_id
         WHERE m.release_date IS NOT NULL GROUP BY 1, 2, 3)) WHERE rk = 1"""))
@@ -532,7 +533,7 @@ def q_stream_latest_upsert(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- 2.3 silver building blocks (C1-C9) -------------------------------------------------------
 @register("json_path_cast", W("""
-    SELECT movie_id, l_orderkey, l_linenumber, title, popularity, vote_count, adult,
+    SELECT movie_id, l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, title, popularity, vote_count, adult,
            CASE WHEN l_linenumber = 1 THEN '' ELSE strftime(l_shipdate, '%Y-%m-%d') END AS release_text
     FROM movie_rows"""))
 def q_json_path_cast(spark: SparkSession, sf: str) -> DataFrame:
@@ -553,7 +554,8 @@ def q_blank_to_null(spark: SparkSession, sf: str) -> DataFrame:
                     blank_to_null(json_string("raw_json", "tagline")).alias("tagline"))
 
 
-@register("blank_date_to_null", W("SELECT movie_id, l_orderkey, l_linenumber, release_date FROM movie_rows"))
+@register("blank_date_to_null", W("SELECT movie_id, l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, "
+                                   "release_date FROM movie_rows"))
 def q_blank_date_to_null(spark: SparkSession, sf: str) -> DataFrame:
     from cinelake.functions.jsonops import json_date
     r = "raw_json"
@@ -563,8 +565,8 @@ def q_blank_date_to_null(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("flatten_scalar_array", W("""
-    SELECT movie_id, l_orderkey, l_linenumber, genre_a AS genre_id FROM movie_rows
-    UNION ALL SELECT movie_id, l_orderkey, l_linenumber, genre_b FROM movie_rows"""))
+    SELECT movie_id, l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, genre_a AS genre_id FROM movie_rows
+    UNION ALL SELECT movie_id, l_orderkey, CAST(l_linenumber AS BIGINT), genre_b FROM movie_rows"""))
 def q_flatten_scalar_array(spark: SparkSession, sf: str) -> DataFrame:
     r = "raw_json"
     flat = testbed.movie_raw(spark, sf).select(
