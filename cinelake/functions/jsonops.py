@@ -42,8 +42,13 @@ def json_bigint(v, path: str) -> Column:
 
 
 def blank_to_null(c: Column) -> Column:
-    """``NULLIF(x, '')`` -- C2."""
-    return F.nullif(c, F.lit(""))
+    """``NULLIF(x, '')`` -- C2.
+
+    Written as CASE WHEN: ``nullif`` plans as a common-expression projection,
+    which hides the other variant paths of the same select from the Parquet
+    scan; this form keeps every ``raw:path`` pushable into the shredded scan.
+    """
+    return F.when(c == F.lit(""), F.lit(None)).otherwise(c)
 
 
 def json_date(v, path: str) -> Column:

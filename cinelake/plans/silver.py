@@ -19,8 +19,8 @@ from cinelake.operators.dedupe import latest_per_key
 def silver_genre(genre_raw: DataFrame) -> DataFrame:
     """C6 + C7: flatten the whole genre list, keep the element matching the
     row's own ``genre_id`` (bronze column, not JSON), newest per genre."""
-    flat = genre_raw.select("genre_id", "endpoint", "ingested_at",
-                            F.explode(json_array("raw_json", "genres")).alias("g"))
+    arrays = genre_raw.select("genre_id", "endpoint", "ingested_at", json_array("raw_json", "genres").alias("a"))
+    flat = arrays.select("genre_id", "endpoint", "ingested_at", F.explode("a").alias("g"))
     named = flat.where(json_bigint("g", "id") == F.col("genre_id")).select(
         "genre_id", json_string("g", "name").alias("genre_name"), "endpoint", "ingested_at")
     return latest_per_key(named, ["genre_id"])
@@ -74,15 +74,20 @@ def silver_movie_details(details_raw: DataFrame) -> DataFrame:
 def silver_bridge_movie_genre(movie_raw: DataFrame) -> DataFrame:
     """C4 + C13: flatten ``genre_ids``; the time column is dropped, so the
     latest row per pair is simply DISTINCT over all snapshots (links accumulate)."""
-    flat = movie_raw.select(json_bigint("raw_json", "id").alias("movie_id"),
-                            F.explode(json_array("raw_json", "genre_ids")).alias("g"))
+    arrays = movie_raw.select(json_bigint("raw_json", "id").alias("movie_id"),
+                              json_array("raw_json", "genre_ids").alias("a"))
+    flat = arrays.select("movie_id", F.explode("a").alias("g"))
     return flat.select("movie_id", F.round(F.col("g").cast("decimal(38,9)"), 0).cast("bigint").alias("genre_id")) \
         .distinct()
 
 
 def _credits(credits_raw: DataFrame, array: str) -> DataFrame:
-    return credits_raw.select(json_bigint("raw_json", "id").alias("movie_id"), "ingested_at",
-                              F.posexplode(json_array("raw_json", array)).alias("pos", "c"))
+    # Paths are read in the projection right above the scan (and only then
+    # exploded), so the Parquet scan returns just ``$.id`` and ``$.<array>``
+    # from the shredded VARIANT instead of whole documents.
+    arrays = credits_raw.select(json_bigint("raw_json", "id").alias("movie_id"), "ingested_at",
+                                json_array("raw_json", array).alias("a"))
+    return arrays.select("movie_id", "ingested_at", F.posexplode("a").alias("pos", "c"))
 
 
 def silver_movie_cast(credits_raw: DataFrame) -> DataFrame:
