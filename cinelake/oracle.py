@@ -94,9 +94,8 @@ CTES: list[tuple[str, str]] = [
       SELECT movie_id, genre_a AS genre_id FROM movie_rows
       UNION ALL
       SELECT movie_id, genre_b FROM movie_rows)"""),
-    ("credit_rows", f"""
-    SELECT l.l_partkey AS movie_id,
-           make_timestamp(year(l.l_shipdate), 1, 1, 0, 0, 0) AS ingested_at,
+    ("credit_entries", f"""
+    SELECT l.l_partkey AS movie_id, year(l.l_shipdate) AS yr,
            l.l_linenumber, l.l_orderkey, l.l_suppkey, l.l_shipdate,
            s.s_name, l.l_returnflag || l.l_linestatus AS character,
            o.o_custkey, c.c_name, o.o_orderpriority, c.c_mktsegment
@@ -105,6 +104,13 @@ CTES: list[tuple[str, str]] = [
     JOIN supplier s ON l.l_suppkey = s.s_suppkey
     JOIN orders o ON l.l_orderkey = o.o_orderkey
     JOIN customer c ON o.o_custkey = c.c_custkey"""),
+    ("credit_rows", f"""
+    SELECT *, make_timestamp(yr, 1, 1, 0, 0, 0) - to_microseconds(chunk) AS ingested_at,
+           CAST((rn - 1) % {tb.CREDITS_DOC_SIZE} AS INTEGER) AS doc_pos FROM (
+      SELECT *, CAST((rn - 1) // {tb.CREDITS_DOC_SIZE} AS BIGINT) AS chunk FROM (
+        SELECT *, row_number() OVER (PARTITION BY movie_id, yr
+                                     ORDER BY l_linenumber, l_orderkey, l_suppkey, l_shipdate) AS rn
+        FROM credit_entries))"""),
     ("o_silver_movie_cast", """
     SELECT movie_id, person_id, name, character, cast_order FROM (
       SELECT movie_id, l_suppkey AS person_id, s_name AS name, character,

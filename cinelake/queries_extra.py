@@ -577,9 +577,7 @@ def q_flatten_scalar_array(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("flatten_struct_array", W("""
-    SELECT movie_id, ingested_at,
-           CAST(row_number() OVER (PARTITION BY movie_id, ingested_at
-                                   ORDER BY l_linenumber, l_orderkey, l_suppkey, l_shipdate) - 1 AS INTEGER) AS pos,
+    SELECT movie_id, ingested_at, doc_pos AS pos,
            l_suppkey AS person_id, s_name AS name, character, CAST(l_linenumber AS BIGINT) AS cast_order
     FROM credit_rows"""))
 def q_flatten_struct_array(spark: SparkSession, sf: str) -> DataFrame:

@@ -26,6 +26,7 @@ DETAILS_NEW_AT = "2026-01-15 00:00:00"
 DETAILS_MAX_SIZE = 40                      # parts above it answer 404
 DETAILS_OLD_MAX_SIZE = 20
 CREDITS_MAX_SIZE = 30                      # credits fetched so far (details 31..40 still to do)
+CREDITS_DOC_SIZE = 1000                    # entries per credits document at most
 EMPTY_TITLE_SIZE = 13                      # details title "" beats the discover title
 GENRE_MODULUS = 23                         # genre ids 0..22 used, 23 and 24 unused
 ORPHAN_GENRE = 99                          # a genre id with no dimension row
@@ -167,6 +168,11 @@ def credits_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     cast = suppliers, crew = customers of the part's line items, ordered by
     (l_linenumber, l_orderkey, l_suppkey, l_shipdate); fetched on 1 January.
+    A part-year with more than CREDITS_DOC_SIZE entries is split into several
+    documents in that order (numbered with ``row_number_within``, so a hot
+    part is numbered on many tasks and no document grows with the data);
+    chunk k is stamped k microseconds before 1 January, so "newest document,
+    then first position" still picks the entry that comes first overall.
     """
     li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                                                         "l_returnflag", "l_linestatus", "l_shipdate"),
@@ -179,23 +185,26 @@ def credits_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
            .join(s, F.col("l_suppkey") == s.s_suppkey)
            .join(o, F.col("l_orderkey") == o.o_orderkey)
            .join(cu, F.col("o_custkey") == cu.c_custkey))
-    entry = F.struct(
-        "l_linenumber", "l_orderkey", "l_suppkey", "l_shipdate",
+    entries = j.select(
+        "l_partkey", F.year("l_shipdate").alias("yr"), "l_linenumber", "l_orderkey", "l_suppkey", "l_shipdate",
         F.struct(F.col("l_suppkey").alias("id"), F.col("s_name").alias("name"),
                  F.concat("l_returnflag", "l_linestatus").alias("character"),
                  F.col("l_linenumber").alias("order")).alias("c"),
         F.struct(F.col("o_custkey").alias("id"), F.col("c_name").alias("name"),
-                 F.col("o_orderpriority").alias("job"), F.col("c_mktsegment").alias("department")).alias("w"),
-    )
-    docs = (j.groupBy("l_partkey", F.year("l_shipdate").alias("yr"))
-             .agg(F.sort_array(F.collect_list(entry)).alias("e")))
+                 F.col("o_orderpriority").alias("job"), F.col("c_mktsegment").alias("department")).alias("w"))
+    ranked = row_number_within(entries, ["l_partkey", "yr"], ["l_linenumber", "l_orderkey", "l_suppkey", "l_shipdate"])
+    ranked = ranked.withColumn("chunk", ((F.col("rn") - 1) / CREDITS_DOC_SIZE).cast("int"))
+    docs = (ranked.groupBy("l_partkey", "yr", "chunk")
+                  .agg(F.sort_array(F.collect_list(F.struct("rn", "c", "w"))).alias("e")))
     body = F.struct(F.col("l_partkey").alias("id"),
                     F.transform("e", lambda x: x["c"]).alias("cast"),
                     F.transform("e", lambda x: x["w"]).alias("crew"))
+    new_year = F.make_timestamp_ntz(F.col("yr"), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    fetched = new_year - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),
+                                            (F.col("chunk") / 1000000).cast("decimal(18,6)"))
     return docs.select(*envelope(
         F.concat(F.lit("/movie/"), F.col("l_partkey").cast("string"), F.lit("/credits")),
-        F.lit(200), F.make_timestamp_ntz(F.col("yr"), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)),
-        F.parse_json(F.to_json(body)), F.col("l_partkey")))
+        F.lit(200), fetched, F.parse_json(F.to_json(body)), F.col("l_partkey")))
 
 
 def discover_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
