@@ -52,8 +52,11 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     that already splits well is left alone, so on a large cluster this adds
     no shuffle.
     """
-    n = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= n:
+    try:
+        n = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= n:
+            return df
+    except Exception:  # noqa: BLE001 -- no RDD view (e.g. a Connect session): leave the source as is
         return df
     return df.repartition(n, *keys) if keys else df.repartition(n)
 
