@@ -151,7 +151,7 @@ CTES: list[tuple[str, str]] = [
     SELECT *, CAST((rn - 1) // {tb.PAGE_SIZE} + 1 AS INTEGER) AS page FROM (
       SELECT m.*, CAST(date_trunc('month', l_shipdate) AS DATE) AS mth,
              row_number() OVER (PARTITION BY date_trunc('month', l_shipdate)
-                                ORDER BY movie_id, l_orderkey, l_linenumber, l_suppkey) AS rn,
+                                ORDER BY movie_id, l_orderkey, l_linenumber, l_suppkey, l_shipdate) AS rn,
              count(*) OVER (PARTITION BY date_trunc('month', l_shipdate)) AS month_results
       FROM movie_rows m)"""),
     ("page_facts", f"""

@@ -220,8 +220,9 @@ def discover_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     j = _lineitem_parts(spark, sf_dir).withColumn("month", F.trunc("l_shipdate", "month").cast("date"))
     ranked = row_number_within(
-        j.select("month", "l_partkey", "l_orderkey", "l_linenumber", "l_suppkey", movie_document().alias("doc")),
-        ["month"], ["l_partkey", "l_orderkey", "l_linenumber", "l_suppkey"], total="total_results")
+        j.select("month", "l_partkey", "l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate",
+                 movie_document().alias("doc")),
+        ["month"], ["l_partkey", "l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate"], total="total_results")
     ranked = ranked.withColumn("page", ((F.col("rn") - 1) / PAGE_SIZE).cast("int") + 1)
     pages = (ranked.groupBy("month", "page", "total_results")
                    .agg(F.sort_array(F.collect_list(F.struct("rn", "doc"))).alias("r")))
