@@ -23,6 +23,14 @@ def test_bucketed_upsert_touches_only_batch_buckets_and_replays_idempotently(spa
     got = bs.read_latest(spark, root)
     assert got.count() == 40
     assert rows_of(got.where("user_id = 3"), "user_id", "event_id") == [(3, 100)]
+    before = rows_of(got)
+    target = bs.compact_latest(spark, root, remove_superseded=True)
+    assert target == 1 and set(bs._bucket_versions(spark, root).values()) == {1}
+    assert rows_of(bs.read_latest(spark, root)) == before
+    b2 = _batch(spark, [(5, 200, "buy", 9.0, t(2024, 3, 1))])          # the stream goes on after compaction
+    bs.upsert_latest(b2, 2, root, "user_id", "ingested_at", buckets=8)
+    after = bs.read_latest(spark, root)
+    assert after.count() == 40 and rows_of(after.where("user_id = 5"), "event_id") == [(200,)]
 
 
 def test_stream_append_is_exactly_once(spark):
