@@ -9,6 +9,8 @@ base tables without JSON.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,9 +67,9 @@ def _ts(s: str) -> Column:
     return F.lit(s).cast("timestamp_ntz")
 
 
-def movie_document(li: str = "l", p: str = "p") -> Column:
+def movie_document() -> Column:
     """One discover result element, built from a lineitem joined to its part."""
-    c = lambda n: F.col(f"{n}")
+    c = F.col
     genre_ids = F.when(c("l_linenumber") == 7,
                        F.array(c("l_suppkey") % GENRE_MODULUS, F.lit(ORPHAN_GENRE).cast("bigint"))) \
                  .otherwise(F.array(c("l_suppkey") % GENRE_MODULUS,
@@ -99,13 +101,14 @@ def _lineitem_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def movie_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze TMDB_MOVIE_RAW: one row per lineitem, ingested at its ship date."""
+    from cinelake.sources.bronze import bronze_contract
     j = _lineitem_parts(spark, sf_dir)
-    return j.select(
+    return bronze_contract(j.select(
         F.col("l_partkey").alias("movie_id"),
         F.lit(DISCOVER_ENDPOINT).alias("endpoint"),
         F.parse_json(F.to_json(movie_document())).alias("raw_json"),
         F.col("l_shipdate").cast("timestamp_ntz").alias("ingested_at"),
-    )
+    ), "movie_id")
 
 
 def genre_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,5 +265,4 @@ def id_export_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _json(obj) -> str:
-    import json
     return json.dumps(obj, separators=(",", ":"))
