@@ -52,8 +52,8 @@ def main() -> None:
         # the four sources are independent (as in the reference's DAG): land them concurrently
         from concurrent.futures import ThreadPoolExecutor
         tb = catalog.testbed_bronze(spark, sf_dir)
-        getters = {"tmdb_genre_raw": lambda: tb.genre, "tmdb_movie_raw": lambda: tb.movie,
-                   "tmdb_movie_details_raw": lambda: tb.details, "tmdb_movie_credits_raw": lambda: tb.credits}
+        getters = {"genre_raw": lambda: tb.genre, "movie_raw": lambda: tb.movie,
+                   "movie_details_raw": lambda: tb.details, "movie_credits_raw": lambda: tb.credits}
         with ThreadPoolExecutor(max_workers=4) as pool:
             list(pool.map(lambda n: bronze.bronze_append(getters[n](), f"{root}/bronze/{n}"), getters))
     timed("land_bronze", land)

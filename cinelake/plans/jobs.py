@@ -129,8 +129,8 @@ def _bronze_root(root: str, table: str) -> str:
 def read_bronze(spark: SparkSession, root: str) -> catalog.Bronze:
     def rd(t):
         return spark.read.parquet(_bronze_root(root, t))
-    return catalog.Bronze(genre=rd("tmdb_genre_raw"), movie=rd("tmdb_movie_raw"),
-                          details=rd("tmdb_movie_details_raw"), credits=rd("tmdb_movie_credits_raw"))
+    return catalog.Bronze(genre=rd("genre_raw"), movie=rd("movie_raw"),
+                          details=rd("movie_details_raw"), credits=rd("movie_credits_raw"))
 
 
 def _ensure_bronze(spark: SparkSession, root: str) -> None:
@@ -161,19 +161,19 @@ def daily_increment(spark: SparkSession, landing_root: str, root: str, run_month
     else:
         month = spark.range(1).select(F.lit(run_month).cast("date").alias("request_date"))
     month_pages = pages.join(F.broadcast(month), "request_date")
-    bronze.bronze_append(bronze.land_genre_rows(genres), _bronze_root(root, "tmdb_genre_raw"))
+    bronze.bronze_append(bronze.land_genre_rows(genres), _bronze_root(root, "genre_raw"))
     bronze.bronze_append(bronze.land_movie_rows(worklist.accept_pages(month_pages).drop("month")),
-                         _bronze_root(root, "tmdb_movie_raw"))
+                         _bronze_root(root, "movie_raw"))
     b = read_bronze(spark, root)
     todo = worklist.details_worklist(b.movie, b.details)
     details = read_landing(spark, f"{landing_root}/details")
     fetched = details.join(todo.withColumnRenamed("movie_id", "request_key"), "request_key", "left_semi")
-    bronze.bronze_append(bronze.land_detail_rows(fetched), _bronze_root(root, "tmdb_movie_details_raw"))
+    bronze.bronze_append(bronze.land_detail_rows(fetched), _bronze_root(root, "movie_details_raw"))
     b = read_bronze(spark, root)
     todo = worklist.credits_worklist(b.details, b.credits)
     credits = read_landing(spark, f"{landing_root}/credits")
     fetched = credits.join(todo.withColumnRenamed("movie_id", "request_key"), "request_key", "left_semi")
-    bronze.bronze_append(bronze.land_credit_rows(fetched), _bronze_root(root, "tmdb_movie_credits_raw"))
+    bronze.bronze_append(bronze.land_credit_rows(fetched), _bronze_root(root, "movie_credits_raw"))
     return build_catalog(spark, read_bronze(spark, root), root, version)
 
 

@@ -120,10 +120,10 @@ def q_drop_column_if_exists(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("bronze_scan", W(f"""
-    SELECT 'tmdb_genre_raw' AS table_name, count(*) AS row_count FROM genre_rows
-    UNION ALL SELECT 'tmdb_movie_raw', count(*) FROM movie_rows
-    UNION ALL SELECT 'tmdb_movie_details_raw', count(*) FROM details_rows
-    UNION ALL SELECT 'tmdb_movie_credits_raw', count(*) FROM
+    SELECT 'genre_raw' AS table_name, count(*) AS row_count FROM genre_rows
+    UNION ALL SELECT 'movie_raw', count(*) FROM movie_rows
+    UNION ALL SELECT 'movie_details_raw', count(*) FROM details_rows
+    UNION ALL SELECT 'movie_credits_raw', count(*) FROM
       (SELECT DISTINCT movie_id, ingested_at FROM credit_rows)"""))
 def q_bronze_scan(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_dir(spark, "bronze-scan")

@@ -15,10 +15,10 @@ from cinelake.functions.jsonops import json_array, json_bigint, json_bool
 
 # ---- fixed values -----------------------------------------------------------------
 BRONZE_TABLES = {            # table -> key column
-    "tmdb_genre_raw": "genre_id",
-    "tmdb_movie_raw": "movie_id",
-    "tmdb_movie_details_raw": "movie_id",
-    "tmdb_movie_credits_raw": "movie_id",
+    "genre_raw": "genre_id",
+    "movie_raw": "movie_id",
+    "movie_details_raw": "movie_id",
+    "movie_credits_raw": "movie_id",
 }
 OK_STATUS = 200
 SKIPPED_STATUSES = (404, 429)   # not found; rate limit still hit after all retries

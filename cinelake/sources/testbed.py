@@ -100,7 +100,7 @@ def _lineitem_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def movie_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze TMDB_MOVIE_RAW: one row per lineitem, ingested at its ship date."""
+    """Bronze movie_raw: one row per lineitem, ingested at its ship date."""
     from cinelake.sources.bronze import bronze_contract
     j = _lineitem_parts(spark, sf_dir)
     return bronze_contract(j.select(

@@ -30,9 +30,9 @@ def test_daily_increment_twice_is_stable(spark):
     report1 = {(r.table_name, r.test_name, r.column_names): r.failures
                for r in jobs.daily_increment(spark, land, cat, version=1).collect()}
     first = rows_of(jobs.read_table(spark, cat, "gold", "dim_movie"))
-    details_rows = spark.read.parquet(jobs.table_path(cat, "bronze", "tmdb_movie_details_raw")).count()
+    details_rows = spark.read.parquet(jobs.table_path(cat, "bronze", "movie_details_raw")).count()
     jobs.daily_increment(spark, land, cat, version=2)
     assert rows_of(jobs.read_table(spark, cat, "gold", "dim_movie")) == first
     # the details worklist was empty on the second run: nothing fetched twice
-    assert spark.read.parquet(jobs.table_path(cat, "bronze", "tmdb_movie_details_raw")).count() == details_rows
+    assert spark.read.parquet(jobs.table_path(cat, "bronze", "movie_details_raw")).count() == details_rows
     assert report1[("dim_movie", "unique", "movie_id")] == 0
