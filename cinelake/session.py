@@ -26,6 +26,8 @@ SESSION_CONF = {
     "spark.sql.variant.writeShredding.enabled": "true",
     "spark.sql.variant.inferShreddingSchema": "true",
     "spark.sql.variant.pushVariantIntoScan": "true",
+    # checkpoint files (row_number_within) are removed once no plan references them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
