@@ -23,24 +23,35 @@ def row_number_within(df: DataFrame, group: Sequence[str], order: Sequence[str],
                       total: str | None = None, partitions: int | None = None) -> DataFrame:
     """Add ``out`` = 1-based position of the row inside its ``group`` by
     ``order`` (which must make rows unique inside a group), and optionally
-    ``total`` = the group's size."""
+    ``total`` = the group's size.
+
+    Only the key columns (group + order) are ranked; the numbers are joined
+    back to the full rows on that unique key, so wide rows are shuffled once.
+    """
     group, order = list(group), list(order)
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     checkpoint_root(spark)
+    keys = df.select(*group, *order)
     # The slice a row lands in depends on the sampled range bounds, which are
     # drawn anew each time the exchange runs; a reliable checkpoint fixes the
     # assignment once, so the numbering and the slice sizes below agree (also
     # when a task is retried or an executor is lost).
-    sliced = (df.repartitionByRange(n, *group, *order).withColumn("__slice", F.spark_partition_id())
+    sliced = (keys.repartitionByRange(n, *group, *order).withColumn("__slice", F.spark_partition_id())
               .checkpoint(eager=True))
     local = sliced.withColumn("__lrn", F.row_number().over(
         Window.partitionBy(*group, "__slice").orderBy(*order)))
     sizes = local.groupBy(*group, "__slice").agg(F.count(F.lit(1)).alias("__cnt"))
     before = Window.partitionBy(*group).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*group, "__slice",
+    offsets = sizes.select(*[F.col(c).alias(f"__g{i}") for i, c in enumerate(group)], F.col("__slice").alias("__s"),
                            F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__off"),
                            *([F.sum("__cnt").over(Window.partitionBy(*group)).alias(total)] if total else []))
-    return (local.join(offsets, [*group, "__slice"])
-                 .withColumn(out, (F.col("__off") + F.col("__lrn")).cast("bigint"))
-                 .drop("__slice", "__lrn", "__off"))
+    on = [local[c].eqNullSafe(offsets[f"__g{i}"]) for i, c in enumerate(group)] + [
+        local["__slice"] == offsets["__s"]]
+    ranks = (local.join(offsets, on)
+                  .select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(group + order)],
+                          (F.col("__off") + F.col("__lrn")).cast("bigint").alias(out),
+                          *([total] if total else [])))
+    # null-safe equality: rows with a NULL key are numbered and kept like any other
+    cond = [df[c].eqNullSafe(ranks[f"__k{i}"]) for i, c in enumerate(group + order)]
+    return df.join(ranks, cond).drop(*[f"__k{i}" for i in range(len(group + order))])

@@ -13,3 +13,11 @@ def test_row_number_within_matches_window_with_a_hot_group(spark):
              .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("g")))
     assert got.select("g", "k", "rn", "n").exceptAll(want.select("g", "k", "rn", "n")).count() == 0
     assert got.count() == 30000
+
+
+def test_row_number_within_keeps_null_keys(spark):
+    df = spark.createDataFrame([(None, 1, "a"), (None, 2, "b"), (1, None, "c"), (1, 3, "d")],
+                               "g int, k int, payload string")
+    got = [(r.g, r.k, r.rn) for r in row_number_within(df, ["g"], ["k"], partitions=4).collect()]
+    assert len(got) == 4
+    assert set(got) == {(None, 1, 1), (None, 2, 2), (1, None, 1), (1, 3, 2)}
