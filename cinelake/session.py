@@ -48,6 +48,28 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     return spark
 
 
+def scale_settings(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle and scan sizing for a run over ``input_bytes`` on ``cores`` task slots.
+
+    * initial shuffle partitions: one per ``partition_bytes`` of input, at
+      least 2 waves of the cluster, at most 100,000 (AQE coalesces small
+      ones at run time, so erring high only costs scheduling);
+    * scan splits of at most ``partition_bytes`` so a task's input fits in
+      its share of executor memory;
+    * AQE target size and skew threshold derived from the same number, so a
+      partition above 4x the target is split (a key with a third of the rows
+      is spread over many tasks in joins; aggregates pre-combine anyway).
+    """
+    n = min(100_000, max(2 * cores, -(-input_bytes // partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin the settings that results depend on (time zone) on any session."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

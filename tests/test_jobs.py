@@ -36,3 +36,12 @@ def test_daily_increment_twice_is_stable(spark):
     # the details worklist was empty on the second run: nothing fetched twice
     assert spark.read.parquet(jobs.table_path(cat, "bronze", "movie_details_raw")).count() == details_rows
     assert report1[("dim_movie", "unique", "movie_id")] == 0
+
+
+def test_scale_settings_bounds():
+    from cinelake.session import scale_settings
+    small = scale_settings(10 << 20, cores=8)
+    assert small["spark.sql.shuffle.partitions"] == "16"                  # two waves of 8 slots
+    big = scale_settings(100 * (1 << 40), cores=8000)                      # 100 TB on 8,000 slots
+    assert big["spark.sql.shuffle.partitions"] == "100000"
+    assert int(big["spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"]) == 4 * (256 << 20)
