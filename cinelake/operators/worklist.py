@@ -96,7 +96,8 @@ def page_facts(landing: DataFrame) -> DataFrame:
 def accept_pages(landing: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
     """The landed pages that the page loop would have kept: from page 1 up
     to the first empty page (excluded), the first page >= total_pages
-    (included) and the page cap (included).
+    (included), the page cap (included) and the first gap in the landed
+    page numbers (excluded).
 
     The per-month stop page is an aggregate (one row per month window, so at
     most one row per calendar month) joined back by broadcast.
@@ -105,11 +106,19 @@ def accept_pages(landing: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
     stops = pages.groupBy("month").agg(
         F.min(F.when(F.col("n_results") == 0, F.col("page"))).alias("first_empty"),
         F.min(F.when(F.col("page") >= F.col("total_pages"), F.col("page"))).alias("first_last"))
+    # A page whose predecessor was never landed cannot have been reached by the
+    # sequential loop (e.g. a fetch that died mid-month): acceptance stops before it.
+    landed = pages.select("month", "page").distinct()
+    orphans = (landed.where(F.col("page") > 1)
+               .join(landed.select("month", (F.col("page") + 1).alias("page")), ["month", "page"], "left_anti")
+               .groupBy("month").agg(F.min("page").alias("first_orphan")))
+    stops = stops.join(orphans, "month", "left")
     stop = F.least(F.coalesce(F.col("first_empty") - 1, F.lit(max_pages)),
-                   F.coalesce(F.col("first_last"), F.lit(max_pages)), F.lit(max_pages))
+                   F.coalesce(F.col("first_last"), F.lit(max_pages)),
+                   F.coalesce(F.col("first_orphan") - 1, F.lit(max_pages)), F.lit(max_pages))
     return (pages.join(F.broadcast(stops), "month")
                  .where((F.col("page") >= 1) & (F.col("page") <= stop))
-                 .drop("first_empty", "first_last"))
+                 .drop("first_empty", "first_last", "first_orphan"))
 
 
 def truncated_months(landing: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:

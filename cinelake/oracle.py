@@ -165,7 +165,12 @@ CTES: list[tuple[str, str]] = [
       SELECT mth, min(CASE WHEN n_results = 0 THEN page END) AS first_empty,
              min(CASE WHEN page >= total_pages THEN page END) AS first_last
       FROM page_facts GROUP BY mth) s ON f.mth = s.mth
-    WHERE f.page >= 1 AND f.page <= least(coalesce(s.first_empty - 1, 500), coalesce(s.first_last, 500), 500)"""),
+    LEFT JOIN (
+      SELECT a.mth, min(a.page) AS first_orphan FROM page_facts a
+      WHERE a.page > 1 AND NOT EXISTS (SELECT 1 FROM page_facts b WHERE b.mth = a.mth AND b.page = a.page - 1)
+      GROUP BY a.mth) o ON f.mth = o.mth
+    WHERE f.page >= 1 AND f.page <= least(coalesce(s.first_empty - 1, 500), coalesce(s.first_last, 500),
+                                          coalesce(o.first_orphan - 1, 500), 500)"""),
     ("landed_movie_rows", f"""
     SELECT r.*, CAST(r.mth + INTERVAL 1 MONTH AS TIMESTAMP) AS page_fetched_at FROM page_rows r
     WHERE NOT (month(r.mth) = {tb.EMPTY_PAGE_MONTH} AND r.page = 2)"""),

@@ -65,6 +65,9 @@ def test_accept_pages_stops_at_first_empty_page(spark):
     assert got == [(1,)]
     got = rows_of(worklist.accept_pages(_pages(spark, [(1, 20, 2), (2, 5, 2), (3, 20, 2)])), "page")
     assert got == [(1,), (2,)]                      # page >= total_pages ends the loop (included)
+    got = rows_of(worklist.accept_pages(_pages(spark, [(1, 20, 5), (3, 20, 5), (4, 20, 5)])), "page")
+    assert got == [(1,)]                            # page 2 never landed: 3 and 4 were unreachable
+    assert rows_of(worklist.accept_pages(_pages(spark, [(2, 20, 5), (3, 20, 5)])), "page") == []
     rows = bronze.land_movie_rows(worklist.accept_pages(_pages(spark, [(1, 3, 1)])).drop("month"))
     assert rows.count() == 3
 
