@@ -103,22 +103,24 @@ def accept_pages(landing: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
     most one row per calendar month) joined back by broadcast.
     """
     pages = page_facts(landing)
+    in_cap = F.col("page").between(1, max_pages)
     stops = pages.groupBy("month").agg(
         F.min(F.when(F.col("n_results") == 0, F.col("page"))).alias("first_empty"),
-        F.min(F.when(F.col("page") >= F.col("total_pages"), F.col("page"))).alias("first_last"))
+        F.min(F.when(F.col("page") >= F.col("total_pages"), F.col("page"))).alias("first_last"),
+        # landed page numbers within the cap: at most max_pages per month
+        F.collect_set(F.when(in_cap, F.col("page"))).alias("landed"))
     # A page whose predecessor was never landed cannot have been reached by the
-    # sequential loop (e.g. a fetch that died mid-month): acceptance stops before it.
-    landed = pages.select("month", "page").distinct()
-    orphans = (landed.where(F.col("page") > 1)
-               .join(landed.select("month", (F.col("page") + 1).alias("page")), ["month", "page"], "left_anti")
-               .groupBy("month").agg(F.min("page").alias("first_orphan")))
-    stops = stops.join(orphans, "month", "left")
+    # sequential loop (e.g. a fetch that died mid-month): stop before the first gap.
+    first_missing = F.array_min(F.filter(
+        F.sequence(F.lit(1), F.greatest(F.array_max("landed"), F.lit(1))),
+        lambda p: ~F.array_contains(F.col("landed"), p)))
     stop = F.least(F.coalesce(F.col("first_empty") - 1, F.lit(max_pages)),
                    F.coalesce(F.col("first_last"), F.lit(max_pages)),
-                   F.coalesce(F.col("first_orphan") - 1, F.lit(max_pages)), F.lit(max_pages))
+                   F.coalesce(first_missing - 1, F.lit(max_pages)), F.lit(max_pages))
+    stops = stops.select("month", stop.alias("__stop"))
     return (pages.join(F.broadcast(stops), "month")
-                 .where((F.col("page") >= 1) & (F.col("page") <= stop))
-                 .drop("first_empty", "first_last", "first_orphan"))
+                 .where((F.col("page") >= 1) & (F.col("page") <= F.col("__stop")))
+                 .drop("__stop"))
 
 
 def truncated_months(landing: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
