@@ -23,7 +23,8 @@ NOTES = """What to look for (checked each round):
 * `ReadSchema` of bronze scans lists single VARIANT paths (`raw_json:struct<0:...,1:...>`), and
   predicates on them reach the scan as `DataFilters` (details_worklist: `raw_json.0 >= 1.0`);
 * movies per genre counts the bridge per genre before the join; the data tests of a table are one
-  grouped aggregate.
+  grouped aggregate;
+* accept_pages broadcasts only the per-month stop table (one row per calendar month).
 """
 
 KEEP = re.compile(r"Exchange|Join|Aggregate|Window|ReadSchema|TakeOrdered|Generate|Union|AQEShuffleRead|Reused")
@@ -46,6 +47,8 @@ def main():
         bronze.bronze_append(df, f"{root}/bronze/{name}")
     b = jobs.read_bronze(spark, root)
     m = catalog.all_models(b)
+    from cinelake.sources import landing, testbed
+    pages_path = landing.write_landing(testbed.discover_landing(spark, a.sf), f"{root}/landing/discover")
     li = spark.read.parquet(f"{a.sf}/lineitem.parquet")
     hot = li.withColumn("l_partkey", F.when(F.col("l_orderkey") % 3 == 0, F.lit(-1)).otherwise(F.col("l_partkey")))
     cases = {
@@ -59,6 +62,7 @@ def main():
         "top_popular_movies": discover.top_popular_movies(m["dim_movie"]),
         "quality (dim_movie)": quality.table_tests(m["dim_movie"], quality.DECLARED_TESTS["dim_movie"], "dim_movie"),
         "latest_per_key, hot key": latest_per_key(hot, ["l_partkey"], newest="l_shipdate"),
+        "accept_pages (over landed files)": worklist.accept_pages(landing.read_landing(spark, pages_path)),
     }
     print("# Physical plans (executed, after AQE)\n")
     print(NOTES)
