@@ -7,6 +7,7 @@ import pytest
 
 from tests.conftest import SF_SMALL
 from tools.check import TABLES, digest
+from tools.types import SPARK_TO_DUCK
 
 import __spark_entry__ as entry_mod
 
@@ -36,6 +37,9 @@ def test_query_matches_oracle(spark, con, key):
     if key not in ORACLES:
         assert len(rows) > 0
         return
+    rel = con.sql(ORACLES[key])
+    spark_types = {f.name: SPARK_TO_DUCK.get(type(f.dataType).__name__, str(f.dataType)) for f in df.schema.fields}
+    assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
     cur = con.execute(ORACLES[key])
     ocols = [d[0] for d in cur.description]
     orows = cur.fetchall()
