@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinelake.llm import decontaminate, packing, simhash
+from cinelake.llm import decontaminate, packing, simhash, toxicity
 from cinelake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,13 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@register
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= toxicity.REJECT).cast("int").alias("predicted"),
+                         F.col("evidence")["doc_id"].alias("evidence_ids"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
