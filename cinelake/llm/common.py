@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -48,3 +48,22 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
         for at in range(0, batch.num_rows, rows):
             part = batch.slice(at, rows)
             yield [c.to_pylist() for c in part.columns]
+
+
+def filter_rows(df: DataFrame, column: str, keeps: Callable[[], Callable[[list], list[bool]]]) -> DataFrame:
+    """The rows of ``df`` that a Python test of one column keeps; every column is handed through, in one pass.
+
+    ``keeps`` is called once in each task and gives the test of a list of values.
+    """
+    names = df.columns
+    plain = df.toDF(*[f"_c{i}" for i in range(len(names))])
+    at = names.index(column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test = keeps()
+        for batch in batches:
+            for i in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(i, SLICE_ROWS)
+                yield part.filter(pa.array(test(part.column(at).to_pylist()), pa.bool_()))
+
+    return plain.mapInArrow(run, plain.schema).toDF(*names)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinelake.llm.common import pick, slices
+from cinelake.llm.common import filter_rows, pick, slices
 
 WINDOW = 13
 # Normalised benchmark text of one automaton.
@@ -64,18 +64,9 @@ def scan(a: ahocorasick.Automaton, joined: str, starts: list[int], hit: list[boo
         items |= ids
 
 
-_RESULT = "doc_id bigint, n_words bigint, n_hit bigint, items array<string>, spans array<struct<start:bigint,end:bigint>>"
-
-
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
-                  id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """Per document: doc_id, n_words, n_hit, items (sorted ids with a window in it), spans (hit runs, code points).
-
-    An item shorter than ``window`` words is one window; null or wordless items have none; a null
-    item id is called ``null``; items with the same id count once.  Null and empty documents have
-    no words; null and repeated doc_ids are carried along, one result per row.
-    """
-    sc = docs.sparkSession.sparkContext
+def _sent(spark, benchmark: DataFrame, block_bytes: int, item_col: str, item_text_col: str) -> list:
+    """Normalised items as broadcast variables of at most ``block_bytes`` (or one item) each."""
+    sc = spark.sparkContext
     rows = pick(benchmark, item=item_col, text=item_text_col).where("text is not null").select(
         F.coalesce(F.col("item").cast("string"), F.lit("null")), F.col("text").cast("string")).toLocalIterator()
     sent, block, size = [], [], 0
@@ -87,28 +78,50 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
             block, size = [], 0
         block.append((item, words))
         size += n
-    sent.append(sc.broadcast(block))
+    return [*sent, sc.broadcast(block)]
+
+
+def _scanner(sent: list, window: int):
+    """In a task: texts -> ([number of words], {text's place: (hit per word, item ids)}) of texts with a hit."""
+    only = automaton(sent[0].value, window) if len(sent) == 1 else None
+
+    def look(texts: list[str | None]) -> tuple[list[int], dict[int, tuple[list[bool], set[str]]]]:
+        split = [words_of(t) for t in texts]
+        joined = [(b" " + b" ".join(w) + b" ").decode("utf-8", "surrogatepass") if w else "" for w in split]
+        hits: dict[int, tuple[list[bool], set[str]]] = {}
+        for b in sent:
+            a = only or automaton(b.value, window)
+            for k, text in enumerate(joined) if len(a) else ():
+                if text and next(a.iter(text), None) is not None:
+                    starts, at = [], 1
+                    for w in split[k]:
+                        starts.append(at)
+                        at += len(w.decode("utf-8", "surrogatepass")) + 1
+                    scan(a, text, starts, *hits.setdefault(k, ([False] * len(starts), set())))
+        return [len(w) for w in split], hits
+
+    return look
+
+
+_RESULT = "doc_id bigint, n_words bigint, n_hit bigint, items array<string>, spans array<struct<start:bigint,end:bigint>>"
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
+                  id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """Per document: doc_id, n_words, n_hit, items (sorted ids with a window in it), spans (hit runs, code points).
+
+    An item shorter than ``window`` words is one window; null or wordless items have none; a null
+    item id is called ``null``; items with the same id count once.  Null and empty documents have
+    no words; null and repeated doc_ids are carried along, one result per row.
+    """
+    sent = _sent(docs.sparkSession, benchmark, block_bytes, item_col, item_text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        only = automaton(sent[0].value, window) if len(sent) == 1 else None
+        look = _scanner(sent, window)
         for doc_ids, texts in slices(batches):
-            split = [words_of(t) for t in texts]
-            joined = [(b" " + b" ".join(w) + b" ").decode("utf-8", "surrogatepass") if w else "" for w in split]
-            hits: dict[int, tuple[list[int], list[bool], set[str]]] = {}
-            for b in sent:
-                a = only or automaton(b.value, window)
-                if len(a):
-                    for k, text in enumerate(joined):
-                        if text and next(a.iter(text), None) is not None:
-                            if k not in hits:
-                                starts, at = [], 1
-                                for w in split[k]:
-                                    starts.append(at)
-                                    at += len(w.decode("utf-8", "surrogatepass")) + 1
-                                hits[k] = (starts, [False] * len(starts), set())
-                            scan(a, text, *hits[k])
+            n_words, hits = look(texts)
             n_hit, items, spans = [0] * len(texts), [[] for _ in texts], [[] for _ in texts]
-            for k, (_, hit, found) in hits.items():
+            for k, (hit, found) in hits.items():
                 n_hit[k], items[k] = sum(hit), sorted(found)
                 places = [m.span() for m in _WORD.finditer(texts[k])]
                 for i, h in enumerate(hit):
@@ -117,7 +130,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
                     elif h:
                         spans[k].append({"start": places[i][0], "end": places[i][1]})
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc_ids, pa.int64()), pa.array([len(w) for w in split], pa.int64()), pa.array(n_hit, pa.int64()),
+                [pa.array(doc_ids, pa.int64()), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()),
                  pa.array(items, pa.list_(pa.string())),
                  pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
                 names=["doc_id", "n_words", "n_hit", "items", "spans"])
@@ -129,3 +142,20 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
 def contaminated(n_hit, n_words):
     """The contract's rule: some word is hit, and at least one in twenty is."""
     return (n_hit > 0) & (n_hit * 20 >= n_words)
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
+                      text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that are not ``contaminated``."""
+    sent = _sent(docs.sparkSession, benchmark, block_bytes, item_col, item_text_col)
+
+    def keeps():
+        look = _scanner(sent, window)
+
+        def test(texts: list) -> list[bool]:
+            n_words, hits = look(texts)
+            return [k not in hits or not contaminated(sum(hits[k][0]), n) for k, n in enumerate(n_words)]
+
+        return test
+
+    return filter_rows(docs, text_col, keeps)

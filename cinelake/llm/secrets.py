@@ -118,10 +118,11 @@ def scan(docs: DataFrame, reach: int = REACH, id_col: str = "doc_id", text_col:
             .select("doc_id", F.coalesce("spans", F.array().cast(_SPANS)).alias("spans")))
 
 
-def redact(docs: DataFrame, reach: int = REACH, text_col: str = "text", mark: str = REDACTED) -> DataFrame:
+def redact(docs: DataFrame, reach: int = REACH, text_col: str = "text", mark: str = REDACTED,
+           length_col: str | None = None) -> DataFrame:
     """``docs`` with every reported span of ``text_col`` replaced by ``mark`` (overlapping spans by one mark).
 
-    Rows without any candidate pass untouched, nulls too; all columns stay as they are otherwise.
+    ``length_col``, if named, is set to the new length in code points where a text changed.  Rows without any candidate pass untouched, nulls too; all columns stay as they are otherwise.
     """
     names = docs.columns
     plain = docs.toDF(*[f"_c{i}" for i in range(len(names))])
@@ -144,8 +145,12 @@ def redact(docs: DataFrame, reach: int = REACH, text_col: str = "text", mark: st
         (F.coalesce(F.get("cut", i)["start"], F.char_length(at).cast("bigint"))
          - F.when(i > 0, F.get("cut", i - 1)["end"]).otherwise(0)).cast("int")))
     clean = F.when(F.col("cut").isNull(), F.col(at)).otherwise(F.array_join(piece, mark))
+    out = {c: F.col(c) for c in plain.columns} | {at: clean}
+    if length_col is not None:
+        c = f"_c{names.index(length_col)}"
+        out[c] = F.when(F.col("cut").isNull(), F.col(c)).otherwise(F.char_length(clean).cast(plain.schema[c].dataType))
     changed = (held.join(merged, F.col("row") == F.col("cut_row"), "left")
-               .select(*[clean.alias(c) if c == at else F.col(c) for c in plain.columns]))
+               .select(*[value.alias(c) for c, value in out.items()]))
     return plain.where(~suspect).unionByName(changed).toDF(*names)
 
 

@@ -30,8 +30,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from cinelake.llm.common import pick, slices, written
+from cinelake.llm.common import SLICE_ROWS, pick, slices, written
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -138,6 +139,16 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("b").alias("node"), F.col("a").alias("root")).distinct()
 
 
+def _labels(rows: DataFrame, order: str, bucket: int) -> DataFrame:
+    """(label_fp, least): every fingerprint of ``rows`` with the smallest non-null ``order`` of its component."""
+    nodes = written(rows.groupBy("fp").agg(F.min(order).alias("first")), "nodes")
+    found = components(links(nodes.select("fp"), bucket))
+    rooted = written(nodes.join(found, nodes["fp"] == found["node"], "left")
+                     .select("fp", "first", F.coalesce("root", "fp").alias("root")), "rooted")
+    named = written(rooted.groupBy("root").agg(F.min("first").alias("least")), "roots")
+    return rooted.select(F.col("fp").alias("label_fp"), "root").join(named, "root").select("label_fp", "least")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bucket: int = BUCKET,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: doc_id, fp (signed bigint), component_id (smallest doc_id reachable over links of <= 2 bits).
@@ -147,13 +158,33 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bucket: int = BUCKE
     component, but never name one; component_id is null if no row of a component has an id.
     """
     fps = written(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    nodes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
-    found = components(links(nodes.select("fp"), bucket))
-    rooted = written(nodes.join(found, nodes["fp"] == found["node"], "left")
-                     .select("fp", "first_id", F.coalesce("root", "fp").alias("root")), "rooted")
-    named = written(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "roots")
-    labels = rooted.select("fp", "root").join(named, "root").select(F.col("fp").alias("label_fp"), "component_id")
-    return fps.join(labels, fps["fp"] == labels["label_fp"]).select("doc_id", "fp", "component_id")
+    labels = _labels(fps, "doc_id", bucket)
+    return fps.join(labels, fps["fp"] == labels["label_fp"]).select("doc_id", "fp", F.col("least").alias("component_id"))
+
+
+def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bucket: int = BUCKET,
+                         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs``, all columns, for each component: the one with the smallest doc_id.
+
+    Of rows with the same doc_id one stays; a row without doc_id only if no other of its component has one.
+    """
+    names = docs.columns
+    plain = docs.toDF(*[f"_c{i}" for i in range(len(names))])
+    text, doc_id, schema = names.index(text_col), names.index(id_col), plain.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(at, SLICE_ROWS)
+                fps = np.array([fingerprint(t, shingle) for t in part.column(text).to_pylist()], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(fps, pa.int64())], names=[*part.schema.names, "fp"])
+
+    marked = plain.mapInArrow(run, StructType([*schema.fields, StructField("fp", LongType())]))
+    held = written(marked.withColumn("row", F.monotonically_increasing_id()), "fingerprinted")
+    order = F.struct(F.col(f"_c{doc_id}").isNull().alias("none"), F.col(f"_c{doc_id}").alias("id"), "row")
+    least = _labels(held.select("fp", order.alias("place")), "place", bucket)
+    keepers = least.select(F.col("least")["row"].alias("row")).distinct()
+    return held.join(keepers, "row", "left_semi").drop("row", "fp").toDF(*names)
 
 
 def hex_fingerprint(fp):

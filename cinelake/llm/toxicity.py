@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinelake.llm.common import pick, slices, written
+from cinelake.llm.common import filter_rows, pick, slices, written
 
 K = 15
 MAX_TOXIC, MAX_OTHER, MAX_TERMS = 4_000, 8_000, 20_000
@@ -222,25 +222,27 @@ def fit(examples: list[tuple[int, int, list[int], list[int]]], shares: dict[int,
     return model
 
 
-_RESULT = "doc_id bigint, score double, evidence array<struct<doc_id:bigint,similarity:double,toxic:int>>"
-
+def _score(m: dict | None, terms: list[int], tf: list[int], k: int) -> tuple[float, list[tuple[float, int]]]:
+    """Score and neighbours of one document by a fitted model (None: nothing was learnt)."""
+    near = nearest(m["index"], *vector(terms, tf, m["idf"]), k) if m and terms and m["line"] else []
+    if not near:
+        return (m["bare"] if m else 0.0), near
+    slope, cut = m["line"]
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, slope * vote(near, m["toxic"]) + cut)))), near
 
-def score_documents(docs: DataFrame, labels: DataFrame, k: int = K, max_toxic: int = MAX_TOXIC, max_other: int = MAX_OTHER,
-                    max_terms: int = MAX_TERMS, id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id",
-                    label_col: str = "toxic") -> DataFrame:
-    """Per document: doc_id, score (0 to 1), evidence (its nearest examples), held_out.
 
-    Null and empty texts have no term and get the score of such examples; without labels of both
-    classes every score is 0.  Repeated and null doc_ids are carried along, one result per row.
-    With an equal similarity the example first in the index order (terms, counts, id) is nearer.
-    """
-    spark = docs.sparkSession
+def learn(docs: DataFrame, labels: DataFrame, k: int = K, max_toxic: int = MAX_TOXIC, max_other: int = MAX_OTHER,
+          max_terms: int = MAX_TERMS, id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id",
+          label_col: str = "toxic") -> tuple[DataFrame, dict | None]:
+    """(doc_id, terms, tf) of all documents, and the model: vocabulary, idf, index, labels, calibration (bounded; see above)."""
     texts = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     chosen = sample_labels(labels, max_toxic, max_other, label_id_col, label_col)
     # at most max_toxic + max_other rows of an id and a label
     sampled = written(texts.join(F.broadcast(chosen), "doc_id"), "examples")
     vocabulary = choose_terms(sampled, max_terms)
     counted = written(term_counts(texts, vocabulary), "term-counts")
+    if not vocabulary:
+        return counted, None
     n = counted.count()
     df = np.zeros(len(vocabulary))
     for r in counted.select(F.explode("terms").alias("t")).groupBy("t").count().collect():  # at most max_terms rows
@@ -253,24 +255,50 @@ def score_documents(docs: DataFrame, labels: DataFrame, k: int = K, max_toxic: i
               .where(~held_out(F.col("doc_id"))).groupBy((F.col("toxic") > 0).alias("toxic")).agg(F.countDistinct("doc_id").alias("n")).collect()}
     drawn = Counter(e[1] for e in examples)
     shares = {y: max(1.0, totals.get(bool(y), 0) / max(1, drawn[y])) if drawn[y] else 1.0 for y in (0, 1)}
-    sent = spark.sparkContext.broadcast(fit(examples, shares, idf, k) if vocabulary else None)
+    return counted, fit(examples, shares, idf, k) | {"vocabulary": {t: i for i, t in enumerate(vocabulary)}}
+
+
+_RESULT = "doc_id bigint, score double, evidence array<struct<doc_id:bigint,similarity:double,toxic:int>>"
+
+
+def score_documents(docs: DataFrame, labels: DataFrame, k: int = K, **options) -> DataFrame:
+    """Per document: doc_id, score (0 to 1), evidence (its nearest examples), held_out.  ``options``: see ``learn``.
+
+    Null and empty texts have no term and get the score of such examples; without labels of both
+    classes every score is 0.  Repeated and null doc_ids are carried along, one result per row.
+    With an equal similarity the example first in the index order (terms, counts, id) is nearer.
+    """
+    counted, model = learn(docs, labels, k, **options)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         for ids, terms, tf in slices(batches):
-            scores, evidence = [], []
-            for t, f in zip(terms, tf, strict=True):
-                near = nearest(m["index"], *vector(t, f, m["idf"]), k) if t and m["line"] else []
-                if near:
-                    slope, cut = m["line"]
-                    scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, slope * vote(near, m["toxic"]) + cut)))))
-                else:
-                    scores.append(m["bare"] if m else 0.0)
-                evidence.append([{"doc_id": m["ids"][e], "similarity": s, "toxic": int(m["toxic"][e])} for s, e in near])
+            got = [_score(m, t, f, k) for t, f in zip(terms, tf, strict=True)]
+            evidence = [[{"doc_id": m["ids"][e], "similarity": s, "toxic": int(m["toxic"][e])} for s, e in near] for _, near in got]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(scores, pa.float64()),
+                [pa.array(ids, pa.int64()), pa.array([s for s, _ in got], pa.float64()),
                  pa.array(evidence, pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())])))],
                 names=["doc_id", "score", "evidence"])
 
-    scored = counted.mapInArrow(run, _RESULT)
-    return scored.withColumn("held_out", held_out(F.col("doc_id")))
+    return counted.mapInArrow(run, _RESULT).withColumn("held_out", held_out(F.col("doc_id")))
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame, reject: float = REJECT, k: int = K, text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is below ``reject``; no shuffle of texts."""
+    _, model = learn(docs, labels, k, text_col=text_col, **options)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def kept(texts: list) -> list[bool]:
+        m = sent.value
+        if m is None:
+            return [True] * len(texts)
+        at, out = m["vocabulary"], []
+        gate = {t.rstrip("+")[:SHORTEST] for t in at}
+        for text in texts:
+            found = {at[t]: c for t, c in terms_of(text, gate).items() if t in at}
+            order = sorted(found)
+            out.append(_score(m, order, [found[t] for t in order], k)[0] < reject)
+        return out
+
+    return filter_rows(docs, text_col, lambda: kept)
