@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinelake.llm import decontaminate, packing, secrets, simhash, toxicity
+from cinelake.llm import decontaminate, packing, secrets, sharding, simhash, toxicity
 from cinelake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,15 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+@register
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    rows = read_table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 8).cast("bigint").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
+    return sharding.shuffle_into_shards(rows).select(
+        "row.doc_id", "row.size", "row.text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 @register
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(read_table(spark, sf_dir, "documents"))
