@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinelake.llm import decontaminate, packing, secrets, sharding, simhash, toxicity
+from cinelake.llm import decontaminate, packing, quality, secrets, sharding, simhash, toxicity
 from cinelake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+@register
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.clean(read_table(spark, sf_dir, "documents")).drop("clean_text", "removed")
+
+
 @register
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
