@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinelake.llm import decontaminate, packing, quality, secrets, sharding, simhash, toxicity
+from cinelake.llm import decontaminate, html_extract, packing, quality, secrets, sharding, simhash, toxicity
 from cinelake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,6 +66,11 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@register
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read_table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
 @register
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
