@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinelake.llm import decontaminate, html_extract, packing, quality, secrets, sharding, simhash, toxicity
+from cinelake.llm import decontaminate, html_extract, licenses, packing, pii, quality, secrets, sharding, simhash, toxicity
 from cinelake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,25 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.joined(F.col("spans")).alias("spans"))
 
 
+@register
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.protect(read_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(pii.BASE))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select("doc_id", *[count(k) for k in pii.BASE], F.sha2(secrets.joined(base), 256).alias("base_sha256"),
+                        secrets.joined(F.col("spans")).alias("spans"))
+
+
+@register
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the table has no paths: a document lies in its source's folder for its language
+    rows = read_table(spark, sf_dir, "documents").select("doc_id", "text", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path"))
+    return licenses.scan(rows)
+
+
 @register
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))

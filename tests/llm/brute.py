@@ -73,3 +73,18 @@ def secret_base(text):
 
 def listed(found, kinds):
     return ",".join(f"{kinds[k]}:{s}:{e}" for s, k, e in found)
+
+
+def pii_base(text):
+    """[(start, kind, end)] of the base spans, by start, then kind as listed."""
+    text = text or ""
+    found = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    found += [(m.start(), 1, m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text)
+              if all(int(x) <= 255 for x in m[0].split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        d = [int(c) for c in m[0] if c.isdigit()]
+        if 14 <= len(d) <= 19 and (sum(d[-1::-2]) + sum(sum(divmod(2 * x, 10)) for x in d[-2::-2])) % 10 == 0:
+            found.append((m.start(), 2, m.end()))
+    found += [(m.start(), 3, m.end()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text)
+              if 10 <= sum(c.isdigit() for c in m[0]) <= 15]
+    return sorted(found)
