@@ -150,8 +150,8 @@ def redact(docs: DataFrame, reach: int = REACH, text_col: str = "text", mark: st
         c = f"_c{names.index(length_col)}"
         out[c] = F.when(F.col("cut").isNull(), F.col(c)).otherwise(F.char_length(clean).cast(plain.schema[c].dataType))
     changed = (held.join(merged, F.col("row") == F.col("cut_row"), "left")
-               .select(*[value.alias(c) for c, value in out.items()]))
-    return plain.where(~suspect).unionByName(changed).toDF(*names)
+               .select(*[value.alias(f"new{c}") for c, value in out.items()]))  # names of their own: an alias can hide a column in a lambda
+    return plain.where(~suspect).union(changed).toDF(*names)
 
 
 def joined(spans_col: Column) -> Column:

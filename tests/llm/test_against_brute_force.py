@@ -1,0 +1,305 @@
+"""The registered queries on the smallest tables, each held against a plain re-statement."""
+
+import collections
+import re
+
+import pytest
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from cinelake.llm import html_extract, licenses, packing, pii, queries, secrets, simhash, toxicity
+from cinelake.llm.common import read_table
+
+from . import brute
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return [(r["doc_id"], r["text"]) for r in read_table(spark, SF, "documents").collect()]
+
+
+def rows(spark, name):
+    return queries.QUERIES[name](spark, SF).collect()
+
+
+def test_packing(spark, docs):
+    import public_tokenizers
+
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = {d: tok.encode(t or "", add_special_tokens=False).ids + [1] for d, t in docs}
+    covered, sequences = collections.defaultdict(list), collections.defaultdict(list)
+    for r in rows(spark, "op1_packing"):
+        part = ids[r["doc_id"]][r["start"]:r["start"] + r["length"]]
+        assert r["ids_crc32"] == brute.crc_of_ids(part) and r["doc_tokens"] == len(ids[r["doc_id"]])
+        covered[r["doc_id"]].append((r["start"], r["length"]))
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    for d, parts in covered.items():
+        assert [s for s, _ in sorted(parts)] == [sum(n for _, n in sorted(parts)[:i]) for i in range(len(parts))]
+        assert sum(n for _, n in parts) == len(ids[d])
+    assert len(covered) == len(docs)
+    for s, parts in sequences.items():
+        assert [o for o, _ in sorted(parts)] == [sum(n for _, n in sorted(parts)[:i]) for i in range(len(parts))]
+        assert sum(n for _, n in parts) == 2048 or s == max(sequences)
+
+
+@pytest.mark.parametrize("text", ["", " ", "  ", " a", "a ", "a  b", "a \n b", "x\n\ny z", "<|endoftext|> a", "it's 12 a1", " a  b", "don't  ''s"])
+def test_token_ids_are_the_tokenizers(text):
+    paths = packing.default_tokenizer()
+    want = Tokenizer.from_file(paths[0]).encode(text, add_special_tokens=False).ids
+    assert packing.encoder(*paths)(text) == b"".join(i.to_bytes(4, "little") for i in want)
+
+
+def test_sequences_hold_the_pieces(spark):
+    pieces = packing.pack(read_table(spark, SF, "documents"))
+    sizes = [len(r["ids"]) // 4 for r in packing.sequences(pieces).orderBy("sequence_id").collect()]
+    assert set(sizes[:-1]) == {2048} and 0 < sizes[-1] <= 2048
+
+
+def test_decontamination(spark, docs):
+    items = [(r["item_id"], r["text"]) for r in read_table(spark, SF, "benchmark").collect()]
+    text = dict(docs)
+    for r in rows(spark, "op7_decontamination"):
+        n, hit, found = brute.contamination(text[r["doc_id"]], items) if len(text[r["doc_id"]]) < 4000 or r["n_hit"] else (r["n_words"], 0, [])
+        assert (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"]) == (n, hit, len(found), brute.sha(",".join(found)))
+        assert sum(len(re.findall(r"[^\W_]+", text[r["doc_id"]][s["start"]:s["end"]])) for s in r["spans"]) == hit
+
+
+def test_decontamination_in_blocks(spark):
+    from cinelake.llm.decontaminate import decontaminate
+
+    d, b = read_table(spark, SF, "documents"), read_table(spark, SF, "benchmark")
+    one, many = (sorted(map(str, decontaminate(d, b, block_bytes=n).collect())) for n in (1 << 20, 2_000))
+    assert one == many
+
+
+def test_simhash(spark, docs):
+    fps = {d: brute.simhash(t) for d, t in docs}
+    root, first = brute.hamming_components(fps.values()), {}
+    for d, f in sorted(fps.items()):
+        first.setdefault(root[f], d)
+    for r in rows(spark, "op8_simhash"):
+        assert int(r["fingerprint"], 16) == fps[r["doc_id"]] and r["component_id"] == first[root[fps[r["doc_id"]]]]
+
+
+@pytest.mark.parametrize("bucket", [64, 3])
+def test_simhash_links_crowded_buckets(spark, bucket):
+    import random
+
+    rng = random.Random(1)
+    fps = {rng.getrandbits(64) for _ in range(20)}
+    for f in list(fps):
+        for _ in range(30):
+            fps.add(f ^ sum({1 << rng.randrange(64) for _ in range(rng.randint(1, 3))}))
+    low = rng.getrandbits(32)
+    fps |= {low | rng.getrandbits(32) << 32 for _ in range(200)} | {low | 1 << (32 + i) for i in range(32)}
+    want = brute.hamming_components(fps)
+    signed = [(f - (1 << 64) if f >> 63 else f,) for f in fps]
+    found = {r["node"] % (1 << 64): r["root"] % (1 << 64) for r in simhash.components(simhash.links(spark.createDataFrame(signed, "fp bigint"), bucket)).collect()}
+    groups, expected = collections.defaultdict(set), collections.defaultdict(set)
+    for f in fps:
+        groups[found.get(f, f)].add(f)
+        expected[want[f]].add(f)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
+
+
+def test_quality(spark, docs):
+    text = dict(docs)
+    for r in rows(spark, "op2_quality"):
+        t = text[r["doc_id"]] or ""
+        w = re.findall(r"[^\x20\x09-\x0D]+", t)
+        at = collections.defaultdict(list)
+        for i in range(len(w) - 2):
+            at[tuple(w[i:i + 3])].append(i)
+        covered = {j for v in at.values() if len(v) > 1 for i in v for j in (i, i + 1, i + 2)}
+        lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"]) == (
+            len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(covered),
+            len(w) < 50 or 100 * len(covered) > 50 * len(w))
+        assert not (r["base_failed"] and r["kept"])
+
+
+def test_quality_agrees_with_labels(spark):
+    good = {r["doc_id"]: r["quality"] for r in read_table(spark, SF, "labels").collect()}
+    judged = [(good[r["doc_id"]], r["kept"]) for r in rows(spark, "op2_quality") if r["doc_id"] in good and not r["base_failed"]]
+    assert sum(bool(q) == k for q, k in judged) >= 0.97 * len(judged)
+
+
+def test_sharding(spark, docs):
+    got = rows(spark, "op3_sharding")
+    assert sorted(r["doc_id"] for r in got) == sorted(d for d, _ in docs)
+    slots = collections.defaultdict(list)
+    for r in got:
+        slots[r["shard"]].append(r["slot"])
+    sizes = [len(slots[s]) for s in range(24)]
+    assert max(sizes) - min(sizes) <= 1 and all(sorted(v) == list(range(len(v))) for v in slots.values())
+    assert got and sorted(map(str, got)) == sorted(map(str, rows(spark, "op3_sharding")))  # the same draw again
+
+
+def test_hypergeometric_draws():
+    import numpy as np
+
+    from cinelake.llm import sharding
+
+    m = sharding.communication_matrix([10, 0, 7, 30], [16, 16, 15], 1)
+    assert m.sum(axis=1).tolist() == [10, 0, 7, 30] and m.sum(axis=0).tolist() == [16, 16, 15] and (m >= 0).all()
+    rng = np.random.default_rng(1)
+    big = [sharding.hypergeometric(4_000_000_000, 6_000_000_000, 1_000_000, rng) for _ in range(400)]
+    assert abs(np.mean(big) - 400_000) < 5 * 490 / 20 and 430 < np.std(big) < 550
+
+
+def test_shards_are_uniform(spark):
+    from cinelake.llm.sharding import shuffle_into_shards
+
+    df = spark.range(0, 4000, numPartitions=7)
+    hits = collections.Counter()
+    for seed in range(6):
+        hits.update((r["row"]["id"] // 1000, r["shard"]) for r in shuffle_into_shards(df, 4, seed, bin_rows=50).collect())
+    # six times 1000 rows of each quarter over four shards: 1500 each, standard deviation about 29
+    assert all(abs(n - 1500) < 150 for n in hits.values()) and len(hits) == 16
+
+
+@pytest.mark.parametrize("name,base,kinds", [("op4_secrets", brute.secret_base, secrets.KINDS), ("op5_pii", brute.pii_base, pii.KINDS)])
+def test_base_spans(spark, docs, name, base, kinds):
+    text = dict(docs)
+    for r in rows(spark, name):
+        found = base(text[r["doc_id"]])
+        assert r["base_sha256"] == brute.sha(brute.listed(found, kinds))
+        assert set(brute.listed(found, kinds).split(",")) <= set(r["spans"].split(","))
+
+
+def test_pii_patterns_on_random_strings():
+    import random
+
+    rng = random.Random(2)
+    parts = ["4111111111111111", "1.2.3.4", "255", "256", ".", "-", " ", "+1 (555) 555-0199", "a.b@c.de", "@", "x", "+", "5", "%", "(", "000"]
+    for _ in range(5000):
+        t = "".join(rng.choices(parts, k=rng.randint(1, 12)))
+        assert pii.entities(t) == brute.pii_base(t), t
+
+
+def test_pii_terms_that_disclose(spark):
+    rows_ = [(i, f"the clerk Zebulon has mail z@example.com in office {i}") for i in range(5)]
+    rows_ += [(10 + i, f"the clerk number {i} has mail m{i}@example.com in the office") for i in range(40)]
+    got = {r["doc_id"]: r for r in pii.protect(spark.createDataFrame(rows_, "doc_id bigint, text string"), with_text=True).collect()}
+    words = {rows_[0][1][s["start"]:s["end"]] for s in got[0]["spans"] if s["kind"] == "term"}
+    assert "Zebulon" in words and "clerk" not in words and "the" not in words
+    assert "Zebulon" not in got[0]["clean_text"] and "[EMAIL]" in got[0]["clean_text"]
+    assert all(s["kind"] != "term" for s in got[10]["spans"])
+
+
+def test_weak_secrets_need_a_complement(spark):
+    key, far = "Zx9" * 10, " filler words here" * 60
+    texts = [
+        f"client_id = app-77 and then {key}", f"only {key} alone", "client_id = app-77 alone", f"client_id = app-77{far} {key}",
+        f"see https://host.example/x for {key}", "see https://host.example/x alone", "password=abcdefgh9 at https://db.example/y",
+    ]
+    got = {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in secrets.scan(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    assert got == {0: ["identifier", "opaque"], 1: [], 2: [], 3: [], 4: ["endpoint", "opaque"], 5: [], 6: ["assign", "endpoint"]}
+
+
+def test_redaction(spark):
+    texts = ["x token = \"0123456789abcdef0123456789abcdef\" y password=abcdefgh9", "clean"]
+    df = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "doc_id bigint, text string, n_chars bigint")
+    got = {r["doc_id"]: r for r in secrets.redact(df, length_col="n_chars").collect()}
+    assert got[0]["text"] == "x [SECRET]\" y [SECRET]" and got[0]["n_chars"] == 22 and got[1]["text"] == "clean" and got[1]["n_chars"] == 5
+
+
+def test_toxicity_on_held_out_documents(spark):
+    sf = "/root/testdata/sf0.01"
+    toxic = {r["doc_id"]: r["toxic"] for r in read_table(spark, sf, "labels").collect()}
+    got = [(r["predicted"], toxic[r["doc_id"]]) for r in queries.QUERIES["op10_toxicity"](spark, sf).collect() if r["doc_id"] in toxic and r["held_out"]]
+    assert sum(p == y for p, y in got) >= 0.9 * len(got)
+    assert sum(p for p, y in got if not y) <= 0.02 * len(got)
+
+
+def test_block_max_search_is_exact():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    vectors = []
+    for _ in range(700):
+        t = np.sort(rng.choice(60, rng.integers(1, 8), replace=False))
+        w = rng.random(len(t)) + 0.1
+        vectors.append((t, w / np.sqrt((w * w).sum())))
+    index = toxicity.block_max_index(vectors)
+    dense = np.zeros((700, 60))
+    for i, (t, w) in enumerate(vectors):
+        dense[i, t] = w
+    for i in range(0, 700, 13):
+        want = sorted((-round(s, 12), e) for e, s in enumerate(dense @ dense[i]) if s > 1e-12)[:10]
+        got = toxicity.nearest(index, *vectors[i], 10)
+        assert np.allclose([s for s, _ in got], [-s for s, _ in want])
+
+
+def test_main_text(spark):
+    page = """<html><body><header><h1>Site</h1></header><nav><a href=x>Home</a></nav><div id="main-content"><h2>Title &amp; more</h2>
+      <p>Long paragraph of content that says something important and ends with a mark.</p><p>Short one.</p>
+      <div class="related"><p>Long paragraph of some other content that says something else and ends with a mark.</p></div>
+      <aside><p>Side text is here and is quite long as well to fool it.</p></aside><p>Another <a href=u>linked</a> paragraph that ends here.</p>
+      <section class="comments"><p>I think this is a very good page and I would like to read more of it.</p></section></div>
+      <div class="cookie-notice">We use cookies to make it all better for everyone.</div><form><p>Name</p></form><script>var t="</p>";</script></body></html>"""
+    assert html_extract.main_text(page) == ("Title & more Long paragraph of content that says something important and ends with a mark. "
+                                            "Short one. Another linked paragraph that ends here.")
+    for r in rows(spark, "op9_html"):
+        assert r["n_chars"] == len(r["text"])
+
+
+def test_minimum_cut_is_minimal():
+    import itertools
+    import random
+
+    rng = random.Random(4)
+    for _ in range(60):
+        n = rng.randint(1, 8)
+        odds = [rng.uniform(-1, 1) for _ in range(n)]
+        edges = {(i, j): rng.random() for i in range(n) for j in range(i + 1, n) if rng.random() < 0.4}
+
+        def cost(side, odds=odds, edges=edges):
+            return (sum(max(0, o) if not s else max(0, -o) for o, s in zip(odds, side, strict=True))
+                    + sum(w for (a, b), w in edges.items() if side[a] != side[b]))
+        best = min(cost(s) for s in itertools.product((False, True), repeat=n))
+        assert abs(cost(html_extract.minimum_cut(odds, edges)) - best) < 1e-9
+
+
+def test_licenses_against_plain_cosine(spark):
+    import math
+
+    rows_ = [
+        (1, "a/x/LICENSE", "Released under the MIT License."), (2, "a/x/src/f.py", "some code of the program\nand a line"), (3, "a/y/f.py", "nothing here"),
+        (4, "a/x/src/g.py", "# Licensed under the Apache License, Version 2.0.\ncode code code code code code code code code code code"),
+        (5, None, "All rights reserved."), (6, "f", None), (7, "LICENSE", "Licensed under CC BY-NC 4.0."), (8, "a/y/z/h", "x"),
+    ]
+    got = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(rows_, "doc_id bigint, path string, text string")).collect()}
+    assert {d: (r["license"], r["origin"], r["from_dir"]) for d, r in got.items()} == {
+        1: ("MIT", "file", None), 2: ("MIT", "inherited", "a/x"), 3: ("CC-BY-NC-4.0", "inherited", ""), 4: ("Apache-2.0", "header", None),
+        5: ("proprietary", "file", None), 6: ("CC-BY-NC-4.0", "inherited", ""), 7: ("CC-BY-NC-4.0", "file", None), 8: ("CC-BY-NC-4.0", "inherited", "")}
+    lines = ["released under some MIT license.", "licensed under the apache license", "all rights reserved now", "the the the"]
+    df = spark.createDataFrame([(i, "p/q", x) for i, x in enumerate(lines)], "doc_id bigint, path string, text string")
+    counts = collections.Counter(w for x in lines for w in set(licenses.words_of(x)))
+    known, unknown, vectors = licenses._weights(len(lines), counts, licenses.TEMPLATES)
+    want = {}
+    for i, x in enumerate(lines):
+        tf = collections.Counter(licenses.words_of(x))
+        v = {w: c * known.get(w, unknown) for w, c in tf.items()}
+        norm = math.sqrt(sum(a * a for a in v.values()))
+        s, t = max((round(sum(v.get(w, 0) * a for w, a in u.items()) / norm, 6), -k) for k, u in enumerate(vectors))
+        want[i] = (licenses.TEMPLATES[-t][0], s) if s >= 0.5 else (None, None)
+    found = {r["doc_id"]: (r["license"], r["score"]) for r in licenses.license_headers(df, licenses.TEMPLATES, 0.5, "doc_id", "path", "text").collect()}
+    assert found == want
+
+
+def test_pipeline_stages_keep_what_they_should(spark, docs):
+    text = dict(docs)
+    out = corpus_pipeline.run(spark, SF)
+    packed = {r["doc_id"] for r in out.select("doc_id").distinct().collect()}
+    score = {r["doc_id"]: r["score"] for r in rows(spark, "op10_toxicity")}
+    clean = {d for d in text if score[d] < 0.7}
+    fps = {d: brute.simhash(text[d]) for d in clean}
+    root, first = brute.hamming_components(fps.values()), {}
+    for d in sorted(clean):
+        first.setdefault(root[fps[d]], d)
+    dirty = {r["doc_id"] for r in rows(spark, "op7_decontamination") if r["contaminated"]}
+    assert packed == set(first.values()) - dirty
