@@ -12,7 +12,7 @@ Semantics kept from the warehouse dialect:
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -64,6 +64,35 @@ def json_array(v, path: str) -> Column:
     return F.try_variant_get(_c(v), _path(path), "array<variant>")
 
 
+def required_array(v, path: str) -> Column:
+    """``json_array`` that raises when something else than an array or null stands at ``path``."""
+    found, value = json_array(v, path), F.variant_get(_c(v), _path(path), "variant")
+    other = found.isNull() & value.isNotNull() & ~F.is_variant_null(value)
+    return F.when(other, F.raise_error(F.lit(f"not an array: {path}")).cast("array<variant>")).otherwise(found)
+
+
+# The flatten helpers read the array in a projection right above the scan and explode it only
+# then, so the Parquet scan returns the paths in use from the shredded VARIANT, not whole documents.
+def flatten_scalar_array(df: DataFrame, v: str, path: str, out: str, *keep) -> DataFrame:
+    """C4: one row per element of an array of numbers, as a rounded bigint ``out``; ``keep`` are carried columns."""
+    arrays = df.select(*keep, json_array(v, path).alias("__a"))
+    flat = arrays.select(*arrays.columns[:-1], F.explode("__a").alias("__e"))
+    return flat.select(*flat.columns[:-1], F.round(F.col("__e").cast("decimal(38,9)"), 0).cast("bigint").alias(out))
+
+
+def flatten_struct_array(df: DataFrame, v: str, path: str, *keep) -> DataFrame:
+    """One row per element of an array of objects: the carried columns, ``pos`` and the element ``e``."""
+    arrays = df.select(*keep, json_array(v, path).alias("__a"))
+    return arrays.select(*arrays.columns[:-1], F.posexplode("__a").alias("pos", "e"))
+
+
+def flatten_match_row(df: DataFrame, v: str, path: str, id_path: str, key: str, *keep) -> DataFrame:
+    """The elements ``e`` whose id equals the row's own ``key`` column."""
+    arrays = df.select(key, *keep, json_array(v, path).alias("__a"))
+    flat = arrays.select(*arrays.columns[:-1], F.explode("__a").alias("e"))
+    return flat.where(json_bigint("e", id_path) == F.col(key))
+
+
 def parse_json_strict(text) -> Column:
     """A5: text -> VARIANT; malformed text fails the job (like a failed INSERT)."""
     return F.parse_json(_c(text))

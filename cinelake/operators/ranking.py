@@ -4,9 +4,8 @@
 into one task.  Here the rows are range-partitioned on (g, k), so a hot
 group is cut into consecutive slices on many tasks; each slice is numbered
 locally, and a small table of slice sizes (at most one row per group and
-slice boundary) gives every slice its offset.  The slice assignment is
-checkpointed (written under ``spark.checkpoint.dir``) before it is used
-twice.
+slice boundary) gives every slice its offset.  The sliced rows are written
+under ``spark.checkpoint.dir`` before they are used twice.
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cinelake.session import checkpoint_root
+from cinelake.session import scratch_dir
 
 
 def row_number_within(df: DataFrame, group: Sequence[str], order: Sequence[str], out: str = "rn",
@@ -25,33 +24,28 @@ def row_number_within(df: DataFrame, group: Sequence[str], order: Sequence[str],
     ``order`` (which must make rows unique inside a group), and optionally
     ``total`` = the group's size.
 
-    Only the key columns (group + order) are ranked; the numbers are joined
-    back to the full rows on that unique key, so wide rows are shuffled once.
+    The full rows are range-partitioned once and written once to the shared
+    folder (a job that runs while the query is built: the sampled bounds of a
+    range exchange are drawn anew each time it runs, so the slices that are
+    numbered and the slices that are counted must be one and the same); the
+    numbers then come from that copy without another shuffle of wide rows.
     """
     group, order = list(group), list(order)
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    checkpoint_root(spark)
-    keys = df.select(*group, *order)
-    # The slice a row lands in depends on the sampled range bounds, which are
-    # drawn anew each time the exchange runs; a reliable checkpoint fixes the
-    # assignment once, so the numbering and the slice sizes below agree (also
-    # when a task is retried or an executor is lost).
-    sliced = (keys.repartitionByRange(n, *group, *order).withColumn("__slice", F.spark_partition_id())
-              .checkpoint(eager=True))
+    path = scratch_dir(spark, "ranked")
+    (df.repartitionByRange(n, *group, *order).withColumn("__slice", F.spark_partition_id())
+       .write.parquet(path))
+    sliced = spark.read.parquet(path)
     local = sliced.withColumn("__lrn", F.row_number().over(
         Window.partitionBy(*group, "__slice").orderBy(*order)))
-    sizes = local.groupBy(*group, "__slice").agg(F.count(F.lit(1)).alias("__cnt"))
+    sizes = sliced.groupBy(*group, "__slice").agg(F.count(F.lit(1)).alias("__cnt"))
     before = Window.partitionBy(*group).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*[F.col(c).alias(f"__g{i}") for i, c in enumerate(group)], F.col("__slice").alias("__s"),
                            F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__off"),
                            *([F.sum("__cnt").over(Window.partitionBy(*group)).alias(total)] if total else []))
+    # null-safe equality: rows with a NULL key are numbered and kept like any other
     on = [local[c].eqNullSafe(offsets[f"__g{i}"]) for i, c in enumerate(group)] + [
         local["__slice"] == offsets["__s"]]
-    ranks = (local.join(offsets, on)
-                  .select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(group + order)],
-                          (F.col("__off") + F.col("__lrn")).cast("bigint").alias(out),
-                          *([total] if total else [])))
-    # null-safe equality: rows with a NULL key are numbered and kept like any other
-    cond = [df[c].eqNullSafe(ranks[f"__k{i}"]) for i, c in enumerate(group + order)]
-    return df.join(ranks, cond).drop(*[f"__k{i}" for i in range(len(group + order))])
+    return local.join(offsets, on).select(
+        *df.columns, (F.col("__off") + F.col("__lrn")).cast("bigint").alias(out), *([total] if total else []))

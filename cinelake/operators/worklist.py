@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from cinelake.functions.jsonops import json_array, json_double
+from cinelake.functions.jsonops import json_double, required_array
+from cinelake.sources.bronze import drop_missing_responses
 
 # ---- fixed values -----------------------------------------------------------------
 POPULARITY_THRESHOLD = 1.0
@@ -20,7 +21,7 @@ DEFAULT_HIGH_WATER_TS = "2023-01-01T00:00:00Z"
 OVERLAP_MINUTES = 5
 ISO_Z_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 FIRST_MONTH = "1874-01-01"
-MAX_PAGES = 500
+API_PAGE_CAP = 500           # pages that the API serves per query
 BACKFILL_DAYS = 14
 # -------------------------------------------------------------------------------------
 
@@ -83,9 +84,9 @@ def month_windows(anchor: DataFrame, column: str, first_month: str = FIRST_MONTH
 
 def page_facts(landing: DataFrame) -> DataFrame:
     """One row per landed discover page: (month, page, total_pages, total_results, n_results, ...)."""
-    results = json_array("body", "results")
+    results = required_array("body", "results")
     return landing.select(
-        F.col("request_date").alias("month"),
+        "run_id", F.col("request_date").alias("month"),
         F.variant_get("body", "$.page", "int").alias("page"),
         F.coalesce(F.variant_get("body", "$.total_pages", "int"), F.lit(1)).alias("total_pages"),
         F.variant_get("body", "$.total_results", "int").alias("total_results"),
@@ -93,39 +94,39 @@ def page_facts(landing: DataFrame) -> DataFrame:
         "endpoint", "http_status", "fetched_at", "body")
 
 
-def accept_pages(landing: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
-    """The landed pages that the page loop would have kept: from page 1 up
-    to the first empty page (excluded), the first page >= total_pages
-    (included), the page cap (included) and the first gap in the landed
-    page numbers (excluded).
+def accept_pages(landing: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """The landed pages that the page loop would have kept, per fetch run
+    and month: from page 1 up to the first empty page (excluded), the first
+    page >= total_pages (included) and the first gap in the landed page
+    numbers (excluded).  Any response but a 200, and one without a page
+    number, stops the job before a page is judged.  ``max_pages`` is an
+    opt-in cap; a page that landed is data, so there is none by default.
 
-    The per-month stop page is an aggregate (one row per month window, so at
-    most one row per calendar month) joined back by broadcast.
+    The first gap is the smallest page whose successor did not land (an anti
+    join on run, month and page, so no month is gathered anywhere); the stop
+    page is an aggregate of one row per run and month.
     """
-    pages = page_facts(landing)
-    in_cap = F.col("page").between(1, max_pages)
-    stops = pages.groupBy("month").agg(
+    pages = page_facts(drop_missing_responses(landing)).withColumn(
+        "page", F.coalesce("page", F.raise_error(F.concat(F.lit("no page number in "), F.col("endpoint"))).cast("int")))
+    by = ["run_id", "month"]
+    landed = pages.select(*by, "page").distinct()
+    before = landed.select(*by, (F.col("page") - 1).alias("page"))
+    runs_out = landed.join(before, [*by, "page"], "left_anti").groupBy(*by).agg(F.min("page").alias("unbroken"))
+    stops = pages.groupBy(*by).agg(
+        F.min("page").alias("first"),
         F.min(F.when(F.col("n_results") == 0, F.col("page"))).alias("first_empty"),
-        F.min(F.when(F.col("page") >= F.col("total_pages"), F.col("page"))).alias("first_last"),
-        # landed page numbers within the cap: at most max_pages per month
-        F.collect_set(F.when(in_cap, F.col("page"))).alias("landed"))
-    # A page whose predecessor was never landed cannot have been reached by the
-    # sequential loop (e.g. a fetch that died mid-month): stop before the first gap.
-    first_missing = F.array_min(F.filter(
-        F.sequence(F.lit(1), F.greatest(F.array_max("landed"), F.lit(1))),
-        lambda p: ~F.array_contains(F.col("landed"), p)))
-    stop = F.least(F.coalesce(F.col("first_empty") - 1, F.lit(max_pages)),
-                   F.coalesce(F.col("first_last"), F.lit(max_pages)),
-                   F.coalesce(first_missing - 1, F.lit(max_pages)), F.lit(max_pages))
-    stops = stops.select("month", stop.alias("__stop"))
-    return (pages.join(F.broadcast(stops), "month")
-                 .where((F.col("page") >= 1) & (F.col("page") <= F.col("__stop")))
+        F.min(F.when(F.col("page") >= F.col("total_pages"), F.col("page"))).alias("first_last")).join(runs_out, by)
+    # least() skips NULLs; a run whose first page did not land has nothing to accept
+    stop = F.least(F.col("first_empty") - 1, "first_last", "unbroken", F.lit(max_pages).cast("int"))
+    stops = stops.select(*by, F.when(F.col("first") > 1, F.lit(0)).otherwise(stop).alias("__stop"))
+    return (pages.join(stops, by).where((F.col("page") >= 1) & (F.col("page") <= F.col("__stop")))
                  .drop("__stop"))
 
 
-def truncated_months(landing: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
-    """Per month window the reported size and whether it passes the page
-    cap (the API stops at 500 pages, so the rest of that month is missing)."""
+def truncated_months(landing: DataFrame, max_pages: int = API_PAGE_CAP) -> DataFrame:
+    """Every month window with its reported size and whether that passes
+    the API's page cap (the API serves no further page, so the rest of that
+    month is missing).  A report only: no landed page is dropped for it."""
     pages = page_facts(landing)
     return pages.groupBy("month").agg(
         F.max("total_pages").alias("total_pages"),
@@ -147,10 +148,10 @@ def backfill_windows(bounds: DataFrame, start_col: str, end_col: str, days: int
     return w.select("window_start", F.least(F.date_add("window_start", days - 1), F.col("end")).alias("window_end"))
 
 
-def export_worklist(export_rows: DataFrame, details_raw: DataFrame) -> DataFrame:
+def export_worklist(newest_export_rows: DataFrame, details_raw: DataFrame) -> DataFrame:
     """Ids of the newest ID export that are not yet in details.
 
-    The newest date is a one-row aggregate, joined by broadcast."""
-    newest = export_rows.agg(F.max("ingestion_date").alias("ingestion_date"))
-    latest = export_rows.join(F.broadcast(newest), "ingestion_date").select("movie_id").distinct()
+    The rows are those of the newest day alone: ``bronze.newest_export`` takes
+    it from the file names, so no older export is read or parsed."""
+    latest = newest_export_rows.select("movie_id").distinct()
     return latest.join(details_raw.select("movie_id").distinct(), "movie_id", "left_anti").orderBy("movie_id")

@@ -94,13 +94,13 @@ CTES: list[tuple[str, str]] = [
       SELECT movie_id, genre_a AS genre_id FROM movie_rows
       UNION ALL
       SELECT movie_id, genre_b FROM movie_rows)"""),
-    ("credit_entries", f"""
+    ("credit_entries", """
     SELECT l.l_partkey AS movie_id, year(l.l_shipdate) AS yr,
            l.l_linenumber, l.l_orderkey, l.l_suppkey, l.l_shipdate,
            s.s_name, l.l_returnflag || l.l_linestatus AS character,
            o.o_custkey, c.c_name, o.o_orderpriority, c.c_mktsegment
     FROM lineitem l
-    JOIN (SELECT DISTINCT p_partkey FROM part WHERE p_size <= {tb.CREDITS_MAX_SIZE}) p ON l.l_partkey = p.p_partkey
+    JOIN part p ON l.l_partkey = p.p_partkey
     JOIN supplier s ON l.l_suppkey = s.s_suppkey
     JOIN orders o ON l.l_orderkey = o.o_orderkey
     JOIN customer c ON o.o_custkey = c.c_custkey"""),
@@ -169,11 +169,10 @@ CTES: list[tuple[str, str]] = [
       SELECT a.mth, min(a.page) AS first_orphan FROM page_facts a
       WHERE a.page > 1 AND NOT EXISTS (SELECT 1 FROM page_facts b WHERE b.mth = a.mth AND b.page = a.page - 1)
       GROUP BY a.mth) o ON f.mth = o.mth
-    WHERE f.page >= 1 AND f.page <= least(coalesce(s.first_empty - 1, 500), coalesce(s.first_last, 500),
-                                          coalesce(o.first_orphan - 1, 500), 500)"""),
-    ("landed_movie_rows", f"""
-    SELECT r.*, CAST(r.mth + INTERVAL 1 MONTH AS TIMESTAMP) AS page_fetched_at FROM page_rows r
-    WHERE NOT (month(r.mth) = {tb.EMPTY_PAGE_MONTH} AND r.page = 2)"""),
+    WHERE f.page >= 1 AND f.page <= least(coalesce(s.first_empty - 1, f.page), coalesce(s.first_last, f.page),
+                                          coalesce(o.first_orphan - 1, f.page))"""),
+    ("landed_movie_rows", """
+    SELECT r.*, CAST(r.mth + INTERVAL 1 MONTH AS TIMESTAMP) AS page_fetched_at FROM page_rows r"""),
     ("change_rows", f"""
     SELECT d AS change_date, user_id AS movie_id, user_id % 7 = 0 AS adult,
            CAST((row_number() OVER (PARTITION BY d ORDER BY user_id) - 1) // {tb.CHANGES_PAGE_SIZE} + 1 AS INTEGER)

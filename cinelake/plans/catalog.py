@@ -59,15 +59,22 @@ SILVER_BUILDERS = {
     "silver_movie_cast": lambda b: silver.silver_movie_cast(b.credits),
     "silver_movie_crew": lambda b: silver.silver_movie_crew(b.credits),
 }
-GOLD_BUILDERS = {
-    "dim_genre": lambda m: gold.dim_genre(m["silver_genre"]),
-    "dim_movie": lambda m: gold.dim_movie(m["silver_movie"], m["silver_movie_details"]),
-    "dim_person": lambda m: gold.dim_person(m["silver_movie_cast"], m["silver_movie_crew"]),
-    "bridge_movie_genre": lambda m: gold.bridge_movie_genre(m["silver_bridge_movie_genre"]),
-    "bridge_movie_cast": lambda m: gold.bridge_movie_cast(m["silver_movie_cast"]),
-    "bridge_movie_crew": lambda m: gold.bridge_movie_crew(m["silver_movie_crew"]),
-    "fct_movies_by_genre": lambda m: gold.fct_movies_by_genre(m["dim_genre"], m["bridge_movie_genre"]),
+# Gold model -> (function, models it reads).
+GOLD = {
+    "dim_genre": (gold.dim_genre, ("silver_genre",)),
+    "dim_movie": (gold.dim_movie, ("silver_movie", "silver_movie_details")),
+    "dim_person": (gold.dim_person, ("silver_movie_cast", "silver_movie_crew")),
+    "bridge_movie_genre": (gold.bridge_movie_genre, ("silver_bridge_movie_genre",)),
+    "bridge_movie_cast": (gold.bridge_movie_cast, ("silver_movie_cast",)),
+    "bridge_movie_crew": (gold.bridge_movie_crew, ("silver_movie_crew",)),
+    "fct_movies_by_genre": (gold.fct_movies_by_genre, ("dim_genre", "bridge_movie_genre")),
 }
+GOLD_BUILDERS = {n: lambda m, f=f, inputs=inputs: f(*(m[i] for i in inputs)) for n, (f, inputs) in GOLD.items()}
+
+
+def silver_inputs(name: str) -> set[str]:
+    """The silver models that a model rests on, itself included if it is one."""
+    return {name} if name in SILVER_BUILDERS else set().union(*(silver_inputs(i) for i in GOLD[name][1]))
 
 
 class Models(Mapping):
@@ -106,8 +113,8 @@ def silver_models(b: Bronze) -> Models:
     return Models(b, names=list(SILVER_BUILDERS))
 
 
-def gold_models(s: Mapping[str, DataFrame]) -> Models:
-    return Models(silver_tables=s, names=list(GOLD_BUILDERS))
+def gold_models(s: Mapping[str, DataFrame], names=None) -> Models:
+    return Models(silver_tables=s, names=list(GOLD_BUILDERS) if names is None else names)
 
 
 def all_models(b: Bronze) -> Models:

@@ -38,12 +38,12 @@ def rating_by_genre(dim_movie: DataFrame, bridge: DataFrame, dim_genre: DataFram
 def dominant_genre_by_year(dim_movie: DataFrame, bridge: DataFrame, dim_genre: DataFrame) -> DataFrame:
     """per release year the genre(s) with the most movies (ties all kept).
 
-    The window runs after the aggregate, over at most one row per genre in
-    each year."""
+    Counted per year and genre id first; the dimension joins, and the window
+    runs, over at most one row per genre in each year."""
     per = (bridge.join(dim_movie.where(F.col("release_date").isNotNull())
                        .select("movie_id", F.year("release_date").alias("release_year")), "movie_id")
-           .join(dim_genre.select("genre_id", "genre_name"), "genre_id")
-           .groupBy("release_year", "genre_id", "genre_name").agg(F.count(F.lit(1)).alias("movies")))
+           .groupBy("release_year", "genre_id").agg(F.count(F.lit(1)).alias("movies"))
+           .join(dim_genre.select("genre_id", "genre_name"), "genre_id"))
     w = Window.partitionBy("release_year").orderBy(F.col("movies").desc())
     return per.withColumn("rk", F.rank().over(w)).where(F.col("rk") == 1).drop("rk")
 

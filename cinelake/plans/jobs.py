@@ -78,47 +78,85 @@ def count_rows(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def remove_old_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Delete every silver and gold version but the newest ``keep`` complete ones
+    (and failed attempts older than those); returns the deleted folders.  Call it
+    while no reader still uses an older version."""
+    deleted = []
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for name, layer in catalog.MODEL_LAYERS.items():
+        fs, p = _fs(spark, table_path(root, layer, name))
+        if not fs.exists(p):
+            continue
+        found = {int(st.getPath().getName().split("=", 1)[1]): st.getPath() for st in fs.listStatus(p)
+                 if st.getPath().getName().startswith("version=")}
+        complete = sorted((v for v, f in found.items() if fs.exists(path(f, "_SUCCESS"))), reverse=True)[:keep]
+        for v, folder in found.items():
+            if complete and v < complete[-1]:
+                fs.delete(folder, True)
+                deleted.append(folder.toString())
+    return deleted
+
+
 MODEL_THREADS = 4   # models of one layer built concurrently (the reference's model threads)
 
 
-def _materialize_layer(plans, root: str, layer: str, version: int, threads: int) -> list[tuple[str, str]]:
+class BuildFailed(RuntimeError):
+    """A model failed.  ``report`` is the full quality report with one row per failed or skipped model."""
+
+    def __init__(self, problems: list[tuple[str, str, str]], report: DataFrame):
+        super().__init__("; ".join(f"{name} {what}: {why}" for name, what, why in problems))
+        self.problems, self.report = problems, report
+
+
+def _materialize_layer(plans, root: str, layer: str, version: int, threads: int) -> dict[str, str]:
     """Write every model of one layer; independent models run as concurrent
-    Spark jobs.  Returns (model, error) for the models that failed."""
+    Spark jobs.  Returns model -> error for the models that failed."""
     from concurrent.futures import ThreadPoolExecutor
 
     def one(name):
         try:
             materialize_table(plans[name], root, layer, name, version)
             return None
-        except Exception as e:  # noqa: BLE001 -- tests still run after a failed build
-            return name, str(e)[:500]
+        except Exception as e:  # noqa: BLE001 -- collected, tests still run, then raised as BuildFailed
+            return name, str(e)
 
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-        return [r for r in pool.map(one, list(plans)) if r is not None]
+        return dict(r for r in pool.map(one, list(plans)) if r is not None)
 
 
 def build_catalog(spark: SparkSession, b: catalog.Bronze, root: str, version: int | None = None,
                   threads: int = MODEL_THREADS) -> DataFrame:
-    """G1: silver, then gold from the written silver, then every data test
-    (also when a model failed; the failure is reported as a row).  Reading
-    the written silver cuts the lineage between the layers."""
+    """G1: silver, then gold from the silver of this very version, then every data test.
+
+    A failed silver model takes the gold models that rest on it out of the
+    build; their older versions stay current, and the tests run on what is
+    current.  Failed and skipped models are rows of the report (``failures``
+    1), and the job ends with ``BuildFailed``, which carries that report.
+    """
     v = version if version is not None else int(time.time() * 1000)
     s_plans = catalog.silver_models(b)
-    errors = _materialize_layer(s_plans, root, "silver", v, threads)
-    s = {n: read_table(spark, root, "silver", n) for n in s_plans if current_version(
-        spark, table_path(root, "silver", n))}
-    g_plans = catalog.gold_models(s) if len(s) == len(s_plans) else {}
-    if g_plans:
-        errors += _materialize_layer(g_plans, root, "gold", v, threads)
-    tables = dict(s)
-    for n in g_plans:
-        if current_version(spark, table_path(root, "gold", n)):
-            tables[n] = read_table(spark, root, "gold", n)
+    failed = _materialize_layer(s_plans, root, "silver", v, threads)
+
+    def written(layer, name):
+        return spark.read.parquet(f"{table_path(root, layer, name)}/version={v}")
+
+    s = {n: written("silver", n) for n in s_plans if n not in failed}
+    skipped = {n: sorted(catalog.silver_inputs(n) & set(failed)) for n in catalog.GOLD if catalog.silver_inputs(n) & set(failed)}
+    failed |= _materialize_layer(catalog.gold_models(s, [n for n in catalog.GOLD if n not in skipped]), root, "gold", v, threads)
+    tables = {}
+    for n, layer in catalog.MODEL_LAYERS.items():
+        if n not in failed and n not in skipped:
+            tables[n] = written(layer, n)
+        elif current_version(spark, table_path(root, layer, n)):
+            tables[n] = read_table(spark, root, layer, n)
     report = quality.quality_report(tables)
-    if errors:
-        err = spark.createDataFrame([(n, "build", msg, None) for n, msg in errors],
-                                    "table_name string, test_name string, column_names string, failures bigint")
-        report = report.unionByName(err)
+    problems = [(n, "build", why) for n, why in failed.items()] + [
+        (n, "skipped", "needs " + ", ".join(inputs)) for n, inputs in skipped.items()]
+    if problems:
+        rows = spark.createDataFrame([(*p, 1) for p in problems],
+                                     "table_name string, test_name string, column_names string, failures bigint")
+        raise BuildFailed(problems, report.unionByName(rows))
     return report
 
 
@@ -126,61 +164,117 @@ def _bronze_root(root: str, table: str) -> str:
     return table_path(root, "bronze", table)
 
 
+# Partition columns of the bronze tables that are loaded run by run.
+_PARTS = {"genre_raw": ("run_id",), "movie_raw": ("run_id", "month")}
+
+
 def read_bronze(spark: SparkSession, root: str) -> catalog.Bronze:
+    """The four bronze tables; one that was never loaded is empty (``CREATE TABLE IF NOT EXISTS``)."""
     def rd(t):
-        return spark.read.parquet(_bronze_root(root, t))
+        key = bronze.BRONZE_TABLES[t]
+        fs, p = _fs(spark, _bronze_root(root, t))
+        schema = f"{key} bigint, endpoint string, raw_json variant, ingested_at timestamp_ntz"
+        if not fs.exists(p):
+            return spark.createDataFrame([], schema)
+        return spark.read.parquet(_bronze_root(root, t)).select(key, "endpoint", "raw_json", "ingested_at")
     return catalog.Bronze(genre=rd("genre_raw"), movie=rd("movie_raw"),
                           details=rd("movie_details_raw"), credits=rd("movie_credits_raw"))
 
 
-def _ensure_bronze(spark: SparkSession, root: str) -> None:
-    """Create empty bronze tables on first use (``CREATE TABLE IF NOT EXISTS``)."""
-    schema = "k bigint, endpoint string, raw_json variant, ingested_at timestamp_ntz"
-    for t, key in bronze.BRONZE_TABLES.items():
-        fs, p = _fs(spark, _bronze_root(root, t))
-        if not fs.exists(p):
-            spark.createDataFrame([], schema.replace("k bigint", f"{key} bigint")).write.parquet(
-                _bronze_root(root, t))
+def _folders(spark: SparkSession, path: str, prefix: str) -> set[str]:
+    """Values of the partition folders ``<prefix>=...`` right under ``path`` (a listing)."""
+    from urllib.parse import unquote
+
+    fs, p = _fs(spark, path)
+    names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+    return {unquote(n.split("=", 1)[1]) for n in names if n.startswith(f"{prefix}=")}
+
+
+def _marks(root: str, table: str) -> str:
+    return f"{table_path(root, 'bronze', '_loaded')}/{table}"
+
+
+def new_runs(spark: SparkSession, landing: str, root: str, table: str) -> list[str]:
+    """Landed fetch runs that ``table`` has not loaded to the end (two listings; one name per run)."""
+    return sorted(_folders(spark, landing, "run_id") - _folders(spark, _marks(root, table), "run_id"))
+
+
+def _mark(spark: SparkSession, root: str, table: str, runs: list[str]) -> None:
+    from urllib.parse import quote
+
+    for run in runs:
+        fs, p = _fs(spark, f"{_marks(root, table)}/run_id={quote(run, safe='')}")
+        fs.mkdirs(p)
+
+
+def _load(rows: DataFrame, root: str, table: str) -> None:
+    """Write bronze rows by run (and month): a folder appears whole, and a repeated load writes the same folder again."""
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*_PARTS[table]).parquet(_bronze_root(root, table)))
+
+
+def _load_movies(spark: SparkSession, landing: str, root: str, runs: list[str], run_month: str | None) -> None:
+    """Accepted discover pages of ``runs`` -> bronze, one folder per run and month; months already there are left out."""
+    pages = read_landing(spark, landing, runs)
+    if run_month is not None:
+        pages = pages.where(F.col("request_date") == F.lit(run_month).cast("date"))
+    there = [(r, m) for r in runs for m in _folders(spark, f"{_bronze_root(root, 'movie_raw')}/run_id={r}", "month")]
+    if there:
+        done = spark.createDataFrame(there, "run_id string, m string").select("run_id", F.col("m").cast("date").alias("request_date"))
+        pages = pages.join(done, ["run_id", "request_date"], "left_anti")
+    rows = bronze.land_movie_rows(worklist.accept_pages(pages), carry=("run_id", "month"))
+    _load(rows, root, "movie_raw")
+
+
+def _append_worklist(spark: SparkSession, landing: str, root: str, table: str, todo: DataFrame, land) -> None:
+    """Landed responses of the new runs whose id is on the worklist -> bronze.  A repeated call finds those ids done."""
+    runs = new_runs(spark, landing, root, table)
+    responses = read_landing(spark, landing, runs)
+    fetched = responses.join(todo.withColumnRenamed("movie_id", "request_key"), "request_key", "left_semi")
+    bronze.bronze_append(land(fetched), _bronze_root(root, table))
+    _mark(spark, root, table, runs)
 
 
 def daily_increment(spark: SparkSession, landing_root: str, root: str, run_month: str | None = None,
                     version: int | None = None) -> DataFrame:
-    """Genres + the run month's discover pages -> bronze append -> details
-    worklist -> landed details -> credits worklist -> landed credits -> G1.
+    """New genre runs, the run month's pages of new discover runs -> bronze
+    -> details worklist -> landed details -> credits worklist -> landed
+    credits -> G1.
 
     ``landing_root`` holds the landed responses (``genre/ discover/ details/
-    credits/``); "fetching" a worklist is a semi join of the worklist with the
-    landed responses, so the job never loops over ids on the driver.
+    credits/``, one ``run_id=...`` folder per fetch run).  Only runs that
+    bronze has not taken in yet are read, so a repeated call adds nothing.
+    Without ``run_month`` the month is the newest one of the new runs.
     Returns the G1 quality report.
     """
-    _ensure_bronze(spark, root)
-    genres = read_landing(spark, f"{landing_root}/genre")
-    pages = read_landing(spark, f"{landing_root}/discover")
-    if run_month is None:
-        month = pages.agg(F.max("request_date").alias("request_date"))
-    else:
-        month = spark.range(1).select(F.lit(run_month).cast("date").alias("request_date"))
-    month_pages = pages.join(F.broadcast(month), "request_date")
-    bronze.bronze_append(bronze.land_genre_rows(genres), _bronze_root(root, "genre_raw"))
-    bronze.bronze_append(bronze.land_movie_rows(worklist.accept_pages(month_pages).drop("month")),
-                         _bronze_root(root, "movie_raw"))
+    land = {k: f"{landing_root}/{k}" for k in ("genre", "discover", "details", "credits")}
+    runs = new_runs(spark, land["genre"], root, "genre_raw")
+    if runs:
+        _load(bronze.land_genre_rows(read_landing(spark, land["genre"], runs), carry=("run_id",)), root, "genre_raw")
+        _mark(spark, root, "genre_raw", runs)
+    runs = new_runs(spark, land["discover"], root, "movie_raw")
+    if runs:
+        month = run_month or str(read_landing(spark, land["discover"], runs).agg(F.max("request_date")).first()[0])
+        _load_movies(spark, land["discover"], root, runs, month)
+        _mark(spark, root, "movie_raw", runs)
     b = read_bronze(spark, root)
-    todo = worklist.details_worklist(b.movie, b.details)
-    details = read_landing(spark, f"{landing_root}/details")
-    fetched = details.join(todo.withColumnRenamed("movie_id", "request_key"), "request_key", "left_semi")
-    bronze.bronze_append(bronze.land_detail_rows(fetched), _bronze_root(root, "movie_details_raw"))
+    _append_worklist(spark, land["details"], root, "movie_details_raw", worklist.details_worklist(b.movie, b.details),
+                     bronze.land_detail_rows)
     b = read_bronze(spark, root)
-    todo = worklist.credits_worklist(b.details, b.credits)
-    credits = read_landing(spark, f"{landing_root}/credits")
-    fetched = credits.join(todo.withColumnRenamed("movie_id", "request_key"), "request_key", "left_semi")
-    bronze.bronze_append(bronze.land_credit_rows(fetched), _bronze_root(root, "movie_credits_raw"))
+    _append_worklist(spark, land["credits"], root, "movie_credits_raw", worklist.credits_worklist(b.details, b.credits),
+                     bronze.land_credit_rows)
     return build_catalog(spark, read_bronze(spark, root), root, version)
 
 
-def full_backfill(spark: SparkSession, pages_landing: DataFrame) -> DataFrame:
-    """Every landed month at once (one distributed read instead of a
-    serial month loop) -> accepted pages -> bronze movie rows -> silver_movie.
-    Safe to repeat: silver de-duplicates."""
-    rows = bronze.land_movie_rows(worklist.accept_pages(pages_landing).drop("month"))
-    return silver.silver_movie(rows)
+def full_backfill(spark: SparkSession, discover_landing: str, root: str) -> DataFrame:
+    """Every landed month of every new run at once (one distributed read
+    instead of a serial month loop) -> accepted pages -> bronze movie rows,
+    one folder per run and month -> silver_movie over that bronze.
 
+    Restartable: after a crash the months that are in bronze are not loaded
+    again, and a repeated call loads nothing."""
+    runs = new_runs(spark, discover_landing, root, "movie_raw")
+    if runs:
+        _load_movies(spark, discover_landing, root, runs, None)
+        _mark(spark, root, "movie_raw", runs)
+    return silver.silver_movie(read_bronze(spark, root).movie)

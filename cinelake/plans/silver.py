@@ -1,9 +1,9 @@
 """Silver models -- SURVEY C10-C16.
 
 Each model is a function of bronze DataFrames.  The JSON paths are read
-once, the typed scalars are deduplicated with ``latest_per_key`` (a partial
-hash aggregate keyed on the model grain), so the output of every model is
-already hash-partitioned on its grain for the gold joins.
+once, the typed scalars are deduplicated with ``latest_per_key``, an
+aggregate with a map-side partial step keyed on the model grain (Spark plans
+it as a sort aggregate where the payload holds strings).
 """
 
 from __future__ import annotations
@@ -11,18 +11,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinelake.functions.jsonops import (blank_to_null, json_array, json_bigint, json_bool, json_date,
-                                        json_double, json_string)
+from cinelake.functions.jsonops import (blank_to_null, flatten_match_row, flatten_scalar_array, flatten_struct_array,
+                                        json_bigint, json_bool, json_date, json_double, json_string)
 from cinelake.operators.dedupe import latest_per_key
 
 
 def silver_genre(genre_raw: DataFrame) -> DataFrame:
     """C6 + C7: flatten the whole genre list, keep the element matching the
     row's own ``genre_id`` (bronze column, not JSON), newest per genre."""
-    arrays = genre_raw.select("genre_id", "endpoint", "ingested_at", json_array("raw_json", "genres").alias("a"))
-    flat = arrays.select("genre_id", "endpoint", "ingested_at", F.explode("a").alias("g"))
-    named = flat.where(json_bigint("g", "id") == F.col("genre_id")).select(
-        "genre_id", json_string("g", "name").alias("genre_name"), "endpoint", "ingested_at")
+    named = flatten_match_row(genre_raw, "raw_json", "genres", "id", "genre_id", "endpoint", "ingested_at").select(
+        "genre_id", json_string("e", "name").alias("genre_name"), "endpoint", "ingested_at")
     return latest_per_key(named, ["genre_id"])
 
 
@@ -74,20 +72,13 @@ def silver_movie_details(details_raw: DataFrame) -> DataFrame:
 def silver_bridge_movie_genre(movie_raw: DataFrame) -> DataFrame:
     """C4 + C13: flatten ``genre_ids``; the time column is dropped, so the
     latest row per pair is simply DISTINCT over all snapshots (links accumulate)."""
-    arrays = movie_raw.select(json_bigint("raw_json", "id").alias("movie_id"),
-                              json_array("raw_json", "genre_ids").alias("a"))
-    flat = arrays.select("movie_id", F.explode("a").alias("g"))
-    return flat.select("movie_id", F.round(F.col("g").cast("decimal(38,9)"), 0).cast("bigint").alias("genre_id")) \
-        .distinct()
+    return flatten_scalar_array(movie_raw, "raw_json", "genre_ids", "genre_id",
+                                json_bigint("raw_json", "id").alias("movie_id")).distinct()
 
 
 def _credits(credits_raw: DataFrame, array: str) -> DataFrame:
-    # Paths are read in the projection right above the scan (and only then
-    # exploded), so the Parquet scan returns just ``$.id`` and ``$.<array>``
-    # from the shredded VARIANT instead of whole documents.
-    arrays = credits_raw.select(json_bigint("raw_json", "id").alias("movie_id"), "ingested_at",
-                                json_array("raw_json", array).alias("a"))
-    return arrays.select("movie_id", "ingested_at", F.posexplode("a").alias("pos", "c"))
+    flat = flatten_struct_array(credits_raw, "raw_json", array, json_bigint("raw_json", "id").alias("movie_id"), "ingested_at")
+    return flat.withColumnRenamed("e", "c")
 
 
 def silver_movie_cast(credits_raw: DataFrame) -> DataFrame:

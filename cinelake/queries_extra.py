@@ -8,11 +8,14 @@ into a fresh folder under the session's ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinelake import oracle as O
-from cinelake.functions.jsonops import json_array, json_bigint, json_double, json_string
+from cinelake.functions.jsonops import (flatten_match_row, flatten_scalar_array, flatten_struct_array, json_array, json_bigint,
+                                        json_double, json_string)
 from cinelake.operators import dedupe, quality, worklist
 from cinelake.plans import catalog, discover, gold, jobs, silver
 from cinelake.registry import register
@@ -130,9 +133,8 @@ def q_bronze_scan(spark: SparkSession, sf: str) -> DataFrame:
     b = _b(spark, sf)
     for name, df in zip(bronze.BRONZE_TABLES, (b.genre, b.movie, b.details, b.credits)):
         bronze.bronze_append(df, f"{root}/{name}")
-    views = bronze.bronze_scan(spark, root)
-    parts = [spark.table(f"base_bronze_{name}").agg(F.count(F.lit(1)).alias("row_count"))
-             .select(F.lit(name).alias("table_name"), "row_count") for name in views]
+    parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+             for name, df in bronze.bronze_scan(spark, root).items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -201,7 +203,7 @@ def q_change_list_rows(spark: SparkSession, sf: str) -> DataFrame:
 @register("drop_missing_responses", W("SELECT movie_id, 200 AS http_status, ingested_at AS fetched_at "
                                        "FROM details_rows"))
 def q_drop_missing_responses(spark: SparkSession, sf: str) -> DataFrame:
-    ok = bronze.drop_missing_responses(testbed.details_landing(spark, sf))
+    ok = bronze.drop_missing_responses(testbed.details_landing(spark, sf), bronze.SKIPPED_STATUSES)
     return ok.select(F.col("request_key").alias("movie_id"), "http_status", "fetched_at")
 
 
@@ -215,12 +217,14 @@ def q_details_worklist(spark: SparkSession, sf: str) -> DataFrame:
     return worklist.details_worklist(b.movie, b.details)
 
 
-@register("credits_worklist", W("""
+@register("credits_worklist", W(f"""
     SELECT DISTINCT movie_id FROM details_rows
-    WHERE movie_id NOT IN (SELECT DISTINCT movie_id FROM credit_rows) ORDER BY movie_id"""))
+    WHERE movie_id NOT IN (SELECT movie_id FROM credit_rows JOIN part ON movie_id = p_partkey
+                           WHERE p_size <= {tb.LAGGING_CREDITS_SIZE}) ORDER BY movie_id"""))
 def q_credits_worklist(spark: SparkSession, sf: str) -> DataFrame:
     b = _b(spark, sf)
-    return worklist.credits_worklist(b.details, b.credits)
+    lagging = testbed.credits_landing(spark, sf, tb.LAGGING_CREDITS_SIZE)
+    return worklist.credits_worklist(b.details, bronze.land_credit_rows(lagging))
 
 
 @register("high_water_date", "SELECT COALESCE(strftime(max(ts), '%Y-%m-%d'), '2023-06-25') AS high_water "
@@ -270,7 +274,7 @@ def q_month_windows(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("accept_pages", W("SELECT mth AS month, page, n_results, total_pages FROM accepted_pages"))
 def q_accept_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return worklist.accept_pages(testbed.discover_landing(spark, sf)).select(
+    return worklist.accept_pages(testbed.discover_landing(spark, sf, empty_pages=True)).select(
         "month", "page", "n_results", "total_pages")
 
 
@@ -304,8 +308,8 @@ def q_backfill_windows(spark: SparkSession, sf: str) -> DataFrame:
     WHERE p_partkey NOT IN (SELECT movie_id FROM details_rows) ORDER BY movie_id"""))
 def q_export_worklist(spark: SparkSession, sf: str) -> DataFrame:
     root = _write_exports(spark, sf)
-    exports = bronze.read_id_export(spark, f"{root}/movie_ids_*")
-    return worklist.export_worklist(exports, _b(spark, sf).details)
+    newest = bronze.read_id_export(spark, bronze.newest_export(spark, f"{root}/movie_ids_*"))
+    return worklist.export_worklist(newest, _b(spark, sf).details)
 
 
 # ---- 2.3 / 2.4 extra models ---------------------------------------------------------------
@@ -326,15 +330,23 @@ def q_fact_movie_popularity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---- 2.5 data tests --------------------------------------------------------------------------
+def written_models(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The whole catalogue, written once per layer and read back: what the data tests and discovery run on."""
+    root, b = scratch_dir(spark, "catalog"), _b(spark, sf)
+    s = {n: spark.read.parquet(jobs.materialize_table(df, root, "silver", n)) for n, df in catalog.silver_models(b).items()}
+    g = {n: spark.read.parquet(jobs.materialize_table(df, root, "gold", n)) for n, df in catalog.gold_models(s).items()}
+    return s | g
+
+
 @register("quality_report", W(quality.oracle_tests_sql()))
 def q_quality_report(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.quality_report(_m(spark, sf))
+    return quality.quality_report(written_models(spark, sf))
 
 
-for _key, _kinds in (("test_not_null", ("not_null",)), ("test_unique", ("unique",)),
-                     ("test_unique_combination", ("combination",))):
-    def _q(spark: SparkSession, sf: str, _kinds=_kinds) -> DataFrame:
-        return quality.run_tests(_m(spark, sf), kinds=_kinds)
+for _key, _kinds, _name in (("test_not_null", ("not_null",), "not_null"), ("test_unique", ("unique",), "unique"),
+                            ("test_unique_combination", ("combination",), "unique_combination_of_columns")):
+    def _q(spark: SparkSession, sf: str, _name=_name) -> DataFrame:
+        return quality.quality_report(written_models(spark, sf)).where(F.col("test_name") == _name)
     _q.__name__ = f"q_{_key}"
     register(_key, W(quality.oracle_tests_sql(_kinds)))(_q)
 
@@ -436,12 +448,12 @@ def q_build_catalog(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.build_catalog(spark, _b(spark, sf), scratch_dir(spark, "catalog"))
 
 
-def write_test_landing(spark: SparkSession, sf: str, root: str) -> str:
-    """Land the test bed's responses as JSON-line files (genre, discover, details, credits)."""
-    landing.write_landing(testbed.genre_landing(spark, sf), f"{root}/genre")
-    landing.write_landing(testbed.discover_landing(spark, sf), f"{root}/discover")
-    landing.write_landing(testbed.details_landing(spark, sf), f"{root}/details")
-    landing.write_landing(testbed.credits_landing(spark, sf), f"{root}/credits")
+def write_test_landing(spark: SparkSession, sf: str, root: str, kinds=("genre", "discover", "details", "credits")) -> str:
+    """Land the test bed's responses as JSON-line files, one folder per kind and fetch run."""
+    make = {"genre": testbed.genre_landing, "discover": testbed.discover_landing, "details": testbed.details_landing,
+            "credits": testbed.credits_landing}
+    for kind in kinds:
+        landing.write_landing(make[kind](spark, sf), f"{root}/{kind}")
     return root
 
 
@@ -461,15 +473,13 @@ _DAILY_SQL = W(f"""
         SELECT *, row_number() OVER (PARTITION BY movie_id
                                      ORDER BY ingested_at DESC, {O._desc(O.MOVIE_COLS + ["endpoint"])}) AS rn_m
         FROM (SELECT r.* EXCLUDE (ingested_at), r.page_fetched_at AS ingested_at
-              FROM landed_movie_rows r JOIN accepted_pages a ON r.mth = a.mth AND r.page = a.page
-              WHERE r.mth = (SELECT max(mth) FROM page_facts))) WHERE rn_m = 1) m
+              FROM landed_movie_rows r WHERE r.mth = (SELECT max(mth) FROM page_facts))) WHERE rn_m = 1) m
     LEFT JOIN (
       SELECT * FROM (
         SELECT *, row_number() OVER (PARTITION BY movie_id
                                      ORDER BY ingested_at DESC, {O._desc(O.DETAILS_COLS + ["endpoint"])}) AS rn_d
         FROM details_rows
-        WHERE movie_id IN (SELECT r.movie_id FROM landed_movie_rows r JOIN accepted_pages a
-                           ON r.mth = a.mth AND r.page = a.page
+        WHERE movie_id IN (SELECT r.movie_id FROM landed_movie_rows r
                            WHERE r.mth = (SELECT max(mth) FROM page_facts) AND r.popularity >= 1))
       WHERE rn_d = 1) d ON m.movie_id = d.movie_id""")
 
@@ -490,11 +500,12 @@ def q_daily_increment(spark: SparkSession, sf: str) -> DataFrame:
                title DESC NULLS LAST, original_title DESC NULLS LAST, original_language DESC NULLS LAST,
                overview DESC NULLS LAST, release_date DESC NULLS LAST, popularity DESC NULLS LAST,
                vote_average DESC NULLS LAST, vote_count DESC NULLS LAST, adult DESC NULLS LAST) AS rn2
-      FROM landed_movie_rows r JOIN accepted_pages a ON r.mth = a.mth AND r.page = a.page) WHERE rn2 = 1"""))
+      FROM landed_movie_rows r) WHERE rn2 = 1"""))
 def q_full_backfill(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_dir(spark, "backfill")
     landing.write_landing(testbed.discover_landing(spark, sf), f"{base}/discover")
-    return jobs.full_backfill(spark, landing.read_landing(spark, f"{base}/discover"))
+    jobs.full_backfill(spark, f"{base}/discover", f"{base}/catalog")
+    return jobs.full_backfill(spark, f"{base}/discover", f"{base}/catalog")   # a repeated call loads nothing
 
 
 def write_event_landing(spark: SparkSession, sf: str, path: str, files: int = 4) -> str:
@@ -505,17 +516,24 @@ def write_event_landing(spark: SparkSession, sf: str, path: str, files: int = 4)
     return path
 
 
-@register("stream_bronze_append", "SELECT event_id, user_id, event_type, value, ts AS ingested_at FROM events")
+@register("stream_bronze_append", W("""
+    SELECT 'events' AS table_name, CAST(event_id AS BIGINT) AS id, ts AS ingested_at, count(*) AS n FROM events GROUP BY event_id, ts
+    UNION ALL SELECT 'discover', movie_id, page_fetched_at, count(*) FROM landed_movie_rows GROUP BY movie_id, page_fetched_at
+    UNION ALL SELECT 'details', movie_id, ingested_at, count(*) FROM details_rows GROUP BY movie_id, ingested_at
+    UNION ALL SELECT 'credits', movie_id, ingested_at, 1 FROM (SELECT DISTINCT movie_id, ingested_at FROM credit_rows)"""))
 def q_stream_bronze_append(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_dir(spark, "stream-append")
-    src = write_event_landing(spark, sf, f"{base}/landing")
-    for _ in range(2):       # the second drain finds nothing new: exactly once
-        bronze_stream.stream_bronze_append(spark, src, f"{base}/bronze", f"{base}/_checkpoint",
-                                           max_files_per_trigger=1)
-    b = spark.read.parquet(f"{base}/bronze")
-    return b.select("event_id", F.variant_get("raw_json", "$.user_id", "bigint").alias("user_id"),
-                    F.variant_get("raw_json", "$.event_type", "string").alias("event_type"),
-                    F.variant_get("raw_json", "$.value", "double").alias("value"), "ingested_at")
+    write_test_landing(spark, sf, f"{base}/landing", ("discover", "details", "credits"))
+    write_event_landing(spark, sf, f"{base}/landing/events")
+    parts = []
+    for kind in ("events", *bronze_stream.LANDINGS):
+        to_bronze = bronze_stream.event_bronze if kind == "events" else bronze_stream.envelope_bronze(kind)
+        for _ in range(2):       # the second drain finds nothing new: exactly once
+            bronze_stream.stream_bronze_append(spark, f"{base}/landing/{kind}", f"{base}/bronze/{kind}", f"{base}/_checkpoint/{kind}", to_bronze)
+        b = spark.read.parquet(f"{base}/bronze/{kind}")
+        parts.append(b.groupBy(F.col(b.columns[0]).alias("id"), "ingested_at").agg(F.count(F.lit(1)).alias("n"))
+                     .select(F.lit(kind).alias("table_name"), "id", "ingested_at", "n"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @register("stream_latest_upsert", """
@@ -527,8 +545,9 @@ def q_stream_bronze_append(spark: SparkSession, sf: str) -> DataFrame:
 def q_stream_latest_upsert(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_dir(spark, "stream-upsert")
     src = write_event_landing(spark, sf, f"{base}/landing")
-    bronze_stream.stream_latest_upsert(spark, src, f"{base}/table", f"{base}/_checkpoint", max_files_per_trigger=1)
-    return bronze_stream.read_latest(spark, f"{base}/table")
+    for _ in range(2):       # a restart finds nothing new
+        latest = bronze_stream.stream_latest(spark, src, f"{base}/bronze", f"{base}/_checkpoint", max_files_per_trigger=1)
+    return latest
 
 
 # ---- 2.3 silver building blocks (C1-C9) -------------------------------------------------------
@@ -569,11 +588,8 @@ def q_blank_date_to_null(spark: SparkSession, sf: str) -> DataFrame:
     UNION ALL SELECT movie_id, l_orderkey, CAST(l_linenumber AS BIGINT), genre_b FROM movie_rows"""))
 def q_flatten_scalar_array(spark: SparkSession, sf: str) -> DataFrame:
     r = "raw_json"
-    flat = testbed.movie_raw(spark, sf).select(
-        json_bigint(r, "id").alias("movie_id"), json_bigint(r, "l_orderkey").alias("l_orderkey"),
-        json_bigint(r, "l_linenumber").alias("l_linenumber"), F.explode(json_array(r, "genre_ids")).alias("g"))
-    return flat.select("movie_id", "l_orderkey", "l_linenumber",
-                       F.round(F.col("g").cast("decimal(38,9)"), 0).cast("bigint").alias("genre_id"))
+    return flatten_scalar_array(testbed.movie_raw(spark, sf), r, "genre_ids", "genre_id", json_bigint(r, "id").alias("movie_id"),
+                                json_bigint(r, "l_orderkey").alias("l_orderkey"), json_bigint(r, "l_linenumber").alias("l_linenumber"))
 
 
 @register("flatten_struct_array", W("""
@@ -582,18 +598,16 @@ def q_flatten_scalar_array(spark: SparkSession, sf: str) -> DataFrame:
     FROM credit_rows"""))
 def q_flatten_struct_array(spark: SparkSession, sf: str) -> DataFrame:
     c = _b(spark, sf).credits
-    flat = c.select(json_bigint("raw_json", "id").alias("movie_id"), "ingested_at",
-                    F.posexplode(json_array("raw_json", "cast")).alias("pos", "c"))
-    return flat.select("movie_id", "ingested_at", "pos", json_bigint("c", "id").alias("person_id"),
-                       json_string("c", "name").alias("name"), json_string("c", "character").alias("character"),
-                       json_bigint("c", "order").alias("cast_order"))
+    flat = flatten_struct_array(c, "raw_json", "cast", json_bigint("raw_json", "id").alias("movie_id"), "ingested_at")
+    return flat.select("movie_id", "ingested_at", "pos", json_bigint("e", "id").alias("person_id"),
+                       json_string("e", "name").alias("name"), json_string("e", "character").alias("character"),
+                       json_bigint("e", "order").alias("cast_order"))
 
 
 @register("flatten_match_row", W("SELECT genre_id, genre_name, ingested_at FROM genre_rows"))
 def q_flatten_match_row(spark: SparkSession, sf: str) -> DataFrame:
     g = _b(spark, sf).genre
-    flat = g.select("genre_id", "ingested_at", F.explode(json_array("raw_json", "genres")).alias("e"))
-    return flat.where(json_bigint("e", "id") == F.col("genre_id")).select(
+    return flatten_match_row(g, "raw_json", "genres", "id", "genre_id", "ingested_at").select(
         "genre_id", json_string("e", "name").alias("genre_name"), "ingested_at")
 
 

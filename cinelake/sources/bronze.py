@@ -8,10 +8,12 @@ land_* functions turn landing frames (``sources.landing``) into bronze rows;
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinelake.functions.jsonops import json_array, json_bigint, json_bool
+from cinelake.functions.jsonops import json_bigint, json_bool, required_array
 
 # ---- fixed values -----------------------------------------------------------------
 BRONZE_TABLES = {            # table -> key column
@@ -21,7 +23,7 @@ BRONZE_TABLES = {            # table -> key column
     "movie_credits_raw": "movie_id",
 }
 OK_STATUS = 200
-SKIPPED_STATUSES = (404, 429)   # not found; rate limit still hit after all retries
+SKIPPED_STATUSES = (404, 429)   # details and credits: not found; rate limit still hit after all retries
 # -------------------------------------------------------------------------------------
 
 
@@ -30,8 +32,8 @@ def _not_null(c: Column, name: str) -> Column:
     return F.coalesce(c, F.raise_error(F.lit(f"bronze contract: {name} is NULL"))).alias(name)
 
 
-def bronze_contract(df: DataFrame, key: str) -> DataFrame:
-    """The typed bronze shape.  ``ingested_at`` defaults to the load time
+def bronze_contract(df: DataFrame, key: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """The typed bronze shape (and ``carry``, the columns that a table is partitioned by).  ``ingested_at`` defaults to the load time
     (one ``current_timestamp()`` per append, as a column default would)."""
     ingested = F.col("ingested_at") if "ingested_at" in df.columns else F.localtimestamp()
     return df.select(
@@ -39,39 +41,45 @@ def bronze_contract(df: DataFrame, key: str) -> DataFrame:
         _not_null(F.col("endpoint").cast("string"), "endpoint"),
         _not_null(F.col("raw_json"), "raw_json"),
         _not_null(ingested.cast("timestamp_ntz"), "ingested_at"),
+        *[_not_null(F.col(c), c) for c in carry],
     )
 
 
-def drop_missing_responses(landing: DataFrame) -> DataFrame:
-    """Keep 200 responses; 404 and exhausted 429 are skipped (retried next
-    run because nothing is recorded); any other status stops the job."""
+def drop_missing_responses(landing: DataFrame, soft: tuple[int, ...] = ()) -> DataFrame:
+    """Keep 200 responses; statuses in ``soft`` are skipped (retried next
+    run because nothing is recorded); any other or a missing status stops the job.
+
+    Details and credits are soft on 404 and exhausted 429; a failing genre,
+    discover or change-list response stops the job, as a page left out there
+    would end a month early.
+    """
     status = F.col("http_status")
-    guard = F.when(status.isin(OK_STATUS, *SKIPPED_STATUSES) | status.isNull(), F.lit(True)).otherwise(
-        F.raise_error(F.concat(F.lit("unexpected HTTP status "), status.cast("string"),
-                               F.lit(" for "), F.col("endpoint"))))
-    return landing.where(guard & (status == OK_STATUS))
+    guard = F.when(status == OK_STATUS, F.lit(True)).when(status.isin(*soft) if soft else F.lit(False), F.lit(False)).otherwise(
+        F.raise_error(F.concat(F.lit("unexpected HTTP status "), F.coalesce(status.cast("string"), F.lit("NULL")),
+                               F.lit(" for "), F.coalesce("endpoint", F.lit("NULL")))).cast("boolean"))
+    return landing.where(guard)
 
 
-def land_genre_rows(landing: DataFrame) -> DataFrame:
+def land_genre_rows(landing: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """A1: one row per ``genres[]`` element, each carrying the whole response."""
     ok = drop_missing_responses(landing)
-    rows = ok.select("endpoint", "fetched_at", "body", F.explode(json_array("body", "genres")).alias("g"))
+    rows = ok.select("endpoint", "fetched_at", "body", *carry, F.explode(required_array("body", "genres")).alias("g"))
     return bronze_contract(rows.select(json_bigint("g", "id").alias("genre_id"), "endpoint",
-                                       F.col("body").alias("raw_json"), F.col("fetched_at").alias("ingested_at")),
-                           "genre_id")
+                                       F.col("body").alias("raw_json"), F.col("fetched_at").alias("ingested_at"), *carry),
+                           "genre_id", carry)
 
 
-def land_movie_rows(landing: DataFrame) -> DataFrame:
+def land_movie_rows(landing: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """A2: one row per ``results[]`` element, carrying only that element."""
     ok = drop_missing_responses(landing)
-    rows = ok.select("endpoint", "fetched_at", F.explode(json_array("body", "results")).alias("m"))
+    rows = ok.select("endpoint", "fetched_at", *carry, F.explode(required_array("body", "results")).alias("m"))
     return bronze_contract(rows.select(json_bigint("m", "id").alias("movie_id"), "endpoint",
-                                       F.col("m").alias("raw_json"), F.col("fetched_at").alias("ingested_at")),
-                           "movie_id")
+                                       F.col("m").alias("raw_json"), F.col("fetched_at").alias("ingested_at"), *carry),
+                           "movie_id", carry)
 
 
 def _land_by_id(landing: DataFrame, suffix: str) -> DataFrame:
-    ok = drop_missing_responses(landing)
+    ok = drop_missing_responses(landing, SKIPPED_STATUSES)
     return bronze_contract(ok.select(
         F.col("request_key").alias("movie_id"),
         F.concat(F.lit("/movie/"), F.col("request_key").cast("string"), F.lit(suffix)).alias("endpoint"),
@@ -110,30 +118,31 @@ def drop_column_if_exists(df: DataFrame, name: str) -> DataFrame:
     return df.drop(name)
 
 
-def bronze_scan(spark: SparkSession, root: str, register_views: bool = True) -> dict[str, DataFrame]:
-    """Scan the four bronze tables, project the four columns, expose views."""
+def bronze_scan(spark: SparkSession, root: str, view_prefix: str | None = None) -> dict[str, DataFrame]:
+    """Scan the four bronze tables and project the four columns; views ``<view_prefix><table>`` only on request."""
     out = {}
     for name, key in BRONZE_TABLES.items():
         df = spark.read.parquet(f"{root}/{name}").select(key, "endpoint", "raw_json", "ingested_at")
-        if register_views:
-            df.createOrReplaceTempView(f"base_bronze_{name}")
+        if view_prefix is not None:
+            df.createOrReplaceTempView(f"{view_prefix}{name}")
         out[name] = df
     return out
 
 
-def read_id_export(spark: SparkSession, path_glob: str, min_partitions: int | None = None) -> DataFrame:
+_EXPORT_DATE = r"movie_ids_(\d{2}_\d{2}_\d{4})"
+
+
+def read_id_export(spark: SparkSession, path_glob: str | list[str]) -> DataFrame:
     """Daily gzip JSON-lines ID exports ``movie_ids_MM_DD_YYYY.json.gz``.
 
-    The date comes from the file (or folder) name.  Gzip is not splittable,
-    so the lines are spread over the cluster right after the read.
+    The date comes from the file (or folder) name.  A gzip file is read by
+    one task; many daily files make as many tasks, so nothing is shuffled.
     """
     raw = spark.read.text(path_glob).select(
-        "value", F.regexp_extract(F.col("_metadata.file_path"), r"movie_ids_(\d{2})_(\d{2})_(\d{4})", 0)
-        .alias("tag"))
-    n = min_partitions or spark.sparkContext.defaultParallelism
+        "value", F.regexp_extract(F.col("_metadata.file_path"), _EXPORT_DATE, 1).alias("tag"))
     v = F.parse_json("value")
-    return raw.repartition(n).select(
-        F.to_date(F.regexp_extract("tag", r"(\d{2}_\d{2}_\d{4})", 1), "MM_dd_yyyy").alias("ingestion_date"),
+    return raw.select(
+        F.to_date("tag", "MM_dd_yyyy").alias("ingestion_date"),
         F.variant_get(v, "$.id", "bigint").alias("movie_id"),
         F.variant_get(v, "$.adult", "boolean").alias("adult"),
         F.variant_get(v, "$.video", "boolean").alias("video"),
@@ -142,12 +151,28 @@ def read_id_export(spark: SparkSession, path_glob: str, min_partitions: int | No
     )
 
 
+def newest_export(spark: SparkSession, path_glob: str) -> list[str]:
+    """The paths of the newest export day, from names alone (a listing; no file is opened)."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path_glob)
+    found = p.getFileSystem(sc._jsc.hadoopConfiguration()).globStatus(p) or []
+    days: dict[tuple[str, ...], list[str]] = {}
+    for path in (str(st.getPath()) for st in found):
+        m = re.search(_EXPORT_DATE, path)
+        if m:
+            month, day, year = m[1].split("_")
+            days.setdefault((year, month, day), []).append(path)
+    if not days:
+        raise FileNotFoundError(f"no ID export at {path_glob}")
+    return days[max(days)]
+
+
 def change_list_rows(landing: DataFrame) -> DataFrame:
     """Change-list pages -> (change_date, movie_id, adult, page, raw_json)."""
     ok = drop_missing_responses(landing)
     rows = ok.select(F.col("request_date").alias("change_date"),
                      F.variant_get("body", "$.page", "int").alias("page"),
-                     F.explode(json_array("body", "results")).alias("r"))
+                     F.explode(required_array("body", "results")).alias("r"))
     return rows.select("change_date", json_bigint("r", "id").alias("movie_id"), json_bool("r", "adult").alias("adult"),
                        "page", F.col("r").alias("raw_json"))
 

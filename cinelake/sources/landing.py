@@ -3,8 +3,13 @@
 A landing record is one HTTP response, stored as one JSON line (an
 "envelope") so that landed files split and parallelise like any text input:
 
-    {"endpoint": "/movie/603", "http_status": 200, "fetched_at": "...",
-     "request_key": 603, "request_date": null, "body": {...response...}}
+    {"run_id": "daily-2026-02-01", "endpoint": "/movie/603", "http_status": 200,
+     "fetched_at": "...", "request_key": 603, "request_date": null,
+     "body": {...response...}}
+
+``run_id`` names the fetch run: pages of one month fetched by two runs are two
+answers, never mixed.  Files lie in one ``run_id=...`` folder per run, so a
+job reads the runs it needs and no other.
 
 ``read_landing`` gives the envelope as columns with ``body`` as VARIANT; the
 test bed builds the very same frame straight from the driver tables, so every
@@ -16,12 +21,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ENVELOPE_COLUMNS = ["endpoint", "http_status", "fetched_at", "request_key", "request_date", "body"]
+ENVELOPE_COLUMNS = ["run_id", "endpoint", "http_status", "fetched_at", "request_key", "request_date", "body"]
 
 
-def envelope(endpoint, http_status, fetched_at, body, request_key=None, request_date=None) -> list:
-    """Columns of a landing frame; ``body`` must be a VARIANT column."""
+def envelope(endpoint, http_status, fetched_at, body, request_key=None, request_date=None, run_id=None) -> list:
+    """Columns of a landing frame; ``body`` must be a VARIANT column.  A
+    response without a run id belongs to the run of its fetch day."""
+    day = F.date_format(fetched_at.cast("timestamp_ntz"), "yyyy-MM-dd")
     return [
+        (F.coalesce(run_id, day) if run_id is not None else day).cast("string").alias("run_id"),
         endpoint.cast("string").alias("endpoint"),
         http_status.cast("int").alias("http_status"),
         fetched_at.cast("timestamp_ntz").alias("fetched_at"),
@@ -32,23 +40,29 @@ def envelope(endpoint, http_status, fetched_at, body, request_key=None, request_
 
 
 def write_landing(df: DataFrame, path: str, compression: str | None = None) -> str:
-    """Write a landing frame as JSON lines (one response per line)."""
+    """Write a landing frame as JSON lines (one response per line), one folder per run."""
     line = F.to_json(F.struct(
         "endpoint", "http_status",
         F.date_format("fetched_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("fetched_at"),
         "request_key",
         F.date_format("request_date", "yyyy-MM-dd").alias("request_date"),
         "body"))
-    w = df.select(line.alias("value")).write.mode("errorifexists")
+    w = df.select(line.alias("value"), "run_id").write.mode("errorifexists").partitionBy("run_id")
     if compression:
         w = w.option("compression", compression)
     w.text(path)
     return path
 
 
-def read_landing(spark: SparkSession, path: str) -> DataFrame:
-    """Read landed envelopes; malformed lines fail the read (strict parse)."""
-    raw = spark.read.text(path).select(F.parse_json("value").alias("e"))
+def read_lines(spark: SparkSession, path: str, runs: list[str] | None = None) -> DataFrame:
+    """(value, run_id) of a landing folder with one ``run_id=...`` folder per run; ``runs`` prunes the folders."""
+    lines = spark.read.schema("value string, run_id string").text(path)
+    return lines if runs is None else lines.where(F.col("run_id").isin(runs))
+
+
+def parse_landing(lines: DataFrame) -> DataFrame:
+    """(value, run_id) lines -> envelopes; malformed lines fail the read (strict parse)."""
+    raw = lines.select(F.parse_json("value").alias("e"), F.col("run_id").alias("run"))
     return raw.select(*envelope(
         F.variant_get("e", "$.endpoint", "string"),
         F.variant_get("e", "$.http_status", "int"),
@@ -56,4 +70,10 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
         F.variant_get("e", "$.body", "variant"),
         F.variant_get("e", "$.request_key", "bigint"),
         F.variant_get("e", "$.request_date", "string").cast("date"),
+        F.col("run"),
     ))
+
+
+def read_landing(spark: SparkSession, path: str, runs: list[str] | None = None) -> DataFrame:
+    """Landed envelopes of a folder, of the named runs only if given."""
+    return parse_landing(read_lines(spark, path, runs))

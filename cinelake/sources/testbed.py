@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import PySparkAttributeError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,14 +28,14 @@ DETAILS_OLD_AT = "2026-01-10 00:00:00"    # older details snapshot for p_size <=
 DETAILS_NEW_AT = "2026-01-15 00:00:00"
 DETAILS_MAX_SIZE = 40                      # parts above it answer 404
 DETAILS_OLD_MAX_SIZE = 20
-CREDITS_MAX_SIZE = 30                      # credits fetched so far (details 31..40 still to do)
+LAGGING_CREDITS_SIZE = 30                  # credits_worklist: credits fetched so far (larger parts still to do)
 CREDITS_DOC_SIZE = 1000                    # entries per credits document at most
 EMPTY_TITLE_SIZE = 13                      # details title "" beats the discover title
 GENRE_MODULUS = 23                         # genre ids 0..22 used, 23 and 24 unused
 ORPHAN_GENRE = 99                          # a genre id with no dimension row
 PAGE_SIZE = 20                             # discover results per page
 CHANGES_PAGE_SIZE = 100
-EMPTY_PAGE_MONTH = 6                       # in June the API returns an empty page 2
+EMPTY_PAGE_MONTH = 6                       # accept_pages: in June the API returns an empty page 2
 NOT_FOUND_BODY = {"status_code": 34, "status_message": "The resource you requested could not be found.",
                   "success": False}
 # -------------------------------------------------------------------------------------
@@ -58,7 +59,7 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
         n = df.sparkSession.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() >= n:
             return df
-    except Exception:  # noqa: BLE001 -- no RDD view (e.g. a Connect session): leave the source as is
+    except PySparkAttributeError:  # no RDD view (a Connect session): leave the source as is
         return df
     return df.repartition(n, *keys) if keys else df.repartition(n)
 
@@ -169,8 +170,8 @@ def details_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return new.unionByName(old)
 
 
-def credits_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed /movie/{id}/credits responses: one per part and ship year.
+def credits_landing(spark: SparkSession, sf_dir: str, max_size: int | None = None) -> DataFrame:
+    """Landed /movie/{id}/credits responses: one per part (up to ``max_size``, if given) and ship year.
 
     cast = suppliers, crew = customers of the part's line items, ordered by
     (l_linenumber, l_orderkey, l_suppkey, l_shipdate); fetched on 1 January.
@@ -183,7 +184,8 @@ def credits_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                                                         "l_returnflag", "l_linestatus", "l_shipdate"),
                 "l_orderkey", "l_linenumber")
-    p = table(spark, sf_dir, "part").where(F.col("p_size") <= CREDITS_MAX_SIZE).select("p_partkey")
+    p = table(spark, sf_dir, "part")
+    p = (p if max_size is None else p.where(F.col("p_size") <= max_size)).select("p_partkey")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     cu = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
@@ -213,13 +215,13 @@ def credits_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(200), fetched, F.parse_json(F.to_json(body)), F.col("l_partkey")))
 
 
-def discover_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+def discover_landing(spark: SparkSession, sf_dir: str, empty_pages: bool = False) -> DataFrame:
     """Landed discover pages, one month window per ship month, 20 results a page.
 
     Page numbers need the rank inside a month; ``row_number_within`` numbers
     a month on many tasks (a month can hold a large share of all rows), and
-    a page itself is bounded (20 results).  In June the second page comes
-    back empty, so only page 1 of June counts (B8).
+    a page itself is bounded (20 results).  With ``empty_pages`` the second
+    page of June comes back empty, so only page 1 of June counts (B8).
     """
     j = _lineitem_parts(spark, sf_dir).withColumn("month", F.trunc("l_shipdate", "month").cast("date"))
     ranked = row_number_within(
@@ -229,9 +231,10 @@ def discover_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranked = ranked.withColumn("page", ((F.col("rn") - 1) / PAGE_SIZE).cast("int") + 1)
     pages = (ranked.groupBy("month", "page", "total_results")
                    .agg(F.sort_array(F.collect_list(F.struct("rn", "doc"))).alias("r")))
-    emptied = (F.month("month") == EMPTY_PAGE_MONTH) & (F.col("page") == 2)
-    docs = F.transform("r", lambda x: x["doc"])
-    results = F.when(emptied, F.filter(docs, lambda x: F.lit(False))).otherwise(docs)
+    results = F.transform("r", lambda x: x["doc"])
+    if empty_pages:
+        emptied = (F.month("month") == EMPTY_PAGE_MONTH) & (F.col("page") == 2)
+        results = F.when(emptied, F.filter(results, lambda x: F.lit(False))).otherwise(results)
     body = F.struct(
         F.col("page"), results.alias("results"),
         F.ceil(F.col("total_results") / PAGE_SIZE).cast("int").alias("total_pages"),

@@ -1,41 +1,59 @@
-import datetime as dt
+import json
+import os
+import shutil
+
+import pytest
+from pyspark.sql import functions as F
 
 from cinelake.session import scratch_dir
+from cinelake.sources import landing
 from cinelake.streaming import bronze_stream as bs
 from tests.conftest import rows_of
 
 
-def _batch(spark, rows):
-    return spark.createDataFrame(rows, "user_id long, event_id long, event_type string, value double, "
-                                       "ingested_at timestamp_ntz")
-
-
-def test_bucketed_upsert_touches_only_batch_buckets_and_replays_idempotently(spark):
-    root = scratch_dir(spark, "test-upsert")
-    t = dt.datetime
-    b0 = _batch(spark, [(u, u, "view", 1.0, t(2024, 1, 1)) for u in range(40)])
-    bs.upsert_latest(b0, 0, root, "user_id", "ingested_at", buckets=8)
-    b1 = _batch(spark, [(3, 100, "click", 2.0, t(2024, 1, 2)), (3, 101, "click", 3.0, t(2023, 1, 1))])
-    bs.upsert_latest(b1, 1, root, "user_id", "ingested_at", buckets=8)
-    versions = bs._bucket_versions(spark, root)
-    assert sorted(versions.values()).count(1) == 1          # only user 3's bucket was rewritten
-    bs.upsert_latest(b1, 1, root, "user_id", "ingested_at", buckets=8)   # replay of batch 1
-    got = bs.read_latest(spark, root)
-    assert got.count() == 40
-    assert rows_of(got.where("user_id = 3"), "user_id", "event_id") == [(3, 100)]
-    before = rows_of(got)
-    target = bs.compact_latest(spark, root, remove_superseded=True)
-    assert target == 1 and set(bs._bucket_versions(spark, root).values()) == {1}
-    assert rows_of(bs.read_latest(spark, root)) == before
-    b2 = _batch(spark, [(5, 200, "buy", 9.0, t(2024, 3, 1))])          # the stream goes on after compaction
-    bs.upsert_latest(b2, 2, root, "user_id", "ingested_at", buckets=8)
-    after = bs.read_latest(spark, root)
-    assert after.count() == 40 and rows_of(after.where("user_id = 5"), "event_id") == [(200,)]
+def _write_events(spark, path, rows):
+    lines = [(json.dumps({"event_id": i, "ts": f"2024-01-01T00:00:{s:02d}.000000", "user_id": u, "event_type": "view", "value": 1.0}),)
+             for i, u, s in rows]
+    spark.createDataFrame(lines, "value string").coalesce(1).write.text(path)
+
+
+def test_latest_survives_replay_and_restart(spark):
+    base = scratch_dir(spark, "test-latest").replace("file:", "")
+    _write_events(spark, f"{base}/landing/a", [(i, i % 40, i % 50) for i in range(200)])
+    args = (f"{base}/landing/*", f"{base}/bronze", f"{base}/_ck")
+    first = rows_of(bs.stream_latest(spark, *args), "user_id", "event_id")
+    assert len(first) == 40 and rows_of(bs.stream_latest(spark, *args), "user_id", "event_id") == first
+    # the stream dies between a batch's write and its commit: the commit is missing, the batch is replayed
+    _write_events(spark, f"{base}/landing/b", [(1000, 3, 59), (1001, 3, 58)])
+    assert (3, 1000) in rows_of(bs.stream_latest(spark, *args), "user_id", "event_id")
+    commits = f"{base}/_ck/commits"
+    newest = max(int(f) for f in os.listdir(commits) if f.isdigit())
+    os.remove(f"{commits}/{newest}")
+    crc = f"{commits}/.{newest}.crc"
+    if os.path.exists(crc):
+        os.remove(crc)
+    again = rows_of(bs.stream_latest(spark, *args), "user_id", "event_id")
+    assert len(again) == 40 and (3, 1000) in again
+    assert spark.read.parquet(f"{base}/bronze").count() == 202
+    shutil.rmtree(base)
+
+
+def test_envelopes_stream_into_bronze(spark):
+    base = scratch_dir(spark, "test-envelopes")
+    body = {"page": 1, "results": [{"id": 7}, {"id": 8}], "total_pages": 1}
+    rows = spark.createDataFrame([(200, json.dumps(body))], "st int, b string").select(*landing.envelope(
+        F.lit("/discover/movie"), F.col("st"), F.lit("2024-02-01").cast("timestamp_ntz"), F.parse_json("b"), None, F.lit("2024-01-01").cast("date")))
+    landing.write_landing(rows, f"{base}/discover")
+    for _ in range(2):
+        bs.stream_bronze_append(spark, f"{base}/discover", f"{base}/bronze", f"{base}/_ck", bs.envelope_bronze("discover"))
+    assert rows_of(spark.read.parquet(f"{base}/bronze"), "movie_id") == [(7,), (8,)]
+    landing.write_landing(rows.withColumn("http_status", F.lit(429)), f"{base}/bad")
+    with pytest.raises(Exception, match="unexpected HTTP status 429"):
+        bs.stream_bronze_append(spark, f"{base}/bad", f"{base}/bronze2", f"{base}/_ck2", bs.envelope_bronze("discover"))
 
 
 def test_stream_append_is_exactly_once(spark):
     base = scratch_dir(spark, "test-stream")
-    import os
     os.makedirs(f"{base}/landing".replace("file:", ""), exist_ok=True)
     lines = spark.createDataFrame(
         [('{"event_id": %d, "ts": "2024-01-01T00:00:0%d.000000", "user_id": 1}' % (i, i),) for i in range(5)],

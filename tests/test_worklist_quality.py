@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from cinelake.operators import quality, worklist
@@ -53,11 +54,68 @@ def test_backfill_windows_at_most_14_days(spark):
     assert got == [("2024-01-01", "2024-01-14"), ("2024-01-15", "2024-01-28"), ("2024-01-29", "2024-01-30")]
 
 
-def _pages(spark, pages):
+def _pages(spark, pages, run="r1"):
     rows = [(json.dumps({"page": p, "results": [{"id": i} for i in range(n)], "total_pages": tp}),) for p, n, tp in pages]
     df = spark.createDataFrame(rows, "b string")
     return df.select(*envelope(F.lit("/discover/movie"), F.lit(200), F.lit("2024-02-01").cast("timestamp_ntz"),
-                               F.parse_json("b"), None, F.lit("2024-01-01").cast("date")))
+                               F.parse_json("b"), None, F.lit("2024-01-01").cast("date"), F.lit(run)))
+
+
+def test_no_page_cap_and_no_mixing_of_runs(spark):
+    many = _pages(spark, [(p, 1, 600) for p in range(1, 601)])
+    assert worklist.accept_pages(many).count() == 600
+    assert worklist.accept_pages(many, max_pages=500).count() == 500
+    assert worklist.truncated_months(many).first().truncated
+    two = _pages(spark, [(1, 20, 2), (2, 5, 2)], "early").unionByName(_pages(spark, [(p, 20, 5) for p in range(1, 6)], "late"))
+    assert rows_of(worklist.accept_pages(two), "run_id", "page") == [("early", 1), ("early", 2)] + [("late", p) for p in range(1, 6)]
+
+
+def _status(spark, status, body):
+    df = spark.createDataFrame([(status, body)], "st int, b string")
+    return df.select(*envelope(F.lit("/discover/movie"), F.col("st"), F.lit("2024-02-01").cast("timestamp_ntz"), F.parse_json("b"), F.lit(1),
+                               F.lit("2024-01-01").cast("date"), F.lit("r1")))
+
+
+@pytest.mark.parametrize("status", [500, 429, 404, None])
+def test_a_failing_page_stops_acceptance(spark, status):
+    pages = _pages(spark, [(1, 20, 3), (3, 20, 3)]).unionByName(_status(spark, status, '{"status_code": 11}'))
+    with pytest.raises(Exception, match="unexpected HTTP status"):
+        worklist.accept_pages(pages).collect()
+    for land in (bronze.land_movie_rows, bronze.land_genre_rows, bronze.change_list_rows):
+        with pytest.raises(Exception, match="unexpected HTTP status"):
+            land(_status(spark, status, '{"status_code": 11}')).collect()
+
+
+def test_a_page_without_number_stops_acceptance(spark):
+    with pytest.raises(Exception, match="no page number"):
+        worklist.accept_pages(_status(spark, 200, '{"results": []}')).collect()
+
+
+def test_details_and_credits_skip_404_and_429_only(spark):
+    for land in (bronze.land_detail_rows, bronze.land_credit_rows):
+        assert land(_status(spark, 404, "{}")).count() == 0 and land(_status(spark, 429, "{}")).count() == 0
+        assert land(_status(spark, 200, "{}")).count() == 1
+        for status in (500, None):
+            with pytest.raises(Exception, match="unexpected HTTP status"):
+                land(_status(spark, status, "{}")).collect()
+
+
+@pytest.mark.parametrize("value", ['{"id": 1}', '"x"', "3"])
+def test_something_else_than_an_array_stops_the_job(spark, value):
+    with pytest.raises(Exception, match="not an array"):
+        bronze.land_movie_rows(_status(spark, 200, '{"page": 1, "results": %s}' % value)).collect()
+    with pytest.raises(Exception, match="not an array"):
+        bronze.land_genre_rows(_status(spark, 200, '{"genres": %s}' % value)).collect()
+    assert bronze.land_movie_rows(_status(spark, 200, '{"page": 1, "results": null}')).count() == 0
+
+
+def test_newest_export_comes_from_names(spark, tmp_path):
+    for day, ids in (("12_31_2025", (1, 2)), ("01_02_2026", (3,))):
+        spark.createDataFrame([('{"id": %d}' % i,) for i in ids], "value string").coalesce(1).write.option(
+            "compression", "gzip").text(f"{tmp_path}/movie_ids_{day}.json.gz")
+    newest = bronze.newest_export(spark, f"{tmp_path}/movie_ids_*")
+    assert len(newest) == 1 and newest[0].endswith("movie_ids_01_02_2026.json.gz")
+    assert rows_of(bronze.read_id_export(spark, newest), "movie_id") == [(3,)]
 
 
 def test_accept_pages_stops_at_first_empty_page(spark):
