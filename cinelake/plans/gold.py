@@ -23,9 +23,10 @@ def dim_movie(silver_movie: DataFrame, silver_movie_details: DataFrame) -> DataF
     """Discover LEFT JOIN details; details win (even stale, even an empty
     title); movies only in details do not appear.
 
-    Both inputs come out of an aggregate keyed on ``movie_id``, so they are
-    already hash-partitioned on the join key: the sort-merge join adds no
-    exchange of its own.
+    In a lazy chain both inputs come out of an aggregate keyed on
+    ``movie_id`` and the join adds no exchange.  Over written silver
+    (``build_catalog``) both sides are plain Parquet and are shuffled on
+    ``movie_id``, or the smaller one is broadcast by AQE from its measured size.
     """
     d = silver_movie_details.select("movie_id", *[F.col(c).alias(f"d_{c}") for c in DETAILS_FIRST + DETAILS_ONLY])
     j = silver_movie.join(d, "movie_id", "left")

@@ -10,6 +10,7 @@ missing *and* the master is local (tests).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -26,8 +27,6 @@ SESSION_CONF = {
     "spark.sql.variant.writeShredding.enabled": "true",
     "spark.sql.variant.inferShreddingSchema": "true",
     "spark.sql.variant.pushVariantIntoScan": "true",
-    # checkpoint files (row_number_within) are removed once no plan references them
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -71,8 +70,10 @@ def scale_settings(input_bytes: int, cores: int, partition_bytes: int = 256 << 2
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the settings that results depend on (time zone) on any session."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """Set every session setting the engine relies on, also on a session that the caller built."""
+    for k, v in SESSION_CONF.items():
+        if k.startswith("spark.sql."):
+            spark.conf.set(k, v)
     return spark
 
 
@@ -88,7 +89,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
         if not d:
-            if not sc.master.startswith("local"):
+            if not re.fullmatch(r"local(\[[^]]*\])?", sc.master):  # local-cluster is a cluster
                 raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
             d = tempfile.mkdtemp(prefix="cinelake-ckpt-")
         sc.setCheckpointDir(d)
@@ -96,6 +97,22 @@ def checkpoint_root(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+_made: list[str] = []
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh, never reused folder under the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/cinelake/{purpose}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark)}/cinelake/{purpose}-{uuid.uuid4().hex[:12]}"
+    _made.append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders that this process made; returns their number.
+
+    Results read from them lazily, so call it when no result is in use any more."""
+    n = 0
+    while _made:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        n += bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True))
+    return n

@@ -10,9 +10,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from cinelake.session import build_session
+    from cinelake.session import build_session, remove_scratch
     s = build_session("local[4]", shuffle_partitions=8)
     yield s
+    remove_scratch(s)
     s.stop()
 
 
