@@ -112,7 +112,8 @@ def license_headers(docs: DataFrame, templates: list[tuple[str, str]], threshold
     paragraphs = F.filter(F.split("text", r"\r?\n[\t ]*(?:\r?\n[\t ]*)+"), lambda p: p.rlike(r"\S[\t ]*\r?\n"))
     none = F.array().cast("array<struct<kind:int,segment:string>>")
     held = written(rows.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", "path", F.size(_words(F.col("text"))).alias("n_words"),
+        F.monotonically_increasing_id().alias("row"), "doc_id", "path",
+        F.when(F.regexp_like("text", may), F.size(_words(F.col("text")))).alias("n_words"),
         F.when(F.regexp_like("text", may), F.concat(segment(lines, 0), segment(paragraphs, 1))).otherwise(none).alias("segments")), "license-segments")
     # a segment that repeats, in one document or in thousands, is scored once
     segments = held.select(F.explode("segments.segment").alias("segment")).distinct()
