@@ -17,17 +17,21 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 NOTES = """What to look for (checked each round):
 
 * every de-duplication is `partial_max(struct)` / `partial_min` / partial `HashAggregate` *below* its
-  `Exchange`: hot keys are reduced in the map tasks;
-* joins add no exchange of their own: dim_movie joins two outputs already hash-partitioned on `movie_id`
-  (AQE shows a broadcast here only because details is small at this scale);
+  `Exchange`: hot keys are reduced in the map tasks (string payloads and `min(name)` make it a
+  `SortAggregate`: map tasks sort their rows);
+* in this lazy chain dim_movie joins two outputs already hash-partitioned on `movie_id` (AQE shows a
+  broadcast only because details is small at this scale); over written silver both sides are shuffled;
 * `ReadSchema` of bronze scans lists single VARIANT paths (`raw_json:struct<0:...,1:...>`), and
   predicates on them reach the scan as `DataFilters` (details_worklist: `raw_json.0 >= 1.0`);
 * movies per genre counts the bridge per genre before the join; the data tests of a table are one
   grouped aggregate;
-* accept_pages broadcasts only the per-month stop table (one row per calendar month).
+* accept_pages finds the first gap by an anti join on (run, month, page) and joins one stop row per run
+  and month, broadcast by AQE from its measured size only;
+* the newest ID export and the new fetch runs are found by listings, so the scans list those paths alone
+  (`export_worklist`: one file; a daily run: `PartitionFilters` on run_id).
 """
 
-KEEP = re.compile(r"Exchange|Join|Aggregate|Window|ReadSchema|TakeOrdered|Generate|Union|AQEShuffleRead|Reused")
+KEEP = re.compile(r"PartitionFilters|Exchange|Join|Aggregate|Window|ReadSchema|TakeOrdered|Generate|Union|AQEShuffleRead|Reused")
 
 
 def main():
@@ -38,6 +42,7 @@ def main():
     from cinelake.operators import quality, worklist
     from cinelake.operators.dedupe import latest_per_key
     from cinelake.plans import catalog, discover, jobs
+    from cinelake.queries_extra import _write_exports
     from cinelake.session import build_session, scratch_dir
     from cinelake.sources import bronze
     spark = build_session("local[8]", 16)
@@ -63,6 +68,10 @@ def main():
         "quality (dim_movie)": quality.table_tests(m["dim_movie"], quality.DECLARED_TESTS["dim_movie"], "dim_movie"),
         "latest_per_key, hot key": latest_per_key(hot, ["l_partkey"], newest="l_shipdate"),
         "accept_pages (over landed files)": worklist.accept_pages(landing.read_landing(spark, pages_path)),
+        "land_movie_rows (one fetch run)": bronze.land_movie_rows(landing.read_landing(spark, pages_path, ["1995-02-01"])),
+        "dominant_genre_by_year": discover.dominant_genre_by_year(m["dim_movie"], m["bridge_movie_genre"], m["dim_genre"]),
+        "export_worklist (newest file)": worklist.export_worklist(
+            bronze.read_id_export(spark, bronze.newest_export(spark, f"{_write_exports(spark, a.sf)}/movie_ids_*")), b.details),
     }
     print("# Physical plans (executed, after AQE)\n")
     print(NOTES)
