@@ -113,13 +113,12 @@ def q_bronze_append(spark: SparkSession, sf: str) -> DataFrame:
                        json_bigint("raw_json", "l_orderkey").alias("l_orderkey"))
 
 
-@register("drop_column_if_exists", W("SELECT genre_id, endpoint, ingested_at FROM genre_rows"))
+@register("drop_column_if_exists", W("SELECT movie_id, endpoint, ingested_at FROM movie_rows"))
 def q_drop_column_if_exists(spark: SparkSession, sf: str) -> DataFrame:
-    rows = bronze.land_genre_rows(testbed.genre_landing(spark, sf))
-    legacy = rows.withColumn("genre_name", F.lit(None).cast("string"))
-    once = bronze.drop_column_if_exists(legacy, "genre_name")
-    twice = bronze.drop_column_if_exists(once, "genre_name")     # missing now: still no error
-    return twice.select("genre_id", "endpoint", "ingested_at")
+    legacy = testbed.movie_raw(spark, sf).withColumn("movie_name", F.lit(None).cast("string"))
+    once = bronze.drop_column_if_exists(legacy, "movie_name")
+    twice = bronze.drop_column_if_exists(once, "movie_name")     # missing now: still no error
+    return twice.drop("raw_json")
 
 
 @register("bronze_scan", W(f"""
@@ -150,20 +149,20 @@ def q_materialize_table(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.read_table(spark, root, "silver", "silver_movie")
 
 
-@register("layer_routing", W("SELECT genre_id, genre_name, 'gold' AS layer FROM o_dim_genre"))
+@register("layer_routing", W("SELECT movie_id, title, 'gold' AS layer FROM o_dim_movie"))
 def q_layer_routing(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_dir(spark, "catalog")
     m = _m(spark, sf)
-    jobs.materialize_table(m["dim_genre"], root, "gold", "dim_genre")
-    back = jobs.read_table(spark, root, "gold", "dim_genre")
-    return back.select("genre_id", "genre_name",
-                       F.regexp_extract(F.col("_metadata.file_path"), r"/(bronze|silver|gold)/dim_genre/", 1)
+    jobs.materialize_table(m["dim_movie"], root, "gold", "dim_movie")
+    back = jobs.read_table(spark, root, "gold", "dim_movie")
+    return back.select("movie_id", "title",
+                       F.regexp_extract(F.col("_metadata.file_path"), r"/(bronze|silver|gold)/dim_movie/", 1)
                        .alias("layer"))
 
 
-@register("ordered_scan", W("SELECT * FROM o_silver_genre ORDER BY genre_id"))
+@register("ordered_scan", W("SELECT * FROM o_silver_movie ORDER BY movie_id"))
 def q_ordered_scan(spark: SparkSession, sf: str) -> DataFrame:
-    return jobs.ordered_scan(silver.silver_genre(_b(spark, sf).genre), "genre_id")
+    return jobs.ordered_scan(silver.silver_movie(testbed.movie_raw(spark, sf)), "movie_id")
 
 
 @register("count_rows", W("SELECT count(1) AS row_count FROM o_silver_movie"))
