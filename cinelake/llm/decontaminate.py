@@ -29,7 +29,8 @@ BLOCK_BYTES = 8 << 20
 
 # Separators become spaces, A-Z lower case; bytes of characters beyond ASCII stay.
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
-_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+# the same words in a text whose case is kept
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 
 def words_of(text: str | None) -> list[bytes]:
