@@ -76,7 +76,27 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        decontaminate.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"), "spans")
+        decontaminate.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
+
+
+_WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+ORACLES["op7_decontamination"] = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, w, least({decontaminate.WINDOW}, len(w)) AS n FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS win
+       FROM (SELECT item_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i FROM b)),
+dw AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS win
+       FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i
+             FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)),
+hits AS (SELECT DISTINCT doc_id, i, n, item_id FROM dw JOIN bw USING (n, win)),
+hit_words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM hits) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN found USING (doc_id)"""
 
 
 @register
