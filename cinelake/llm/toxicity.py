@@ -41,6 +41,8 @@ BLOCK = 64
 REJECT = 0.7
 # Terms that a task counts before it hands its counts on.
 _HELD_TERMS = 200_000
+# Rows that one task scores (more on more than MOST_TASKS such parts): their vectors take few bytes but much work.
+TASK_ROWS, MOST_TASKS = 20_000, 100_000
 
 _WORD = re.compile(r"\w+")
 
@@ -281,7 +283,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, k: int = K, **options) -
                  pa.array(evidence, pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())])))],
                 names=["doc_id", "score", "evidence"])
 
-    return counted.mapInArrow(run, _RESULT).withColumn("held_out", held_out(F.col("doc_id")))
+    tasks = max(1, min(MOST_TASKS, -(-counted.count() // TASK_ROWS)))
+    return counted.repartition(tasks).mapInArrow(run, _RESULT).withColumn("held_out", held_out(F.col("doc_id")))
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, reject: float = REJECT, k: int = K, text_col: str = "text", **options) -> DataFrame:
