@@ -106,29 +106,31 @@ def license_headers(docs: DataFrame, templates: list[tuple[str, str]], threshold
     may = F.lit(f"(?i)(?<![a-z0-9])(?:{gate})(?![a-z0-9])")
 
     def segment(values: Column, kind: int) -> Column:
-        return F.transform(F.filter(values, lambda s: F.regexp_like(s, may)), lambda s: F.struct(F.lit(kind).alias("kind"), s.alias("segment")))
+        return F.transform(F.filter(values, lambda s: F.regexp_like(s, may)), lambda s: F.struct(
+            F.lit(kind).alias("kind"), F.unhex(F.sha2(s, 256)).alias("sid"), s.alias("segment")))
 
     lines = F.split("text", r"\r?\n")
     paragraphs = F.filter(F.split("text", r"\r?\n[\t ]*(?:\r?\n[\t ]*)+"), lambda p: p.rlike(r"\S[\t ]*\r?\n"))
-    none = F.array().cast("array<struct<kind:int,segment:string>>")
+    none = F.array().cast("array<struct<kind:int,sid:binary,segment:string>>")
     held = written(rows.select(
         F.monotonically_increasing_id().alias("row"), "doc_id", "path",
         F.when(F.regexp_like("text", may), F.size(_words(F.col("text")))).alias("n_words"),
         F.when(F.regexp_like("text", may), F.concat(segment(lines, 0), segment(paragraphs, 1))).otherwise(none).alias("segments")), "license-segments")
     # a segment that repeats, in one document or in thousands, is scored once
-    segments = held.select(F.explode("segments.segment").alias("segment")).distinct()
-    texts = segments.select("segment", F.explode(_words(F.col("segment"))).alias("w")).groupBy("segment", "w").agg(F.count(F.lit(1)).alias("tf"))
+    # its words carry its digest, not its text
+    segments = held.select(F.inline("segments")).groupBy("sid").agg(F.first("segment").alias("segment"))
+    texts = segments.select("sid", F.explode(_words(F.col("segment"))).alias("w")).groupBy("sid", "w").agg(F.count(F.lit(1)).alias("tf"))
     idf = _rows(spark, "w string,idf double", [(w, float(x)) for w, x in known.items()])
     weights = _rows(spark, "w string,template int,weight double", [(w, i, float(x)) for i, v in enumerate(vectors) for w, x in v.items()])
     # both hold the templates' words only
     measured = written(texts.join(F.broadcast(idf), "w", "left").withColumn("x", F.col("tf") * F.coalesce("idf", F.lit(unknown))), "license-words")
-    norms = measured.groupBy("segment").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"), F.sum("tf").alias("words"))
-    dots = (measured.join(F.broadcast(weights), "w").groupBy("segment", "template").agg(F.sum(F.col("x") * F.col("weight")).alias("dot"))
-            .join(norms, "segment").withColumn("score", F.round(F.col("dot") / F.col("norm"), 6)).where(F.col("score") >= threshold))
+    norms = measured.groupBy("sid").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"), F.sum("tf").alias("words"))
+    dots = (measured.join(F.broadcast(weights), "w").groupBy("sid", "template").agg(F.sum(F.col("x") * F.col("weight")).alias("dot"))
+            .join(norms, "sid").withColumn("score", F.round(F.col("dot") / F.col("norm"), 6)).where(F.col("score") >= threshold))
     name = F.array(*[F.lit(k) for k, _ in templates])
-    best = written(dots.groupBy("segment", "words").agg(F.max(F.struct("score", (-F.col("template")).alias("t"))).alias("m"))
-                   .select("segment", "words", F.col("m.score").alias("score"), F.element_at(name, 1 - F.col("m.t")).alias("license")), "license-best")
-    found = (held.where(F.size("segments") > 0).select("row", F.inline("segments")).join(best, "segment")
+    best = written(dots.groupBy("sid", "words").agg(F.max(F.struct("score", (-F.col("template")).alias("t"))).alias("m"))
+                   .select("sid", "words", F.col("m.score").alias("score"), F.element_at(name, 1 - F.col("m.t")).alias("license")), "license-best")
+    found = (held.where(F.size("segments") > 0).select("row", F.inline("segments")).drop("segment").join(best, "sid")
              .groupBy("row").agg(F.max(F.struct("score", (-F.col("kind")).alias("k"), "license")).alias("m"),
                                  F.sum(F.when(F.col("kind") == 0, F.col("words"))).alias("in_lines"),
                                  F.sum(F.when(F.col("kind") == 1, F.col("words"))).alias("in_paragraphs")))
