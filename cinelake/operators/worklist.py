@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from cinelake.functions.jsonops import json_double, required_array
+from cinelake.session import scratch_dir
 from cinelake.sources.bronze import drop_missing_responses
 
 # ---- fixed values -----------------------------------------------------------------
@@ -94,6 +95,12 @@ def page_facts(landing: DataFrame) -> DataFrame:
         "endpoint", "http_status", "fetched_at", "body")
 
 
+def _written(df: DataFrame, purpose: str) -> DataFrame:
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def accept_pages(landing: DataFrame, max_pages: int | None = None) -> DataFrame:
     """The landed pages that the page loop would have kept, per fetch run
     and month: from page 1 up to the first empty page (excluded), the first
@@ -103,22 +110,25 @@ def accept_pages(landing: DataFrame, max_pages: int | None = None) -> DataFrame:
     opt-in cap; a page that landed is data, so there is none by default.
 
     The first gap is the smallest page whose successor did not land (an anti
-    join on run, month and page, so no month is gathered anywhere); the stop
-    page is an aggregate of one row per run and month.
+    join on run, month and page, so no month is gathered anywhere).  The page
+    facts (numbers only) are written once while the query is built, so bodies
+    are parsed for them once; so are the stop pages, one row per run and
+    month, whose known size lets the last join leave the bodies unshuffled.
     """
     pages = page_facts(drop_missing_responses(landing)).withColumn(
         "page", F.coalesce("page", F.raise_error(F.concat(F.lit("no page number in "), F.col("endpoint"))).cast("int")))
     by = ["run_id", "month"]
-    landed = pages.select(*by, "page").distinct()
+    facts = _written(pages.select(*by, "page", "n_results", "total_pages"), "page-facts")
+    landed = facts.select(*by, "page").distinct()
     before = landed.select(*by, (F.col("page") - 1).alias("page"))
     runs_out = landed.join(before, [*by, "page"], "left_anti").groupBy(*by).agg(F.min("page").alias("unbroken"))
-    stops = pages.groupBy(*by).agg(
+    stops = facts.groupBy(*by).agg(
         F.min("page").alias("first"),
         F.min(F.when(F.col("n_results") == 0, F.col("page"))).alias("first_empty"),
         F.min(F.when(F.col("page") >= F.col("total_pages"), F.col("page"))).alias("first_last")).join(runs_out, by)
     # least() skips NULLs; a run whose first page did not land has nothing to accept
     stop = F.least(F.col("first_empty") - 1, "first_last", "unbroken", F.lit(max_pages).cast("int"))
-    stops = stops.select(*by, F.when(F.col("first") > 1, F.lit(0)).otherwise(stop).alias("__stop"))
+    stops = _written(stops.select(*by, F.when(F.col("first") > 1, F.lit(0)).otherwise(stop).alias("__stop")), "stop-pages")
     return (pages.join(stops, by).where((F.col("page") >= 1) & (F.col("page") <= F.col("__stop")))
                  .drop("__stop"))
 
