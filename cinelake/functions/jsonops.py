@@ -67,8 +67,8 @@ def json_array(v, path: str) -> Column:
 def required_array(v, path: str) -> Column:
     """``json_array`` that raises when something else than an array or null stands at ``path``."""
     found, value = json_array(v, path), F.variant_get(_c(v), _path(path), "variant")
-    other = found.isNull() & value.isNotNull() & ~F.is_variant_null(value)
-    return F.when(other, F.raise_error(F.lit(f"not an array: {path}")).cast("array<variant>")).otherwise(found)
+    other = value.isNotNull() & ~F.is_variant_null(value)  # looked at only where no array was found
+    return F.coalesce(found, F.when(other, F.raise_error(F.lit(f"not an array: {path}")).cast("array<variant>")))
 
 
 # The flatten helpers read the array in a projection right above the scan and explode it only

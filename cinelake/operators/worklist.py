@@ -91,7 +91,7 @@ def page_facts(landing: DataFrame) -> DataFrame:
         F.variant_get("body", "$.page", "int").alias("page"),
         F.coalesce(F.variant_get("body", "$.total_pages", "int"), F.lit(1)).alias("total_pages"),
         F.variant_get("body", "$.total_results", "int").alias("total_results"),
-        F.when(results.isNull(), F.lit(0)).otherwise(F.size(results)).alias("n_results"),
+        F.coalesce(F.array_size(results), F.lit(0)).alias("n_results"),
         "endpoint", "http_status", "fetched_at", "body")
 
 
