@@ -1,10 +1,11 @@
 """Licence scans (6): TF-IDF cosine of text segments to templates, inherited along directories; DataFrame functions only.
 
-1. Document frequencies of the templates' words are counted over all documents.
+1. Document frequencies of all words are counted over all documents.
 2. Segments are the lines of a text, and its paragraphs of several lines.  Only a segment that
    holds an anchor word can reach the threshold: a template's anchors are its heaviest words, so
    many that the rest of its unit vector is shorter than the threshold.  The segments left are
-   exploded to words, joined with the templates' weights and summed to cosines.
+   exploded to words, joined with the words' document frequencies and the templates' weights and
+   summed to cosines.
 3. A document's licence is its best segment.  It is a licence file if matching segments make up
    half of its words, or by its name; others carry a header.
 4. A document without a licence takes that of the nearest directory above it that holds a licence
@@ -69,7 +70,7 @@ def _rows(spark, schema: str, rows: list[tuple]) -> DataFrame:
 
 
 def _weights(documents: int, df: dict[str, int], templates: list[tuple[str, str]]) -> tuple[dict[str, float], float, list[dict[str, float]]]:
-    """idf of the templates' words, idf of any other word, and the templates' unit vectors."""
+    """idf of the templates' words, idf of a word of one document, and the templates' unit vectors."""
     def idf(n: int) -> float:
         return math.log((1 + documents) / (1 + n)) + 1
     known = {w: idf(df.get(w, 0)) for _, t in templates for w in words_of(t)}
@@ -98,10 +99,12 @@ def license_headers(docs: DataFrame, templates: list[tuple[str, str]], threshold
     rows = pick(docs, doc_id=id_col, path=path_col, text=text_col).select(
         "doc_id", F.col("path").cast("string"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     vocabulary = sorted({w for _, t in templates for w in words_of(t)})
+    documents = rows.count()
+    counts = written(rows.select(F.explode(F.array_distinct(_words(F.col("text")))).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("df")),
+                     "license-counts")
     # the vocabulary is that of the templates: a few hundred rows at most reach the driver
-    counted = (rows.select(F.explode(F.array_intersect(_words(F.col("text")), F.array(*[F.lit(w) for w in vocabulary]))).alias("w"))
-               .groupBy("w").count().collect())
-    known, unknown, vectors = _weights(rows.count(), {r["w"]: r["count"] for r in counted}, templates)
+    counted = counts.where(F.col("w").isin(vocabulary)).collect()
+    _, _, vectors = _weights(documents, {r["w"]: r["df"] for r in counted}, templates)
     gate = "|".join(sorted({re.escape(w) for v in vectors for w in anchors(v, threshold)}))
     may = F.lit(f"(?i)(?<![a-z0-9])(?:{gate})(?![a-z0-9])")
 
@@ -120,11 +123,11 @@ def license_headers(docs: DataFrame, templates: list[tuple[str, str]], threshold
     # its words carry its digest, not its text
     segments = held.select(F.inline("segments")).groupBy("sid").agg(F.first("segment").alias("segment"))
     texts = segments.select("sid", F.explode(_words(F.col("segment"))).alias("w")).groupBy("sid", "w").agg(F.count(F.lit(1)).alias("tf"))
-    idf = _rows(spark, "w string,idf double", [(w, float(x)) for w, x in known.items()])
+    idf = F.log((1 + F.lit(float(documents))) / (1 + F.coalesce("df", F.lit(0)))) + 1
     weights = _rows(spark, "w string,template int,weight double", [(w, i, float(x)) for i, v in enumerate(vectors) for w, x in v.items()])
-    # both hold the templates' words only
-    measured = written(texts.join(F.broadcast(idf), "w", "left").withColumn("x", F.col("tf") * F.coalesce("idf", F.lit(unknown))), "license-words")
+    measured = written(texts.join(counts, "w", "left").select("sid", "w", "tf", (F.col("tf") * idf).alias("x")), "license-words")
     norms = measured.groupBy("sid").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"), F.sum("tf").alias("words"))
+    # the weights hold the templates' words only
     dots = (measured.join(F.broadcast(weights), "w").groupBy("sid", "template").agg(F.sum(F.col("x") * F.col("weight")).alias("dot"))
             .join(norms, "sid").withColumn("score", F.round(F.col("dot") / F.col("norm"), 6)).where(F.col("score") >= threshold))
     name = F.array(*[F.lit(k) for k, _ in templates])

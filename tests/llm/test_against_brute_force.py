@@ -302,6 +302,27 @@ def test_licenses_against_plain_cosine(spark):
     assert found == want
 
 
+def test_license_scores_take_document_frequencies_of_all_words(spark):
+    import math
+
+    lines = ["Released under the MIT License, see file LICENSE.", "Licensed under CC BY 4.0. Zyx qwv."]
+    lines += [f"please see the file number {i} under this for more" for i in range(1500)]
+    df = spark.createDataFrame([(i, f"p/{i}/q", x) for i, x in enumerate(lines)], "doc_id bigint, path string, text string")
+    n, counts = len(lines), collections.Counter(w for x in lines for w in set(licenses.words_of(x)))
+
+    def unit(text):
+        v = {w: c * (math.log((1 + n) / (1 + counts[w])) + 1) for w, c in collections.Counter(licenses.words_of(text)).items()}
+        length = math.sqrt(sum(a * a for a in v.values()))
+        return {w: a / length for w, a in v.items()}
+
+    found = {r["doc_id"]: (r["license"], r["score"]) for r in licenses.license_headers(df, licenses.TEMPLATES, 0.5, "doc_id", "path", "text").collect()}
+    for i, licence in ((0, "MIT"), (1, "CC-BY-4.0")):
+        own = unit(lines[i])
+        want = max(sum(a * own.get(w, 0) for w, a in unit(t).items()) for _, t in licenses.TEMPLATES)
+        assert found[i][0] == licence and abs(found[i][1] - want) < 2e-6
+    assert found[0][1] > 0.8 and all(found[i] == (None, None) for i in range(2, n))
+
+
 def test_pipeline_stages_keep_what_they_should(spark, docs):
     text = dict(docs)
     out = corpus_pipeline.run(spark, SF)
