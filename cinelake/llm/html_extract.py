@@ -11,7 +11,7 @@ source side are the text.
 from __future__ import annotations
 
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -22,12 +22,14 @@ from pyspark.sql import functions as F
 from cinelake.llm.common import pick, slices
 
 # Elements without text of their own page.
-SKIPPED = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "head", "title",
+SKIPPED = {"script", "style", "noscript", "template", "svg", "annotation", "annotation-xml", "iframe", "object", "canvas", "head", "title",
            "textarea", "select", "option", "datalist", "audio", "video", "map"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd",
           "label", "mark", "q", "ruby", "rt", "rp", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u",
-          "var", "wbr", "img", "input"}
+          "var", "wbr", "img", "input", "math", "semantics", "mrow", "mi", "mn", "mo", "ms", "mtext", "mspace", "mfrac", "msqrt", "mroot", "mstyle",
+          "msub", "msup", "msubsup", "munder", "mover", "munderover", "mmultiscripts", "mprescripts", "mtable", "mtr", "mtd", "mpadded",
+          "mphantom", "menclose", "mfenced", "merror", "maction"}
 CONTENT_TAGS = {"article", "main"}
 OTHER_TAGS = {"nav", "footer", "aside", "form", "button", "menu", "dialog", "fieldset", "legend"}
 CONTENT_WORDS = {"article", "content", "main", "post", "entry", "story", "body", "text", "prose"}
@@ -46,6 +48,17 @@ _CLOSES = {  # an opening tag ends these open elements first
     "p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"},
     "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"}}
 _SCOPES = {"article", "main", "section", "div", "nav", "footer", "header", "aside", "form", "ul", "ol", "dl", "table", "body", "html", "blockquote"}
+# Elements of a head; any other start tag, or text, ends a head that was left open.
+_HEAD = {"head", "html", "base", "basefont", "bgsound", "link", "meta", "noframes", "noscript", "script", "style", "template", "title"}
+# Start tags that end an open select; those of tables only inside one.
+_ENDS_SELECT, _OF_TABLE = {"input", "keygen", "select", "textarea"}, {"caption", "table", "tbody", "tfoot", "thead", "tr", "td", "th"}
+# Start tags that end an open svg, unless one of its elements for HTML text is open.
+_ENDS_SVG = {"b", "big", "blockquote", "body", "br", "center", "code", "dd", "div", "dl", "dt", "em", "embed", "h1", "h2", "h3", "h4", "h5", "h6",
+             "head", "hr", "i", "img", "li", "listing", "menu", "meta", "nobr", "ol", "p", "pre", "ruby", "s", "small", "span", "strong", "strike",
+             "sub", "sup", "table", "tt", "u", "ul", "var"}
+_HTML_IN_SVG = ("foreignobject", "desc", "title")
+# Skipped elements that the end of an element around them does not end.
+_OWN_END = ("object", "template", "select", "textarea", "title", "iframe", "noscript")
 
 
 class _Page(HTMLParser):
@@ -55,7 +68,8 @@ class _Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, int, float]] = [("", 0, 0.0)]  # name, number, log odds of its name and attributes
         self.count = 0
-        self.skip = 0
+        self.skipped: list[str] = []  # a skipped element and what is open in it
+        self.inside: Counter = Counter()  # the same by name
         self.links = 0
         self.parts: list[str] = []
         self.linked = 0
@@ -70,11 +84,41 @@ class _Page(HTMLParser):
     def close_to(self, at: int):
         del self.open[at:]
 
+    def end_skipped(self, tag: str):
+        """Ends the innermost skipped ``tag`` and all in it."""
+        while True:
+            name = self.skipped.pop()
+            self.inside[name] -= 1
+            if name == tag:
+                return
+
+    def implied_end(self, tag: str) -> bool:
+        """Ends the skipped elements whose end tag was left out before the start tag ``tag``; True: that is all the tag does."""
+        outer, inside = self.skipped[0], self.inside
+        if inside["template"]:
+            return False
+        if outer == "head" and (tag == "body" or len(self.skipped) == 1 and tag not in _HEAD):
+            self.end_skipped("head")
+        elif outer == "option" and (tag == "option" or tag not in INLINE and tag not in VOID):
+            while self.skipped:
+                self.end_skipped("option")
+        elif inside["select"] and (tag in _ENDS_SELECT or tag in _OF_TABLE and any(name == "table" for name, _, _ in self.open)):
+            self.end_skipped("select")
+            return tag == "select"
+        elif inside["svg"] and tag in _ENDS_SVG and not any(inside[x] for x in _HTML_IN_SVG):
+            while inside["svg"]:
+                self.end_skipped("svg")
+        return False
+
     def handle_starttag(self, tag, attrs):
-        if tag in SKIPPED:
-            self.skip += 1
+        if self.skipped and self.implied_end(tag):
             return
-        if self.skip:
+        if tag == "head" and (self.blocks or "".join(self.parts).strip() or any(name not in ("", "html") for name, _, _ in self.open)):
+            return  # in a body: no element
+        if self.skipped or tag in SKIPPED:
+            if tag not in VOID:
+                self.skipped.append(tag)
+                self.inside[tag] += 1
             return
         if tag == "a":
             self.links = 1
@@ -109,16 +153,20 @@ class _Page(HTMLParser):
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
-        if tag not in VOID and tag not in SKIPPED:
+        if self.skipped and self.skipped[-1] == tag:
+            self.end_skipped(tag)
+        elif not self.skipped and tag not in VOID and tag not in SKIPPED:
             self.handle_endtag(tag)
-        elif tag in SKIPPED:
-            self.skip -= 1
 
     def handle_endtag(self, tag):
+        if self.skipped:
+            if self.inside[tag]:
+                self.end_skipped(tag)
+                return
+            if any(self.inside[x] for x in _OWN_END) or all(name != tag for name, _, _ in self.open):
+                return
+            self.skipped, self.inside = [], Counter()
         if tag in SKIPPED:
-            self.skip = max(0, self.skip - 1)
-            return
-        if self.skip:
             return
         if tag == "a":
             self.links = 0
@@ -133,7 +181,9 @@ class _Page(HTMLParser):
             self.end_block()
 
     def handle_data(self, data):
-        if not self.skip:
+        if self.skipped == ["head"] and data.strip():
+            self.end_skipped("head")
+        if not self.skipped:
             self.parts.append(data)
             if self.links:
                 self.linked += len(data.strip())

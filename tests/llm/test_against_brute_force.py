@@ -258,6 +258,26 @@ def test_main_text(spark):
         assert r["n_chars"] == len(r["text"])
 
 
+LONG = "Long paragraph of content that says something important to all of its readers and ends with a mark."
+
+
+@pytest.mark.parametrize("page,want", [
+    (f"<html><head><title>x</title><meta charset=utf-8><body><article><p>{LONG}</p></article></body></html>", LONG),
+    (f"<head><link rel=x href=y><article><p>{LONG}</article>", LONG),
+    (f"<head><title>x</title>{LONG}", LONG),
+    (f"<head><title>x</title></head><body><article><p>{LONG}</p><head><p>{LONG}</article>", f"{LONG} {LONG}"),
+    (f"<body><article><select><option>A<option>B</select><p>{LONG}</p></article>", LONG),
+    (f"<article><select><optgroup label=a><option>A<optgroup label=b><option>B</select><datalist><option>A<option>B</datalist><p>{LONG}</article>", LONG),
+    (f"<article><select><option>A<input><p>{LONG}</p><div><option>A</div><p>{LONG}</p></article>", f"{LONG} {LONG}"),
+    (f"<article><div><canvas>x</div><p>{LONG}</p><svg><g><path d=z/><title>t</title><text>x</text><p>{LONG}</p></article>", f"{LONG} {LONG}"),
+    (f"<article><svg><foreignObject><p>x</p></foreignObject></svg><template><p>x<div>y</template><p>{LONG}</p></article>", LONG),
+    ("<article><p>By the law <math><semantics><mrow><mi>E</mi><mo>=</mo><mi>m</mi></mrow><annotation>E=m</annotation></semantics></math> it is shown"
+     " that all the mass of a body at rest is energy.</p></article>", "By the law E=m it is shown that all the mass of a body at rest is energy."),
+])
+def test_main_text_with_omitted_end_tags(page, want):
+    assert html_extract.main_text(page) == want
+
+
 def test_minimum_cut_is_minimal():
     import itertools
     import random
