@@ -2,7 +2,8 @@
 
 A page becomes blocks of text with the open elements around them.  A small classifier gives each
 block log odds of being content, from its surroundings (element names, class, id and role words)
-and its text (links, length, punctuation).  The odds become capacities to the two terminals;
+and its text (links, length, punctuation); an element that wraps the page's main text lends no
+odds against it, whatever its name.  The odds become capacities to the two terminals;
 neighbouring blocks, and the next block under the same parent, are tied by smoothness edges that
 weaken with DOM distance.  The minimum cut is the labelling of least total cost; blocks on the
 source side are the text.
@@ -43,6 +44,8 @@ INSIDE, OUTSIDE, NAMED_CONTENT, NAMED_OTHER, IN_OTHER_TAG = 3.0, -1.0, 1.5, -7.0
 LONG, SHORT, CLOSED, LINKED = 1.0, -0.5, 0.5, -4.0
 # Smoothness of neighbours under one parent; halved for each step of DOM distance beyond.
 TIE = 0.6
+# Of the text of a page without article or main that is not marked as other, the part that makes an element its wrapper.
+WRAPPED = 0.9
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _CLOSES = {  # an opening tag ends these open elements first
     "p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"},
@@ -74,6 +77,7 @@ class _Page(HTMLParser):
         self.parts: list[str] = []
         self.linked = 0
         self.blocks: list[tuple[str, float, tuple]] = []
+        self.hidden: set[int] = set()  # numbers of hidden elements
 
     def end_block(self):
         text = " ".join("".join(self.parts).split())
@@ -129,7 +133,7 @@ class _Page(HTMLParser):
             return
         if tag in INLINE:  # an inline element that names a role stands for a block of its own
             self.end_block()
-            self.push(tag, odds)
+            self.push(tag, odds, attrs)
             return
         if tag in VOID:
             if tag == "hr":
@@ -145,10 +149,12 @@ class _Page(HTMLParser):
                 self.close_to(low)
             else:
                 break
-        self.push(tag, odds)
+        self.push(tag, odds, attrs)
 
-    def push(self, tag, odds):
+    def push(self, tag, odds, attrs):
         self.count += 1
+        if is_hidden(attrs):
+            self.hidden.add(self.count)
         self.open.append((tag, self.count, odds))
 
     def handle_startendtag(self, tag, attrs):
@@ -189,18 +195,60 @@ class _Page(HTMLParser):
                 self.linked += len(data.strip())
 
 
+def is_hidden(attrs) -> bool:
+    return any(k in ("hidden", "aria-hidden") and v != "false" or k == "style" and v and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", v)
+               for k, v in attrs)
+
+
 def named(tag: str, attrs) -> float:
-    """Log odds that an element's name and attributes lend to what stands in it."""
+    """Log odds that an element's name and attributes lend to what stands in it; html and body hold the whole page and lend none."""
+    if tag in ("html", "body"):
+        return 0.0
     odds = INSIDE if tag in CONTENT_TAGS else IN_OTHER_TAG if tag in OTHER_TAGS else 0.0
     words = {w.lower() for k, v in attrs if k in ("class", "id", "role") and v for w in _NAME.findall(v)}
-    if words & OTHER_WORDS or any(k in ("hidden", "aria-hidden") and v != "false" for k, v in attrs) or any(
-            k == "style" and v and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", v) for k, v in attrs):
+    if words & OTHER_WORDS or is_hidden(attrs):
         odds += NAMED_OTHER
     elif words & CONTENT_WORDS:
         odds += NAMED_CONTENT
     return odds
 
 
+def unwrapped(blocks: list[tuple[str, float, tuple]], hidden: set[int]) -> list[tuple[str, float, tuple]]:
+    """The blocks, without the odds against them of elements that wrap the page's main text.
+
+    Text belongs to the innermost element with odds against it.  The one that holds the largest
+    article or main wraps the page if no more text stands outside all such elements; on a page
+    without article or main, the one that holds nearly all other text.  So do the ones around it.
+    """
+    free, main, held, around = 0, Counter(), Counter(), {}
+    for text, links, path in blocks:
+        if any(n in hidden and name not in ("html", "body") for name, n, _ in path):
+            continue
+        against = [i for i, (_, _, o) in enumerate(path) if o < 0]
+        if not against:
+            free += len(text) * (1 - links)
+            continue
+        at = against[-1]
+        name, number, _ = path[at]
+        around[number] = {path[i][1] for i in against}
+        content = [n for x, n, _ in path[at:] if x in CONTENT_TAGS]
+        if content:
+            main[content[0], number] += len(text) * (1 - links)
+        elif name == "form" or name not in OTHER_TAGS:
+            held[number] += len(text) * (1 - links)
+    wraps: set[int] = set()
+    if main:
+        (_, number), n = main.most_common(1)[0]
+        wraps = around[number] if n >= free else wraps
+    elif held and not any(name in CONTENT_TAGS for _, _, path in blocks for name, _, _ in path):
+        number, n = held.most_common(1)[0]
+        wraps = around[number] if n >= WRAPPED * (free + sum(held.values())) else wraps
+    if not wraps:
+        return blocks
+    return [(text, links, tuple((name, n, 0.0 if n in wraps and name not in CONTENT_TAGS else INSIDE if n in wraps else o) for name, n, o in path))
+            for text, links, path in blocks]
+
+
 def log_odds(text: str, links: float, path: tuple) -> float:
     inside = any(name in CONTENT_TAGS for name, _, _ in path)
     good = max((o for _, _, o in path if o > 0), default=0.0)
@@ -284,7 +332,7 @@ def main_text(page: str | None) -> str:
     parser.feed(page)
     parser.close()
     parser.end_block()
-    blocks = parser.blocks
+    blocks = unwrapped(parser.blocks, parser.hidden)
     keep = minimum_cut([log_odds(*b) for b in blocks], smoothness([b[2] for b in blocks]))
     return " ".join(b[0] for b, k in zip(blocks, keep, strict=True) if k)
 

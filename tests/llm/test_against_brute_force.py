@@ -278,6 +278,25 @@ def test_main_text_with_omitted_end_tags(page, want):
     assert html_extract.main_text(page) == want
 
 
+OTHER = "Some other paragraph of a page that says something else to all of its readers and ends with a mark too."
+
+
+@pytest.mark.parametrize("page,want", [
+    (f"<body class='single has-sidebar'><article><p>{LONG}</p></article><div class=sidebar><p>{OTHER}</p></div></body>", LONG),
+    (f"<body><div class='content-with-sidebar'><article><p>{LONG}</p></article><aside><p>{OTHER}</p></aside></div></body>", LONG),
+    (f"<body><div class=no-sidebar><div id=with-toc><main><p>{LONG}</p><div class=related><p>{OTHER}</p></div></main></div></div></body>", LONG),
+    (f"<body class=has-sidebar><div class='page has-sidebar'><p>{LONG}</p><p>{LONG}</p><div class=footer>By us</div></div></body>", f"{LONG} {LONG}"),
+    (f"<body><article class='post tag-social'><p>{LONG}</p></article></body>", LONG),
+    (f"<body><div class=content><p>{LONG}</p><p>{LONG}</p></div><div class=related><article><p>{OTHER}</p></article></div></body>", f"{LONG} {LONG}"),
+    (f"<body><div class=has-sidebar><article><p>{LONG}</p><p>{LONG}</p></article><section class=comments>"
+     + f"<article class=comment><p>{OTHER}</p></article>" * 5 + "</section></div></body>", f"{LONG} {LONG}"),
+    (f"<body><div id=content><p>{LONG}</p></div><div id=comments>" + f"<p>{OTHER}</p>" * 5 + "</div></body>", LONG),
+    (f"<body><div class=sidebar hidden><article><p>{OTHER}</p></article></div><div><p>{LONG}</p></div></body>", LONG),
+])
+def test_main_text_in_named_wrappers(page, want):
+    assert html_extract.main_text(page) == want
+
+
 def test_minimum_cut_is_minimal():
     import itertools
     import random
