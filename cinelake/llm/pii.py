@@ -1,16 +1,17 @@
 """PII (5): patterns, and information-theoretic sanitisation of the terms that reveal them.
 
 1. One pass over the texts finds e-mail addresses, IP addresses, card and phone numbers.  Each
-   distinct value is a protected entity.  Around every mention the pass notes the words that lie
-   wholly within ``reach`` code points.
-2. Over the whole corpus, documents are counted per entity (n_c), per word near any mention (n_t,
-   of N contexts) and per pair (n_ct).  A word's pointwise mutual information with an entity,
+   distinct value is a protected entity.  Texts with a mention are kept, and the words outside
+   their mentions.
+2. Over the whole texts of all N documents, documents are counted per entity (n_c), per word (n_t)
+   and per entity and word (n_ct).  A word's pointwise mutual information with an entity,
    log(n_ct N / (n_c n_t)), as a share of the entity's own information log(N / n_c), says how
    much of the entity the word gives away (1: whoever knows the word knows the entity).
-3. Words at or above ``threshold`` in at least ``support`` contexts of an entity are reported
-   where they stand near it: removed, or generalised to their class if they hold digits.
+3. Words at or above ``threshold`` that share at least ``support`` documents with an entity are
+   reported wherever they stand in a document that mentions it: removed, or generalised to their
+   class if they hold digits.
 
-All counts are partial aggregates; nothing is collected.  A pair needs ``support`` contexts as
+All counts are partial aggregates; nothing is collected.  A pair needs ``support`` documents as
 an entity or a word seen once or twice says nothing about co-occurrence.
 """
 
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,7 +31,9 @@ from cinelake.llm.common import pick, slices, written
 
 KINDS = ["email", "ip", "card", "phone", "term"]
 BASE = KINDS[:4]
-REACH, SUPPORT, THRESHOLD = 60, 3, 0.85
+SUPPORT, THRESHOLD = 3, 0.85
+# Words that a task counts before it hands its counts on.
+_HELD_WORDS = 200_000
 MARKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
@@ -82,8 +86,13 @@ def entities(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def contexts(text: str, found: list[tuple[int, int, int]], reach: int) -> list[tuple[int, str, int, int]]:
-    """(entity, word, start, end) for the words within ``reach`` of every mention; words that touch a mention are no context."""
+def entity(text: str, kind: int) -> int:
+    value = f"{KINDS[kind]}:" + ("".join(_DIGITS.findall(text)) if kind > 1 else text.lower())
+    return xxhash.xxh64_intdigest(value.encode()) - (1 << 63)
+
+
+def words_outside(text: str, found: list[tuple[int, int, int]]) -> Iterator[tuple[str, int, int]]:
+    """(word, start, end) of the words of a whole text that touch no mention."""
     covered: list[list[int]] = []  # mentions, merged where they overlap
     for start, _, end in found:
         if covered and start < covered[-1][1]:
@@ -91,21 +100,10 @@ def contexts(text: str, found: list[tuple[int, int, int]], reach: int) -> list[t
         else:
             covered.append([start, end])
     ends = [e for _, e in covered]
-
-    def free(m: re.Match) -> bool:
+    for m in _WORD.finditer(text):
         i = bisect_left(ends, m.start() + 1)
-        return i == len(ends) or covered[i][0] >= m.end()
-
-    out = []
-    for start, kind, end in found:
-        value = f"{KINDS[kind]}:" + ("".join(_DIGITS.findall(text[start:end])) if kind > 1 else text[start:end].lower())
-        entity = xxhash.xxh64_intdigest(value.encode()) - (1 << 63)
-        lo, hi = max(0, start - reach), min(len(text), end + reach)
-        for m in _WORD.finditer(text, lo, hi):
-            cut = m.start() == lo > 0 and _WORD.match(text[lo - 1]) or m.end() == hi < len(text) and _WORD.match(text[hi])
-            if not cut and free(m):
-                out.append((entity, m[0].lower(), m.start(), m.end()))
-    return out
+        if i == len(ends) or covered[i][0] >= m.end():
+            yield m[0].lower(), m.start(), m.end()
 
 
 def clean_text(text: str, spans: list[tuple[int, str, int]]) -> str:
@@ -120,65 +118,96 @@ def clean_text(text: str, spans: list[tuple[int, str, int]]) -> str:
     return "".join([*out, text[at:]])
 
 
-_FOUND = ("doc_id bigint, text string, base array<struct<start:bigint,kind:int,end:bigint>>, entities array<bigint>, "
-          "near array<struct<entity:bigint,word:string,start:bigint,end:bigint>>")
-_SPAN = "array<struct<start:bigint,kind:int,end:bigint>>"
+_FOUND = "doc_id bigint, text string, base array<struct<start:bigint,kind:int,end:bigint>>, entities array<bigint>, words array<string>"
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())]))
 
 
-def _look(docs: DataFrame, reach: int, with_text: bool) -> DataFrame:
+def _look(docs: DataFrame, with_text: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        span = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())]))
-        word = pa.list_(pa.struct([("entity", pa.int64()), ("word", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
         for ids, texts in slices(batches):
             base = [entities(t) if t else [] for t in texts]
-            near = [contexts(t, f, reach) if f else [] for t, f in zip(texts, base, strict=True)]
+            known = [sorted({entity(t[s:e], k) for s, k, e in f}) for t, f in zip(texts, base, strict=True)]
+            words = [sorted({w for w, _, _ in words_outside(t, f)}) if f else [] for t, f in zip(texts, base, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(texts if with_text else [None] * len(ids), pa.string()),
-                 pa.array([[dict(zip(("start", "kind", "end"), x, strict=True)) for x in f] for f in base], span),
-                 pa.array([sorted({x[0] for x in f}) for f in near], pa.list_(pa.int64())),
-                 pa.array([[dict(zip(("entity", "word", "start", "end"), x, strict=True)) for x in f] for f in near], word)],
-                names=["doc_id", "text", "base", "entities", "near"])
+                [pa.array(ids, pa.int64()), pa.array([t if f or with_text else None for t, f in zip(texts, base, strict=True)], pa.string()),
+                 pa.array([[dict(zip(("start", "kind", "end"), x, strict=True)) for x in f] for f in base], _SPANS),
+                 pa.array(known, pa.list_(pa.int64())), pa.array(words, pa.list_(pa.string()))],
+                names=["doc_id", "text", "base", "entities", "words"])
+
+    return written(docs.mapInArrow(run, _FOUND).withColumn("row", F.monotonically_increasing_id()), "pii-found")
 
-    found = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, _FOUND)
-    return written(found.withColumn("row", F.monotonically_increasing_id()), "pii-found")
 
+def document_frequencies(docs: DataFrame) -> DataFrame:
+    """(word, n_t): documents that hold a word, over the whole texts of all documents."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(counts: Counter) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
-def disclosing(found: DataFrame, support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
+        counts: Counter = Counter()
+        for (texts,) in slices(batches):
+            for text in texts:
+                counts.update({w.lower() for w in _WORD.findall(text or "")})
+                if len(counts) > _HELD_WORDS:
+                    yield out(counts)
+                    counts = Counter()
+        yield out(counts)
+
+    return docs.select(F.col("text").cast("string")).mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n_t"))
+
+
+def disclosing(docs: DataFrame, found: DataFrame, support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
     """(entity, word, share): pairs whose mutual information is at least ``threshold`` of the entity's own information."""
-    seen = found.select(F.explode("entities").alias("entity"))
-    total = F.lit(float(seen.count()))
-    pairs = found.select(F.inline(F.array_distinct(F.transform("near", lambda x: F.struct(x["entity"], x["word"])))))
-    n_c = seen.groupBy("entity").agg(F.count(F.lit(1)).alias("n_c"))
-    n_ct = written(pairs.groupBy("entity", "word").agg(F.count(F.lit(1)).alias("n_ct")), "pii-pairs")
-    n_t = n_ct.groupBy("word").agg(F.sum("n_ct").alias("n_t"))
-    scored = (n_ct.where(F.col("n_ct") >= support).join(n_c, "entity").join(n_t, "word")
+    total = F.lit(float(found.count()))
+    seen = found.where(F.size("entities") > 0).select("row", F.explode("entities").alias("entity"))
+    n_c = written(seen.groupBy("entity").agg(F.count(F.lit(1)).alias("n_c")).where(F.col("n_c") >= support), "pii-entities")
+    # an entity of fewer documents shares no word in ``support`` of them: its words are not paired
+    paired = (seen.join(n_c, "entity").groupBy("row").agg(F.collect_list("entity").alias("paired"))
+              .join(found.select("row", "words"), "row"))
+    n_ct = written(paired.select(F.explode("paired").alias("entity"), "words").select("entity", F.explode("words").alias("word"))
+                   .groupBy("entity", "word").agg(F.count(F.lit(1)).alias("n_ct")).where(F.col("n_ct") >= support), "pii-pairs")
+    if n_ct.isEmpty():
+        return n_ct.select("entity", "word", F.lit(0.0).alias("share"))
+    n_t = document_frequencies(docs).join(n_ct.select("word").distinct(), "word", "left_semi")
+    scored = (n_ct.join(n_c, "entity").join(n_t, "word")
               .withColumn("own", F.log(total / F.col("n_c")))
               .withColumn("share", F.when(F.col("own") > 0, F.log(F.col("n_ct") * total / (F.col("n_c") * F.col("n_t"))) / F.col("own")).otherwise(0.0)))
     return scored.where(F.col("share") >= threshold).select("entity", "word", "share")
 
 
-def protect(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, threshold: float = THRESHOLD,
+def protect(docs: DataFrame, support: int = SUPPORT, threshold: float = THRESHOLD,
             id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
     """Per document: doc_id, spans (kind, start, end in code points) by start, then kind; ``with_text`` adds clean_text.
 
     Base spans are always there; spans of kind ``term`` are words that disclose an entity which
-    the same document mentions beside them.  An entity in every context has nothing to disclose.
+    the same document mentions, wherever they stand in it.  An entity in every document has
+    nothing to disclose.
     Null and empty texts have no spans; null and repeated doc_ids are carried along, one result
     per row; an empty table gives no rows.
     """
-    found = _look(pick(docs, doc_id=id_col, text=text_col), reach, with_text)
-    flagged = written(disclosing(found, support, threshold), "pii-disclosing").select(
-        F.col("entity").alias("e"), F.col("word").alias("w"))
-    near = found.where(F.size("near") > 0).select("row", F.inline("near"))
-    terms = (near.join(flagged, (F.col("entity") == F.col("e")) & (F.col("word") == F.col("w")))
-             .select("row", "start", "end").distinct()
-             .groupBy("row").agg(F.collect_list(F.struct("start", F.lit(4).alias("kind"), "end")).alias("terms"))
-             .withColumnRenamed("row", "term_row"))
-    listed = F.array_sort(F.concat("base", F.coalesce("terms", F.array().cast(_SPAN))))
+    rows = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    found = _look(rows, with_text)
+    flagged = written(disclosing(rows, found, support, threshold), "pii-disclosing")
+    terms = (found.where(F.size("entities") > 0).select("row", F.explode("entities").alias("entity")).join(flagged, "entity")
+             .groupBy(F.col("row").alias("term_row")).agg(F.collect_set("word").alias("terms")))
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, texts, base, told in slices(batches):
+            spans = []
+            for text, known, words in zip(texts, base, told, strict=True):
+                if words:
+                    words, mentions = set(words), [(x["start"], x["kind"], x["end"]) for x in known]
+                    known = known + [{"start": s, "kind": 4, "end": e} for w, s, e in words_outside(text, mentions) if w in words]
+                    known.sort(key=lambda x: (x["start"], x["kind"], x["end"]))
+                spans.append(known)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(texts if with_text else [None] * len(ids), pa.string()), pa.array(spans, _SPANS)],
+                names=["doc_id", "text", "listed"])
+
+    listed = (found.drop("words").join(terms, F.col("row") == F.col("term_row"), "left").select("doc_id", "text", "base", "terms")
+              .mapInArrow(mark, "doc_id bigint, text string, listed array<struct<start:bigint,kind:int,end:bigint>>"))
     name = F.array(*[F.lit(k) for k in KINDS])
-    out = (found.join(terms, F.col("row") == F.col("term_row"), "left")
-           .select("doc_id", "text", F.transform(listed, lambda x: F.struct(
-               F.element_at(name, x["kind"] + 1).alias("kind"), x["start"].alias("start"), x["end"].alias("end"))).alias("spans")))
+    out = listed.select("doc_id", "text", F.transform("listed", lambda x: F.struct(
+        F.element_at(name, x["kind"] + 1).alias("kind"), x["start"].alias("start"), x["end"].alias("end"))).alias("spans"))
     if not with_text:
         return out.drop("text")
 

@@ -200,6 +200,19 @@ def test_pii_terms_that_disclose(spark):
     assert all(s["kind"] != "term" for s in got[10]["spans"])
 
 
+def test_pii_terms_of_whole_texts(spark):
+    far = " filler words" * 20
+    rows_ = [(i, f"z@example.com is here.{far} The clerk Zebulon common. Zebulon again") for i in range(4)]
+    rows_ += [(10 + i, "the clerk is common" if i % 2 else f"common m{i}@example.com is here.{far} The clerk again") for i in range(60)]
+    got = {r["doc_id"]: r for r in pii.protect(spark.createDataFrame(rows_, "doc_id bigint, text string"), with_text=True).collect()}
+    for i in range(4):
+        assert [rows_[i][1][s["start"]:s["end"]] for s in got[i]["spans"] if s["kind"] == "term"] == ["Zebulon", "Zebulon"]
+        assert "Zebulon" not in got[i]["clean_text"]
+    near = [(i, "z@example.com common") for i in range(4)] + [(10 + i, "a common word") for i in range(60)] + [(99, "y@example.com only")]
+    got = pii.protect(spark.createDataFrame(near, "doc_id bigint, text string")).collect()
+    assert all(s["kind"] != "term" for r in got for s in r["spans"])  # common in the corpus, near one entity only
+
+
 def test_weak_secrets_need_a_complement(spark):
     key, far = "Zx9" * 10, " filler words here" * 60
     texts = [
