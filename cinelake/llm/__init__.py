@@ -1,5 +1,6 @@
 """Training-data operators: packing, quality rules, sharding, secret scans, PII, licence scans,
-benchmark decontamination, SimHash near-duplicates, HTML extraction and toxicity.
+benchmark decontamination, SimHash near-duplicates, HTML extraction, toxicity, conversation repair,
+conversation prefix tries and nearest neighbours.
 
 Nothing outside this package imports it.  Python functions that run in tasks are pickled by
 value, so executors need no copy of the package.

@@ -67,3 +67,34 @@ def filter_rows(df: DataFrame, column: str, keeps: Callable[[], Callable[[list],
                 yield part.filter(pa.array(test(part.column(at).to_pylist()), pa.bool_()))
 
     return plain.mapInArrow(run, plain.schema).toDF(*names)
+
+
+def hashed_lines(df: DataFrame, key: str, order: str, line: str, out: str, separator: str = "\n") -> DataFrame:
+    """(key, out): SHA-256 in hex of the ``line`` strings of each key in order, joined.
+
+    A stream over sorted rows: whatever a key's size, one line is held at a time.  A null key is a
+    key of its own.
+    """
+    import hashlib
+
+    kind = df.schema[key].dataType
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # (key, digest so far)
+        for batch in batches:
+            done = []
+            for k, text in zip(batch.column("k").to_pylist(), batch.column("line").to_pylist(), strict=True):
+                if held is None or held[0] != k:
+                    done += [held] if held else []
+                    held = (k, hashlib.sha256())
+                else:
+                    held[1].update(separator.encode())
+                held[1].update(text.encode())
+            if done:
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in done], batch.schema.field("k").type), pa.array([d.hexdigest() for _, d in done])], names=["k", "digest"])
+            last = batch.schema.field("k").type
+        if held is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([held[0]], last), pa.array([held[1].hexdigest()])], names=["k", "digest"])
+
+    rows = pick(df, k=key, o=order, line=line).repartition("k").sortWithinPartitions("k", "o").select("k", "line")
+    return rows.mapInArrow(run, f"k {kind.simpleString()}, digest string").toDF(key, out)

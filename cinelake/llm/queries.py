@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinelake.llm import decontaminate, html_extract, licenses, packing, pii, quality, secrets, sharding, simhash, toxicity
-from cinelake.llm.common import read_table
+from cinelake.llm import (conversation_repair, decontaminate, html_extract, licenses, neighbours, packing, pii, prefix_trie, quality, secrets, sharding,
+                          simhash, toxicity)
+from cinelake.llm.common import hashed_lines, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -117,6 +118,43 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("evidence")["doc_id"].alias("evidence_ids"))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The table with faults put in by a hash of id and turn: a row goes, loses its text or its sentence ends, is repeated, or becomes the user's."""
+    def named(c: str):
+        return F.coalesce(F.col(c).cast("string"), F.lit(" "))
+
+    fault = F.crc32(F.concat(named("conv_id"), F.lit(":"), named("turn")).cast("binary")) % 20
+    rows = conversations.select("conv_id", "turn", named("role").alias("role"), named("text").alias("text"), fault.alias("fault")).where(F.col("fault") != 0)
+    text = F.when(F.col("fault") == 1, F.lit("")).when(F.col("fault") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("fault") == 4, F.lit("user")).otherwise(F.col("role"))
+    copies = F.explode(F.array_repeat(F.lit(0), F.when(F.col("fault") == 3, 2).otherwise(1)))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("copy")).drop("copy")
+
+
+@register
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = read_table(spark, sf_dir, "conversations")
+    report, turns = conversation_repair.repair(damaged(given))
+    lines = turns.where(F.col("place").isNotNull()).select("conv_id", "place", F.concat("role", F.lit(":"), "text").alias("line"))
+    digests = hashed_lines(lines, "conv_id", "place", "line", "repaired_sha256")
+    ids = given.select(F.col("conv_id").alias("id")).distinct()  # conversations that lost every row are reported too
+    digests = digests.withColumnRenamed("conv_id", "digest_id")
+    found = ids.join(report, F.col("id").eqNullSafe(F.col("conv_id")), "left").join(digests, F.col("id").eqNullSafe(F.col("digest_id")), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return found.select(F.col("id").alias("conv_id"), *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+@register
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
+@register
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(read_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
