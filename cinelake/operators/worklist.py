@@ -7,13 +7,13 @@ ranges), not as a Python list.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from cinelake.functions.jsonops import json_double, required_array
 from cinelake.session import scratch_dir
-from cinelake.sources.bronze import drop_missing_responses
+from cinelake.sources.bronze import change_window, drop_missing_responses
 
 # ---- fixed values -----------------------------------------------------------------
 POPULARITY_THRESHOLD = 1.0
@@ -110,15 +110,17 @@ def accept_pages(landing: DataFrame, max_pages: int | None = None) -> DataFrame:
     opt-in cap; a page that landed is data, so there is none by default.
 
     The first gap is the smallest page whose successor did not land (an anti
-    join on run, month and page, so no month is gathered anywhere).  The page
-    facts (numbers only) are written once while the query is built, so bodies
-    are parsed for them once; so are the stop pages, one row per run and
-    month, whose known size lets the last join leave the bodies unshuffled.
+    join on run, month and page, so no month is gathered anywhere).  The pages
+    are parsed once and written with their numbers while the query is built:
+    the judgement reads the number columns alone, the result the bodies.  The
+    stop pages are written too, one row per run and month, whose known size
+    lets the last join leave the bodies unshuffled.
     """
     pages = page_facts(drop_missing_responses(landing)).withColumn(
         "page", F.coalesce("page", F.raise_error(F.concat(F.lit("no page number in "), F.col("endpoint"))).cast("int")))
     by = ["run_id", "month"]
-    facts = _written(pages.select(*by, "page", "n_results", "total_pages"), "page-facts")
+    pages = _written(pages, "pages")
+    facts = pages.select(*by, "page", "n_results", "total_pages")
     landed = facts.select(*by, "page").distinct()
     before = landed.select(*by, (F.col("page") - 1).alias("page"))
     runs_out = landed.join(before, [*by, "page"], "left_anti").groupBy(*by).agg(F.min("page").alias("unbroken"))
@@ -158,6 +160,44 @@ def backfill_windows(bounds: DataFrame, start_col: str, end_col: str, days: int
     return w.select("window_start", F.least(F.date_add("window_start", days - 1), F.col("end")).alias("window_end"))
 
 
+def whole_windows(change_pages: DataFrame) -> DataFrame:
+    """Change-list windows of which every page landed: (run_id, window_start, window_end).
+
+    One row per run and window; pages 1 to ``total_pages`` must all be there."""
+    start, end = change_window()
+    pages = drop_missing_responses(change_pages).select(
+        "run_id", start.alias("window_start"), end.alias("window_end"), F.variant_get("body", "$.page", "int").alias("page"),
+        F.coalesce(F.variant_get("body", "$.total_pages", "int"), F.lit(1)).alias("total_pages"))
+    each = pages.where("page >= 1").groupBy("run_id", "window_start", "window_end", "page").agg(F.max("total_pages").alias("total_pages"))
+    windows = each.groupBy("run_id", "window_start", "window_end").agg(
+        F.max("total_pages").alias("of"), F.count_if(F.col("page") <= F.col("total_pages")).alias("there"))
+    # a list without changes is one page of zero pages in all
+    return windows.where(F.col("there") >= F.col("of")).select("run_id", "window_start", "window_end")
+
+
+def missing_windows(covered: DataFrame, bounds: DataFrame, days: int = BACKFILL_DAYS) -> DataFrame:
+    """[first, last] minus the ``covered`` windows (which may overlap), cut into windows of at most ``days`` days.
+
+    Coverage is a set of days, so its size is that of the calendar, whatever has landed: at most
+    one row a day, in the window that finds the stretches too."""
+    have = covered.select(F.explode(F.sequence("window_start", "window_end")).alias("day")).distinct()
+    want = bounds.where(F.col("first") <= F.col("last")).select(F.explode(F.sequence("first", "last")).alias("day"))
+    missing = want.join(have, "day", "left_anti")
+    stretch = F.date_sub("day", F.row_number().over(Window.orderBy("day")))     # the same for days in a row
+    gaps = missing.withColumn("stretch", stretch).groupBy("stretch").agg(F.min("day").alias("s"), F.max("day").alias("e"))
+    return backfill_windows(gaps, "s", "e", days)
+
+
+def refresh_worklist(details_raw: DataFrame, changes: DataFrame) -> DataFrame:
+    """Movies with details that changed since: (movie_id, last_changed, after), ``after`` being when the newest details were fetched.
+
+    A change on the day of the fetch may have come after it, so it counts.  Both sides are one row
+    per movie before they meet."""
+    have = details_raw.groupBy("movie_id").agg(F.max("ingested_at").alias("after"))
+    last = changes.groupBy("movie_id").agg(F.max("change_date").alias("last_changed"))
+    return have.join(last, "movie_id").where(F.col("last_changed") >= F.to_date("after")).select("movie_id", "last_changed", "after")
+
+
 def export_worklist(newest_export_rows: DataFrame, details_raw: DataFrame) -> DataFrame:
     """Ids of the newest ID export that are not yet in details.
 

@@ -81,9 +81,11 @@ CTES: list[tuple[str, str]] = [
                                    ORDER BY ingested_at DESC, {_desc(["genre_name", "endpoint"])}) AS rn
       FROM genre_rows) WHERE rn = 1"""),
     ("details_rows",
-     _details_select(f"CASE WHEN p_size = {tb.EMPTY_TITLE_SIZE} THEN '' ELSE upper(p_name) END",
-                     tb.DETAILS_NEW_AT, f"p_size <= {tb.DETAILS_MAX_SIZE}")
+     _details_select(f"CASE WHEN p_size = {tb.EMPTY_TITLE_SIZE} THEN '' ELSE upper(p_name) END", tb.DETAILS_NEW_AT, "true")
      + "\n    UNION ALL" + _details_select("p_name", tb.DETAILS_OLD_AT, f"p_size <= {tb.DETAILS_OLD_MAX_SIZE}")),
+    # where the API does not know every part
+    ("found_details", f"""
+    SELECT d.* FROM details_rows d JOIN part ON movie_id = p_partkey WHERE p_size <= {tb.DETAILS_MAX_SIZE}"""),
     ("o_silver_movie_details", f"""
     SELECT movie_id, {", ".join(DETAILS_COLS)}, endpoint, ingested_at FROM (
       SELECT *, row_number() OVER (PARTITION BY movie_id
@@ -171,6 +173,20 @@ CTES: list[tuple[str, str]] = [
       GROUP BY a.mth) o ON f.mth = o.mth
     WHERE f.page >= 1 AND f.page <= least(coalesce(s.first_empty - 1, f.page), coalesce(s.first_last, f.page),
                                           coalesce(o.first_orphan - 1, f.page))"""),
+    # what is left of the pages when one never lands: the same rule over fewer pages
+    ("streamed_facts", f"""
+    SELECT * FROM page_facts WHERE NOT (month(mth) = {tb.LOST_PAGE[0]} AND page = {tb.LOST_PAGE[1]})"""),
+    ("streamed_pages", """
+    SELECT f.* FROM streamed_facts f JOIN (
+      SELECT mth, min(CASE WHEN n_results = 0 THEN page END) AS first_empty,
+             min(CASE WHEN page >= total_pages THEN page END) AS first_last
+      FROM streamed_facts GROUP BY mth) s ON f.mth = s.mth
+    LEFT JOIN (
+      SELECT a.mth, min(a.page) AS first_orphan FROM streamed_facts a
+      WHERE a.page > 1 AND NOT EXISTS (SELECT 1 FROM streamed_facts b WHERE b.mth = a.mth AND b.page = a.page - 1)
+      GROUP BY a.mth) o ON f.mth = o.mth
+    WHERE f.page >= 1 AND f.page <= least(coalesce(s.first_empty - 1, f.page), coalesce(s.first_last, f.page),
+                                          coalesce(o.first_orphan - 1, f.page))"""),
     ("landed_movie_rows", """
     SELECT r.*, CAST(r.mth + INTERVAL 1 MONTH AS TIMESTAMP) AS page_fetched_at FROM page_rows r"""),
     ("change_rows", f"""
@@ -178,6 +194,9 @@ CTES: list[tuple[str, str]] = [
            CAST((row_number() OVER (PARTITION BY d ORDER BY user_id) - 1) // {tb.CHANGES_PAGE_SIZE} + 1 AS INTEGER)
              AS page
     FROM (SELECT DISTINCT CAST(ts AS DATE) AS d, user_id FROM events)"""),
+    ("landed_changes", f"""
+    SELECT * FROM change_rows WHERE day(change_date) NOT IN {tb.UNLANDED_CHANGES}
+      AND NOT (day(change_date) = {tb.CUT_CHANGES[0]} AND page = {tb.CUT_CHANGES[1]})"""),
     ("o_fact_movie_popularity", f"""
     SELECT f.movie_id, f.snapshot_date, f.popularity, f.vote_average, f.vote_count, d.revenue FROM (
       SELECT movie_id, CAST(ingested_at AS DATE) AS snapshot_date, popularity, vote_average, vote_count,

@@ -13,6 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from cinelake.plans import gold, silver
 from cinelake.sources import bronze, testbed
 
+# Model -> the key that its written form is bucketed by: what it is joined and tested on.  The
+# genre tables are as small as the genre vocabulary and are left as they are.
+BUCKET_KEYS = {
+    "silver_movie": "movie_id", "silver_movie_details": "movie_id", "silver_bridge_movie_genre": "movie_id",
+    "silver_movie_cast": "movie_id", "silver_movie_crew": "movie_id",
+    "dim_movie": "movie_id", "dim_person": "person_id", "bridge_movie_genre": "movie_id",
+    "bridge_movie_cast": "movie_id", "bridge_movie_crew": "movie_id",
+}
 # Model -> layer, in dependency order (fixed).
 MODEL_LAYERS = {
     "silver_genre": "silver", "silver_movie": "silver", "silver_movie_details": "silver",
@@ -77,6 +85,15 @@ def silver_inputs(name: str) -> set[str]:
     return {name} if name in SILVER_BUILDERS else set().union(*(silver_inputs(i) for i in GOLD[name][1]))
 
 
+def gold_inputs(names) -> list[str]:
+    """The gold models among ``names`` and those they rest on, in dependency order."""
+    need = {n for n in names if n in GOLD}
+    for n in reversed(list(GOLD)):
+        if n in need:
+            need |= {i for i in GOLD[n][1] if i in GOLD}
+    return [n for n in GOLD if n in need]
+
+
 class Models(Mapping):
     """Lazy name -> DataFrame mapping over the model graph.
 

@@ -1,4 +1,4 @@
-"""Jobs: materialisation, layer routing and the pipelines -- SURVEY A10-A12, G1-G3.
+"""Jobs: materialisation, layer routing and the pipelines -- SURVEY A10-A12, G1-G3 (and A14, B10, B11 as a job).
 
 Tables are written as Parquet under ``<root>/<layer>/<table>`` (the schema
 name is exactly the layer).  A rebuild writes a new ``version=N`` folder and
@@ -9,15 +9,19 @@ which also cuts the lineage between layers.
 
 from __future__ import annotations
 
+import hashlib
+import json
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinelake.operators import quality, worklist
 from cinelake.plans import catalog, silver
+from cinelake.session import scratch_dir
 from cinelake.sources import bronze
-from cinelake.sources.landing import read_landing
+from cinelake.sources.landing import parse_landing, read_landing, read_lines
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -50,22 +54,68 @@ def current_version(spark: SparkSession, table_root: str) -> str | None:
     return None if best is None else f"{table_root}/version={best}"
 
 
+_LAYOUT = "_bucketing"     # beside the data files of a bucketed version; readers of plain Parquet pass over it
+
+
 def materialize_table(df: DataFrame, root: str, layer: str, table: str, version: int | None = None) -> str:
     """A10: full rebuild -- write a new version, then it becomes current.
 
     ``version`` defaults to the wall clock in ms; a replay with the same
-    version overwrites only its own folder (idempotent)."""
+    version overwrites only its own folder (idempotent).
+
+    A model with a key in ``catalog.BUCKET_KEYS`` is written bucketed and sorted by it, into as
+    many buckets as a shuffle has partitions.  A model that was grouped or joined on that key is
+    written as it stands (Catalyst leaves the repartition out); joins, groupings and data tests on
+    the key of two such tables then need no exchange.
+    """
+    spark = df.sparkSession
     v = version if version is not None else int(time.time() * 1000)
     path = f"{table_path(root, layer, table)}/version={v}"
-    df.write.mode("overwrite").parquet(path)
+    key = catalog.BUCKET_KEYS.get(table)
+    if key is None:
+        df.write.mode("overwrite").parquet(path)
+        return path
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"cinelake_{uuid.uuid4().hex}"
+    spark.sql(f"DROP TABLE IF EXISTS {_table_name(path)}")
+    (df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+       .option("path", path).saveAsTable(name))
+    spark.sql(f"DROP TABLE {name}")      # the catalogue entry only; the files are external
+    fs, p = _fs(spark, f"{path}/{_LAYOUT}")
+    out = fs.create(p, True)
+    out.write(json.dumps({"key": key, "buckets": buckets}).encode())
+    out.close()
     return path
 
 
+def _table_name(path: str) -> str:
+    return f"cinelake_{hashlib.md5(path.encode()).hexdigest()}"
+
+
+def read_version(spark: SparkSession, path: str) -> DataFrame:
+    """One written version of a table; if it is bucketed, as a catalogue table over its files, so that Spark knows the buckets."""
+    fs, p = _fs(spark, f"{path}/{_LAYOUT}")
+    plain = spark.read.parquet(path)
+    if not fs.exists(p):
+        return plain
+    stream = fs.open(p)
+    try:
+        layout = json.loads(bytes(stream.readAllBytes()))
+    finally:
+        stream.close()
+    name = _table_name(path)
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{layout['key']}`) SORTED BY (`{layout['key']}`) "
+                  f"INTO {layout['buckets']} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
+
+
 def read_table(spark: SparkSession, root: str, layer: str, table: str) -> DataFrame:
     path = current_version(spark, table_path(root, layer, table))
     if path is None:
         raise FileNotFoundError(f"{layer}.{table} has no complete version under {root}")
-    return spark.read.parquet(path)
+    return read_version(spark, path)
 
 
 def ordered_scan(df: DataFrame, column: str) -> DataFrame:
@@ -139,7 +189,7 @@ def build_catalog(spark: SparkSession, b: catalog.Bronze, root: str, version: in
     failed = _materialize_layer(s_plans, root, "silver", v, threads)
 
     def written(layer, name):
-        return spark.read.parquet(f"{table_path(root, layer, name)}/version={v}")
+        return read_version(spark, f"{table_path(root, layer, name)}/version={v}")
 
     s = {n: written("silver", n) for n in s_plans if n not in failed}
     skipped = {n: sorted(catalog.silver_inputs(n) & set(failed)) for n in catalog.GOLD if catalog.silver_inputs(n) & set(failed)}
@@ -195,7 +245,7 @@ def _marks(root: str, table: str) -> str:
 
 
 def new_runs(spark: SparkSession, landing: str, root: str, table: str) -> list[str]:
-    """Landed fetch runs that ``table`` has not loaded to the end (two listings; one name per run)."""
+    """Landed fetch runs that ``table`` has not taken in (two listings; one name per run)."""
     return sorted(_folders(spark, landing, "run_id") - _folders(spark, _marks(root, table), "run_id"))
 
 
@@ -207,59 +257,123 @@ def _mark(spark: SparkSession, root: str, table: str, runs: list[str]) -> None:
         fs.mkdirs(p)
 
 
+def _ledger(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame:
+    """A small append-only table of what has been taken in; empty before its first entry."""
+    path = _marks(root, name)
+    fs, p = _fs(spark, path)
+    return spark.read.schema(schema).parquet(path) if fs.exists(p) else spark.createDataFrame([], schema)
+
+
 def _load(rows: DataFrame, root: str, table: str) -> None:
     """Write bronze rows by run (and month): a folder appears whole, and a repeated load writes the same folder again."""
     (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*_PARTS[table]).parquet(_bronze_root(root, table)))
 
 
-def _load_movies(spark: SparkSession, landing: str, root: str, runs: list[str], run_month: str | None) -> None:
-    """Accepted discover pages of ``runs`` -> bronze, one folder per run and month; months already there are left out."""
-    pages = read_landing(spark, landing, runs)
+_MONTHS = "run_id string, month date, pages bigint"
+_RUNS = "run_id string, files bigint, bytes bigint"
+_LEFT = "run_id string, movie_id bigint"
+
+
+def _run_sizes(spark: SparkSession, landing: str, runs: set[str]) -> dict[str, tuple[int, int]]:
+    """Files and bytes of every run folder (metadata only); they change when something lands in a run again."""
+    from urllib.parse import quote
+
+    out = {}
+    for run in sorted(runs):
+        fs, p = _fs(spark, f"{landing}/run_id={quote(run, safe='')}")
+        if fs.exists(p):
+            summary = fs.getContentSummary(p)
+            out[run] = (summary.getFileCount(), summary.getLength())
+    return out
+
+
+def open_runs(spark: SparkSession, landing: str, root: str) -> dict[str, tuple[int, int]]:
+    """Discover runs with something in them that bronze may not have: new ones, ones of which only some
+    months were asked for, and ones in which more has landed since.  Names and sizes only."""
+    sizes = _run_sizes(spark, landing, _folders(spark, landing, "run_id"))
+    seen = {tuple(r) for r in _ledger(spark, root, "movie_raw_runs", _RUNS).collect()}    # one row a run, or a few
+    return {run: size for run, size in sizes.items() if (run, *size) not in seen}
+
+
+def load_movies(spark: SparkSession, landing: str, root: str, run_month: str | None = None) -> DataFrame | None:
+    """Accepted discover pages -> bronze, one folder per (run, month); returns the pairs loaded, None if no run is open.
+
+    The ledger holds (run, month, pages landed).  A pair is loaded when the ledger does not have it
+    with as many pages as have landed, so a month whose late page arrives is judged and written
+    again, whole.  ``run_month`` restricts the load to one month; the other months of its runs stay
+    open for a later call.  The ledger is written after the rows: a crash between the two loads the
+    same folders once more.
+    """
+    runs = open_runs(spark, landing, root)
+    if not runs:
+        return None
+    lines = read_lines(spark, landing, list(runs))
+    day = F.to_date(F.get_json_object("value", "$.request_date"))      # before the body in its line; the body is not parsed here
+    landed = lines.groupBy("run_id", day.alias("month")).agg(F.count(F.lit(1)).alias("pages"))
     if run_month is not None:
-        pages = pages.where(F.col("request_date") == F.lit(run_month).cast("date"))
-    there = [(r, m) for r in runs for m in _folders(spark, f"{_bronze_root(root, 'movie_raw')}/run_id={r}", "month")]
-    if there:
-        done = spark.createDataFrame(there, "run_id string, m string").select("run_id", F.col("m").cast("date").alias("request_date"))
-        pages = pages.join(done, ["run_id", "request_date"], "left_anti")
-    rows = bronze.land_movie_rows(worklist.accept_pages(pages), carry=("run_id", "month"))
-    _load(rows, root, "movie_raw")
+        landed = landed.where(F.col("month") == F.lit(run_month).cast("date"))
+    todo = landed.join(_ledger(spark, root, "movie_raw_months", _MONTHS), ["run_id", "month", "pages"], "left_anti")
+    path = scratch_dir(spark, "months-to-load")
+    todo.write.parquet(path)
+    todo = spark.read.schema(_MONTHS).parquet(path)
+    wanted = lines.withColumn("month", day).join(todo.select("run_id", "month"), ["run_id", "month"], "left_semi").select("value", "run_id")
+    _load(bronze.land_movie_rows(worklist.accept_pages(parse_landing(wanted)), carry=("run_id", "month")), root, "movie_raw")
+    todo.write.mode("append").parquet(_marks(root, "movie_raw_months"))
+    if run_month is None:
+        whole = spark.createDataFrame([(run, *size) for run, size in runs.items()], _RUNS)
+        whole.coalesce(1).write.mode("append").parquet(_marks(root, "movie_raw_runs"))
+    return todo
 
 
 def _append_worklist(spark: SparkSession, landing: str, root: str, table: str, todo: DataFrame, land) -> None:
-    """Landed responses of the new runs whose id is on the worklist -> bronze.  A repeated call finds those ids done."""
+    """Landed responses whose id is on the worklist -> bronze.  A repeated call finds those ids done.
+
+    ``todo`` has movie_id and may have ``after``: only a response fetched later counts then.  Ids that
+    a run has and nobody asked for yet are noted with their run, so that a run is opened again
+    once one of them comes onto a worklist (its movie's month is loaded later, or the movie has changed).
+    """
     runs = new_runs(spark, landing, root, table)
-    responses = read_landing(spark, landing, runs)
-    fetched = responses.join(todo.withColumnRenamed("movie_id", "request_key"), "request_key", "left_semi")
-    bronze.bronze_append(land(fetched), _bronze_root(root, table))
+    left = _ledger(spark, root, f"{table}_left", _LEFT)
+    reopened = [r[0] for r in left.join(todo.select("movie_id").distinct(), "movie_id", "left_semi").select("run_id").distinct().collect()]   # run names
+    if runs or reopened:
+        on = todo.withColumnRenamed("movie_id", "request_key")
+        responses = read_landing(spark, landing, sorted({*runs, *reopened}))
+        if "after" in on.columns:
+            fetched = responses.join(on, "request_key").where(F.col("fetched_at") > F.col("after")).drop(*[c for c in on.columns if c != "request_key"])
+        else:
+            fetched = responses.join(on, "request_key", "left_semi")
+        bronze.bronze_append(land(fetched), _bronze_root(root, table))
+    if runs:
+        ids = read_landing(spark, landing, runs).select("run_id", F.col("request_key").alias("movie_id")).where("movie_id is not null")
+        ids.distinct().join(todo.select("movie_id"), "movie_id", "left_anti").select("run_id", "movie_id").write.mode("append").parquet(_marks(root, f"{table}_left"))
     _mark(spark, root, table, runs)
 
 
 def daily_increment(spark: SparkSession, landing_root: str, root: str, run_month: str | None = None,
                     version: int | None = None) -> DataFrame:
-    """New genre runs, the run month's pages of new discover runs -> bronze
-    -> details worklist -> landed details -> credits worklist -> landed
-    credits -> G1.
+    """New genre runs, the months of discover runs that bronze lacks
+    -> details worklist -> landed details -> details of changed movies again
+    -> credits worklist -> landed credits -> G1.
 
     ``landing_root`` holds the landed responses (``genre/ discover/ details/
-    credits/``, one ``run_id=...`` folder per fetch run).  Only runs that
-    bronze has not taken in yet are read, so a repeated call adds nothing.
-    Without ``run_month`` the month is the newest one of the new runs.
+    credits/`` and, if changes are followed, ``changes/``; one ``run_id=...``
+    folder per fetch run).  Only what bronze has not taken in is loaded, so a
+    repeated call adds nothing.  With ``run_month`` only that month is
+    loaded; the others stay open for the next call or for ``full_backfill``.
     Returns the G1 quality report.
     """
-    land = {k: f"{landing_root}/{k}" for k in ("genre", "discover", "details", "credits")}
+    land = {k: f"{landing_root}/{k}" for k in ("genre", "discover", "details", "credits", "changes")}
     runs = new_runs(spark, land["genre"], root, "genre_raw")
     if runs:
         _load(bronze.land_genre_rows(read_landing(spark, land["genre"], runs), carry=("run_id",)), root, "genre_raw")
         _mark(spark, root, "genre_raw", runs)
-    runs = new_runs(spark, land["discover"], root, "movie_raw")
-    if runs:
-        month = run_month or str(read_landing(spark, land["discover"], runs).agg(F.max("request_date")).first()[0])
-        _load_movies(spark, land["discover"], root, runs, month)
-        _mark(spark, root, "movie_raw", runs)
+    load_movies(spark, land["discover"], root, run_month)
     b = read_bronze(spark, root)
     _append_worklist(spark, land["details"], root, "movie_details_raw", worklist.details_worklist(b.movie, b.details),
                      bronze.land_detail_rows)
+    if _folders(spark, land["changes"], "run_id"):
+        refresh_changed(spark, landing_root, root)
     b = read_bronze(spark, root)
     _append_worklist(spark, land["credits"], root, "movie_credits_raw", worklist.credits_worklist(b.details, b.credits),
                      bronze.land_credit_rows)
@@ -267,14 +381,65 @@ def daily_increment(spark: SparkSession, landing_root: str, root: str, run_month
 
 
 def full_backfill(spark: SparkSession, discover_landing: str, root: str) -> DataFrame:
-    """Every landed month of every new run at once (one distributed read
+    """Every landed month that bronze lacks at once (one distributed read
     instead of a serial month loop) -> accepted pages -> bronze movie rows,
     one folder per run and month -> silver_movie over that bronze.
 
-    Restartable: after a crash the months that are in bronze are not loaded
-    again, and a repeated call loads nothing."""
-    runs = new_runs(spark, discover_landing, root, "movie_raw")
-    if runs:
-        _load_movies(spark, discover_landing, root, runs, None)
-        _mark(spark, root, "movie_raw", runs)
+    Also loads the months that daily runs left open, and months of which more
+    pages have landed; a repeated call loads nothing."""
+    load_movies(spark, discover_landing, root)
     return silver.silver_movie(read_bronze(spark, root).movie)
+
+
+# ---- movies that changed (A14, B10, B11) -------------------------------------------------
+_WINDOWS = "run_id string, window_start date, window_end date"
+_CHANGES = "movie_id bigint, change_date date, run_id string"
+
+
+def read_changes(spark: SparkSession, root: str) -> DataFrame:
+    """The change lists taken in so far: (movie_id, change_date, run_id)."""
+    fs, p = _fs(spark, _bronze_root(root, "movie_changes"))
+    return spark.read.schema(_CHANGES).parquet(_bronze_root(root, "movie_changes")) if fs.exists(p) else spark.createDataFrame([], _CHANGES)
+
+
+def change_windows(spark: SparkSession, root: str) -> DataFrame:
+    """The windows whose change list has landed whole: (window_start, window_end)."""
+    return _ledger(spark, root, "change_windows", _WINDOWS).select("window_start", "window_end").distinct()
+
+
+def load_changes(spark: SparkSession, landing: str, root: str) -> None:
+    """Change lists of runs in which something new has landed -> bronze, one folder a run; whole windows into the ledger.
+
+    A window counts once all its pages are there; one that lacks a page stays a gap, is fetched
+    again by another run, and its ids are taken meanwhile."""
+    sizes = _run_sizes(spark, landing, _folders(spark, landing, "run_id"))
+    seen = {tuple(r) for r in _ledger(spark, root, "change_runs", _RUNS).collect()}
+    runs = {run: size for run, size in sizes.items() if (run, *size) not in seen}
+    if not runs:
+        return
+    pages = read_landing(spark, landing, list(runs))
+    rows = bronze.change_list_rows(pages, carry=("run_id",)).select("movie_id", "change_date", "run_id").distinct()
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(_bronze_root(root, "movie_changes"))
+    worklist.whole_windows(pages).write.mode("append").parquet(_marks(root, "change_windows"))
+    whole = spark.createDataFrame([(run, *size) for run, size in runs.items()], _RUNS)
+    whole.coalesce(1).write.mode("append").parquet(_marks(root, "change_runs"))
+
+
+def missing_changes(spark: SparkSession, root: str, since: str, until: str, days: int = worklist.BACKFILL_DAYS) -> DataFrame:
+    """Windows of at most ``days`` days within [since, until] whose change lists are still to be fetched."""
+    bounds = spark.range(1).select(F.lit(since).cast("date").alias("first"), F.lit(until).cast("date").alias("last"))
+    return worklist.missing_windows(change_windows(spark, root), bounds, days)
+
+
+def refresh_changed(spark: SparkSession, landing_root: str, root: str) -> DataFrame:
+    """Take in new change lists, then the details of changed movies that were fetched again; returns the
+    movies whose details are still older than their last change: (movie_id, last_changed, after).
+
+    The newer response is appended; silver takes the newest, so it supersedes the old one."""
+    load_changes(spark, f"{landing_root}/changes", root)
+    stale = worklist.refresh_worklist(read_bronze(spark, root).details, read_changes(spark, root))
+    path = scratch_dir(spark, "stale-details")
+    stale.write.parquet(path)                                   # the list that is worked off must not move while bronze grows
+    stale = spark.read.schema(stale.schema).parquet(path)
+    _append_worklist(spark, f"{landing_root}/details", root, "movie_details_raw", stale, bronze.land_detail_rows)
+    return worklist.refresh_worklist(read_bronze(spark, root).details, read_changes(spark, root))

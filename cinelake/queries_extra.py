@@ -200,20 +200,24 @@ def q_change_list_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("drop_missing_responses", W("SELECT movie_id, 200 AS http_status, ingested_at AS fetched_at "
-                                       "FROM details_rows"))
+                                       "FROM found_details"))
 def q_drop_missing_responses(spark: SparkSession, sf: str) -> DataFrame:
-    ok = bronze.drop_missing_responses(testbed.details_landing(spark, sf), bronze.SKIPPED_STATUSES)
+    ok = bronze.drop_missing_responses(testbed.details_landing(spark, sf, not_found=True), bronze.SKIPPED_STATUSES)
     return ok.select(F.col("request_key").alias("movie_id"), "http_status", "fetched_at")
 
 
 # ---- 2.2 worklists and incremental reads ----------------------------------------------
 @register("details_worklist", W("""
     SELECT DISTINCT movie_id FROM movie_rows
-    WHERE popularity >= 1 AND movie_id NOT IN (SELECT DISTINCT movie_id FROM details_rows)
+    WHERE popularity >= 1 AND movie_id NOT IN (SELECT DISTINCT movie_id FROM found_details)
     ORDER BY movie_id"""))
 def q_details_worklist(spark: SparkSession, sf: str) -> DataFrame:
-    b = _b(spark, sf)
-    return worklist.details_worklist(b.movie, b.details)
+    return worklist.details_worklist(testbed.movie_raw(spark, sf), _found_details(spark, sf))
+
+
+def _found_details(spark: SparkSession, sf: str) -> DataFrame:
+    """Bronze details where the API did not know every part."""
+    return bronze.land_detail_rows(testbed.details_landing(spark, sf, not_found=True))
 
 
 @register("credits_worklist", W(f"""
@@ -304,11 +308,51 @@ def q_backfill_windows(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("export_worklist", W(f"""
     SELECT p_partkey AS movie_id FROM part
-    WHERE p_partkey NOT IN (SELECT movie_id FROM details_rows) ORDER BY movie_id"""))
+    WHERE p_partkey NOT IN (SELECT movie_id FROM found_details) ORDER BY movie_id"""))
 def q_export_worklist(spark: SparkSession, sf: str) -> DataFrame:
     root = _write_exports(spark, sf)
     newest = bronze.read_id_export(spark, bronze.newest_export(spark, f"{root}/movie_ids_*"))
-    return worklist.export_worklist(newest, _b(spark, sf).details)
+    return worklist.export_worklist(newest, _found_details(spark, sf))
+
+
+_CHANGES_ASKED = ("2023-11-20", "2024-02-10")    # since when change lists are followed, and until when
+
+
+@register("missing_change_windows", W(f"""
+    SELECT CAST(w AS DATE) AS window_start, least(CAST(w AS DATE) + {worklist.BACKFILL_DAYS - 1}, e) AS window_end FROM (
+      SELECT s, e, unnest(generate_series(CAST(s AS TIMESTAMP), CAST(e AS TIMESTAMP), INTERVAL {worklist.BACKFILL_DAYS} DAY)) AS w FROM (
+        SELECT min(d) AS s, max(d) AS e FROM (
+          SELECT d, d - CAST(row_number() OVER (ORDER BY d) AS INTEGER) AS stretch FROM (
+            SELECT CAST(x AS DATE) AS d FROM (SELECT unnest(generate_series(TIMESTAMP '{_CHANGES_ASKED[0]}', TIMESTAMP '{_CHANGES_ASKED[1]}', INTERVAL 1 DAY)) AS x)
+            WHERE CAST(x AS DATE) NOT IN (
+              SELECT change_date FROM change_rows GROUP BY change_date
+              HAVING day(change_date) NOT IN {tb.UNLANDED_CHANGES} AND NOT (day(change_date) = {tb.CUT_CHANGES[0]} AND max(page) >= {tb.CUT_CHANGES[1]}))))
+        GROUP BY stretch))"""))
+def q_missing_change_windows(spark: SparkSession, sf: str) -> DataFrame:
+    base = scratch_dir(spark, "changes")
+    landing.write_landing(testbed.changes_landing(spark, sf, with_gaps=True), f"{base}/landing/changes")
+    for _ in range(2):       # the second call finds every run taken in
+        jobs.load_changes(spark, f"{base}/landing/changes", f"{base}/catalog")
+    return jobs.missing_changes(spark, f"{base}/catalog", *_CHANGES_ASKED)
+
+
+@register("refresh_changed", W(f"""
+    SELECT p_partkey AS movie_id, TIMESTAMP '{tb.FIRST_DETAILS_AT}' AS ingested_at, p_name AS title FROM part
+    UNION ALL
+    SELECT p_partkey, TIMESTAMP '{tb.REFETCHED_AT}', upper(p_name) FROM part WHERE p_partkey IN (
+      SELECT movie_id FROM landed_changes GROUP BY movie_id HAVING max(change_date) >= DATE '{tb.FIRST_DETAILS_AT[:10]}')"""))
+def q_refresh_changed(spark: SparkSession, sf: str) -> DataFrame:
+    base = scratch_dir(spark, "refresh")
+    root, land = f"{base}/catalog", f"{base}/landing"
+    parts = tb.table(spark, sf, "part").select(F.col("p_partkey").alias("movie_id"))
+    landing.write_landing(testbed.refetched_details_landing(spark, sf, tb.FIRST_DETAILS_AT, F.col("p_name")), f"{land}/details")
+    jobs._append_worklist(spark, f"{land}/details", root, "movie_details_raw", parts, bronze.land_detail_rows)
+    landing.write_landing(testbed.changes_landing(spark, sf, with_gaps=True), f"{land}/changes")
+    # all movies are fetched again, but only those that changed are taken
+    landing.write_landing(testbed.refetched_details_landing(spark, sf, tb.REFETCHED_AT, F.upper("p_name")), f"{land}/details", mode="append")
+    for _ in range(2):       # the second call finds nothing stale
+        jobs.refresh_changed(spark, land, root)
+    return jobs.read_bronze(spark, root).details.select("movie_id", "ingested_at", json_string("raw_json", "title").alias("title"))
 
 
 # ---- 2.3 / 2.4 extra models ---------------------------------------------------------------
@@ -329,12 +373,21 @@ def q_fact_movie_popularity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---- 2.5 data tests --------------------------------------------------------------------------
-def written_models(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """The whole catalogue, written once per layer and read back: what the data tests and discovery run on."""
+def written_models(spark: SparkSession, sf: str, names=None) -> dict[str, DataFrame]:
+    """Models (all by default) and what they rest on, written once per layer and read back: what the data tests and discovery run on."""
+    names = list(catalog.MODEL_LAYERS if names is None else names)
     root, b = scratch_dir(spark, "catalog"), _b(spark, sf)
-    s = {n: spark.read.parquet(jobs.materialize_table(df, root, "silver", n)) for n, df in catalog.silver_models(b).items()}
-    g = {n: spark.read.parquet(jobs.materialize_table(df, root, "gold", n)) for n, df in catalog.gold_models(s).items()}
-    return s | g
+    gold_names = catalog.gold_inputs(names)
+    silver_names = set().union(*(catalog.silver_inputs(n) for n in [*names, *gold_names]))
+    out = {}
+    for n, df in catalog.silver_models(b).items():
+        if n in silver_names:
+            jobs.materialize_table(df, root, "silver", n)
+            out[n] = jobs.read_table(spark, root, "silver", n)
+    for n, df in catalog.gold_models(dict(out), gold_names).items():
+        jobs.materialize_table(df, root, "gold", n)
+        out[n] = jobs.read_table(spark, root, "gold", n)
+    return out
 
 
 @register("quality_report", W(quality.oracle_tests_sql()))
@@ -342,12 +395,12 @@ def q_quality_report(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_report(written_models(spark, sf))
 
 
-for _key, _kinds, _name in (("test_not_null", ("not_null",), "not_null"), ("test_unique", ("unique",), "unique"),
-                            ("test_unique_combination", ("combination",), "unique_combination_of_columns")):
-    def _q(spark: SparkSession, sf: str, _name=_name) -> DataFrame:
-        return quality.quality_report(written_models(spark, sf)).where(F.col("test_name") == _name)
+for _key, _kind in (("test_not_null", "not_null"), ("test_unique", "unique"), ("test_unique_combination", "combination")):
+    def _q(spark: SparkSession, sf: str, _kind=_kind) -> DataFrame:
+        names = [t for t, tests in quality.DECLARED_TESTS.items() if tests.get(_kind)]
+        return quality.run_tests(written_models(spark, sf, names), kinds=(_kind,))
     _q.__name__ = f"q_{_key}"
-    register(_key, W(quality.oracle_tests_sql(_kinds)))(_q)
+    register(_key, W(quality.oracle_tests_sql((_kind,))))(_q)
 
 
 # ---- 2.6 discovery -------------------------------------------------------------------------------
@@ -472,14 +525,13 @@ _DAILY_SQL = W(f"""
         SELECT *, row_number() OVER (PARTITION BY movie_id
                                      ORDER BY ingested_at DESC, {O._desc(O.MOVIE_COLS + ["endpoint"])}) AS rn_m
         FROM (SELECT r.* EXCLUDE (ingested_at), r.page_fetched_at AS ingested_at
-              FROM landed_movie_rows r WHERE r.mth = (SELECT max(mth) FROM page_facts))) WHERE rn_m = 1) m
+              FROM landed_movie_rows r)) WHERE rn_m = 1) m
     LEFT JOIN (
       SELECT * FROM (
         SELECT *, row_number() OVER (PARTITION BY movie_id
                                      ORDER BY ingested_at DESC, {O._desc(O.DETAILS_COLS + ["endpoint"])}) AS rn_d
         FROM details_rows
-        WHERE movie_id IN (SELECT r.movie_id FROM landed_movie_rows r
-                           WHERE r.mth = (SELECT max(mth) FROM page_facts) AND r.popularity >= 1))
+        WHERE movie_id IN (SELECT r.movie_id FROM landed_movie_rows r WHERE r.popularity >= 1))
       WHERE rn_d = 1) d ON m.movie_id = d.movie_id""")
 
 
@@ -517,17 +569,26 @@ def write_event_landing(spark: SparkSession, sf: str, path: str, files: int = 4)
 
 @register("stream_bronze_append", W("""
     SELECT 'events' AS table_name, CAST(event_id AS BIGINT) AS id, ts AS ingested_at, count(*) AS n FROM events GROUP BY event_id, ts
-    UNION ALL SELECT 'discover', movie_id, page_fetched_at, count(*) FROM landed_movie_rows GROUP BY movie_id, page_fetched_at
+    UNION ALL SELECT 'discover', movie_id, CAST(r.mth + INTERVAL 1 MONTH AS TIMESTAMP), count(*)
+      FROM page_rows r JOIN streamed_pages s ON r.mth = s.mth AND r.page = s.page GROUP BY movie_id, r.mth
     UNION ALL SELECT 'details', movie_id, ingested_at, count(*) FROM details_rows GROUP BY movie_id, ingested_at
     UNION ALL SELECT 'credits', movie_id, ingested_at, 1 FROM (SELECT DISTINCT movie_id, ingested_at FROM credit_rows)"""))
 def q_stream_bronze_append(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_dir(spark, "stream-append")
-    write_test_landing(spark, sf, f"{base}/landing", ("discover", "details", "credits"))
+    write_test_landing(spark, sf, f"{base}/landing", ("details", "credits"))
     write_event_landing(spark, sf, f"{base}/landing/events")
+    # discover: an empty page, one that never lands, and one of every month that lands last
+    path = scratch_dir(spark, "stream-pages")
+    testbed.discover_landing(spark, sf, empty_pages=True).write.parquet(path)
+    page = F.variant_get("body", "$.page", "int")
+    pages = spark.read.parquet(path).where(~((F.month("request_date") == tb.LOST_PAGE[0]) & (page == tb.LOST_PAGE[1])))
+    landing.write_landing(pages.where(page != tb.LATE_PAGE), f"{base}/landing/discover")
     parts = []
     for kind in ("events", *bronze_stream.LANDINGS):
         to_bronze = bronze_stream.event_bronze if kind == "events" else bronze_stream.envelope_bronze(kind)
-        for _ in range(2):       # the second drain finds nothing new: exactly once
+        for drain in range(2):       # but for the late pages the second drain finds nothing new: exactly once
+            if kind == "discover" and drain:
+                landing.write_landing(pages.where(page == tb.LATE_PAGE), f"{base}/landing/discover", mode="append")
             bronze_stream.stream_bronze_append(spark, f"{base}/landing/{kind}", f"{base}/bronze/{kind}", f"{base}/_checkpoint/{kind}", to_bronze)
         b = spark.read.parquet(f"{base}/bronze/{kind}")
         parts.append(b.groupBy(F.col(b.columns[0]).alias("id"), "ingested_at").agg(F.count(F.lit(1)).alias("n"))
@@ -545,7 +606,7 @@ def q_stream_latest_upsert(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_dir(spark, "stream-upsert")
     src = write_event_landing(spark, sf, f"{base}/landing")
     for _ in range(2):       # a restart finds nothing new
-        latest = bronze_stream.stream_latest(spark, src, f"{base}/bronze", f"{base}/_checkpoint", max_files_per_trigger=1)
+        latest = bronze_stream.stream_latest(spark, src, f"{base}/table", f"{base}/_checkpoint", max_files_per_trigger=1)
     return latest
 
 

@@ -167,12 +167,20 @@ def newest_export(spark: SparkSession, path_glob: str) -> list[str]:
     return days[max(days)]
 
 
-def change_list_rows(landing: DataFrame) -> DataFrame:
-    """Change-list pages -> (change_date, movie_id, adult, page, raw_json)."""
+def change_list_rows(landing: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Change-list pages -> (change_date, movie_id, adult, page, raw_json); the date is the last day of the page's window."""
     ok = drop_missing_responses(landing)
-    rows = ok.select(F.col("request_date").alias("change_date"),
+    rows = ok.select(change_window()[1].alias("change_date"), *carry,
                      F.variant_get("body", "$.page", "int").alias("page"),
                      F.explode(required_array("body", "results")).alias("r"))
     return rows.select("change_date", json_bigint("r", "id").alias("movie_id"), json_bool("r", "adult").alias("adult"),
-                       "page", F.col("r").alias("raw_json"))
+                       "page", F.col("r").alias("raw_json"), *carry)
 
+
+def change_window() -> tuple[Column, Column]:
+    """First and last day that a change-list response covers: ``start_date`` and ``end_date`` of its
+    request (``/movie/changes?start_date=...&end_date=...``), else the one day it was asked for."""
+    def day(name: str) -> Column:
+        found = F.regexp_extract("endpoint", rf"[?&]{name}=(\d{{4}}-\d{{2}}-\d{{2}})", 1)
+        return F.coalesce(F.to_date(F.when(found != "", found)), F.col("request_date"))
+    return day("start_date"), day("end_date")

@@ -39,15 +39,15 @@ def envelope(endpoint, http_status, fetched_at, body, request_key=None, request_
     ]
 
 
-def write_landing(df: DataFrame, path: str, compression: str | None = None) -> str:
-    """Write a landing frame as JSON lines (one response per line), one folder per run."""
+def write_landing(df: DataFrame, path: str, compression: str | None = None, mode: str = "errorifexists") -> str:
+    """Write a landing frame as JSON lines (one response per line), one folder per run; mode ``append`` adds late responses."""
     line = F.to_json(F.struct(
         "endpoint", "http_status",
         F.date_format("fetched_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("fetched_at"),
         "request_key",
         F.date_format("request_date", "yyyy-MM-dd").alias("request_date"),
         "body"))
-    w = df.select(line.alias("value"), "run_id").write.mode("errorifexists").partitionBy("run_id")
+    w = df.select(line.alias("value"), "run_id").write.mode(mode).partitionBy("run_id")
     if compression:
         w = w.option("compression", compression)
     w.text(path)
@@ -60,9 +60,10 @@ def read_lines(spark: SparkSession, path: str, runs: list[str] | None = None) ->
     return lines if runs is None else lines.where(F.col("run_id").isin(runs))
 
 
-def parse_landing(lines: DataFrame) -> DataFrame:
-    """(value, run_id) lines -> envelopes; malformed lines fail the read (strict parse)."""
-    raw = lines.select(F.parse_json("value").alias("e"), F.col("run_id").alias("run"))
+def parse_landing(lines: DataFrame, keep: str | None = None) -> DataFrame:
+    """(value, run_id) lines -> envelopes, ``keep`` being a column of the lines to carry along; malformed lines fail the read (strict parse)."""
+    kept = [] if keep is None else [keep]
+    raw = lines.select(F.parse_json("value").alias("e"), F.col("run_id").alias("run"), *kept)
     return raw.select(*envelope(
         F.variant_get("e", "$.endpoint", "string"),
         F.variant_get("e", "$.http_status", "int"),
@@ -71,7 +72,7 @@ def parse_landing(lines: DataFrame) -> DataFrame:
         F.variant_get("e", "$.request_key", "bigint"),
         F.variant_get("e", "$.request_date", "string").cast("date"),
         F.col("run"),
-    ))
+    ), *kept)
 
 
 def read_landing(spark: SparkSession, path: str, runs: list[str] | None = None) -> DataFrame:

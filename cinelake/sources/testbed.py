@@ -26,7 +26,7 @@ GENRE_OLD_AT = "2025-12-01 00:00:00"      # older genre snapshot, names in lower
 GENRE_NEW_AT = "2026-01-01 00:00:00"
 DETAILS_OLD_AT = "2026-01-10 00:00:00"    # older details snapshot for p_size <= 20
 DETAILS_NEW_AT = "2026-01-15 00:00:00"
-DETAILS_MAX_SIZE = 40                      # parts above it answer 404
+DETAILS_MAX_SIZE = 40                      # where some details are not found: parts above it answer 404
 DETAILS_OLD_MAX_SIZE = 20
 LAGGING_CREDITS_SIZE = 30                  # credits_worklist: credits fetched so far (larger parts still to do)
 CREDITS_DOC_SIZE = 1000                    # entries per credits document at most
@@ -36,6 +36,12 @@ ORPHAN_GENRE = 99                          # a genre id with no dimension row
 PAGE_SIZE = 20                             # discover results per page
 CHANGES_PAGE_SIZE = 100
 EMPTY_PAGE_MONTH = 6                       # accept_pages: in June the API returns an empty page 2
+LOST_PAGE = (9, 3)                         # stream_bronze_append: in September page 3 never lands ...
+LATE_PAGE = 2                              # ... and page 2 of every month lands after the others
+FIRST_DETAILS_AT = "2024-01-10 12:00:00"   # refresh_changed: when details were fetched first ...
+REFETCHED_AT = "2024-02-01 00:00:00"       # ... and again, with titles in upper case
+UNLANDED_CHANGES = (5, 15, 25)             # days of the month whose change list never landed
+CUT_CHANGES = (20, 2)                      # on that day, that page of the change list did not land
 NOT_FOUND_BODY = {"status_code": 34, "status_message": "The resource you requested could not be found.",
                   "success": False}
 # -------------------------------------------------------------------------------------
@@ -151,23 +157,35 @@ def _details_document(title: Column) -> Column:
     )
 
 
-def details_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed /movie/{id} responses: 200 for p_size <= 40 (twice for <= 20), 404 otherwise."""
-    p = spread(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size",
-                                                   "p_retailprice"), "p_partkey")
-    found = F.col("p_size") <= DETAILS_MAX_SIZE
+def _details_at(parts: DataFrame, at: str, title: Column, run_id: Column | None = None) -> DataFrame:
+    return parts.select(*envelope(
+        F.concat(F.lit("/movie/"), F.col("p_partkey").cast("string")), F.lit(200), _ts(at),
+        F.parse_json(F.to_json(_details_document(title))), F.col("p_partkey"), run_id=run_id))
+
+
+def _details_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"), "p_partkey")
+
+
+def details_landing(spark: SparkSession, sf_dir: str, not_found: bool = False) -> DataFrame:
+    """Landed /movie/{id} responses: one per part, a second, older one for p_size <= 20.
+
+    With ``not_found`` the API does not know parts with p_size > 40 and answers 404 (for the
+    queries about missing responses and open worklists)."""
+    p = _details_parts(spark, sf_dir)
     new_title = F.when(F.col("p_size") == EMPTY_TITLE_SIZE, F.lit("")).otherwise(F.upper("p_name"))
-    not_found = F.parse_json(F.lit(_json(NOT_FOUND_BODY)))
-    new = p.select(*envelope(
-        F.concat(F.lit("/movie/"), F.col("p_partkey").cast("string")),
-        F.when(found, F.lit(200)).otherwise(F.lit(404)),
-        _ts(DETAILS_NEW_AT),
-        F.when(found, F.parse_json(F.to_json(_details_document(new_title)))).otherwise(not_found),
-        F.col("p_partkey")))
-    old = p.where(F.col("p_size") <= DETAILS_OLD_MAX_SIZE).select(*envelope(
-        F.concat(F.lit("/movie/"), F.col("p_partkey").cast("string")), F.lit(200), _ts(DETAILS_OLD_AT),
-        F.parse_json(F.to_json(_details_document(F.col("p_name")))), F.col("p_partkey")))
-    return new.unionByName(old)
+    new = _details_at(p, DETAILS_NEW_AT, new_title)
+    if not_found:
+        known = F.col("p_size") <= DETAILS_MAX_SIZE
+        new = _details_at(p.where(known), DETAILS_NEW_AT, new_title).unionByName(p.where(~known).select(*envelope(
+            F.concat(F.lit("/movie/"), F.col("p_partkey").cast("string")), F.lit(404), _ts(DETAILS_NEW_AT),
+            F.parse_json(F.lit(_json(NOT_FOUND_BODY))), F.col("p_partkey"))))
+    return new.unionByName(_details_at(p.where(F.col("p_size") <= DETAILS_OLD_MAX_SIZE), DETAILS_OLD_AT, F.col("p_name")))
+
+
+def refetched_details_landing(spark: SparkSession, sf_dir: str, at: str, title: Column) -> DataFrame:
+    """Details of every part as one fetch run of its own found them."""
+    return _details_at(_details_parts(spark, sf_dir), at, title)
 
 
 def credits_landing(spark: SparkSession, sf_dir: str, max_size: int | None = None) -> DataFrame:
@@ -244,12 +262,16 @@ def discover_landing(spark: SparkSession, sf_dir: str, empty_pages: bool = False
         F.parse_json(F.to_json(body)), None, F.col("month")))
 
 
-def changes_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+def changes_landing(spark: SparkSession, sf_dir: str, with_gaps: bool = False) -> DataFrame:
     """Landed change-list pages: per day of ``events.ts`` the distinct user ids as
-    changed movie ids, 100 per page, ``adult`` when the id is a multiple of 7."""
+    changed movie ids, 100 per page, ``adult`` when the id is a multiple of 7.  With ``with_gaps``
+    the lists of some days are not there, and a page of another."""
     e = table(spark, sf_dir, "events").select(F.to_date("ts").alias("d"), F.col("user_id").alias("id")).distinct()
     ranked = row_number_within(e, ["d"], ["id"], total="total").withColumn(
         "page", ((F.col("rn") - 1) / CHANGES_PAGE_SIZE).cast("int") + 1)
+    if with_gaps:
+        day = F.dayofmonth("d")
+        ranked = ranked.where(~day.isin(*UNLANDED_CHANGES) & ~((day == CUT_CHANGES[0]) & (F.col("page") == CUT_CHANGES[1])))
     pages = ranked.groupBy("d", "page", "total").agg(
         F.sort_array(F.collect_list(F.struct("id", (F.col("id") % 7 == 0).alias("adult")))).alias("results"))
     body = F.struct("results", "page",
