@@ -213,6 +213,69 @@ def test_pii_terms_of_whole_texts(spark):
     assert all(s["kind"] != "term" for r in got for s in r["spans"])  # common in the corpus, near one entity only
 
 
+def disclosed(texts):
+    """Words that disclose, per document, by counting every entity with every word."""
+    import math
+    import re
+
+    docs = []
+    for t in texts:
+        found = pii.entities(t)
+        known = {(make is pii.pooled, make(t[s:e], k)) for s, k, e in found for make in (pii.entity, pii.pooled)}
+        docs.append((known, {w for w, _, _ in pii.words_outside(t, found)}, {w.lower() for w in re.findall(r"[^\W_]+", t)}))
+    out = []
+    for known, words, _ in docs:
+        told = set()
+        for c in known:
+            with_c = [d for d in docs if c in d[0]]
+            if c[0] and len(with_c) * pii.POOL_RARITY > len(docs):
+                continue
+            for w in words:
+                n_ct, n_t = sum(w in d[1] for d in with_c), sum(w in d[2] for d in docs)
+                p, own = n_ct / (n_t + 1), math.log(len(docs) / len(with_c))
+                if p >= pii.CHANCE and own > 0 and math.log(p * len(docs) / len(with_c)) >= pii.SHARE * own:
+                    told.add(w)
+        out.append(told)
+    return out
+
+
+def check_disclosed(spark, texts):
+    got = {r["doc_id"]: {texts[r["doc_id"]][s["start"]:s["end"]].lower() for s in r["spans"] if s["kind"] == "term"}
+           for r in pii.protect(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    want = dict(enumerate(disclosed(texts)))
+    assert got == want
+    return got
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_pii_shares_on_random_corpora(spark, seed):
+    import random
+
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(40)] + ["der", "Die", "das"] * 3
+    values = [f"m{i}@host{i % 3}.example" for i in range(8)] + ["10.0.0.1", "10.0.0.2", "+1 555 123 4567", "4111111111111111"]
+    texts = []
+    for _ in range(90):
+        named = rng.sample(range(len(values)), rng.choice([0, 0, 1, 2]))
+        texts.append(" ".join(rng.choices(words, k=rng.randint(1, 9)) + [f"{values[i]} " + (f"name{i}" if rng.random() < 0.9 else "") for i in named] + rng.choices(words, k=3)))
+    assert any(check_disclosed(spark, texts + texts[:4]).values())
+
+
+def test_a_long_contact_list_is_paired_once(spark):
+    listed = " ".join(f"p{i}@example{i}.org name{i}" for i in range(5_000))
+    texts = [listed] * 4 + [f"an ordinary text of number {i % 7}" for i in range(50)] + ["p1@example1.org alone"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = pii._look(rows, False)
+    assert pii.disclosing(rows, found).count() == 4 * 5_000      # each name in each copy, whatever the number of entities
+    spans = {r["doc_id"]: sum(s["kind"] == "term" for s in r["spans"]) for r in pii.protect(rows).collect()}
+    assert [spans[i] for i in (0, 3, 4, 54)] == [5_000, 5_000, 0, 0]
+
+
+def test_pii_terms_on_the_given_tables(spark):
+    got = queries.QUERIES["op5_pii"](spark, "/root/testdata/sf0.1").where("spans like '%term:%'").count()
+    assert got > 0
+
+
 def test_weak_secrets_need_a_complement(spark):
     key, far = "Zx9" * 10, " filler words here" * 60
     texts = [
