@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cinelake.plans import search_index
+
 
 def top_popular_movies(dim_movie: DataFrame, n: int = 10) -> DataFrame:
     """the ``n`` most popular movies (NULL last).  A top-k: each task keeps
@@ -70,53 +72,59 @@ def browse_catalog(dim_movie: DataFrame, bridge: DataFrame, genre_id: int | None
                    min_popularity: float | None = None, min_rating: float | None = None,
                    year_from: int | None = None, year_to: int | None = None) -> DataFrame:
     """filter by genre, popularity, rating and release year.  The genre
-    filter is a left semi join, so a movie never repeats."""
+    filter is a left semi join, so a movie never repeats.  Over movies in browse
+    order (``search_index.write_browse_order``) the ranges skip row groups."""
     df = dim_movie
     cond = F.lit(True)
     if min_popularity is not None:
         cond = cond & (F.col("popularity") >= min_popularity)
     if min_rating is not None:
         cond = cond & (F.col("vote_average") >= min_rating)
+    # whole years as dates: a function of the column would not reach the scan's row-group statistics
     if year_from is not None:
-        cond = cond & (F.year("release_date") >= year_from)
+        cond = cond & (F.col("release_date") >= F.make_date(F.lit(year_from), F.lit(1), F.lit(1)))
     if year_to is not None:
-        cond = cond & (F.year("release_date") <= year_to)
+        cond = cond & (F.col("release_date") <= F.make_date(F.lit(year_to), F.lit(12), F.lit(31)))
     df = df.where(cond)
     if genre_id is not None:
         df = df.join(bridge.where(F.col("genre_id") == genre_id).select("movie_id"), "movie_id", "left_semi")
     return df.select("movie_id", "title", "release_date", "popularity", "vote_average")
 
 
-def genres_all(dim_movie: DataFrame, bridge: DataFrame, genre_ids: Sequence[int]) -> DataFrame:
-    """movies linked to every one of ``genre_ids``."""
+def genres_all(dim_movie: DataFrame, bridge: DataFrame | None, genre_ids: Sequence[int], bitmaps: DataFrame | None = None) -> DataFrame:
+    """movies linked to every one of ``genre_ids``; with bitmaps the bridge is not read."""
+    if bitmaps is not None:
+        return search_index.of_genres(dim_movie, bitmaps, genre_ids, every=True).select("movie_id", "title")
     ids = list(dict.fromkeys(genre_ids))
     hits = (bridge.where(F.col("genre_id").isin(ids)).groupBy("movie_id")
             .agg(F.count_distinct("genre_id").alias("n")).where(F.col("n") == len(ids)))
     return dim_movie.join(hits, "movie_id", "left_semi").select("movie_id", "title")
 
 
-def genres_any(dim_movie: DataFrame, bridge: DataFrame, genre_ids: Sequence[int]) -> DataFrame:
-    """movies linked to at least one of ``genre_ids``."""
+def genres_any(dim_movie: DataFrame, bridge: DataFrame | None, genre_ids: Sequence[int], bitmaps: DataFrame | None = None) -> DataFrame:
+    """movies linked to at least one of ``genre_ids``; with bitmaps the bridge is not read."""
+    if bitmaps is not None:
+        return search_index.of_genres(dim_movie, bitmaps, genre_ids, every=False).select("movie_id", "title")
     hits = bridge.where(F.col("genre_id").isin(list(genre_ids))).select("movie_id")
     return dim_movie.join(hits, "movie_id", "left_semi").select("movie_id", "title")
 
 
 def title_search(dim_movie: DataFrame, query: str, year: int | None = None,
-                 include_adult: bool = False) -> DataFrame:
-    """F8: case-insensitive substring search on the title."""
-    cond = F.lower(F.col("title")).contains(query.lower())
+                 include_adult: bool = False, postings: DataFrame | None = None) -> DataFrame:
+    """F8: case-insensitive substring search on the title, through its trigram postings if given."""
+    df = search_index.matching(dim_movie, "movie_id", "title", query, postings)
     if year is not None:
-        cond = cond & (F.year("release_date") == year)
+        df = df.where(F.year("release_date") == year)
     if not include_adult:
-        cond = cond & ~F.coalesce(F.col("adult"), F.lit(False))
-    return dim_movie.where(cond).select("movie_id", "title", "release_date", "adult")
+        df = df.where(~F.coalesce(F.col("adult"), F.lit(False)))
+    return df.select("movie_id", "title", "release_date", "adult")
 
 
-def multi_search(dim_movie: DataFrame, dim_person: DataFrame, query: str) -> DataFrame:
+def multi_search(dim_movie: DataFrame, dim_person: DataFrame, query: str,
+                 movie_postings: DataFrame | None = None, person_postings: DataFrame | None = None) -> DataFrame:
     """movies and persons matching ``query`` in one result, tagged by type."""
-    q = query.lower()
-    movies = dim_movie.where(F.lower("title").contains(q)).select(
+    movies = search_index.matching(dim_movie.select("movie_id", "title"), "movie_id", "title", query, movie_postings).select(
         F.lit("movie").alias("media_type"), F.col("movie_id").alias("id"), F.col("title").alias("name"))
-    persons = dim_person.where(F.lower("name").contains(q)).select(
+    persons = search_index.matching(dim_person.select("person_id", "name"), "person_id", "name", query, person_postings).select(
         F.lit("person").alias("media_type"), F.col("person_id").alias("id"), "name")
     return movies.unionByName(persons)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinelake.operators import quality, worklist
-from cinelake.plans import catalog, silver
+from cinelake.plans import catalog, search_index, silver
 from cinelake.session import scratch_dir
 from cinelake.sources import bronze
 from cinelake.sources.landing import parse_landing, read_landing, read_lines
@@ -106,7 +106,7 @@ def read_version(spark: SparkSession, path: str) -> DataFrame:
     name = _table_name(path)
     if not spark.catalog.tableExists(name):
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
-        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{layout['key']}`) SORTED BY (`{layout['key']}`) "
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY (`{layout['key']}`) SORTED BY (`{layout['key']}`) "
                   f"INTO {layout['buckets']} BUCKETS LOCATION '{path}'")
     return spark.table(name)
 
@@ -159,45 +159,73 @@ class BuildFailed(RuntimeError):
         self.problems, self.report = problems, report
 
 
-def _materialize_layer(plans, root: str, layer: str, version: int, threads: int) -> dict[str, str]:
-    """Write every model of one layer; independent models run as concurrent
-    Spark jobs.  Returns model -> error for the models that failed."""
-    from concurrent.futures import ThreadPoolExecutor
+def _materialize(graph: dict[str, tuple[set[str], object]], threads: int) -> tuple[dict[str, str], dict[str, list[str]]]:
+    """Run name -> (the names it needs, what to do), each as soon as what it needs is done, ``threads`` at a time.
 
-    def one(name):
-        try:
-            materialize_table(plans[name], root, layer, name, version)
-            return None
-        except Exception as e:  # noqa: BLE001 -- collected, tests still run, then raised as BuildFailed
-            return name, str(e)
+    Returns name -> error for what failed and name -> failed names for what was left out because of them."""
+    from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 
+    failed: dict[str, str] = {}
+    skipped: dict[str, list[str]] = {}
+    done: set[str] = set()
+    waiting, running = dict(graph), {}
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-        return dict(r for r in pool.map(one, list(plans)) if r is not None)
+        while waiting or running:
+            for name in list(waiting):
+                needs, act = waiting[name]
+                if bad := sorted(needs & set(failed)) + sorted({x for n in needs & set(skipped) for x in skipped[n]}):
+                    skipped[name] = sorted(set(bad))
+                elif needs <= done:
+                    running[pool.submit(act)] = name
+                else:
+                    continue
+                del waiting[name]
+            if not running:
+                continue
+            for future in wait(running, return_when=FIRST_COMPLETED).done:
+                name = running.pop(future)
+                try:
+                    future.result()
+                    done.add(name)
+                except Exception as e:  # noqa: BLE001 -- collected, tests still run, then raised as BuildFailed
+                    failed[name] = str(e)
+    return failed, skipped
 
 
 def build_catalog(spark: SparkSession, b: catalog.Bronze, root: str, version: int | None = None,
-                  threads: int = MODEL_THREADS) -> DataFrame:
-    """G1: silver, then gold from the silver of this very version, then every data test.
-
-    A failed silver model takes the gold models that rest on it out of the
-    build; their older versions stay current, and the tests run on what is
-    current.  Failed and skipped models are rows of the report (``failures``
-    1), and the job ends with ``BuildFailed``, which carries that report.
+                  threads: int = MODEL_THREADS, indexes: bool = False) -> DataFrame:
+    """G1: every model once the models it reads are written, from their tables of this very version, then every data test.
+
+    A failed model takes the models that rest on it out of the build; their
+    older versions stay current, and the tests run on what is current.
+    Failed and skipped models are rows of the report (``failures`` 1), and the
+    job ends with ``BuildFailed``, which carries that report.  With
+    ``indexes`` the discovery indexes are written too, each after its model.
     """
     v = version if version is not None else int(time.time() * 1000)
-    s_plans = catalog.silver_models(b)
-    failed = _materialize_layer(s_plans, root, "silver", v, threads)
 
-    def written(layer, name):
-        return read_version(spark, f"{table_path(root, layer, name)}/version={v}")
+    def written(name):
+        return read_version(spark, f"{table_path(root, catalog.MODEL_LAYERS[name], name)}/version={v}")
+
+    silver_plans = catalog.silver_models(b)
 
-    s = {n: written("silver", n) for n in s_plans if n not in failed}
-    skipped = {n: sorted(catalog.silver_inputs(n) & set(failed)) for n in catalog.GOLD if catalog.silver_inputs(n) & set(failed)}
-    failed |= _materialize_layer(catalog.gold_models(s, [n for n in catalog.GOLD if n not in skipped]), root, "gold", v, threads)
+    def make(name):
+        if name in catalog.SILVER_BUILDERS:
+            plan = silver_plans[name]
+        else:
+            build, inputs = catalog.GOLD[name]
+            plan = build(*(written(i) for i in inputs))
+        materialize_table(plan, root, catalog.MODEL_LAYERS[name], name, v)
+
+    graph = {n: (set() if n in catalog.SILVER_BUILDERS else set(catalog.GOLD[n][1]), lambda n=n: make(n)) for n in catalog.MODEL_LAYERS}
+    if indexes:
+        graph |= {n: ({model}, lambda n=n, model=model, write=write: write(written(model), search_index.index_path(root, n, v)))
+                  for n, (model, write) in search_index.INDEXES.items()}
+    failed, skipped = _materialize(graph, threads)
     tables = {}
     for n, layer in catalog.MODEL_LAYERS.items():
         if n not in failed and n not in skipped:
-            tables[n] = written(layer, n)
+            tables[n] = written(n)
         elif current_version(spark, table_path(root, layer, n)):
             tables[n] = read_table(spark, root, layer, n)
     report = quality.quality_report(tables)

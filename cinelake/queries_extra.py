@@ -17,7 +17,7 @@ from cinelake import oracle as O
 from cinelake.functions.jsonops import (flatten_match_row, flatten_scalar_array, flatten_struct_array, json_array, json_bigint,
                                         json_double, json_string)
 from cinelake.operators import dedupe, quality, worklist
-from cinelake.plans import catalog, discover, gold, jobs, silver
+from cinelake.plans import catalog, discover, gold, jobs, search_index, silver
 from cinelake.registry import register
 from cinelake.session import scratch_dir
 from cinelake.sources import bronze, landing, testbed
@@ -457,7 +457,15 @@ def q_popularity_over_time(spark: SparkSession, sf: str) -> DataFrame:
       AND movie_id IN (SELECT movie_id FROM o_bridge_movie_genre WHERE genre_id = {BROWSE['genre_id']})"""))
 def q_browse_catalog(spark: SparkSession, sf: str) -> DataFrame:
     m = _m(spark, sf)
-    return discover.browse_catalog(m["dim_movie"], m["bridge_movie_genre"], **BROWSE)
+    movies = spark.read.parquet(search_index.write_browse_order(m["dim_movie"], scratch_dir(spark, "browse")))
+    return discover.browse_catalog(movies, m["bridge_movie_genre"], **BROWSE)
+
+
+def _indexed(spark: SparkSession, sf: str, *names: str) -> tuple[dict[str, DataFrame], list[DataFrame]]:
+    """Written gold models with the named indexes over them."""
+    tables = written_models(spark, sf, [*{search_index.INDEXES[n][0] for n in names} | {"dim_movie"}])
+    root = scratch_dir(spark, "index")
+    return tables, [spark.read.parquet(search_index.INDEXES[n][1](tables[search_index.INDEXES[n][0]], f"{root}/{n}")) for n in names]
 
 
 @register("genres_all", W(f"""
@@ -465,23 +473,24 @@ def q_browse_catalog(spark: SparkSession, sf: str) -> DataFrame:
       SELECT movie_id FROM o_bridge_movie_genre WHERE genre_id IN ({", ".join(map(str, GENRE_SET))})
       GROUP BY movie_id HAVING count(DISTINCT genre_id) = {len(GENRE_SET)})"""))
 def q_genres_all(spark: SparkSession, sf: str) -> DataFrame:
-    m = _m(spark, sf)
-    return discover.genres_all(m["dim_movie"], m["bridge_movie_genre"], GENRE_SET)
+    m, (bitmaps,) = _indexed(spark, sf, "genre_bitmaps")
+    return discover.genres_all(m["dim_movie"], None, GENRE_SET, bitmaps)
 
 
 @register("genres_any", W(f"""
     SELECT movie_id, title FROM o_dim_movie WHERE movie_id IN (
       SELECT movie_id FROM o_bridge_movie_genre WHERE genre_id IN ({", ".join(map(str, GENRE_SET))}))"""))
 def q_genres_any(spark: SparkSession, sf: str) -> DataFrame:
-    m = _m(spark, sf)
-    return discover.genres_any(m["dim_movie"], m["bridge_movie_genre"], GENRE_SET)
+    m, (bitmaps,) = _indexed(spark, sf, "genre_bitmaps")
+    return discover.genres_any(m["dim_movie"], None, GENRE_SET, bitmaps)
 
 
 @register("title_search", W(f"""
     SELECT movie_id, title, release_date, adult FROM o_dim_movie
     WHERE contains(lower(title), '{TITLE_QUERY}') AND NOT COALESCE(adult, false)"""))
 def q_title_search(spark: SparkSession, sf: str) -> DataFrame:
-    return discover.title_search(_m(spark, sf)["dim_movie"], TITLE_QUERY)
+    m, (grams,) = _indexed(spark, sf, "dim_movie_title_grams")
+    return discover.title_search(m["dim_movie"], TITLE_QUERY, postings=grams)
 
 
 @register("multi_search", W(f"""
@@ -490,8 +499,8 @@ def q_title_search(spark: SparkSession, sf: str) -> DataFrame:
     UNION ALL
     SELECT 'person', person_id, name FROM o_dim_person WHERE contains(lower(name), '{MULTI_QUERY}')"""))
 def q_multi_search(spark: SparkSession, sf: str) -> DataFrame:
-    m = _m(spark, sf)
-    return discover.multi_search(m["dim_movie"], m["dim_person"], MULTI_QUERY)
+    m, (titles, names) = _indexed(spark, sf, "dim_movie_title_grams", "dim_person_name_grams")
+    return discover.multi_search(m["dim_movie"], m["dim_person"], MULTI_QUERY, titles, names)
 
 
 # ---- 2.7 jobs and streams ----------------------------------------------------------------------
