@@ -91,13 +91,3 @@ def flatten_match_row(df: DataFrame, v: str, path: str, id_path: str, key: str,
     arrays = df.select(key, *keep, json_array(v, path).alias("__a"))
     flat = arrays.select(*arrays.columns[:-1], F.explode("__a").alias("e"))
     return flat.where(json_bigint("e", id_path) == F.col(key))
-
-
-def parse_json_strict(text) -> Column:
-    """A5: text -> VARIANT; malformed text fails the job (like a failed INSERT)."""
-    return F.parse_json(_c(text))
-
-
-def parse_json_lenient(text) -> Column:
-    """A5 companion: NULL for malformed text, used only to count bad rows."""
-    return F.try_parse_json(_c(text))
