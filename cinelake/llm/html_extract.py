@@ -3,7 +3,8 @@
 A page becomes blocks of text with the open elements around them.  A small classifier gives each
 block log odds of being content, from its surroundings (element names, class, id and role words)
 and its text (links, length, punctuation); an element that wraps the page's main text lends no
-odds against it, whatever its name.  The odds become capacities to the two terminals;
+odds against it, whatever its name.  Where no article or main is marked up, the innermost element
+that holds nearly all text without links plays its part.  The odds become capacities to the two terminals;
 neighbouring blocks, and the next block under the same parent, are tied by smoothness edges that
 weaken with DOM distance.  The minimum cut is the labelling of least total cost; blocks on the
 source side are the text.
@@ -46,6 +47,10 @@ LONG, SHORT, CLOSED, LINKED = 1.0, -0.5, 0.5, -4.0
 TIE = 0.6
 # Of the text of a page without article or main that is not marked as other, the part that makes an element its wrapper.
 WRAPPED = 0.9
+# Of the same text, the part that makes an element stand in for the article.
+STANDS_IN = 0.9
+# Bytes from which a block is long and below which it is short: about 15 and 4 Latin words, 30 and 8 Chinese characters.
+LONG_BYTES, SHORT_BYTES = 90, 24
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _CLOSES = {  # an opening tag ends these open elements first
     "p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"},
@@ -128,7 +133,7 @@ class _Page(HTMLParser):
             self.links = 1
         if tag == "br":
             self.parts.append(" ")
-        odds = named(tag, attrs)
+        odds = named(tag, attrs, any(name in CONTENT_TAGS for name, _, _ in self.open))
         if tag in INLINE and not odds:
             return
         if tag in INLINE:  # an inline element that names a role stands for a block of its own
@@ -200,13 +205,16 @@ def is_hidden(attrs) -> bool:
                for k, v in attrs)
 
 
-def named(tag: str, attrs) -> float:
-    """Log odds that an element's name and attributes lend to what stands in it; html and body hold the whole page and lend none."""
+def named(tag: str, attrs, inside: bool = False) -> float:
+    """Log odds that an element's name and attributes lend to what stands in it; html and body hold the whole page and lend none.
+
+    ``inside`` an article or main, a header is the article's own.
+    """
     if tag in ("html", "body"):
         return 0.0
     odds = INSIDE if tag in CONTENT_TAGS else IN_OTHER_TAG if tag in OTHER_TAGS else 0.0
     words = {w.lower() for k, v in attrs if k in ("class", "id", "role") and v for w in _NAME.findall(v)}
-    if words & OTHER_WORDS or is_hidden(attrs):
+    if words & OTHER_WORDS - ({"header"} if inside else set()) or is_hidden(attrs):
         odds += NAMED_OTHER
     elif words & CONTENT_WORDS:
         odds += NAMED_CONTENT
@@ -249,14 +257,41 @@ def unwrapped(blocks: list[tuple[str, float, tuple]], hidden: set[int]) -> list[
             for text, links, path in blocks]
 
 
+def stand_in(blocks: list[tuple[str, float, tuple]], hidden: set[int]) -> list[tuple[str, float, tuple]]:
+    """The blocks; on a page without article or main, those of the element that stands in for it as if in an article.
+
+    It is the innermost element that holds ``STANDS_IN`` of the text outside links, headers and
+    elements with odds against them, and that is not itself a block of text.  A first-rank heading
+    outside all those belongs to it.
+    """
+    if any(name in CONTENT_TAGS for _, _, path in blocks for name, _, _ in path):
+        return blocks
+
+    def plain(path: tuple) -> bool:
+        return not any(o < 0 or name == "header" or n in hidden and name not in ("html", "body") for name, n, o in path)
+
+    held: Counter = Counter()
+    for text, links, path in blocks:
+        if plain(path):
+            for _, n, _ in path[:-1] or path:
+                held[n] += len(text) * (1 - links)
+    if not held[0]:
+        return blocks
+    # those over half are nested, and an inner element has the larger number
+    chosen = max(n for n, size in held.items() if size >= STANDS_IN * held[0])
+    return [(text, links, (*path, ("main", chosen, INSIDE))
+             if plain(path) and (path[-1][0] == "h1" or any(n == chosen for _, n, _ in path)) else path)
+            for text, links, path in blocks]
+
+
 def log_odds(text: str, links: float, path: tuple) -> float:
     inside = any(name in CONTENT_TAGS for name, _, _ in path)
     good = max((o for _, _, o in path if o > 0), default=0.0)
     bad = min((o for _, _, o in path if o < 0), default=0.0)
     if not inside and any(name == "header" for name, _, _ in path):
         bad = min(bad, IN_OTHER_TAG)
-    n = len(text.split())
-    return (good + bad + (0.0 if inside else OUTSIDE) + (LONG if n >= 15 else SHORT if n < 4 else 0.0)
+    n = len(text.encode("utf-8", "surrogatepass"))
+    return (good + bad + (0.0 if inside else OUTSIDE) + (LONG if n >= LONG_BYTES else SHORT if n < SHORT_BYTES else 0.0)
             + (CLOSED if text[-1] in ".!?…\"”»" else 0.0) + LINKED * links)
 
 
@@ -279,35 +314,66 @@ def minimum_cut(odds: list[float], edges: dict[tuple[int, int], float]) -> list[
                 todo.append(u)
             near[v] = {}
     rest = [v for v, s in enumerate(side) if s is None]
-    if rest:
-        source, sink = len(odds), len(odds) + 1
-        cap: dict[int, dict[int, float]] = {v: dict(near[v]) for v in rest} | {source: {}, sink: {}}
-        for v in rest:
-            cap[source][v], cap[v][source] = max(0.0, odds[v]), 0.0
-            cap[v][sink], cap[sink][v] = max(0.0, -odds[v]), 0.0
-        while True:  # shortest augmenting paths
-            back, queue = {source: source}, deque([source])
-            while queue and sink not in back:
-                u = queue.popleft()
-                for v, c in cap[u].items():
-                    if c > 1e-12 and v not in back:
-                        back[v] = u
-                        queue.append(v)
-            if sink not in back:
-                break
-            path, v = [], sink
-            while v != source:
-                path.append((back[v], v))
-                v = back[v]
-            flow = min(cap[u][v] for u, v in path)
-            for u, v in path:
-                cap[u][v] -= flow
-                cap[v][u] += flow
-        for v in rest:
-            side[v] = v in back
+    for v, reached in zip(rest, _source_side(rest, odds, near), strict=True):
+        side[v] = reached
     return [bool(s) for s in side]
 
 
+def _source_side(rest: list[int], odds: list[float], near: list[dict[int, float]]) -> list[bool]:
+    """Which of the nodes ``rest`` the source reaches after a maximum flow (level graphs, blocking flows over current arcs)."""
+    source, sink = len(rest), len(rest) + 1
+    arcs: list[list[int]] = [[] for _ in range(len(rest) + 2)]
+    ends, room = [], []  # an arc and its reverse are neighbours: 2 i and 2 i + 1
+
+    def tie(u: int, v: int, forth: float, back: float):
+        arcs[u].append(len(ends))
+        arcs[v].append(len(ends) + 1)
+        ends.extend((v, u))
+        room.extend((forth, back))
+
+    at = {v: i for i, v in enumerate(rest)}
+    for v, i in at.items():
+        if odds[v] > 0:
+            tie(source, i, odds[v], 0.0)
+        elif odds[v] < 0:
+            tie(i, sink, -odds[v], 0.0)
+        for u, w in near[v].items():
+            if u > v:
+                tie(i, at[u], w, w)
+    while True:
+        level, queue = {source: 0}, deque([source])
+        while queue:
+            u = queue.popleft()
+            for a in arcs[u]:
+                if room[a] > 1e-12 and ends[a] not in level:
+                    level[ends[a]] = level[u] + 1
+                    queue.append(ends[a])
+        if sink not in level:
+            return [i in level for i in range(len(rest))]
+        current = [0] * len(arcs)
+        way: list[int] = []  # arcs from the source
+        while True:
+            u = ends[way[-1]] if way else source
+            if u == sink:
+                flow = min(room[a] for a in way)
+                for a in way:
+                    room[a] -= flow
+                    room[a ^ 1] += flow
+                del way[next(k for k, a in enumerate(way) if room[a] <= 1e-12):]
+                continue
+            while current[u] < len(arcs[u]):
+                a = arcs[u][current[u]]
+                if room[a] > 1e-12 and level.get(ends[a]) == level[u] + 1:
+                    way.append(a)
+                    break
+                current[u] += 1
+            else:
+                if not way:
+                    break
+                way.pop()
+                level.pop(u)  # a dead end of this level graph
+
+
 def smoothness(paths: list[tuple]) -> dict[tuple[int, int], float]:
     edges: dict[tuple[int, int], float] = {}
     last: dict[int, int] = {}
@@ -333,7 +399,7 @@ def main_text(page: str | None) -> str:
     parser.close()
     parser.end_block()
     blocks = unwrapped(parser.blocks, parser.hidden)
-    keep = minimum_cut([log_odds(*b) for b in blocks], smoothness([b[2] for b in blocks]))
+    keep = minimum_cut([log_odds(*b) for b in stand_in(blocks, parser.hidden)], smoothness([b[2] for b in blocks]))
     return " ".join(b[0] for b, k in zip(blocks, keep, strict=True) if k)
 
 

@@ -373,6 +373,48 @@ def test_main_text_in_named_wrappers(page, want):
     assert html_extract.main_text(page) == want
 
 
+def test_main_text_without_article_elements():
+    import re
+
+    import duckdb
+    pages = [r[0] for r in duckdb.sql(f"select html from '{SF}/pages.parquet' where html is not null").fetchall()]
+    kept = lost = 0
+    for page in pages:
+        text = html_extract.main_text(page)
+        renamed = html_extract.main_text(re.sub(r"<(/?)(article|main)\b", r"<\1div", page))
+        assert bool(text) == bool(renamed)
+        kept += len(text)
+        lost += max(0, len(text) - len(renamed))
+    assert kept and lost <= 0.02 * kept
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<body><p>Hello world, a short page.</p></body>", "Hello world, a short page."),
+    ("Hello world.", "Hello world."),
+    ("<body><section><h1>标题</h1><p>这是一个很长的中文段落，没有空格，只有标点符号。</p><p>第二段也很长，内容继续下去。</p></section></body>",
+     "标题 这是一个很长的中文段落，没有空格，只有标点符号。 第二段也很长，内容继续下去。"),
+    (f"<main><div class=post-header><p>Lead.</p></div><p>{LONG}</p></main>", f"Lead. {LONG}"),
+    (f"<body><header><p>{OTHER}</p></header><div><h1>Title</h1><p>{LONG}</p><p>Short</p><p>{LONG}</p></div><ul><li><a href=x>{OTHER}</a></ul></body>",
+     f"Title {LONG} Short {LONG}"),
+    ("<body><nav><a href=x>Home</a></nav><ul><li><a href=x>One</a><li><a href=y>Two</a></ul></body>", ""),
+])
+def test_main_text_by_stand_in(page, want):
+    assert html_extract.main_text(page) == want
+
+
+def test_main_text_of_very_many_blocks():
+    import random
+    import time
+
+    page = "<body>" + "".join(f"<p>{'few words here' if i % 2 else LONG}</p>" for i in range(20_000)) + "</body>"
+    started = time.process_time()
+    assert html_extract.main_text(page).count(LONG) == 10_000
+    rng = random.Random(1)
+    edges = {(i - 1, i): 0.6 for i in range(1, 20_000)} | {(i - 2, i): 0.3 for i in range(2, 20_000)}
+    html_extract.minimum_cut([rng.uniform(-1.2, 1.2) for _ in range(20_000)], edges)
+    assert time.process_time() - started < 20
+
+
 def test_minimum_cut_is_minimal():
     import itertools
     import random
