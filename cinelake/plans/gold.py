@@ -72,9 +72,8 @@ def fct_movies_by_genre(dim_genre_df: DataFrame, bridge: DataFrame) -> DataFrame
                     F.coalesce(F.col("total_movies"), F.lit(0)).cast("bigint").alias("total_movies")))
 
 
-def fact_movie_popularity(movie_raw: DataFrame, silver_movie_details: DataFrame) -> DataFrame:
-    """One row per movie and snapshot day (the day's last snapshot), with
-    popularity, votes and the latest known revenue from details."""
+def daily_popularity(movie_raw: DataFrame) -> DataFrame:
+    """One row per movie and snapshot day: the day's last snapshot, with popularity and votes."""
     snaps = movie_raw.select(
         json_bigint("raw_json", "id").alias("movie_id"),
         F.to_date("ingested_at").alias("snapshot_date"),
@@ -83,5 +82,11 @@ def fact_movie_popularity(movie_raw: DataFrame, silver_movie_details: DataFrame)
         json_double("raw_json", "vote_average").alias("vote_average"),
         json_bigint("raw_json", "vote_count").alias("vote_count"),
     )
-    daily = latest_per_key(snaps, ["movie_id", "snapshot_date"], drop=["ingested_at"])
+    return latest_per_key(snaps, ["movie_id", "snapshot_date"], drop=["ingested_at"])
+
+
+def fact_movie_popularity(movie_raw: DataFrame, silver_movie_details: DataFrame) -> DataFrame:
+    """One row per movie and snapshot day (the day's last snapshot), with
+    popularity, votes and the latest known revenue from details."""
+    daily = daily_popularity(movie_raw)
     return daily.join(silver_movie_details.select("movie_id", "revenue"), "movie_id", "left")

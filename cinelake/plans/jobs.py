@@ -389,14 +389,18 @@ def daily_increment(spark: SparkSession, landing_root: str, root: str, run_month
     folder per fetch run).  Only what bronze has not taken in is loaded, so a
     repeated call adds nothing.  With ``run_month`` only that month is
     loaded; the others stay open for the next call or for ``full_backfill``.
+    The popularity days of what was loaded are brought up to date (``popularity_days``).
     Returns the G1 quality report.
     """
+    from cinelake.plans import popularity_days
+
     land = {k: f"{landing_root}/{k}" for k in ("genre", "discover", "details", "credits", "changes")}
     runs = new_runs(spark, land["genre"], root, "genre_raw")
     if runs:
         _load(bronze.land_genre_rows(read_landing(spark, land["genre"], runs), carry=("run_id",)), root, "genre_raw")
         _mark(spark, root, "genre_raw", runs)
     load_movies(spark, land["discover"], root, run_month)
+    popularity_days.refresh_popularity(spark, root)
     b = read_bronze(spark, root)
     _append_worklist(spark, land["details"], root, "movie_details_raw", worklist.details_worklist(b.movie, b.details),
                      bronze.land_detail_rows)

@@ -17,7 +17,7 @@ from cinelake import oracle as O
 from cinelake.functions.jsonops import (flatten_match_row, flatten_scalar_array, flatten_struct_array, json_array, json_bigint,
                                         json_double, json_string)
 from cinelake.operators import dedupe, quality, worklist
-from cinelake.plans import catalog, discover, gold, jobs, search_index, silver
+from cinelake.plans import catalog, discover, gold, jobs, popularity_days, search_index, silver
 from cinelake.registry import register
 from cinelake.session import scratch_dir
 from cinelake.sources import bronze, landing, testbed
@@ -372,6 +372,30 @@ def q_fact_movie_popularity(spark: SparkSession, sf: str) -> DataFrame:
     return gold.fact_movie_popularity(b.movie, silver.silver_movie_details(b.details))
 
 
+def _popularity_days(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored days after three runs: all days but two, then the newest one, then one that comes late."""
+    root, movie = scratch_dir(spark, "popularity"), _b(spark, sf).movie
+    path = scratch_dir(spark, "snapshot-days")
+    movie.select(F.to_date("ingested_at").alias("snapshot_date")).distinct().coalesce(1).write.parquet(path)
+    days = spark.read.schema("snapshot_date date").parquet(path)
+    newest = days.agg(F.max("snapshot_date").alias("d"))
+    late = days.join(days.agg(F.min("snapshot_date").alias("m")), F.col("snapshot_date") > F.date_add("m", 30)).agg(F.min("snapshot_date").alias("d"))
+    apart = newest.unionByName(late)
+    popularity_days.refresh_days(movie, root, days.join(apart, days.snapshot_date == apart.d, "left_anti"))
+    for day in (newest, late):
+        popularity_days.refresh_days(movie, root, day.withColumnRenamed("d", "snapshot_date"))
+    return popularity_days.read_days(spark, root)
+
+
+@register("popularity_by_day", W("""
+    SELECT movie_id, snapshot_date, popularity, vote_average, vote_count, revenue,
+           popularity - lag(popularity) OVER (PARTITION BY movie_id ORDER BY snapshot_date) AS popularity_change
+    FROM o_fact_movie_popularity"""))
+def q_popularity_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    days, details = _popularity_days(spark, sf), silver.silver_movie_details(_b(spark, sf).details)
+    return popularity_days.fact_movie_popularity(days, details)
+
+
 # ---- 2.5 data tests --------------------------------------------------------------------------
 def written_models(spark: SparkSession, sf: str, names=None) -> dict[str, DataFrame]:
     """Models (all by default) and what they rest on, written once per layer and read back: what the data tests and discovery run on."""
