@@ -2,13 +2,14 @@
 
 Strong candidates (assignments, access identifiers, long hex strings) are always reported.  Weak
 ones (plain identifiers such as ``client_id=...``, unlabelled high-variety strings, endpoints)
-mean nothing alone: they are reported only if a complementary part stands within ``reach`` code
-points in the same scope, here the document.
+mean nothing alone: they are reported only if a complementary part stands in the same scope, here
+the document, with at most ``reach`` code points between the two.
 
 Positions: a kind's matches and the gaps between them (``split`` by the same pattern) come from
 one row; running sums over them give code point offsets.  The interval join is an equi-join on
-(row, bin of ``reach`` code points): each bin is summarised by its first and last part of a role
-beforehand, so a candidate meets at most three rows per role however many parts a scope holds.
+(row, bin of ``reach`` code points): each bin is summarised by the first start and the last end of
+a role's parts in it beforehand, so a candidate meets one row per role and bin that it reaches,
+however many parts a scope holds.
 """
 
 from __future__ import annotations
@@ -78,17 +79,18 @@ def spans(keyed: DataFrame, reach: int = REACH) -> DataFrame:
         clash = F.when(F.col("kind") == k, over).otherwise(clash)
     kept = written(placed.withColumn("clash", clash).where(~F.col("clash")).drop("clash"), "secret-spans")
     role = F.element_at(F.array(*[F.lit(ROLE[k]) for k in KINDS]), F.col("kind") + 1)
-    parts = kept.withColumn("role", role).withColumn("bin", F.expr(f"start div {reach}"))
-    summary = parts.groupBy("row", "role", "bin").agg(F.min("start").alias("first"), F.max("start").alias("last"))
+    # a part stands in every bin that it reaches into; a weak one looks into the bins within ``reach`` of its two ends
+    low, high = F.col("start") - reach, F.col("end") + reach
+    parts = kept.withColumn("role", role)
+    summary = (parts.withColumn("bin", F.explode(F.sequence(F.expr(f"start div {reach}"), F.expr(f"end div {reach}"))))
+               .groupBy("row", "role", "bin").agg(F.min("start").alias("first"), F.max("end").alias("last")))
     weak = parts.where(F.col("kind") >= len(BASE))
     needs = F.lit(None).cast("array<string>")
     for r, others in NEEDS.items():
         needs = F.when(F.col("role") == r, F.array(*[F.lit(o) for o in others])).otherwise(needs)
-    probes = (weak.withColumn("need", F.explode(needs))
-              .select("row", "kind", "start", "end", "need", F.col("bin").alias("own"),
-                      F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1)).alias("bin")))
-    near = (F.when(F.col("bin") < F.col("own"), F.col("start") - F.col("last") <= reach)
-            .when(F.col("bin") > F.col("own"), F.col("first") - F.col("start") <= reach).otherwise(True))
+    probes = (weak.select("row", "kind", "start", "end", F.explode(needs).alias("need"))
+              .withColumn("bin", F.explode(F.sequence(F.expr(f"greatest(0, start - {reach}) div {reach}"), F.expr(f"(end + {reach}) div {reach}")))))
+    near = (F.col("last") >= low) & (F.col("first") <= high)
     linked = (probes.join(summary.withColumnRenamed("role", "need"), ["row", "need", "bin"]).where(near)
               .select("row", "kind", "start", "end").distinct())
     return kept.where(F.col("kind") < len(BASE)).unionByName(linked)
