@@ -6,9 +6,10 @@ Windows become ``" w1 ... w13 "`` strings in the automaton, a text is normalised
 points of the original text.
 
 The automaton is built from the benchmark's normalised items, sent to tasks as broadcast
-variables of at most ``BLOCK_BYTES`` each.  A benchmark within one block (any usual one) needs
-one automaton; a larger one is scanned block by block, with one block's automaton in memory at
-a time, and the hit words of a document are united over the blocks.
+variables of at most ``BLOCK_BYTES`` each: about 400 bytes of automaton a byte, so 400 MB a block.
+A benchmark within one block (any usual one) needs one automaton.  A larger one is scanned block
+by block, with one block's automaton in memory at a time, built once for every ``HELD_BYTES`` of
+texts of a task, and the hit words of a document are united over the blocks.
 """
 
 from __future__ import annotations
@@ -21,11 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinelake.llm.common import filter_rows, pick, slices
+from cinelake.llm.common import SLICE_ROWS, pick, slices
 
 WINDOW = 13
 # Normalised benchmark text of one automaton.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 1 << 20
+# Texts that a task holds while the blocks pass over them, if there are several (one row at least).
+HELD_BYTES = 64 << 20
 
 # Separators become spaces, A-Z lower case; bytes of characters beyond ASCII stay.
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
@@ -82,28 +85,57 @@ def _sent(spark, benchmark: DataFrame, block_bytes: int, item_col: str, item_tex
     return [*sent, sc.broadcast(block)]
 
 
+def _hits(a: ahocorasick.Automaton, texts: list[str | None], hits: dict[int, tuple[list[bool], set[str]]]) -> list[int]:
+    """Unites into ``hits`` (text's place: (hit per word, item ids)) what ``a`` finds; returns the numbers of words."""
+    sizes = []
+    for k, text in enumerate(texts):
+        words = words_of(text)
+        sizes.append(len(words))
+        joined = (b" " + b" ".join(words) + b" ").decode("utf-8", "surrogatepass") if words and len(a) else ""
+        if joined and next(a.iter(joined), None) is not None:
+            starts, at = [], 1
+            for w in words:
+                starts.append(at)
+                at += len(w.decode("utf-8", "surrogatepass")) + 1
+            scan(a, joined, starts, *hits.setdefault(k, ([False] * len(starts), set())))
+    return sizes
+
+
 def _scanner(sent: list, window: int):
-    """In a task: texts -> ([number of words], {text's place: (hit per word, item ids)}) of texts with a hit."""
+    """In a task: texts -> ([number of words], {text's place: (hit per word, item ids)}) of texts with a hit.
+
+    The automaton of a single block is kept; of several, each is built once a call.
+    """
     only = automaton(sent[0].value, window) if len(sent) == 1 else None
 
     def look(texts: list[str | None]) -> tuple[list[int], dict[int, tuple[list[bool], set[str]]]]:
-        split = [words_of(t) for t in texts]
-        joined = [(b" " + b" ".join(w) + b" ").decode("utf-8", "surrogatepass") if w else "" for w in split]
         hits: dict[int, tuple[list[bool], set[str]]] = {}
+        sizes: list[int] = []
         for b in sent:
-            a = only or automaton(b.value, window)
-            for k, text in enumerate(joined) if len(a) else ():
-                if text and next(a.iter(text), None) is not None:
-                    starts, at = [], 1
-                    for w in split[k]:
-                        starts.append(at)
-                        at += len(w.decode("utf-8", "surrogatepass")) + 1
-                    scan(a, text, starts, *hits.setdefault(k, ([False] * len(starts), set())))
-        return [len(w) for w in split], hits
+            a = only if only is not None else automaton(b.value, window)
+            sizes = _hits(a, texts, hits)
+            del a  # before the next one is built
+        return sizes, hits
 
     return look
 
 
+def _held(batches: Iterator[pa.RecordBatch], column: int, blocks: int) -> Iterator[pa.RecordBatch]:
+    """The batches as they come for one block; for several, joined to about ``HELD_BYTES`` of texts."""
+    held, size = [], 0
+    for batch in batches:
+        if blocks == 1:
+            yield batch
+            continue
+        held.append(batch)
+        size += batch.column(column).nbytes
+        if size >= HELD_BYTES:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 _RESULT = "doc_id bigint, n_words bigint, n_hit bigint, items array<string>, spans array<struct<start:bigint,end:bigint>>"
 
 
@@ -119,7 +151,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look = _scanner(sent, window)
-        for doc_ids, texts in slices(batches):
+        for doc_ids, texts in slices(_held(batches, 1, len(sent)), SLICE_ROWS if len(sent) == 1 else 1 << 31):
             n_words, hits = look(texts)
             n_hit, items, spans = [0] * len(texts), [[] for _ in texts], [[] for _ in texts]
             for k, (hit, found) in hits.items():
@@ -150,13 +182,17 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
     """The rows of ``docs``, all columns, that are not ``contaminated``."""
     sent = _sent(docs.sparkSession, benchmark, block_bytes, item_col, item_text_col)
 
-    def keeps():
-        look = _scanner(sent, window)
-
-        def test(texts: list) -> list[bool]:
-            n_words, hits = look(texts)
-            return [k not in hits or not contaminated(sum(hits[k][0]), n) for k, n in enumerate(n_words)]
+    names = docs.columns
+    plain = docs.toDF(*[f"_c{i}" for i in range(len(names))])
+    at, whole = names.index(text_col), len(sent) > 1
 
-        return test
-
-    return filter_rows(docs, text_col, keeps)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        look = _scanner(sent, window)
+        for batch in _held(batches, at, len(sent)):
+            step = max(1, batch.num_rows) if whole else SLICE_ROWS
+            for i in range(0, batch.num_rows, step):
+                part = batch.slice(i, step)
+                n_words, hits = look(part.column(at).to_pylist())
+                yield part.filter(pa.array([k not in hits or not contaminated(sum(hits[k][0]), n) for k, n in enumerate(n_words)], pa.bool_()))
+
+    return plain.mapInArrow(run, plain.schema).toDF(*names)

@@ -83,6 +83,8 @@ def test_decontamination_in_blocks(spark):
     d, b = read_table(spark, SF, "documents"), read_table(spark, SF, "benchmark")
     one, many = (sorted(map(str, decontaminate.decontaminate(d, b, block_bytes=n).collect())) for n in (1 << 20, 2_000))
     assert one == many
+    one, many = (sorted(map(str, decontaminate.drop_contaminated(d, b, block_bytes=n).collect())) for n in (1 << 20, 2_000))
+    assert one == many and decontaminate.drop_contaminated(d.limit(0), b, block_bytes=2_000).count() == 0
 
 
 def test_simhash(spark, docs):
