@@ -1,67 +1,85 @@
 """Toxicity (10): distance-weighted votes of the nearest labelled examples by exact TF-IDF cosine.
 
-1. A bounded sample of labelled documents (``max_toxic`` and ``max_other`` rows, drawn by a hash
-   of the id) gives, per term, the labelled documents of each class that hold it.  Terms that
-   mark the toxic class beyond chance (likelihood ratio) are the vocabulary.  A term is a word or
-   a word's beginning, so inflected and compounded forms share terms; a beginning that a text
-   repeats (twice or more, and in one of ``DENSE`` words) is a further term of its own.
-2. One pass over all documents turns every whole text into its term counts over that vocabulary;
-   the result is small and written once.  Document frequencies are counted on all of it.
-3. The sampled examples' TF-IDF vectors form an inverted index with block maxima, broadcast to
-   the tasks: at most ``max_toxic + max_other`` examples over at most ``max_terms`` terms.
-4. Every document asks it for its ``k`` nearest examples.  Blocks of examples are visited by
+1. One pass turns every whole text into its term counts, written once.  A term is a word or a
+   word's first ``BEGINNING`` letters, so inflected and compounded forms share terms; a term that a
+   text repeats (twice or more, and in one of ``DENSE`` words) is a further term of its own.  All
+   terms count, hashed to ``SLOTS`` numbers: memory has a bound, and terms of one number are one term.
+2. Document frequencies are counted over all documents.
+3. A bounded sample of labelled documents (``max_toxic`` and ``max_other`` rows, drawn by a hash of
+   the id) gives the examples.  A term's weight is its idf, times 1 + ``MARK`` x the share of the
+   class's entropy that the term explains among the examples, if it speaks for the toxic class:
+   marking terms weigh more, but no term is left out of a vector or its length.
+4. The examples' unit vectors form an inverted index with block maxima, broadcast to the tasks: at
+   most ``max_toxic + max_other`` vectors of at most ``SLOTS`` numbers, one table of ``SLOTS`` weights.
+5. Every document asks it for its ``k`` nearest examples.  Blocks of examples are visited by
    falling upper bound and the search ends when no bound reaches the k-th similarity, so the
    neighbours are exact.
-5. The vote (similarity-weighted share of toxic neighbours) becomes a probability by a logistic
-   curve fitted on leave-one-out votes of the examples.  Without any term in common with the
-   vocabulary the score is the toxic share among such examples.
+6. The vote (similarity-weighted share of toxic neighbours) becomes a probability by a logistic
+   curve fitted on leave-one-out votes of the examples.  A text without a term in common with any
+   example gets the toxic share among the examples without a term.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinelake.llm.common import filter_rows, pick, slices, written
+from cinelake.llm.common import SLICE_ROWS, filter_rows, pick, slices, written
 
 K = 15
-MAX_TOXIC, MAX_OTHER, MAX_TERMS = 4_000, 8_000, 20_000
-# Labelled documents that must hold a term, G2 that it must reach, and its rate among toxic over other documents.
-LEAST_DOCS, LEAST_G2, LEAST_LIFT = 5, 20.0, 8.0
-# Letters of the beginnings that are terms, and the words of a text of which one must share a repeated beginning.
-SHORTEST, LONGEST, DENSE = 3, 8, 150
+MAX_TOXIC, MAX_OTHER = 2_000, 4_000
+SLOTS = 1 << 21
+# Weight of the entropy share that a term explains, and the G2 that chance alone reaches in one term of a hundred.
+MARK, CHANCE = 600.0, 6.6
+# Letters of the beginnings that are terms, and the words of a text of which one must be a repeated term.
+BEGINNING, DENSE = 4, 150
 BLOCK = 64
+# Blocks that are visited together, and the examples of which more than one must hold a term of the matrix.
+STEP, HEAD = 8, 16
 REJECT = 0.7
-# Terms that a task counts before it hands its counts on.
-_HELD_TERMS = 200_000
-# Rows that one task scores (more on more than MOST_TASKS such parts): their vectors take few bytes but much work.
-TASK_ROWS, MOST_TASKS = 20_000, 100_000
 
 _WORD = re.compile(r"\w+")
 
 
-def terms_of(text: str | None, gate: set[str] | None = None) -> Counter:
-    """Terms of a whole text and how often they stand there; ``gate``: beginnings of ``SHORTEST`` letters worth a look."""
+def terms_of(text: str | None) -> Counter:
+    """Terms of a whole text and how often they stand there."""
     words = _WORD.findall(text.lower()) if text else []
     found: Counter = Counter()
     for w, c in Counter(words).items():
-        if gate is None or w[:SHORTEST] in gate:
-            for n in range(SHORTEST, min(LONGEST, len(w) - 1) + 1):
-                found[w[:n]] += c
-            found[w] += c
+        found[w] += c
+        if len(w) > BEGINNING:
+            found[w[:BEGINNING]] += c
     for t, c in list(found.items()):
         if c > 1 and c * DENSE >= len(words):
             found[t + "+"] = c  # no word holds a plus sign
     return found
 
 
+@lru_cache(maxsize=200_000)
+def slot_of(term: str) -> int:
+    return zlib.crc32(term.encode()) % SLOTS
+
+
+def counts_of(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """A text's slots, ascending, and how often their terms stand there."""
+    found: dict[int, int] = {}
+    for t, c in terms_of(text).items():
+        s = slot_of(t)
+        found[s] = found.get(s, 0) + c
+    slots = np.fromiter(found, np.int32, len(found))
+    order = np.argsort(slots)
+    return slots[order], np.fromiter(found.values(), np.int32, len(found))[order]
+
+
 def held_out(doc_id):
     """True for the third of ids whose labels are never learnt; a null id is not held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
@@ -81,106 +99,139 @@ def sample_labels(labels: DataFrame, max_toxic: int, max_other: int, id_col: str
     return written(some(1, max_toxic).unionByName(some(0, max_other)).coalesce(1), "labelled-sample")
 
 
-def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def out(counts: dict) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(counts), pa.string()), pa.array([c[0] for c in counts.values()], pa.int64()),
-             pa.array([c[1] for c in counts.values()], pa.int64())], names=["term", "other", "toxic"])
-
-    counts: dict[str, list[int]] = {}
-    for texts, toxic in slices(batches):
-        for text, y in zip(texts, toxic, strict=True):
-            for t in terms_of(text):
-                counts.setdefault(t, [0, 0])[y] += 1
-            if len(counts) > _HELD_TERMS:
-                yield out(counts)
-                counts = {}
-    yield out(counts)
-
-
-def choose_terms(sampled: DataFrame, max_terms: int) -> list[str]:
-    """The vocabulary from (text, toxic): terms that mark the toxic class, strongest first."""
-    n = {r["toxic"]: r["n"] for r in sampled.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    pos, neg = n.get(1, 0), n.get(0, 0)
-    if not pos or not neg:
-        return []
-    counts = (sampled.select("text", "toxic").mapInArrow(_count_terms, "term string, other bigint, toxic bigint")
-              .groupBy("term").agg(F.sum("other").alias("o"), F.sum("toxic").alias("t")))
-    p, q = F.col("t") / pos, (F.col("o") + 1) / (neg + 1)
-    all_ = (F.col("t") + F.col("o")) / (pos + neg)
+def term_counts(docs: DataFrame) -> DataFrame:
+    """(doc_id, terms, tf): slots, ascending, and counts, of every whole text."""
 
-    def part(seen, expected):
-        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, texts in slices(batches):
+            got = [counts_of(t) for t in texts]
+            ends = np.concatenate([[0], np.cumsum([len(t) for t, _ in got])]).astype(np.int32)
+            lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(part))) for part in zip(*got, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *lists], names=["doc_id", "terms", "tf"])
 
-    g2 = 2 * (part(F.col("t"), all_ * pos) + part(F.col("o"), all_ * neg)
-              + part(pos - F.col("t"), (1 - all_) * pos) + part(neg - F.col("o"), (1 - all_) * neg))
-    chosen = (counts.where((F.col("t") + F.col("o") >= LEAST_DOCS) & (p >= LEAST_LIFT * q))
-              .select("term", g2.alias("g2")).where(F.col("g2") >= LEAST_G2))
-    return [r["term"] for r in chosen.orderBy(F.desc("g2"), "term").limit(max_terms).collect()]
+    return docs.mapInArrow(run, "doc_id bigint, terms array<int>, tf array<int>")
 
 
-def term_counts(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """(doc_id, terms, tf): positions in the vocabulary, ascending, and counts, of every whole text."""
-    sent = docs.sparkSession.sparkContext.broadcast({t: i for i, t in enumerate(vocabulary)})
+def document_frequencies(counted: DataFrame) -> np.ndarray:
+    """Documents by slot; every task counts into one array and hands on what is not zero."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = sent.value
-        gate = {t.rstrip("+")[:SHORTEST] for t in at}
-        for ids, texts in slices(batches):
-            terms, tf = [], []
-            for text in texts:
-                found = {at[t]: c for t, c in terms_of(text, gate).items() if t in at}
-                order = sorted(found)
-                terms.append(order)
-                tf.append([found[t] for t in order])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(terms, pa.list_(pa.int32())), pa.array(tf, pa.list_(pa.int64()))],
-                names=["doc_id", "terms", "tf"])
+        df = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            some = np.unique(batch.column(0).flatten().to_numpy(), return_counts=True)
+            df[some[0]] += some[1]
+        held = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array(df[held], pa.int64())], names=["slot", "n"])
+
+    got = counted.select("terms").mapInArrow(run, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # at most SLOTS rows
+    df = np.zeros(SLOTS, np.int64)
+    df[got["slot"].to_numpy()] = got["n"].to_numpy()
+    return df
+
+
+def entropy_share(terms: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
+    """By slot: the share of the class's entropy that holding the term explains beyond chance; 0 where it does not speak for the toxic class."""
+    def held(y: int) -> np.ndarray:
+        some = [t for t, z in zip(terms, toxic, strict=True) if z == y]
+        return np.bincount(np.concatenate(some), minlength=SLOTS) if some else np.zeros(SLOTS, np.int64)
+
+    t, o = held(1), held(0)
+    pos, neg = int(toxic.sum()), int(len(toxic) - toxic.sum())
+    out = np.zeros(SLOTS)
+    at = np.flatnonzero(t * neg > o * pos)
+    t, o = t[at], o[at]
+    all_ = (t + o) / (pos + neg)
+
+    def part(seen, expected):
+        return seen * np.log(np.where(seen > 0, seen, 1) / np.where(seen > 0, expected, 1))
+
+    g2 = 2 * (part(t, all_ * pos) + part(o, all_ * neg) + part(pos - t, (1 - all_) * pos) + part(neg - o, (1 - all_) * neg))
+    most = -2 * (pos * math.log(pos / (pos + neg)) + neg * math.log(neg / (pos + neg)))
+    out[at] = np.maximum(g2 - CHANCE, 0) / most
+    return out
 
-    return docs.mapInArrow(run, "doc_id bigint, terms array<int>, tf array<bigint>")
 
+def vector(terms: np.ndarray, tf: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    w = (1 + np.log(tf)) * weight[terms]
+    return terms, w / np.sqrt((w * w).sum())
 
-def vector(terms: list[int], tf: list[int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    t = np.array(terms, np.int64)
-    w = (1 + np.log(np.array(tf, np.float64))) * idf[t]
-    return t, w / np.sqrt((w * w).sum())
+
+def _ranges(first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges first..end, one after the other."""
+    n = end - first
+    return np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(n) else np.zeros(0, np.int64)
 
 
 def block_max_index(vectors: list[tuple[np.ndarray, np.ndarray]]) -> dict:
-    """Inverted index over unit vectors: postings by term, cut into blocks of examples with their largest weight."""
-    postings: dict[int, tuple[list[int], list[float]]] = {}
-    for e, (terms, weights) in enumerate(vectors):
-        for t, w in zip(terms.tolist(), weights.tolist(), strict=True):
-            es, ws = postings.setdefault(t, ([], []))
-            es.append(e)
-            ws.append(w)
-    out = {}
-    for t, (es, ws) in postings.items():
-        e, w = np.array(es), np.array(ws)
-        block, first = np.unique(e // BLOCK, return_index=True)
-        ends = [*first[1:].tolist(), len(e)]
-        where = dict(zip(block.tolist(), zip(first.tolist(), ends, strict=True), strict=True))
-        out[t] = (e, w, block, np.maximum.reduceat(w, first), where)
-    return {"blocks": -(-len(vectors) // BLOCK), "terms": out}
-
-
-def nearest(index: dict, terms: np.ndarray, weights: np.ndarray, k: int, leave_out: int = -1) -> list[tuple[float, int]]:
-    """The k examples of largest cosine over zero as (cosine, example), ties by example."""
-    own = [(w, index["terms"][t]) for t, w in zip(terms.tolist(), weights.tolist(), strict=True) if t in index["terms"]]
-    bound = np.zeros(index["blocks"])
-    for w, (_, _, block, most, _) in own:
-        bound[block] += w * most
+    """Inverted index over unit vectors: per term its blocks of examples with their largest weight, per block its postings.
+
+    Terms that over one in ``HEAD`` examples holds stand in a matrix instead, term by example.
+    """
+    terms = np.concatenate([t for t, _ in vectors]).astype(np.int64)
+    weights = np.concatenate([w for _, w in vectors]).astype(np.float32)
+    example = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in vectors])
+    blocks = -(-len(vectors) // BLOCK)
+    term, n = np.unique(terms, return_counts=True)
+    head = term[n * HEAD > len(vectors)]
+    dense = np.zeros((len(head), blocks * BLOCK), np.float32)
+    common = np.isin(terms, head)
+    dense[np.searchsorted(head, terms[common]), example[common]] = weights[common]
+    terms, weights, example = terms[~common], weights[~common], example[~common]
+    order = np.lexsort((example, terms))
+    terms, weights, example = terms[order], weights[order], example[order]
+    new = np.ones(len(terms), bool)
+    new[1:] = (np.diff(terms) != 0) | (np.diff(example // BLOCK) != 0)
+    pair = np.flatnonzero(new)
+    term, first = np.unique(terms[pair], return_index=True)
+    return {"blocks": blocks, "head": np.append(head, SLOTS), "dense": dense, "terms": np.append(term, SLOTS), "pairs": np.append(first, len(pair)),
+            "block": example[pair] // BLOCK, "most": np.maximum.reduceat(weights, pair) if len(pair) else weights,
+            "postings": np.append(pair, len(terms)), "example": example, "weight": weights}
+
+
+def nearest(index: dict, vectors: list[tuple[np.ndarray, np.ndarray]], k: int, leave_out: int | None = None) -> list[list[tuple[float, int]]]:
+    """Per vector the k examples of largest cosine over zero as (cosine to six places, example), ties by example.
+
+    ``leave_out``: the first vector's own number as an example; the others' follow.
+    """
+    common = np.zeros((len(vectors), len(index["head"]) - 1), np.float32)
+    for i, (t, w) in enumerate(vectors):
+        at = np.searchsorted(index["head"], t)
+        held = index["head"][at] == t
+        common[i, at[held]] = w[held]
+    base = common @ index["dense"]
+    tops = base.reshape(len(vectors), index["blocks"], BLOCK).max(2)
+    return [_search(index, t, w, base[i], tops[i], k, -1 if leave_out is None else leave_out + i) for i, (t, w) in enumerate(vectors)]
+
+
+def _search(index: dict, terms: np.ndarray, weights: np.ndarray, base: np.ndarray, top: np.ndarray, k: int, own: int) -> list[tuple[float, int]]:
+    """``nearest`` of one vector, from its similarity in the common terms (``base``) and the largest in each block (``top``)."""
+    at = np.searchsorted(index["terms"], terms)
+    known = index["terms"][at] == terms
+    at, weights = at[known], weights[known]
+    first, end = index["pairs"][at], index["pairs"][at + 1]
+    pair, w = _ranges(first, end), np.repeat(weights, end - first)
+    block = index["block"][pair]
+    bound = top + np.bincount(block, w * index["most"][pair], minlength=index["blocks"])
+    visit = np.argsort(-bound, kind="stable")
+    group = np.empty(len(visit), np.int16 if len(visit) < 1 << 15 else np.int64)
+    group[visit] = np.arange(len(visit)) // STEP
+    of = group[block]
     best: list[tuple[float, int]] = []
-    for b in np.argsort(-bound, kind="stable").tolist():
-        if bound[b] <= 0 or len(best) == k and bound[b] < -best[-1][0] - 1e-9:
+    for g in range(-(-len(visit) // STEP)):
+        most = bound[visit[g * STEP]]
+        if most <= 0 or len(best) == k and most < -best[-1][0] - 2e-6:
             break
-        score = np.zeros(BLOCK)
-        for w, (e, v, _, _, where) in own:
-            if b in where:
-                i, j = where[b]
-                score[e[i:j] - b * BLOCK] += w * v[i:j]
-        best += [(-round(float(score[x]), 12), b * BLOCK + x) for x in np.flatnonzero(score).tolist() if b * BLOCK + x != leave_out]
-        best = sorted(best)[:k]
+        some = np.flatnonzero(of == g)
+        first, end = index["postings"][pair[some]], index["postings"][pair[some] + 1]
+        post = _ranges(first, end)
+        rest = np.bincount(index["example"][post], np.repeat(w[some], end - first) * index["weight"][post], minlength=len(base))
+        which = (visit[g * STEP:(g + 1) * STEP, None] * BLOCK + np.arange(BLOCK)).ravel()
+        score = (base[which] + rest[which]).round(6)
+        score[which == own] = 0
+        found = np.flatnonzero(score > (-best[-1][0] - 1e-9 if len(best) == k else 0))
+        if len(found) > k:
+            found = found[score[found] >= np.partition(score[found], len(found) - k)[len(found) - k]]
+        best = sorted(best + [(-s, e) for s, e in zip(score[found].tolist(), which[found].tolist(), strict=True)])[:k]
     return [(-s, e) for s, e in best]
 
 
@@ -205,59 +256,66 @@ def logistic(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tupl
     return max(float(beta[0]), 1e-3), float(beta[1])
 
 
-def fit(examples: list[tuple[int, int, list[int], list[int]]], shares: dict[int, float], idf: np.ndarray, k: int) -> dict:
-    """Index, calibration and the score of documents without a term, from (doc_id, toxic, terms, tf) rows.
+def fit(examples: list[tuple[int, int, np.ndarray, np.ndarray]], shares: dict[int, float], idf: np.ndarray, k: int) -> dict:
+    """Weights, index, calibration and the score of documents without a term, from (doc_id, toxic, terms, tf) rows.
 
     ``shares``: labelled documents that one sampled example of the class stands for.
     """
-    # examples with alike leading terms side by side: tighter block maxima
-    kept = sorted((e for e in examples if e[2]), key=lambda e: (e[2], e[3], e[0]))
-    vectors = [vector(e[2], e[3], idf) for e in kept]
+    kept = [e for e in examples if len(e[2])]
+    weight = idf * (1 + MARK * entropy_share([e[2] for e in kept], np.array([e[1] for e in kept], np.int64))) if kept else idf
+    unit = [vector(e[2], e[3], weight) for e in kept]
+    # examples with the same heaviest term side by side: tighter block maxima
+    order = sorted(range(len(kept)), key=lambda i: (int(unit[i][0][unit[i][1].argmax()]), kept[i][0]))
+    kept, vectors = [kept[i] for i in order], [unit[i] for i in order]
     toxic = np.array([e[1] for e in kept], np.int64)
-    index = block_max_index(vectors)
-    model = {"index": index, "toxic": toxic, "ids": [e[0] for e in kept], "idf": idf, "line": None}
-    bare = Counter(e[1] for e in examples if not e[2])
+    model = {"index": None, "toxic": toxic, "ids": [e[0] for e in kept], "weight": weight.astype(np.float32), "line": None}
+    bare = Counter(e[1] for e in examples if not len(e[2]))
     model["bare"] = bare[1] * shares[1] / (bare[1] * shares[1] + bare[0] * shares[0] + 1) if examples else 0.0
     if kept:
-        votes = np.array([vote(nearest(index, *v, k, leave_out=i), toxic) for i, v in enumerate(vectors)])
+        model["index"] = block_max_index(vectors)
+        near = [n for at in range(0, len(vectors), SLICE_ROWS) for n in nearest(model["index"], vectors[at:at + SLICE_ROWS], k, at)]
+        votes = np.array([vote(n, toxic) for n in near])
         model["line"] = logistic(votes, toxic, np.where(toxic > 0, shares[1], shares[0]))
     return model
 
 
-def _score(m: dict | None, terms: list[int], tf: list[int], k: int) -> tuple[float, list[tuple[float, int]]]:
-    """Score and neighbours of one document by a fitted model (None: nothing was learnt)."""
-    near = nearest(m["index"], *vector(terms, tf, m["idf"]), k) if m and terms and m["line"] else []
-    if not near:
-        return (m["bare"] if m else 0.0), near
-    slope, cut = m["line"]
-    return 1 / (1 + math.exp(-max(-30.0, min(30.0, slope * vote(near, m["toxic"]) + cut)))), near
+def _scores(m: dict | None, counts: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[float, list[tuple[float, int]]]]:
+    """Score and neighbours of documents by a fitted model (None: nothing was learnt)."""
+    if m is None:
+        return [(0.0, [])] * len(counts)
+    held = [i for i, (terms, _) in enumerate(counts) if len(terms)] if m["line"] else []
+    found = dict(zip(held, nearest(m["index"], [vector(*counts[i], m["weight"]) for i in held], k), strict=True)) if held else {}
+    out = []
+    for i in range(len(counts)):
+        near = found.get(i)
+        if near:
+            slope, cut = m["line"]
+            out.append((1 / (1 + math.exp(-max(-30.0, min(30.0, slope * vote(near, m["toxic"]) + cut)))), near))
+        else:
+            out.append((m["bare"], []))
+    return out
 
 
 def learn(docs: DataFrame, labels: DataFrame, k: int = K, max_toxic: int = MAX_TOXIC, max_other: int = MAX_OTHER,
-          max_terms: int = MAX_TERMS, id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id",
+          id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id",
           label_col: str = "toxic") -> tuple[DataFrame, dict | None]:
-    """(doc_id, terms, tf) of all documents, and the model: vocabulary, idf, index, labels, calibration (bounded; see above)."""
+    """(doc_id, terms, tf) of all documents, and the model: weights, index, labels, calibration (bounded; see above)."""
     texts = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     chosen = sample_labels(labels, max_toxic, max_other, label_id_col, label_col)
-    # at most max_toxic + max_other rows of an id and a label
-    sampled = written(texts.join(F.broadcast(chosen), "doc_id"), "examples")
-    vocabulary = choose_terms(sampled, max_terms)
-    counted = written(term_counts(texts, vocabulary), "term-counts")
-    if not vocabulary:
-        return counted, None
-    n = counted.count()
-    df = np.zeros(len(vocabulary))
-    for r in counted.select(F.explode("terms").alias("t")).groupBy("t").count().collect():  # at most max_terms rows
-        df[r["t"]] = r["count"]
-    idf = np.log((1 + n) / (1 + df)) + 1
+    counted = written(term_counts(texts), "term-counts")
+    # at most max_toxic + max_other rows of an id and a label, and as many examples
     known = (counted.join(F.broadcast(chosen), "doc_id")
-             .groupBy("doc_id").agg(F.min(F.struct("toxic", "terms", "tf")).alias("x")).select("doc_id", "x.*").collect())
-    examples = [(r["doc_id"], r["toxic"], r["terms"], r["tf"]) for r in known]
+             .groupBy("doc_id").agg(F.min(F.struct("toxic", "terms", "tf")).alias("x")).select("doc_id", "x.*").toArrow())
+    examples = [(i, y, np.array(t.values, np.int32), np.array(f.values, np.int32)) for i, y, t, f in
+                zip(known["doc_id"].to_pylist(), known["toxic"].to_pylist(), known["terms"], known["tf"], strict=True)]
+    drawn = Counter(e[1] for e in examples)
+    if not drawn[0] or not drawn[1]:
+        return counted, None
+    idf = np.log((1 + counted.count()) / (1 + document_frequencies(counted))) + 1
     totals = {bool(r["toxic"]): r["n"] for r in pick(labels, doc_id=label_id_col, toxic=label_col).where("doc_id is not null and toxic is not null")
               .where(~held_out(F.col("doc_id"))).groupBy((F.col("toxic") > 0).alias("toxic")).agg(F.countDistinct("doc_id").alias("n")).collect()}
-    drawn = Counter(e[1] for e in examples)
-    shares = {y: max(1.0, totals.get(bool(y), 0) / max(1, drawn[y])) if drawn[y] else 1.0 for y in (0, 1)}
-    return counted, fit(examples, shares, idf, k) | {"vocabulary": {t: i for i, t in enumerate(vocabulary)}}
+    shares = {y: max(1.0, totals.get(bool(y), 0) / drawn[y]) for y in (0, 1)}
+    return counted, fit(examples, shares, idf, k)
 
 
 _RESULT = "doc_id bigint, score double, evidence array<struct<doc_id:bigint,similarity:double,toxic:int>>"
@@ -266,42 +324,32 @@ _RESULT = "doc_id bigint, score double, evidence array<struct<doc_id:bigint,simi
 def score_documents(docs: DataFrame, labels: DataFrame, k: int = K, **options) -> DataFrame:
     """Per document: doc_id, score (0 to 1), evidence (its nearest examples), held_out.  ``options``: see ``learn``.
 
-    Null and empty texts have no term and get the score of such examples; without labels of both
+    Null and empty texts have no term and get the score of such examples; without examples of both
     classes every score is 0.  Repeated and null doc_ids are carried along, one result per row.
-    With an equal similarity the example first in the index order (terms, counts, id) is nearer.
+    With an equal similarity the example first in the index order (heaviest term, id) is nearer.
     """
     counted, model = learn(docs, labels, k, **options)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
-        for ids, terms, tf in slices(batches):
-            got = [_score(m, t, f, k) for t, f in zip(terms, tf, strict=True)]
-            evidence = [[{"doc_id": m["ids"][e], "similarity": s, "toxic": int(m["toxic"][e])} for s, e in near] for _, near in got]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array([s for s, _ in got], pa.float64()),
-                 pa.array(evidence, pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())])))],
-                names=["doc_id", "score", "evidence"])
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                ids, terms, tf = batch.slice(at, SLICE_ROWS).columns
+                end = np.cumsum(terms.value_lengths().to_numpy(zero_copy_only=False))[:-1]
+                rows = zip(np.split(terms.flatten().to_numpy(), end), np.split(tf.flatten().to_numpy(), end), strict=True)
+                got = _scores(m, list(rows), k)
+                evidence = [[{"doc_id": m["ids"][e], "similarity": s, "toxic": int(m["toxic"][e])} for s, e in near] for _, near in got]
+                yield pa.RecordBatch.from_arrays(
+                    [ids.cast(pa.int64()), pa.array([s for s, _ in got], pa.float64()),
+                     pa.array(evidence, pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())])))],
+                    names=["doc_id", "score", "evidence"])
 
-    tasks = max(1, min(MOST_TASKS, -(-counted.count() // TASK_ROWS)))
-    return counted.repartition(tasks).mapInArrow(run, _RESULT).withColumn("held_out", held_out(F.col("doc_id")))
+    return counted.mapInArrow(run, _RESULT).withColumn("held_out", held_out(F.col("doc_id")))
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, reject: float = REJECT, k: int = K, text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs``, all columns, whose score is below ``reject``; no shuffle of texts."""
     _, model = learn(docs, labels, k, text_col=text_col, **options)
     sent = docs.sparkSession.sparkContext.broadcast(model)
-
-    def kept(texts: list) -> list[bool]:
-        m = sent.value
-        if m is None:
-            return [True] * len(texts)
-        at, out = m["vocabulary"], []
-        gate = {t.rstrip("+")[:SHORTEST] for t in at}
-        for text in texts:
-            found = {at[t]: c for t, c in terms_of(text, gate).items() if t in at}
-            order = sorted(found)
-            out.append(_score(m, order, [found[t] for t in order], k)[0] < reject)
-        return out
-
-    return filter_rows(docs, text_col, lambda: kept)
+    return filter_rows(docs, text_col, lambda: lambda texts: [s < reject for s, _ in _scores(sent.value, [counts_of(t) for t in texts], k)])

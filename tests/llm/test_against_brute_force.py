@@ -345,8 +345,57 @@ def test_block_max_search_is_exact():
         dense[i, t] = w
     for i in range(0, 700, 13):
         want = sorted((-round(s, 12), e) for e, s in enumerate(dense @ dense[i]) if s > 1e-12)[:10]
-        got = toxicity.nearest(index, *vectors[i], 10)
-        assert np.allclose([s for s, _ in got], [-s for s, _ in want])
+        got, own = toxicity.nearest(index, [vectors[i]], 10)[0], toxicity.nearest(index, [vectors[i]], 10, leave_out=i)[0]
+        assert np.allclose([s for s, _ in got], [-s for s, _ in want], atol=2e-6)
+        assert i in {e for _, e in got} and i not in {e for _, e in own}
+
+
+def test_toxicity_is_the_cosine_over_all_terms(spark):
+    """Evidence against plain dictionaries of whole texts: idf over all documents, class entropy, no term left out."""
+    import math
+    import random
+    import zlib
+
+    rng = random.Random(4)
+    usual, marks = [f"w{i}x" for i in range(90)], ["vilest", "foulmouth"]
+    texts, label = {}, {}
+    for i in range(400):
+        toxic = int(i % 4 == 0)
+        texts[i] = " ".join(rng.choice(marks) if toxic and rng.random() < 0.2 else rng.choice(usual) + rng.choice(["", "yz"]) for _ in range(rng.randint(1, 60)))
+        if i < 300:
+            label[i] = toxic
+    texts[396], texts[397], texts[398] = "", None, "longer " * 20_000 + "vilest"
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in toxicity.score_documents(docs, spark.createDataFrame(list(label.items()), "doc_id bigint, toxic int"), k=5).collect()}
+    tf = {i: toxicity.terms_of(t) for i, t in texts.items()}
+    df = collections.Counter(t for c in tf.values() for t in c)
+    held = {i: y for i, y in label.items() if zlib.crc32(str(i).encode()) % 3 != 1}
+    pos, n = sum(held.values()), len(held)
+
+    def entropy(*parts):
+        return -sum(p * math.log(p / sum(parts)) for p in parts if p)
+
+    def weight(t):
+        a, o = sum(t in tf[i] for i in held if held[i]), sum(t in tf[i] for i in held if not held[i])
+        gain = 2 * (entropy(pos, n - pos) - entropy(a, o) - entropy(pos - a, n - pos - o))
+        share = max(0.0, gain - toxicity.CHANCE) / (2 * entropy(pos, n - pos)) if a * (n - pos) > o * pos else 0.0
+        return (math.log((1 + len(texts)) / (1 + df[t])) + 1) * (1 + toxicity.MARK * share)
+
+    weights = {t: weight(t) for t in df}
+
+    def unit(i):
+        v = {t: (1 + math.log(c)) * weights[t] for t, c in tf[i].items()}
+        length = math.sqrt(sum(a * a for a in v.values()))
+        return {t: a / length for t, a in v.items()}
+
+    examples = {i: unit(i) for i in held}
+    for i in texts:
+        v = unit(i) if tf[i] else {}
+        want = sorted((sum(a * e.get(t, 0) for t, a in v.items()) for e in examples.values()), reverse=True)[:5]
+        near = [e["similarity"] for e in got[i]["evidence"]]
+        assert all(abs(a - b) < 5e-6 for a, b in zip(near, want, strict=False)) and len(near) == sum(w > 1e-6 for w in want)
+        assert all(abs(sum(a * examples[e["doc_id"]].get(t, 0) for t, a in v.items()) - e["similarity"]) < 5e-6 for e in got[i]["evidence"])
+    assert max(got[398]["evidence"], key=lambda e: e["similarity"])["similarity"] < 0.999    # one marked word in a long text is not that word alone
 
 
 def test_main_text(spark):
