@@ -39,8 +39,6 @@ WEAK = KINDS[3:]
 ROLE = {"assign": "secret", "access": "identifier", "hex": "secret", "endpoint": "endpoint", "identifier": "identifier", "opaque": "secret"}
 # A weak candidate's role -> roles of which one must stand in reach.
 NEEDS = {"identifier": ["secret"], "secret": ["identifier", "endpoint"], "endpoint": ["secret"]}
-# What a text must hold to hold any candidate; only narrows which rows are looked at closely.
-ANY = "|".join(PATTERNS.values())
 
 _CANDIDATE = "array<struct<kind:int,i:int,gap:int,match:string>>"
 
@@ -129,10 +127,10 @@ def redact(docs: DataFrame, reach: int = REACH, text_col: str = "text", mark: st
     names = docs.columns
     plain = docs.toDF(*[f"_c{i}" for i in range(len(names))])
     at = f"_c{names.index(text_col)}"
-    suspect = F.coalesce(F.regexp_like(at, F.lit(ANY)), F.lit(False))
-    held = written(plain.where(suspect).withColumn("row", F.monotonically_increasing_id()), "secret-suspects")
-    keyed = written(held.select("row", candidates(F.col(at)).alias("found")), "secret-candidates")
-    found = spans(keyed, reach)
+    # the only scan of the texts: the rows are written beside their candidates
+    held = written(plain.withColumn("row", F.monotonically_increasing_id()).withColumn("found", candidates(F.col(at))), "secret-candidates")
+    suspect = F.size("found") > 0
+    found = spans(held.where(suspect).select("row", "found"), reach)
     order = Window.partitionBy("row").orderBy("start", "end")
     reached = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     runs = Window.partitionBy("row").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -151,9 +149,9 @@ def redact(docs: DataFrame, reach: int = REACH, text_col: str = "text", mark: st
     if length_col is not None:
         c = f"_c{names.index(length_col)}"
         out[c] = F.when(F.col("cut").isNull(), F.col(c)).otherwise(F.char_length(clean).cast(plain.schema[c].dataType))
-    changed = (held.join(merged, F.col("row") == F.col("cut_row"), "left")
+    changed = (held.where(suspect).join(merged, F.col("row") == F.col("cut_row"), "left")
                .select(*[value.alias(f"new{c}") for c, value in out.items()]))  # names of their own: an alias can hide a column in a lambda
-    return plain.where(~suspect).union(changed).toDF(*names)
+    return held.where(~suspect).select(*plain.columns).union(changed).toDF(*names)
 
 
 def joined(spans_col: Column) -> Column:
