@@ -25,8 +25,7 @@ import math
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +42,7 @@ MARK, CHANCE = 600.0, 6.6
 # Letters of the beginnings that are terms, and the words of a text of which one must be a repeated term.
 BEGINNING, DENSE = 4, 150
 BLOCK = 64
-# Blocks that are visited together, and the examples of which more than one must hold a term of the matrix.
+# Blocks that are visited first, and the examples of which more than one must hold a term of the matrix.
 STEP, HEAD = 8, 16
 REJECT = 0.7
 
@@ -64,20 +63,27 @@ def terms_of(text: str | None) -> Counter:
     return found
 
 
-@lru_cache(maxsize=200_000)
-def slot_of(term: str) -> int:
-    return zlib.crc32(term.encode()) % SLOTS
+def slots_of(terms: Iterable[str], n: int) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, map(str.encode, terms)), np.int64, n) % SLOTS
+
+
+def _summed(slots: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    some, at = np.unique(slots, return_inverse=True)
+    return some, np.bincount(at, counts, minlength=len(some)).astype(np.int64)
 
 
 def counts_of(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """A text's slots, ascending, and how often their terms stand there."""
-    found: dict[int, int] = {}
-    for t, c in terms_of(text).items():
-        s = slot_of(t)
-        found[s] = found.get(s, 0) + c
-    slots = np.fromiter(found, np.int32, len(found))
-    order = np.argsort(slots)
-    return slots[order], np.fromiter(found.values(), np.int32, len(found))[order]
+    """A text's slots, ascending, and how often their terms (``terms_of``) stand there."""
+    words = _WORD.findall(text.lower()) if text else []
+    found = Counter(words)
+    n = np.fromiter(found.values(), np.int64, len(found))
+    longer = [len(w) > BEGINNING for w in found]
+    begun = [w[:BEGINNING] for w in found if len(w) > BEGINNING]
+    slots, n = _summed(np.concatenate([slots_of(found, len(found)), slots_of(begun, len(begun))]), np.concatenate([n, n[longer]]))
+    again = np.flatnonzero((n > 1) & (n * DENSE >= len(words)))
+    if len(again):  # a repeated term's own slot follows from the term's
+        slots, n = _summed(np.concatenate([slots, (slots[again] * 2_654_435_761 + 1) % SLOTS]), np.concatenate([n, n[again]]))
+    return slots.astype(np.int32), n.astype(np.int32)
 
 
 def held_out(doc_id):
@@ -213,25 +219,28 @@ def _search(index: dict, terms: np.ndarray, weights: np.ndarray, base: np.ndarra
     block = index["block"][pair]
     bound = top + np.bincount(block, w * index["most"][pair], minlength=index["blocks"])
     visit = np.argsort(-bound, kind="stable")
-    group = np.empty(len(visit), np.int16 if len(visit) < 1 << 15 else np.int64)
-    group[visit] = np.arange(len(visit)) // STEP
-    of = group[block]
+    rank = np.empty(len(visit), np.int64)
+    rank[visit] = np.arange(len(visit))
+    of = rank[block]
     best: list[tuple[float, int]] = []
-    for g in range(-(-len(visit) // STEP)):
-        most = bound[visit[g * STEP]]
-        if most <= 0 or len(best) == k and most < -best[-1][0] - 2e-6:
+    at, step = 0, STEP
+    while at < len(visit):
+        least = -best[-1][0] - 2e-6 if len(best) == k else 0.0
+        to = min(at + step, int(np.searchsorted(-bound[visit], -least, "right" if len(best) == k else "left")))
+        if to <= at:
             break
-        some = np.flatnonzero(of == g)
+        some = np.flatnonzero((of >= at) & (of < to))
         first, end = index["postings"][pair[some]], index["postings"][pair[some] + 1]
         post = _ranges(first, end)
         rest = np.bincount(index["example"][post], np.repeat(w[some], end - first) * index["weight"][post], minlength=len(base))
-        which = (visit[g * STEP:(g + 1) * STEP, None] * BLOCK + np.arange(BLOCK)).ravel()
+        which = (visit[at:to, None] * BLOCK + np.arange(BLOCK)).ravel()
         score = (base[which] + rest[which]).round(6)
         score[which == own] = 0
         found = np.flatnonzero(score > (-best[-1][0] - 1e-9 if len(best) == k else 0))
         if len(found) > k:
             found = found[score[found] >= np.partition(score[found], len(found) - k)[len(found) - k]]
         best = sorted(best + [(-s, e) for s, e in zip(score[found].tolist(), which[found].tolist(), strict=True)])[:k]
+        at, step = to, 3 * step
     return [(-s, e) for s, e in best]
 
 
