@@ -9,11 +9,10 @@
    the id) gives the examples.  A term's weight is its idf, times 1 + ``MARK`` x the share of the
    class's entropy that the term explains among the examples, if it speaks for the toxic class:
    marking terms weigh more, but no term is left out of a vector or its length.
-4. The examples' unit vectors form an inverted index with block maxima, broadcast to the tasks: at
-   most ``max_toxic + max_other`` vectors of at most ``SLOTS`` numbers, one table of ``SLOTS`` weights.
-5. Every document asks it for its ``k`` nearest examples.  Blocks of examples are visited by
-   falling upper bound and the search ends when no bound reaches the k-th similarity, so the
-   neighbours are exact.
+4. The examples' unit vectors form an inverted index, broadcast to the tasks: at most
+   ``max_toxic + max_other`` vectors of at most ``SLOTS`` numbers, one table of ``SLOTS`` weights.
+5. Every document asks it for its ``k`` nearest examples: the postings of all its terms are summed,
+   terms that many examples hold by a matrix product, so the neighbours are exact.
 6. The vote (similarity-weighted share of toxic neighbours) becomes a probability by a logistic
    curve fitted on leave-one-out votes of the examples.  A text without a term in common with any
    example gets the toxic share among the examples without a term.
@@ -26,6 +25,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -41,9 +41,8 @@ SLOTS = 1 << 21
 MARK, CHANCE = 600.0, 6.6
 # Letters of the beginnings that are terms, and the words of a text of which one must be a repeated term.
 BEGINNING, DENSE = 4, 150
-BLOCK = 64
-# Blocks that are visited first, and the examples of which more than one must hold a term of the matrix.
-STEP, HEAD = 8, 16
+# The examples of which more than one must hold a term of the matrix.
+HEAD = 16
 REJECT = 0.7
 
 _WORD = re.compile(r"\w+")
@@ -77,8 +76,8 @@ def counts_of(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     words = _WORD.findall(text.lower()) if text else []
     found = Counter(words)
     n = np.fromiter(found.values(), np.int64, len(found))
-    longer = [len(w) > BEGINNING for w in found]
-    begun = [w[:BEGINNING] for w in found if len(w) > BEGINNING]
+    longer = np.fromiter(map(len, found), np.int64, len(found)) > BEGINNING
+    begun = [w[:BEGINNING] for w in compress(found, longer.tolist())]
     slots, n = _summed(np.concatenate([slots_of(found, len(found)), slots_of(begun, len(begun))]), np.concatenate([n, n[longer]]))
     again = np.flatnonzero((n > 1) & (n * DENSE >= len(words)))
     if len(again):  # a repeated term's own slot follows from the term's
@@ -168,30 +167,26 @@ def _ranges(first: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(n) else np.zeros(0, np.int64)
 
 
-def block_max_index(vectors: list[tuple[np.ndarray, np.ndarray]]) -> dict:
-    """Inverted index over unit vectors: per term its blocks of examples with their largest weight, per block its postings.
+def inverted_index(vectors: list[tuple[np.ndarray, np.ndarray]]) -> dict:
+    """Inverted index over unit vectors: the postings of each term, example and weight, from ``starts`` of its slot on.
 
     Terms that over one in ``HEAD`` examples holds stand in a matrix instead, term by example.
     """
     terms = np.concatenate([t for t, _ in vectors]).astype(np.int64)
     weights = np.concatenate([w for _, w in vectors]).astype(np.float32)
     example = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in vectors])
-    blocks = -(-len(vectors) // BLOCK)
     term, n = np.unique(terms, return_counts=True)
     head = term[n * HEAD > len(vectors)]
-    dense = np.zeros((len(head), blocks * BLOCK), np.float32)
+    dense = np.zeros((len(head), len(vectors)), np.float32)
     common = np.isin(terms, head)
     dense[np.searchsorted(head, terms[common]), example[common]] = weights[common]
     terms, weights, example = terms[~common], weights[~common], example[~common]
     order = np.lexsort((example, terms))
-    terms, weights, example = terms[order], weights[order], example[order]
-    new = np.ones(len(terms), bool)
-    new[1:] = (np.diff(terms) != 0) | (np.diff(example // BLOCK) != 0)
-    pair = np.flatnonzero(new)
-    term, first = np.unique(terms[pair], return_index=True)
-    return {"blocks": blocks, "head": np.append(head, SLOTS), "dense": dense, "terms": np.append(term, SLOTS), "pairs": np.append(first, len(pair)),
-            "block": example[pair] // BLOCK, "most": np.maximum.reduceat(weights, pair) if len(pair) else weights,
-            "postings": np.append(pair, len(terms)), "example": example, "weight": weights}
+    starts = np.searchsorted(terms[order], np.arange(SLOTS + 1)).astype(np.int32)
+    return {"head": np.append(head, SLOTS), "dense": dense, "starts": starts, "example": example[order], "weight": weights[order]}
+
+
+block_max_index = inverted_index  # its name while it held block maxima
 
 
 def nearest(index: dict, vectors: list[tuple[np.ndarray, np.ndarray]], k: int, leave_out: int | None = None) -> list[list[tuple[float, int]]]:
@@ -205,43 +200,22 @@ def nearest(index: dict, vectors: list[tuple[np.ndarray, np.ndarray]], k: int, l
         held = index["head"][at] == t
         common[i, at[held]] = w[held]
     base = common @ index["dense"]
-    tops = base.reshape(len(vectors), index["blocks"], BLOCK).max(2)
-    return [_search(index, t, w, base[i], tops[i], k, -1 if leave_out is None else leave_out + i) for i, (t, w) in enumerate(vectors)]
-
-
-def _search(index: dict, terms: np.ndarray, weights: np.ndarray, base: np.ndarray, top: np.ndarray, k: int, own: int) -> list[tuple[float, int]]:
-    """``nearest`` of one vector, from its similarity in the common terms (``base``) and the largest in each block (``top``)."""
-    at = np.searchsorted(index["terms"], terms)
-    known = index["terms"][at] == terms
-    at, weights = at[known], weights[known]
-    first, end = index["pairs"][at], index["pairs"][at + 1]
-    pair, w = _ranges(first, end), np.repeat(weights, end - first)
-    block = index["block"][pair]
-    bound = top + np.bincount(block, w * index["most"][pair], minlength=index["blocks"])
-    visit = np.argsort(-bound, kind="stable")
-    rank = np.empty(len(visit), np.int64)
-    rank[visit] = np.arange(len(visit))
-    of = rank[block]
-    best: list[tuple[float, int]] = []
-    at, step = 0, STEP
-    while at < len(visit):
-        least = -best[-1][0] - 2e-6 if len(best) == k else 0.0
-        to = min(at + step, int(np.searchsorted(-bound[visit], -least, "right" if len(best) == k else "left")))
-        if to <= at:
-            break
-        some = np.flatnonzero((of >= at) & (of < to))
-        first, end = index["postings"][pair[some]], index["postings"][pair[some] + 1]
-        post = _ranges(first, end)
-        rest = np.bincount(index["example"][post], np.repeat(w[some], end - first) * index["weight"][post], minlength=len(base))
-        which = (visit[at:to, None] * BLOCK + np.arange(BLOCK)).ravel()
-        score = (base[which] + rest[which]).round(6)
-        score[which == own] = 0
-        found = np.flatnonzero(score > (-best[-1][0] - 1e-9 if len(best) == k else 0))
-        if len(found) > k:
-            found = found[score[found] >= np.partition(score[found], len(found) - k)[len(found) - k]]
-        best = sorted(best + [(-s, e) for s, e in zip(score[found].tolist(), which[found].tolist(), strict=True)])[:k]
-        at, step = to, 3 * step
-    return [(-s, e) for s, e in best]
+    return [_search(index, t, w, base[i], k, -1 if leave_out is None else leave_out + i) for i, (t, w) in enumerate(vectors)]
+
+
+def _search(index: dict, terms: np.ndarray, weights: np.ndarray, base: np.ndarray, k: int, own: int) -> list[tuple[float, int]]:
+    """``nearest`` of one vector, from its similarity in the common terms (``base``)."""
+    first, end = index["starts"][terms], index["starts"][terms + 1]
+    held = np.flatnonzero(first < end)
+    first, end = first[held].astype(np.int64), end[held]
+    post = _ranges(first, end)
+    rest = np.bincount(index["example"][post], np.repeat(weights[held], end - first) * index["weight"][post], minlength=len(base))
+    score = (base + rest).round(6)
+    if own >= 0:
+        score[own] = 0
+    least = np.partition(score, len(score) - k)[len(score) - k] if len(score) > k else 0
+    found = np.flatnonzero((score >= least) & (score > 0))
+    return [(s, e) for s, e in sorted(zip(score[found].tolist(), found.tolist(), strict=True), key=lambda x: (-x[0], x[1]))[:k]]
 
 
 def vote(near: list[tuple[float, int]], toxic: np.ndarray) -> float:
@@ -273,7 +247,7 @@ def fit(examples: list[tuple[int, int, np.ndarray, np.ndarray]], shares: dict[in
     kept = [e for e in examples if len(e[2])]
     weight = idf * (1 + MARK * entropy_share([e[2] for e in kept], np.array([e[1] for e in kept], np.int64))) if kept else idf
     unit = [vector(e[2], e[3], weight) for e in kept]
-    # examples with the same heaviest term side by side: tighter block maxima
+    # examples with the same heaviest term side by side; ties between neighbours go by this order
     order = sorted(range(len(kept)), key=lambda i: (int(unit[i][0][unit[i][1].argmax()]), kept[i][0]))
     kept, vectors = [kept[i] for i in order], [unit[i] for i in order]
     toxic = np.array([e[1] for e in kept], np.int64)
@@ -281,7 +255,7 @@ def fit(examples: list[tuple[int, int, np.ndarray, np.ndarray]], shares: dict[in
     bare = Counter(e[1] for e in examples if not len(e[2]))
     model["bare"] = bare[1] * shares[1] / (bare[1] * shares[1] + bare[0] * shares[0] + 1) if examples else 0.0
     if kept:
-        model["index"] = block_max_index(vectors)
+        model["index"] = inverted_index(vectors)
         near = [n for at in range(0, len(vectors), SLICE_ROWS) for n in nearest(model["index"], vectors[at:at + SLICE_ROWS], k, at)]
         votes = np.array([vote(n, toxic) for n in near])
         model["line"] = logistic(votes, toxic, np.where(toxic > 0, shares[1], shares[0]))
@@ -348,10 +322,13 @@ def score_documents(docs: DataFrame, labels: DataFrame, k: int = K, **options) -
                 end = np.cumsum(terms.value_lengths().to_numpy(zero_copy_only=False))[:-1]
                 rows = zip(np.split(terms.flatten().to_numpy(), end), np.split(tf.flatten().to_numpy(), end), strict=True)
                 got = _scores(m, list(rows), k)
-                evidence = [[{"doc_id": m["ids"][e], "similarity": s, "toxic": int(m["toxic"][e])} for s, e in near] for _, near in got]
+                ends = np.cumsum([0, *(len(near) for _, near in got)]).astype(np.int32)
+                near = [e for _, some in got for _, e in some]
+                evidence = pa.StructArray.from_arrays(
+                    [pa.array([m["ids"][e] for e in near], pa.int64()), pa.array([s for _, some in got for s, _ in some], pa.float64()),
+                     pa.array([int(m["toxic"][e]) for e in near], pa.int32())], ["doc_id", "similarity", "toxic"])
                 yield pa.RecordBatch.from_arrays(
-                    [ids.cast(pa.int64()), pa.array([s for s, _ in got], pa.float64()),
-                     pa.array(evidence, pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())])))],
+                    [ids.cast(pa.int64()), pa.array([s for s, _ in got], pa.float64()), pa.ListArray.from_arrays(pa.array(ends), evidence)],
                     names=["doc_id", "score", "evidence"])
 
     return counted.mapInArrow(run, _RESULT).withColumn("held_out", held_out(F.col("doc_id")))

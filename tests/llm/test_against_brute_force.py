@@ -569,3 +569,24 @@ def test_pipeline_stages_keep_what_they_should(spark, docs):
         first.setdefault(root[fps[d]], d)
     dirty = {r["doc_id"] for r in rows(spark, "op7_decontamination") if r["contaminated"]}
     assert packed == set(first.values()) - dirty
+
+
+def test_inverted_index_sums_every_posting_once(monkeypatch):
+    """Postings lie by slot, frequent terms in the matrix; one pass over both gives all cosines."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    monkeypatch.setattr(toxicity, "HEAD", 4)
+    vectors = []
+    for _ in range(70):
+        terms = np.unique(np.minimum(rng.zipf(1.4, 30), toxicity.SLOTS - 1)).astype(np.int32)
+        w = rng.random(len(terms))
+        vectors.append((terms, w / np.sqrt((w * w).sum())))
+    index = toxicity.inverted_index(vectors)
+    assert len(index["example"]) + np.count_nonzero(index["dense"]) == sum(len(t) for t, _ in vectors)
+    assert index["starts"][-1] == len(index["example"]) and 1 < len(index["head"]) < 70
+    for (t, w), near in zip(vectors, toxicity.nearest(index, vectors, 70), strict=True):
+        mine = dict(zip(t.tolist(), w.tolist(), strict=True))
+        cos = [sum(mine.get(s, 0) * x for s, x in zip(a.tolist(), b.tolist(), strict=True)) for a, b in vectors]
+        assert {e for _, e in near} == {e for e, c in enumerate(cos) if c > 1e-6}
+        assert all(abs(s - cos[e]) < 2e-6 for s, e in near) and [s for s, _ in near] == sorted((s for s, _ in near), reverse=True)
