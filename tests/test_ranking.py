@@ -1,6 +1,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from cinelake.operators import ranking
 from cinelake.operators.ranking import ordered_chunks, row_number_within
 
 
@@ -49,3 +50,14 @@ def test_ordered_chunks_of_small_large_null_and_multiplied_groups(spark):
         want |= {(g, y, i // 4): wide[i:i + 4] for i in range(0, len(wide), 4)}
     tie = lambda chunks: {key: sorted(v) for key, v in chunks.items()}  # noqa: E731 -- equal order keys may stand either way
     assert tie(got) == tie(want) and len(got[2, 2020, 2]) == 3 and (1, None, 0) in got
+
+
+def test_groups_are_counted_on_every_task(spark, monkeypatch):
+    """The groups larger than a chunk are found without gathering the counts of all groups in one task."""
+    plans, write = {}, ranking._written
+    monkeypatch.setattr(ranking, "_written", lambda df, purpose: plans.setdefault(purpose, df._jdf.queryExecution().executedPlan().toString())
+                        and write(df, purpose))
+    df = spark.range(100).select((F.col("id") % 7).alias("g"), F.col("id").alias("k"))
+    got = {(r.g, r.chunk): [x.k for x in r.rows] for r in ordered_chunks(df, lambda rows: rows, ["g"], ["k"], 14).collect()}
+    assert "Coalesce" not in plans["large-groups"] and "SinglePartition" not in plans["large-groups"]
+    assert len(got) == 9 and got[0, 1] == [98] and got[6, 0] == list(range(6, 100, 7))

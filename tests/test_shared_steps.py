@@ -1,11 +1,13 @@
 """Steps that several queries share are done once: bronze, movies in browse order, the exchange of credits."""
 
 import glob
+import threading
 
+import pytest
 from pyspark.sql import functions as F
 
 from cinelake import queries_extra as qx
-from cinelake.plans import catalog, search_index
+from cinelake.plans import catalog, jobs, search_index
 from cinelake.session import scratch_dir
 from tests.conftest import SF_SMALL, rows_of
 
@@ -49,3 +51,29 @@ def test_a_waiting_page_is_held_compressed():
     line = '{"endpoint": "/discover/movie", "body": "é' + '{"id": 1, "title": "a"}, ' * 50 + '"}'
     held = page_acceptor._packed(line)
     assert len(held) < len(line) / 5 and page_acceptor._unpacked(held) == line
+
+
+def test_models_that_do_not_need_each_other_are_built_at_a_time(spark, monkeypatch):
+    """silver_movie_cast waits until silver_movie_crew has begun: one model after the other would end in a time-out."""
+    begun, write = threading.Barrier(2, timeout=60), jobs.materialize_table
+
+    def waits(df, root, layer, table, *rest):
+        if table in ("silver_movie_cast", "silver_movie_crew"):
+            begun.wait()
+        return write(df, root, layer, table, *rest)
+
+    monkeypatch.setattr(jobs, "materialize_table", waits)
+    m = qx.written_models(spark, SF_SMALL, ["dim_person"])
+    assert list(m) == ["silver_movie_cast", "silver_movie_crew", "dim_person"]
+    assert rows_of(m["dim_person"]) == rows_of(catalog.all_models(catalog.testbed_bronze(spark, SF_SMALL))["dim_person"])
+
+
+def test_an_error_of_a_step_is_raised_and_nothing_starts_after_it():
+    ran = []
+
+    def fails():
+        raise KeyError("broken")
+
+    with pytest.raises(KeyError, match="broken"):
+        jobs.materialize_all({"a": (set(), fails), "b": (set(), lambda: ran.append("b")), "c": ({"a"}, lambda: ran.append("c"))}, threads=1)
+    assert not ran
